@@ -1,101 +1,78 @@
 """Regions of a page chosen by tag and class, which may nest and so need a tag stack.
 
 This is the one Python step of the package: pages stream through `mapInPandas` in Arrow
-batches, each page on its own, with the standard library's tokenizer.
+batches, each page on its own. Scripts, styles and comments are removed before, in the JVM.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from regmill.functions.html import content
+
+TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""")
+CLASS = re.compile(r"""(?is)(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-class _Regions(HTMLParser):
-    """Source spans of the elements that match one step of a scope."""
-
-    def __init__(self, tag: str, classes: list[str]):
-        super().__init__(convert_charrefs=False)
-        self.tag, self.classes = tag, classes
-        self.spans: list[list[int]] = []
-        self.stack: list[tuple[str, int]] = []
-        self.line_starts: list[int] = []
-
-    def run(self, markup: str) -> list[str]:
-        self.line_starts = [0]
-        for i, ch in enumerate(markup):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
-        self.feed(markup)
-        self.close()
-        for _, k in self.stack:
-            if k >= 0:
-                self.spans[k][1] = len(markup)
-        return [markup[a:b] for a, b in self.spans]
-
-    def _at(self) -> int:
-        line, col = self.getpos()
-        return self.line_starts[line - 1] + col
-
-    def _matches(self, tag: str, attrs: list) -> bool:
-        if self.tag and tag != self.tag:
-            return False
-        if not self.classes:
-            return True
-        found = (dict(attrs).get("class") or "").split()
-        if len(self.classes) == 1:
-            return self.classes[0] in found
-        return found == self.classes
-
-    def handle_starttag(self, tag, attrs):
-        k = -1
-        if self._matches(tag, attrs):
-            inner = self._at() + len(self.get_starttag_text())
-            self.spans.append([inner, inner])
-            k = len(self.spans) - 1
-        if tag not in VOID:
-            self.stack.append((tag, k))
-
-    def handle_startendtag(self, tag, attrs):
-        if self._matches(tag, attrs):
-            here = self._at() + len(self.get_starttag_text())
-            self.spans.append([here, here])
-
-    def handle_endtag(self, tag):
-        if not any(t == tag for t, _ in self.stack):
-            return
-        end = self._at()
-        while self.stack:
-            t, k = self.stack.pop()
-            if k >= 0:
-                self.spans[k][1] = end
-            if t == tag:
-                return
-
-
-def parse_scope(scope: str) -> list[tuple[bool, str, list[str]]]:
-    """Steps (every match or first, tag, classes) of a scope such as 'div.view-content > tbody'."""
-    every = scope.startswith("all ")
+def parse_scope(scope: str) -> tuple[bool, list[tuple[str, list[str]]]]:
+    """Whether every match counts (else the first), and the (tag, classes) steps from the outside in."""
     steps = []
     for word in scope.removeprefix("all ").split(" > "):
         tag, _, classes = word.strip().partition(".")
-        steps.append((every, tag, classes.split()))
-    return steps
+        steps.append((tag.lower(), classes.split()))
+    return scope.startswith("all "), steps
+
+
+def _is_match(name: str, attributes: str, tag: str, classes: list[str]) -> bool:
+    if tag and name != tag:
+        return False
+    if not classes:
+        return True
+    held = CLASS.search(attributes)
+    found = (held[1] or held[2] or held[3] or "").split() if held else []
+    return classes[0] in found if len(classes) == 1 else found == classes
+
+
+def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[str]:
+    """Inner markup of matching elements; a closing tag also ends what was left open inside it."""
+    spans: list[list[int]] = []
+    open_tags: list[tuple[str, int]] = []
+    for token in TAG.finditer(markup):
+        name = token[2].lower()
+        if not token[1]:
+            hit = -1
+            if not (only_first and spans) and _is_match(name, token[3], tag, classes):
+                hit = len(spans)
+                spans.append([token.end(), -1])
+            if name in VOID or token[3].endswith("/"):
+                if hit >= 0:
+                    spans[hit][1] = token.end()
+            else:
+                open_tags.append((name, hit))
+        elif any(t == name for t, _ in open_tags):
+            while True:
+                t, hit = open_tags.pop()
+                if hit >= 0:
+                    spans[hit][1] = token.start()
+                if t == name:
+                    break
+        if only_first and spans and spans[0][1] >= 0:
+            break
+    return [markup[a : b if b >= 0 else len(markup)] for a, b in spans]
 
 
 def regions_of(markup: str, scope: str) -> list[str]:
-    """Inner markup of the regions a scope selects, in document order."""
+    """Regions a scope selects, in document order."""
+    every, steps = parse_scope(scope)
     found = [markup]
-    for every, tag, classes in parse_scope(scope):
-        inner = []
-        for piece in found:
-            hits = _Regions(tag, classes).run(piece)
-            inner.extend(hits if every else hits[:1])
-        found = inner
+    for tag, classes in steps:
+        found = [inner for piece in found for inner in _inner(piece, tag, classes, not every)]
     return found
 
 
@@ -111,12 +88,9 @@ def scoped_regions(pages: DataFrame, scope: str = "scope", html: str = "html") -
 
     def select_regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                [m] if not isinstance(s, str) or not s else regions_of(m, s)
-                for m, s in zip(batch[html], batch[scope])
-            ]
-            out = batch[names].assign(region=found, region_no=[list(range(len(r))) for r in found])
+            found = [regions_of(m, s) if s else [m] for m, s in zip(batch[html], batch[scope])]
+            out = batch[names].assign(region=found, region_no=[range(len(r)) for r in found])
             out = out[[len(r) > 0 for r in found]].explode(["region", "region_no"])
             yield out.astype({"region_no": "int64"})[[*names, "region_no", "region"]]
 
-    return pages.mapInPandas(select_regions, schema)
+    return pages.withColumn(html, content(F.col(html))).mapInPandas(select_regions, schema)
