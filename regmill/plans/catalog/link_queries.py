@@ -13,6 +13,7 @@ from regmill.operators.store import union_collections
 from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_links
 from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
 from regmill.plans.catalog.registry import query, sql_decode, table
+from regmill.rules import local_frame
 
 PAGE_PREFIX = "/litigation/litreleases"
 
@@ -35,7 +36,8 @@ def links_by_beginning(spark, sf):
           WHEN '3-MEDIUM' THEN true ELSE false END""",
 )
 def links_by_site_rules(spark, sf):
-    rules = spark.createDataFrame(
+    rules = local_frame(
+        spark,
         [("1-URGENT", [".pdf", ".txt"], []), ("2-HIGH", [], ["/media"]), ("3-MEDIUM", [], [])],
         "site string, endings array<string>, beginnings array<string>",
     )
@@ -65,7 +67,7 @@ def links_not_denied(spark, sf):
     nations = table(spark, sf, "nation").where("n_regionkey = 1")
     held = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     denied = held.select(F.concat(F.lit("/docs/"), F.col("c_custkey"), F.lit(".pdf")).alias("value"))
-    denied = denied.unionByName(spark.createDataFrame([(None,)], "value string"))
+    denied = denied.unionByName(local_frame(spark, [(None,)], "value string"))
     kept = L.deny_links(order_links(spark, sf), denied, by=[])
     return L.deny_endings(kept, ["7.htm"]).select("seq", "source", "href")
 

@@ -6,7 +6,10 @@ sites and services use, otherwise results differ. No logic lives here.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # --- fixed values: text ------------------------------------------------------
 
@@ -267,29 +270,36 @@ PAGE_SIZES = {"cms": 100, "pcaob": 96, "railroads": 50}
 # --- the same, as frames -----------------------------------------------------
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rule rows as a local relation, whose size the planner knows."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow))
+
+
 def sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SOURCES, SOURCE_SCHEMA)
+    return local_frame(spark, SOURCES, SOURCE_SCHEMA)
 
 
 def year_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(YEAR_RULES, YEAR_RULE_SCHEMA)
+    return local_frame(spark, YEAR_RULES, YEAR_RULE_SCHEMA)
 
 
 def site_years(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITE_YEARS, SITE_YEAR_SCHEMA)
+    return local_frame(spark, SITE_YEARS, SITE_YEAR_SCHEMA)
 
 
 def site_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITE_RULES, SITE_RULE_SCHEMA)
+    return local_frame(spark, SITE_RULES, SITE_RULE_SCHEMA)
 
 
 def denied_links(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DENIED_LINKS, DENY_SCHEMA)
+    return local_frame(spark, DENIED_LINKS, DENY_SCHEMA)
 
 
 def date_fixes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DATE_FIXES, "raw string, fixed string")
+    return local_frame(spark, DATE_FIXES, "raw string, fixed string")
 
 
 def age_bands(spark: SparkSession, bands: list[tuple[int, int, bool]] | None = None) -> DataFrame:
-    return spark.createDataFrame(bands or AGE_BANDS, "age_lo int, age_hi int, splits boolean")
+    return local_frame(spark, bands or AGE_BANDS, "age_lo int, age_hi int, splits boolean")
