@@ -83,10 +83,11 @@ def write_bundles(
     parts.write.mode("overwrite").option("compression", codec).partitionBy(key).parquet(root)
 
 
-def ensure_target(spark: SparkSession, name: str, schema: str) -> str:
-    """Create a table if it is absent, under its lower-case name."""
+def ensure_target(spark: SparkSession, name: str, schema: str, location: str | None = None) -> str:
+    """Create a table if it is absent, under its lower-case name; an existing one is left as it is."""
     name = name.lower()
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{place}")
     return name
 
 

@@ -1 +1,222 @@
+"""The whole flows, from pages, responses or table rows to what is stored."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regmill import rules
+from regmill.functions import html as H
+from regmill.functions import urls as U
+from regmill.operators import extract as X
+from regmill.operators.links import resolve_links
+from regmill.operators.ordered import count_by, first_seen, high_water
+from regmill.plans import collection, penalties, releases
+from regmill.plans.catalog import derived
+from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_pages
+from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
+from regmill.plans.catalog.registry import (
+    DEMO_KEY,
+    query,
+    sql_content,
+    sql_keyed_id,
+    sql_paragraphs,
+    sql_plain,
+    table,
+)
+
+AS_OF = "2024-01-01T00:00:00"
+MASTER = f"{ROOT}/releases"
+
+
+@query(
+    "page_documents",
+    f"""
+    SELECT *, {sql_keyed_id("message_title || message_body || 'Press Release' || doc_source || '" + MASTER + "' || doc_source_pdf_url || '" + AS_OF + AS_OF + "'")} AS document_id
+    FROM (SELECT {sql_plain("regexp_extract(" + sql_content() + ", '(?is)<h1>(.*?)</h1>', 1)")} AS message_title,
+                 {sql_plain("(" + sql_paragraphs(sql_content()) + ")[1]")} AS message_body,
+                 replace(regexp_extract(url, '^https?://([^/?#]*)', 1), '.', '_') AS doc_source, url AS doc_source_pdf_url
+          FROM pages)""",
+)
+def page_documents(spark, sf):
+    """Each page as a keyed document: heading, first paragraph, site."""
+    titled = X.first_region(pages(spark, sf), "h1")
+    records = X.body_text(titled, "first", into="message_body").select(
+        H.plain(F.col("region")).alias("message_title"),
+        "message_body",
+        F.lit("Press Release").alias("doc_source_type"),
+        U.site_folder(F.col("url")).alias("doc_source"),
+        F.lit(MASTER).alias("doc_source_url"),
+        F.col("url").alias("doc_source_pdf_url"),
+        F.lit(AS_OF).alias("time_master"),
+        F.lit(AS_OF).alias("time_document"),
+    )
+    documents, _ = releases.keyed_documents(records, DEMO_KEY)
+    return documents.select("message_title", "message_body", "doc_source", "doc_source_pdf_url", "document_id")
+
+
+@query(
+    "site_link_counts",
+    f"""
+    SELECT replace(regexp_extract(url, '^https?://([^/?#]*)', 1), '.', '_') AS folder, count(DISTINCT raw) AS n
+    FROM ({PAGE_LINKS_SQL}) WHERE raw <> '' GROUP BY 1""",
+)
+def site_link_counts(spark, sf):
+    """Links resolved, first seen per site, counted."""
+    links = resolve_links(X.extract_links(pages(spark, sf)), F.col("url")).withColumns(
+        {"folder": U.site_folder(F.col("url")), "path": U.path_of(F.col("target"))}
+    )
+    return count_by(first_seen(links, ["path"], ["folder"], ["page_id", "pos"]), ["folder"])
+
+
+def release_listing(spark, sf):
+    rows = X.extract_listing(order_pages(spark, sf), "table", ROOT)
+    return rows.select(F.lit("fda").alias("source"), F.col("seq").alias("pos"), "date", "title", "link")
+
+
+def release_pages(spark, sf):
+    """A detail page per customer, under the addresses their documents are listed at."""
+    c = table(spark, sf, "customer")
+    return c.select(
+        F.concat(F.lit(f"{ROOT}/docs/"), F.col("c_custkey").cast("string"), F.lit(".pdf")).alias("url"),
+        F.concat(F.lit("<article><p>Body &amp; text of "), "c_name", F.lit("<p>More</article>")).alias("html"),
+    )
+
+
+RELEASES_SQL = f"""
+    SELECT o_orderkey, 'Release & order ' || o_orderkey AS message_title, 'Body & text of ' || c_name AS message_body,
+           '{ROOT}' || href AS doc_source_pdf_url, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS time_master
+    FROM (SELECT *, {derived.order_link()} AS href FROM orders) JOIN customer
+      ON href = '/docs/' || c_custkey || '.pdf'"""
+FDA = "US Food & Drug Administration Criminal Division"
+RELEASE_ID_SQL = sql_keyed_id(
+    f"message_title || message_body || 'Press Release' || '{FDA}' || '{MASTER}' || doc_source_pdf_url || time_master || time_master"
+)
+RELEASE_COLUMNS = ["message_title", "message_body", "doc_source", "doc_source_pdf_url", "time_master", "document_id"]
+
+
+@query(
+    "release_documents",
+    f"""
+    SELECT message_title, message_body, '{FDA}' AS doc_source, doc_source_pdf_url, time_master, {RELEASE_ID_SQL} AS document_id
+    FROM ({RELEASES_SQL})""",
+)
+def release_documents(spark, sf):
+    """Listing rows, their detail pages, source constants, ids."""
+    records = releases.release_records(
+        release_listing(spark, sf), release_pages(spark, sf), rules.sources(spark), MASTER, "month_day_slash_year"
+    )
+    documents, _ = releases.keyed_documents(records, DEMO_KEY)
+    return documents.select(*RELEASE_COLUMNS)
+
+
+@query(
+    "live_release_documents",
+    f"""
+    SELECT message_title, message_body, '{FDA}' AS doc_source, doc_source_pdf_url, time_master, {RELEASE_ID_SQL} AS document_id
+    FROM ({RELEASES_SQL}) WHERE o_orderkey < (SELECT min(o_orderkey) FROM orders WHERE o_totalprice > 499000)""",
+)
+def live_release_documents(spark, sf):
+    """Only releases listed in front of the first one already held."""
+    held = table(spark, sf, "orders").where("o_totalprice > 499000")
+    index = held.select(
+        F.lit("fda").alias("source"),
+        F.concat(F.lit("Release & order "), F.col("o_orderkey").cast("string")).alias("title"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    marks = high_water(index, ["source"], "title", ["seq"])
+    fresh = releases.live_records(release_listing(spark, sf), marks)
+    records = releases.release_records(
+        fresh, release_pages(spark, sf), rules.sources(spark), MASTER, "month_day_slash_year"
+    )
+    documents, _ = releases.keyed_documents(records, DEMO_KEY)
+    return documents.select(*RELEASE_COLUMNS)
+
+
+DENIED = ["/litigation/litreleases/lr7.htm"]
+NAMED_SQL = f"""
+    SELECT *, CASE WHEN route = 'page_text' THEN parent || '.txt' WHEN route = 'text_file' THEN plain
+                   WHEN parent IS NULL THEN plain ELSE parent || ' ' || plain END AS file_name
+    FROM (SELECT *, last_value(CASE WHEN route = 'page_text' THEN 'lr' || seq END IGNORE NULLS)
+                      OVER (PARTITION BY source ORDER BY seq) AS parent,
+                 CASE WHEN href LIKE '/files/%' THEN 'note ' || o_custkey || '.txt'
+                      WHEN href LIKE 'http%' THEN 'a+b ' || o_custkey || '.pdf' ELSE o_custkey || '.pdf' END AS plain
+          FROM (SELECT *, CASE WHEN href LIKE '%.htm' THEN 'page_text' WHEN href LIKE '%.txt' THEN 'text_file'
+                               WHEN href LIKE 'http%.pdf' THEN 'pdf_absolute' WHEN href LIKE '%.pdf' THEN 'pdf_relative' END AS route
+                FROM ({LINKS_SQL}) WHERE href <> '{DENIED[0]}')
+          WHERE route IS NOT NULL)"""
+
+
+@query(
+    "files_to_fetch",
+    f"""
+    WITH named AS ({NAMED_SQL})
+    SELECT 'www_agency_example litigation' AS folder, year, file_name, route, min(seq) AS seq FROM named
+    WHERE route <> 'page_text' AND (year, file_name) NOT IN (SELECT year, plain FROM named WHERE route = 'text_file' AND source = '5-LOW')
+    GROUP BY year, file_name, route
+    HAVING min(seq) = (SELECT min(n.seq) FROM named n WHERE n.route <> 'page_text' AND n.year = named.year AND n.file_name = named.file_name)
+    UNION ALL
+    SELECT 'www_agency_example litigation', year, file_name, route, seq FROM named WHERE route = 'page_text'""",
+)
+def files_to_fetch(spark, sf):
+    """Archive and current pages to the files not held: linked, routed, named after their parent page."""
+    all_pages = order_pages(spark, sf)
+    held = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '5-LOW'")
+    manifest = held.select(
+        F.lit("www_agency_example litigation").alias("folder"),
+        F.year("o_orderdate").alias("year"),
+        F.concat(F.lit("note "), F.col("o_custkey").cast("string"), F.lit(".txt")).alias("file_name"),
+    )
+    files = collection.targets_to_fetch(
+        all_pages.where("year < 1999"),
+        all_pages.where("year >= 1999"),
+        manifest,
+        ROOT,
+        "/litigation/litreleases",
+        DENIED,
+        " litigation",
+    )
+    return files.select("folder", "year", "file_name", "route", "seq")
+
+
+PENALTY_SQL = f"""
+    SELECT doc, year, table_no, record_no, string_agg(violation, '' ORDER BY row_no, l_partkey) AS summary,
+           string_agg(regulation, '' ORDER BY row_no, l_partkey) AS tags, max(name) AS name, max(CASE WHEN name IS NOT NULL THEN number END) AS number,
+           max(CASE WHEN name IS NOT NULL THEN payment END) AS payment
+    FROM (SELECT *, coalesce(count(name) OVER (PARTITION BY doc, year, table_no ORDER BY row_no, l_partkey
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS record_no
+          FROM (SELECT l_suppkey AS doc, CAST(year(l_shipdate) AS INTEGER) AS year, l_linenumber AS table_no, l_orderkey AS row_no, l_partkey,
+                       CASE l_returnflag WHEN 'A' THEN 'Late report ' WHEN 'R' THEN 'Part ' || l_partkey || ' missing; ' END AS violation,
+                       CASE l_returnflag WHEN 'A' THEN '30 CFR ' || l_suppkey || ' ' WHEN 'R' THEN '30 CFR 1241 ' END AS regulation,
+                       CASE WHEN l_linestatus = 'F' THEN 'Company ' || l_orderkey END AS name,
+                       'CP-' || l_orderkey || '-' || l_linenumber AS number,
+                       CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'n/a'
+                            ELSE '$' || l_orderkey || ',' || l_linenumber || '00.00' END AS payment
+                FROM lineitem))
+    GROUP BY doc, year, table_no, record_no HAVING max(name) IS NOT NULL"""
+
+
+@query(
+    "penalty_records",
+    f"""
+    SELECT doc, table_no, record_no, 'PENALTY COLLECTIONS FY ' || year AS message_title, name AS entity_full_name,
+           number AS message_id, coalesce(summary, '') AS message_summary, coalesce(tags, '') AS message_tags,
+           CAST(regexp_replace(payment, '[^0-9]', '', 'g') AS BIGINT) AS message_value,
+           year || '-12-31T00:00:00.000Z' AS time_master, 'department of interior, office of natural resources revenue' AS doc_source
+    FROM ({PENALTY_SQL}) WHERE payment <> 'n/a'""",
+)
+def penalty_records(spark, sf):
+    """Table rows assembled into typed penalty records."""
+    records, _ = penalties.penalty_records(derived.penalty_rows(spark, sf), order=("row_no", "l_partkey"))
+    return records.select(
+        "doc", "table_no", "record_no", "message_title", "entity_full_name", "message_id", "message_summary",
+        "message_tags", "message_value", "time_master", "doc_source",
+    )
+
+
+@query(
+    "penalty_rejects",
+    f"SELECT doc, year, table_no, record_no, 'no amount' AS reason FROM ({PENALTY_SQL}) WHERE payment = 'n/a'",
+)
+def penalty_rejects(spark, sf):
+    _, rejects = penalties.penalty_records(derived.penalty_rows(spark, sf), order=("row_no", "l_partkey"))
+    return rejects.select("doc", "year", "table_no", "record_no", "reason")

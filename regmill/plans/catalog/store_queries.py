@@ -1 +1,201 @@
+"""Queries that write and read back: keyed tables, layouts, files, incremental loads."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from regmill.operators import store as S
+from regmill.operators.ordered import count_by
+from regmill.plans.catalog.derived import LINKS_SQL, order_links
+from regmill.plans.catalog.registry import query, table
+from regmill.session import fresh_dir
+from regmill.sources.readers import scan_csv, scan_manifest
+from regmill.streaming.incremental import run_incremental
+
+LAST_ORDER_SQL = "SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey"
+
+
+def order_writes(spark, sf):
+    """Orders as writes under their customer's id."""
+    return table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@query(
+    "upserted_index",
+    f"""
+    SELECT c_custkey AS o_custkey, coalesce(o_orderkey, -1) AS o_orderkey, coalesce(o_orderstatus, 'new') AS o_orderstatus
+    FROM customer LEFT JOIN ({LAST_ORDER_SQL}) ON c_custkey = o_custkey""",
+)
+def upserted_index(spark, sf):
+    target = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.lit(-1).cast("bigint").alias("o_orderkey"),
+        F.lit("new").alias("o_orderstatus"),
+    )
+    return S.upsert(target, order_writes(spark, sf), ["o_custkey"], ["o_orderkey"])
+
+
+@query(
+    "write_versions",
+    "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS version FROM orders",
+)
+def write_versions(spark, sf):
+    versions = S.write_versions(order_writes(spark, sf), ["o_custkey"], ["o_orderkey"])
+    return versions.select("o_custkey", "o_orderkey", "version")
+
+
+@query(
+    "duplicate_audit",
+    """
+    SELECT o_custkey, count(*) AS repeats FROM (
+      SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS version FROM orders)
+    WHERE version > 1 GROUP BY o_custkey""",
+)
+def duplicate_audit(spark, sf):
+    versions = S.write_versions(order_writes(spark, sf), ["o_custkey"], ["o_orderkey"])
+    return count_by(versions.where("version > 1"), ["o_custkey"]).withColumnRenamed("n", "repeats")
+
+
+@query(
+    "index_after_batches",
+    """
+    SELECT o_custkey, arg_max(o_orderkey, (o_orderstatus, o_orderkey)) AS o_orderkey, max(o_orderstatus) AS o_orderstatus
+    FROM orders GROUP BY o_custkey""",
+)
+def index_after_batches(spark, sf):
+    """Three batches, one written twice as after a lost job, read back as one index."""
+    root = fresh_dir(spark, "index")
+    writes = order_writes(spark, sf)
+    for batch_id, status in enumerate(["F", "O", "P", "P"]):
+        S.append_batch(writes.where(F.col("o_orderstatus") == status), root, min(batch_id, 2))
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop("batch")
+
+
+@query("incremental_index", LAST_ORDER_SQL)
+def incremental_index(spark, sf):
+    """Orders taken as a file stream into a new index until nothing is left."""
+    root = fresh_dir(spark, "stream-index")
+    schema = table(spark, sf, "orders").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    run_incremental(
+        stream, root, fresh_dir(spark, "stream-state"), lambda b: b.select("o_custkey", "o_orderkey", "o_orderstatus")
+    ).awaitTermination()
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop("batch")
+
+
+@query("random_ids", "SELECT count(*) AS n, count(*) AS ids FROM customer")
+def random_ids(spark, sf):
+    appended = S.append_random_id(table(spark, sf, "customer"))
+    return appended.agg(F.count("*").alias("n"), F.count_distinct("document_id").alias("ids"))
+
+
+@query(
+    "rows_by_year_csv",
+    """SELECT o_orderkey, o_orderpriority, '"' || o_orderstatus || '", x' AS quoted, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""",
+)
+def rows_by_year_csv(spark, sf):
+    root = fresh_dir(spark, "csv")
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.concat(F.lit('"'), "o_orderstatus", F.lit('", x')).alias("quoted"),
+        F.year("o_orderdate").alias("year"),
+    )
+    S.write_csv_by(rows, root, "year")
+    schema = "o_orderkey bigint, o_orderpriority string, quoted string, year int"
+    return spark.read.schema(schema).option("escape", '"').csv(root)
+
+
+@query(
+    "csv_by_header",
+    "SELECT c_mktsegment, CAST(c_custkey AS VARCHAR) AS c_custkey FROM customer",
+)
+def csv_by_header(spark, sf):
+    root = fresh_dir(spark, "csv")
+    table(spark, sf, "customer").write.option("header", True).csv(root)
+    return scan_csv(spark, root, ["c_mktsegment", "c_custkey"])
+
+
+@query(
+    "page_texts",
+    f"""
+    SELECT source, year, href, arg_max(o_custkey, seq) AS o_custkey, max(seq) AS seq FROM ({LINKS_SQL})
+    GROUP BY source, year, href""",
+)
+def page_texts(spark, sf):
+    """Texts rewritten on every visit: the last one stays."""
+    root = fresh_dir(spark, "texts")
+    last = S.last_write(order_links(spark, sf), ["source", "year", "href"], ["seq"])
+    S.write_layout(last, root, ["source", "year"])
+    return spark.read.parquet(root).select("source", "year", "href", "o_custkey", "seq")
+
+
+@query(
+    "layout_one_site",
+    f"SELECT seq, href, year FROM ({LINKS_SQL}) WHERE source = '4-NOT SPECIFIED' AND year = 1998",
+)
+def layout_one_site(spark, sf):
+    """One site and year out of the layout: only its folder is opened."""
+    root = fresh_dir(spark, "layout")
+    S.write_layout(order_links(spark, sf), root, ["source", "year"])
+    return spark.read.parquet(root).where("source = '4-NOT SPECIFIED' AND year = 1998").select("seq", "href", "year")
+
+
+@query(
+    "held_files",
+    "SELECT DISTINCT o_orderstatus AS category, CAST(year(o_orderdate) AS VARCHAR) AS year, true AS held FROM orders",
+)
+def held_files(spark, sf):
+    """Folders with files below a written layout, from the file listing alone."""
+    root = fresh_dir(spark, "held")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("category"), F.year("o_orderdate").alias("year"))
+    S.write_layout(rows, root, ["category", "year"])
+    files = scan_manifest(spark, root).where(F.endswith("file_name", F.lit(".parquet")))
+    return files.groupBy(
+        F.regexp_extract("path", "/category=([^/]*)/", 1).alias("category"),
+        F.regexp_extract("path", "/year=([^/]*)/", 1).alias("year"),
+    ).agg((F.min("length") > 0).alias("held"))
+
+
+BUNDLE_SQL = """
+    SELECT n_name, o_orderkey, CAST(o_custkey AS BIGINT) AS length FROM orders
+    JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+
+
+def ticker_files(spark, sf):
+    """Orders as files of their customer's nation."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    named = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    named = named.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.select("n_name", "o_orderkey", F.col("o_custkey").alias("length"))
+
+
+@query(
+    "bundles",
+    f"""
+    SELECT n_name, count(*) AS n_files, CAST(sum(length) AS BIGINT) AS bytes, 'DEF_14A/' || n_name AS address
+    FROM ({BUNDLE_SQL}) GROUP BY n_name""",
+)
+def bundles(spark, sf):
+    return S.bundle(ticker_files(spark, sf), "n_name", "length")
+
+
+@query("bundled_files", BUNDLE_SQL)
+def bundled_files(spark, sf):
+    root = fresh_dir(spark, "bundles")
+    S.write_bundles(ticker_files(spark, sf), root, "n_name", "o_orderkey")
+    return spark.read.parquet(root).select("n_name", "o_orderkey", "length")
+
+
+@query("ensured_target", "SELECT c_custkey, c_name FROM customer")
+def ensured_target(spark, sf):
+    """Created once, left alone the second time, filled and read."""
+    asked = f"Regmill_Documents_{uuid.uuid4().hex}"
+    for _ in range(2):
+        name = S.ensure_target(spark, asked, "c_custkey bigint, c_name string", fresh_dir(spark, "table"))
+    table(spark, sf, "customer").select("c_custkey", "c_name").write.insertInto(name)
+    return spark.table(name)
