@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from regmill.functions.text import decode_entities
 
-NON_CONTENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+NON_CONTENT = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-QUOTES = r"""^["']|["']$"""
+QUOTES = "\"'"
 ANY_TAG = r"(?s)<[^>]*>"
 BLOCK_END = r"(?i)</(article|div|section|main|td|li|body|html)\s*>"
 SINGLE_TEXT = r"(?s)^(?:<[A-Za-z][^>]*>)*([^<]+)(?:</[^>]*>)*$"
@@ -29,7 +29,7 @@ def elements(html: Column, tag: str) -> Column:
 def hrefs(html: Column) -> Column:
     """Target of every anchor that has one, in document order."""
     raw = F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1))
-    return F.transform(raw, lambda x: decode_entities(F.regexp_replace(x, QUOTES, "")))
+    return F.transform(raw, lambda x: decode_entities(F.btrim(x, F.lit(QUOTES))))
 
 
 def paragraphs(html: Column) -> Column:

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regmill.rules import NAMED_ENTITIES, UNICODE_SPACE_CLASS
+from regmill.rules import NAMED_ENTITIES, UNICODE_SPACES
+
 
-EDGE_SPACE = f"^[{UNICODE_SPACE_CLASS}]+|[{UNICODE_SPACE_CLASS}]+$"
+def bind(c: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also inside array lambdas."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of Unicode white space, not only the blank that SQL trim removes."""
-    return F.regexp_replace(c, EDGE_SPACE, "")
+    return F.btrim(c, F.lit(UNICODE_SPACES))
 
 
 def cut_before(c: Column, marker: Column | str) -> Column:
@@ -34,19 +39,28 @@ def capitalize(c: Column) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substring(c, F.lit(2), F.length(c))))
 
 
-def decode_entities(c: Column) -> Column:
-    """Character references to text: decimal ones, then named ones with the ampersand last."""
+def _decimal_references(c: Column) -> Column:
     codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#([0-9]{1,7});"), F.lit(1)))
 
     def put(text: Column, code: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code.cast("int")), 8, "0")), "UTF-32")
-        valid = (code.cast("int") > 0) & (code.cast("int") < 0x110000)
-        return F.replace(text, F.concat(F.lit("&#"), code, F.lit(";")), F.when(valid, char).otherwise(F.lit("�")))
-
-    out = F.when(c.rlike("&#[0-9]{1,7};"), F.aggregate(codes, c, put)).otherwise(c)
-    for name, char in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+        number = code.cast("int")
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        return F.replace(text, F.concat(F.lit("&#"), code, F.lit(";")), F.when(valid, char).otherwise(F.lit("\ufffd")))
+
+    return F.when(F.contains(c, F.lit("&#")), F.aggregate(codes, c, put)).otherwise(c)
+
+
+def decode_entities(c: Column) -> Column:
+    """Character references to text: decimal ones, then named ones with the ampersand last."""
+
+    def decoded(text: Column) -> Column:
+        out = _decimal_references(text)
+        for name, char in NAMED_ENTITIES:
+            out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+        return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+
+    return bind(c, decoded)
 
 
 def split_at_patterns(c: Column, patterns: list[str]) -> tuple[Column, Column]:

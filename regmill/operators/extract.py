@@ -9,17 +9,26 @@ from regmill.functions import html as H
 from regmill.functions.text import cut_before, strip
 
 
+def _unnest(pages: DataFrame, html: str, array: Column, pos: str, value: str) -> DataFrame:
+    """One row per element, the page column replaced by place and value.
+
+    The outer form keeps the optimizer from testing the array first, which would run its
+    expressions twice; callers filter the generated column, which cannot be pushed below.
+    """
+    kept = [c for c in pages.columns if c != html]
+    rows = pages.select(*kept, F.posexplode_outer(array).alias(pos, value))
+    return rows.where(F.col(pos).isNotNull())
+
+
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every link in document order; links without a target are dropped, positions are kept."""
-    kept = [c for c in pages.columns if c != html]
-    links = pages.select(*kept, F.posexplode(H.hrefs(H.content(F.col(html)))).alias("pos", "href"))
-    return links.where(F.col("href") != "")
+    return _unnest(pages, html, H.hrefs(H.content(F.col(html))), "pos", "href").where(F.col("href") != "")
 
 
 def tag_region(pages: DataFrame, tag: str, html: str = "html") -> DataFrame:
     """The first element of a tag that does not nest, instead of the whole page."""
-    region = F.try_element_at(H.elements(H.content(F.col(html)), tag), F.lit(1))
-    return pages.withColumn(html, region).where(F.col(html).isNotNull())
+    found = F.slice(H.elements(H.content(F.col(html)), tag), 1, 1)
+    return _unnest(pages, html, found, "_no", html).drop("_no")
 
 
 def nth_region(pages: DataFrame, tag: str, ordinal: Column, into: str = "region", html: str = "html") -> DataFrame:
@@ -32,18 +41,18 @@ def first_region(pages: DataFrame, tag: str, into: str = "region", html: str = "
 
 
 def first_link(pages: DataFrame, into: str = "href", html: str = "html") -> DataFrame:
-    """The first link of each page or region."""
-    first = F.try_element_at(H.hrefs(H.content(F.col(html))), F.lit(1))
-    return pages.withColumn(into, first).where(F.col(into) != "")
+    """The first link of each page or region; those without one drop out."""
+    found = F.slice(H.hrefs(H.content(F.col(html))), 1, 1)
+    return pages.select("*", F.explode_outer(found).alias(into)).where(F.col(into) != "")
 
 
 def extract_table(pages: DataFrame, html: str = "html") -> DataFrame:
     """Rows of the first table body as trimmed cell texts; rows may differ in length."""
-    kept = [c for c in pages.columns if c != html]
     body = F.try_element_at(H.elements(H.content(F.col(html)), "tbody"), F.lit(1))
-    rows = pages.select(*kept, F.posexplode(H.elements(body, "tr")).alias("row_no", "_row"))
-    cells = F.transform(H.elements(F.col("_row"), "td"), lambda x: strip(H.plain(x)))
-    return rows.withColumn("cells", cells).drop("_row")
+    rows = F.transform(
+        H.elements(body, "tr"), lambda row: F.transform(H.elements(row, "td"), lambda cell: strip(H.plain(cell)))
+    )
+    return _unnest(pages, html, rows, "row_no", "cells")
 
 
 def extract_listing(pages: DataFrame, kind: str, root: str, html: str = "html") -> DataFrame:
@@ -52,28 +61,29 @@ def extract_listing(pages: DataFrame, kind: str, root: str, html: str = "html")
     kind 'table': date in the first cell, title and link in the second; 'cards': list items
     holding a link whose text is the title, no date.
     """
-    kept = [c for c in pages.columns if c != html]
+
+    def item(date: Column, title: Column, markup: Column) -> Column:
+        link = F.try_element_at(H.hrefs(markup), F.lit(1))
+        return F.struct(date.alias("date"), title.alias("title"), link.alias("href"))
+
     body = H.content(F.col(html))
     if kind == "table":
         region = F.try_element_at(H.elements(body, "tbody"), F.lit(1))
-        rows = pages.select(*kept, F.posexplode(H.elements(region, "tr")).alias("pos", "_row"))
-        cells = H.elements(F.col("_row"), "td")
-        rows = rows.withColumn("_cell", F.try_element_at(cells, F.lit(2)))
-        date = H.plain(F.try_element_at(cells, F.lit(1)))
-        title = H.plain(F.col("_cell"))
+        cells = F.transform(H.elements(region, "tr"), lambda row: H.elements(row, "td"))
+        pairs = F.transform(
+            cells,
+            lambda c: F.struct(F.try_element_at(c, F.lit(1)).alias("date"), F.try_element_at(c, F.lit(2)).alias("cell")),
+        )
+        items = F.transform(pairs, lambda p: item(H.plain(p["date"]), H.plain(p["cell"]), p["cell"]))
     elif kind == "cards":
-        rows = pages.select(*kept, F.posexplode(H.elements(body, "li")).alias("pos", "_cell"))
-        date = F.lit(None).cast("string")
-        title = strip(H.plain(F.try_element_at(H.elements(F.col("_cell"), "a"), F.lit(1))))
+        title = lambda li: strip(H.plain(F.try_element_at(H.elements(li, "a"), F.lit(1))))
+        items = F.transform(H.elements(body, "li"), lambda li: item(F.lit(None).cast("string"), title(li), li))
     else:
         raise ValueError(f"unknown listing kind {kind!r}")
-    link = F.try_element_at(H.hrefs(F.col("_cell")), F.lit(1))
-    return (
-        rows.select(*kept, "pos", date.alias("date"), title.alias("title"), link.alias("_href"))
-        .where(F.col("_href").isNotNull())
-        .withColumn("link", F.concat(F.lit(root), F.col("_href")))
-        .drop("_href")
-    )
+    rows = _unnest(pages, html, items, "pos", "_item")
+    linked = rows.where(F.col("_item.href").isNotNull())
+    link = F.concat(F.lit(root), F.col("_item.href")).alias("link")
+    return linked.select(*[c for c in rows.columns if c != "_item"], "_item.date", "_item.title", link)
 
 
 def body_text(pages: DataFrame, mode: str, marker: Column | str | None = None, into: str = "body", html: str = "html") -> DataFrame:

@@ -89,4 +89,4 @@ def code_list(df: DataFrame, html: str, tag: str = "option") -> DataFrame:
     """Values of the options of a select box in order; options without the attribute are skipped."""
     opened = F.regexp_extract_all(F.col(html), F.lit(rf'(?is)<{tag}\s(?:[^>]*?\s)?value\s*=\s*"([^"]*)"'), F.lit(1))
     kept = [c for c in df.columns if c != html]
-    return df.select(*kept, F.posexplode(opened).alias("pos", "code"))
+    return df.select(*kept, F.posexplode_outer(opened).alias("pos", "code")).where(F.col("pos").isNotNull())

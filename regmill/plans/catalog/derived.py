@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regmill.operators.scale import spread_scan
 from regmill.plans.catalog.registry import table
 
 ROOT = "https://www.agency.example"
@@ -44,7 +45,7 @@ LINKS_SQL = f"""
 
 def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A listing page per order: a script with markup in it, a dated table row, a region and a card."""
-    return table(spark, sf, "orders").selectExpr(
+    return spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
         "o_orderpriority AS site",
         "year(o_orderdate) AS year",
         "o_orderkey AS seq",
@@ -66,7 +67,7 @@ def month_name(ts: str) -> str:
 def document_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Each document as a table page: a row per line, a cell per sentence end."""
     safe = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-    return table(spark, sf, "documents").selectExpr(
+    return spread_scan(table(spark, sf, "documents"), "doc_id").selectExpr(
         "doc_id",
         f"""'<table><tbody><tr><td> ' || replace(replace({safe}, '. ', '.</td><td>'), '\\n', ' </td></tr><tr><td> ')
             || '</td></tr></tbody></table>' AS html""",

@@ -9,6 +9,7 @@ from regmill.functions.text import cut_before
 from regmill.operators import extract as X
 from regmill.operators import links as L
 from regmill.operators.ordered import count_by
+from regmill.operators.scale import spread_scan
 from regmill.operators.store import union_collections
 from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_links
 from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
@@ -293,7 +294,8 @@ def decoded_names(spark, sf):
     """Texts percent-encoded twice come back whole."""
     once = F.replace(F.url_encode("text"), F.lit("+"), F.lit("%20"))
     twice = F.replace(F.url_encode(once), F.lit("+"), F.lit("%20"))
-    return table(spark, sf, "documents").select("doc_id", U.twice_decoded(twice).alias("name"))
+    documents = spread_scan(table(spark, sf, "documents"), "doc_id")
+    return documents.select("doc_id", U.twice_decoded(twice).alias("name"))
 
 
 @query(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regmill.functions.identity import key_pads
-from regmill.rules import NAMED_ENTITIES, UNICODE_SPACE_CLASS
+from regmill.rules import NAMED_ENTITIES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,8 +48,11 @@ def sql_plain(x: str) -> str:
     return sql_decode(f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')")
 
 
+SPACE_CLASS = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
 def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '^[{UNICODE_SPACE_CLASS}]+|[{UNICODE_SPACE_CLASS}]+$', '', 'g')"
+    return f"regexp_replace({x}, '^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$', '', 'g')"
 
 
 def sql_paragraphs(html: str) -> str:

@@ -9,28 +9,29 @@ from regmill.functions import urls as U
 from regmill.operators import links as L
 from regmill.operators.extract import extract_links
 from regmill.operators.ordered import forward_fill
+from regmill.operators.scale import first_by
 from regmill.operators.store import union_collections
+from regmill.session import written
 
 
 def routed_links(pages: DataFrame, root: str, page_prefix: str, denied: list[str]) -> DataFrame:
-    """Links of archive pages (site, year, seq, html) with route, target and parent page stem."""
+    """Links of archive pages (site, year, seq, html) with route and target."""
     links = extract_links(pages)
     links = links.where(~F.col("href").isin(denied)) if denied else links
-    routed = L.route_links(links, root, page_prefix)
-    resolved = L.resolve_links(routed, F.lit(root))
-    stem = F.when(F.col("route") == "page_text", U.stem(F.col("target")))
-    return forward_fill(resolved.withColumn("_stem", stem), "_stem", ["site"], ["seq", "pos"], "parent").drop("_stem")
+    return L.resolve_links(L.route_links(links, root, page_prefix), F.lit(root))
 
 
 def named_targets(routed: DataFrame, label: Column | str) -> DataFrame:
     """Folder and file name of each target; a PDF carries the stem of the page before it."""
+    stem = F.when(F.col("route") == "page_text", U.stem(F.col("target")))
+    parents = forward_fill(routed.withColumn("_stem", stem), "_stem", ["site"], ["seq", "pos"], "parent").drop("_stem")
     plain = U.file_name(F.col("target"), F.lit("base"))
     name = (
         F.when(F.col("route") == "page_text", F.concat("parent", F.lit(".txt")))
         .when(F.col("route") == "text_file", plain)
         .otherwise(U.with_stem(F.col("parent"), plain))
     )
-    return routed.withColumns({"file_name": name, "folder": U.site_folder(F.col("target"), label)})
+    return parents.withColumns({"file_name": name, "folder": U.site_folder(F.col("target"), label)})
 
 
 def targets_to_fetch(
@@ -38,10 +39,18 @@ def targets_to_fetch(
 ) -> DataFrame:
     """Files of the archive and the current page that are not held: first of each place wins.
 
-    Page texts are taken whether held or not, since they are rewritten on each run.
+    Page texts are taken whether held or not, since they are rewritten on each run: they get a
+    place of their own and no name to find in the manifest. Links are written once, so that
+    markup is parsed once and the ordered steps run over the narrow link table.
     """
-    pages = union_collections(archive, current)
-    named = named_targets(routed_links(pages, root, page_prefix, denied), label)
-    place = ["folder", "year", "file_name"]
-    files = L.not_held(named.where(F.col("route") != "page_text"), manifest, place, ["seq", "pos"])
-    return files.unionByName(named.where(F.col("route") == "page_text"))
+    links = written(routed_links(union_collections(archive, current), root, page_prefix, denied), "links")
+    rewritten = F.col("route") == "page_text"
+    named = named_targets(links, label).withColumns(
+        {
+            "_place": F.when(rewritten, F.concat_ws(":", "seq", "pos")).otherwise(F.col("file_name")),
+            "_held": F.when(~rewritten, F.col("file_name")),
+        }
+    )
+    fresh = first_by(named, ["folder", "year", "_place"], [F.col("seq"), F.col("pos")])
+    held = manifest.select("folder", "year", F.col("file_name").alias("_held")).distinct()
+    return fresh.join(held, ["folder", "year", "_held"], "left_anti").drop("_place", "_held")

@@ -32,8 +32,9 @@ def release_records(
 
 def keyed_documents(records: DataFrame, key_hex: str) -> tuple[DataFrame, DataFrame]:
     """(documents with their id, rejects): a record with any field missing has no id."""
-    keyed = R.document_id(R.canonical_message(records), "message", key_hex)
-    return R.split_rejects(keyed, {"field missing": F.col("document_id").isNotNull()})
+    messages = R.canonical_message(records)
+    good, bad = R.split_rejects(messages, {"field missing": F.col("message").isNotNull()})
+    return R.document_id(good, "message", key_hex).drop("message"), bad
 
 
 def live_records(listing: DataFrame, marks: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from pyspark.sql.types import StructType
 
 # --- fixed values: text ------------------------------------------------------
 
-# White space as Unicode defines it (body of a regular-expression class).
-UNICODE_SPACE_CLASS = (
-    r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# White space as Unicode defines it.
+UNICODE_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Named character references decoded in page text; the ampersand must come last.

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from regmill.operators.scale import spread_scan
+
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """Fetched pages that have content; a stored status other than 200 means there is none."""
@@ -13,7 +15,7 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     usable = F.col("html").isNotNull()
     if "status" in pages.columns:
         usable = usable & (F.col("status") == 200)
-    return pages.where(usable)
+    return spread_scan(pages.where(usable), "url")
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
