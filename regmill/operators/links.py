@@ -81,12 +81,13 @@ def filings_between(
 def follow(links: DataFrame, pages: DataFrame, order: list[str], target: str = "target") -> DataFrame:
     """Document links found on the pages that listing links point to.
 
-    Listing links are reduced to one row per target before the join (first place and number
-    of references), so a page that everything points to is opened once.
+    Listing links are reduced to one row per target (first place and number of references), so
+    a page that everything points to is matched once, and pages to their links, so that the
+    join moves links and not markup.
     """
     refs = links.groupBy(target).agg(F.min(F.struct(*order)).alias("first_ref"), F.count("*").alias("n_refs"))
-    detail = pages.select(F.col("url").alias(target), "html")
-    return extract_links(refs.join(detail, target))
+    found = extract_links(pages.select(F.col("url").alias(target), "html"))
+    return refs.join(found, target)
 
 
 def unmatched(links: DataFrame, pages: DataFrame, target: str = "target") -> DataFrame:

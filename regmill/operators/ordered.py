@@ -21,7 +21,8 @@ CHUNK = 1 << 18
 
 
 def _chunked(df: DataFrame, seq: str, chunk: int) -> DataFrame:
-    return df.withColumn("_chunk", F.floor(F.col(seq) / F.lit(chunk)))
+    place = F.col(seq).cast("long")
+    return df.withColumn("_chunk", place - F.pmod(place, F.lit(chunk)))
 
 
 def _inside(by: list[str], order: list[str]):
@@ -71,7 +72,7 @@ def running_count(
 
 def _joined_in_order(place: Column, text: Column) -> Column:
     held = F.collect_list(F.when(text.isNotNull(), F.struct(place.alias("at"), text.alias("text"))))
-    return F.array_join(F.transform(F.array_sort(held), lambda x: x["text"]), "")
+    return F.array_join(F.transform(F.sort_array(held), lambda x: x["text"]), "")
 
 
 def assemble_records(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from regmill.operators.frontier import band
+from regmill.operators.scale import small_side
 
 KEYS = ["country", "sex", "age", "warrant"]
 
@@ -14,48 +14,38 @@ KEYS = ["country", "sex", "age", "warrant"]
 def quota_split(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
     """Leaf filters with their row counts: country, then sex, then age band, then warrant country.
 
-    People are counted per key combination first (combined on the map side), so the level
-    totals are windows over that small count table and never over people.
+    People are counted per key combination first (combined on the map side). Level totals are
+    windows over that small count table, never over people, and since every level lies inside a
+    country one shuffle by country serves them all.
     """
-    cells = people.groupBy(*KEYS).agg(F.count("*").alias("n"))
-    per_country = F.sum("n").over(Window.partitionBy("country"))
-    counted = cells.withColumn("n_country", per_country)
-
-    whole = (
-        counted.where(F.col("n_country") <= quota)
-        .groupBy("country")
-        .agg(F.sum("n").alias("n"))
-        .select("country", *[F.lit(None).cast(t).alias(c) for c, t in _TAIL], "n")
-    )
-    split = counted.where((F.col("n_country") > quota) & F.col("sex").isin(*sexes)).withColumn(
-        "n_sex", F.sum("n").over(Window.partitionBy("country", "sex"))
-    )
-    by_sex = (
-        split.where(F.col("n_sex") <= quota)
-        .groupBy("country", "sex")
-        .agg(F.sum("n").alias("n"))
-        .select("country", "sex", *[F.lit(None).cast(t).alias(c) for c, t in _TAIL[1:]], "n")
-    )
-    banded = band(split.where(F.col("n_sex") > quota), "age", bands).withColumn(
-        "n_band", F.sum("n").over(Window.partitionBy("country", "sex", "age_lo", "age_hi"))
+    cells = people.groupBy(*KEYS).agg(F.count("*").alias("cell"))
+    sized = cells.withColumns(
+        {
+            "n_country": F.sum("cell").over(Window.partitionBy("country")),
+            "n_sex": F.sum("cell").over(Window.partitionBy("country", "sex")),
+        }
     )
-    finer = F.col("splits") & (F.col("n_band") > quota)
-    by_band = (
-        banded.where(~finer)
-        .groupBy("country", "sex", "age_lo", "age_hi")
-        .agg(F.sum("n").alias("n"))
-        .select("country", "sex", "age_lo", "age_hi", F.lit(None).cast("string").alias("warrant"), "n")
+    level = F.when(F.col("n_country") <= quota, "country").when(F.col("n_sex") <= quota, "sex").otherwise("band")
+    split = sized.withColumn("level", level).where((F.col("level") == "country") | F.col("sex").isin(sexes))
+
+    ages = bands.withColumn("_age", F.explode(F.sequence("age_lo", "age_hi")))
+    wanted = F.when(F.col("level") == "band", F.col("age").cast("int"))
+    banded = split.join(small_side(ages), wanted == F.col("_age"), "left").where(
+        (F.col("level") != "band") | F.col("_age").isNotNull()
     )
-    by_warrant = (
-        banded.where(finer & F.col("warrant").isNotNull())
-        .groupBy("country", "sex", "age_lo", "age_hi", "warrant")
-        .agg(F.sum("n").alias("n"))
+    n_band = F.sum("cell").over(Window.partitionBy("country", "sex", "level", "age_lo", "age_hi"))
+    finer = (F.col("level") == "band") & F.col("splits") & (F.col("n_band") > quota)
+    placed = banded.withColumn("n_band", n_band).withColumn("finer", F.coalesce(finer, F.lit(False)))
+    leaves = placed.where(~F.col("finer") | F.col("warrant").isNotNull()).select(
+        "country",
+        F.when(F.col("level") != "country", F.col("sex")).alias("sex"),
+        "age_lo",
+        "age_hi",
+        F.when(F.col("finer"), F.col("warrant")).alias("warrant"),
+        "cell",
     )
-    leaves = whole.unionByName(by_sex).unionByName(by_band).unionByName(by_warrant)
-    return leaves.withColumn("overflow", F.col("n") > quota)
-
-
-_TAIL = [("sex", "string"), ("age_lo", "int"), ("age_hi", "int"), ("warrant", "string")]
+    counted = leaves.groupBy("country", "sex", "age_lo", "age_hi", "warrant").agg(F.sum("cell").alias("n"))
+    return counted.withColumn("overflow", F.col("n") > quota)
 
 
 def unknown_sex_leaf(people: DataFrame, quota: int, code: str = "U") -> DataFrame:

@@ -6,12 +6,16 @@ replayed batch replaces its own folder. Readers take the last write of each id.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regmill.operators.ordered import CHUNK, running_count
 from regmill.operators.scale import first_by
 
+ROWS_PER_FILE = 1_000_000
+
 
 def last_write(batch: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return first_by(batch, key, [F.col(c).desc() for c in order])
@@ -47,23 +51,39 @@ def append_random_id(df: DataFrame, into: str = "document_id") -> DataFrame:
 
 
 def spread(df: DataFrame, keys: list[str], unique: list[str], rows_per_file: int) -> DataFrame:
-    """Rows of one output folder over as many tasks as its size asks for, instead of one per key.
+    """Rows dealt out by output folder, a large folder over as many tasks as its size asks for.
 
-    The salt hashes columns that tell rows apart, so a task run again sends rows the same way.
+    Without it every task would write a file into every folder; by key alone the largest folder
+    would be one task. The salt hashes columns that tell rows apart, so a task run again sends
+    its rows the same way.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(rows_per_file)).alias("_parts"))
-    salted = df.join(sizes, keys).withColumn("_salt", F.pmod(F.xxhash64(*unique), F.col("_parts")))
-    return salted.repartition(*keys, "_salt").drop("_salt", "_parts")
+    sizes = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.ceil(F.count("*") / F.lit(rows_per_file)).alias("_parts")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    salted = df.join(sizes, same).withColumn("_salt", F.pmod(F.xxhash64(*unique), F.col("_parts")))
+    return salted.repartition(*keys, "_salt").select(*df.columns)
 
 
-def write_csv_by(df: DataFrame, root: str, key: str) -> None:
+def write_csv_by(df: DataFrame, root: str, key: str, unique: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
     """Headerless delimited files, one folder per key value."""
-    df.write.mode("overwrite").partitionBy(key).option("escape", '"').csv(root, header=False)
+    parts = spread(df, [key], unique, rows_per_file)
+    parts.write.mode("overwrite").partitionBy(key).option("escape", '"').csv(root, header=False)
 
 
-def write_layout(df: DataFrame, root: str, keys: list[str]) -> None:
+def write_layout(
+    df: DataFrame, root: str, keys: list[str], unique: list[str], rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Rows laid out by site, category and year, so that reads of one of them open its folders only."""
-    df.write.mode("overwrite").partitionBy(*keys).parquet(root)
+    spread(df, keys, unique, rows_per_file).write.mode("overwrite").partitionBy(*keys).parquet(root)
+
+
+def write_bundles(
+    files: DataFrame, root: str, key: str, path: str, codec: str = "gzip", rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """The bundled files, one compressed folder per key."""
+    parts = spread(files, [key], [path], rows_per_file)
+    parts.write.mode("overwrite").option("compression", codec).partitionBy(key).parquet(root)
 
 
 def bundle(files: DataFrame, key: str, length: str, prefix: str = "DEF_14A/") -> DataFrame:
@@ -75,14 +95,6 @@ def bundle(files: DataFrame, key: str, length: str, prefix: str = "DEF_14A/") ->
     )
 
 
-def write_bundles(
-    files: DataFrame, root: str, key: str, path: str, codec: str = "gzip", rows_per_file: int = 100_000
-) -> None:
-    """The bundled files, one compressed folder per key; a large key is written by several tasks."""
-    parts = spread(files, [key], [path], rows_per_file)
-    parts.write.mode("overwrite").option("compression", codec).partitionBy(key).parquet(root)
-
-
 def ensure_target(spark: SparkSession, name: str, schema: str, location: str | None = None) -> str:
     """Create a table if it is absent, under its lower-case name; an existing one is left as it is."""
     name = name.lower()

@@ -103,7 +103,7 @@ def rows_by_year_csv(spark, sf):
         F.concat(F.lit('"'), "o_orderstatus", F.lit('", x')).alias("quoted"),
         F.year("o_orderdate").alias("year"),
     )
-    S.write_csv_by(rows, root, "year")
+    S.write_csv_by(rows, root, "year", ["o_orderkey"])
     schema = "o_orderkey bigint, o_orderpriority string, quoted string, year int"
     return spark.read.schema(schema).option("escape", '"').csv(root)
 
@@ -128,7 +128,7 @@ def page_texts(spark, sf):
     """Texts rewritten on every visit: the last one stays."""
     root = fresh_dir(spark, "texts")
     last = S.last_write(order_links(spark, sf), ["source", "year", "href"], ["seq"])
-    S.write_layout(last, root, ["source", "year"])
+    S.write_layout(last, root, ["source", "year"], ["seq"])
     return spark.read.parquet(root).select("source", "year", "href", "o_custkey", "seq")
 
 
@@ -139,7 +139,7 @@ def page_texts(spark, sf):
 def layout_one_site(spark, sf):
     """One site and year out of the layout: only its folder is opened."""
     root = fresh_dir(spark, "layout")
-    S.write_layout(order_links(spark, sf), root, ["source", "year"])
+    S.write_layout(order_links(spark, sf), root, ["source", "year"], ["seq"])
     return spark.read.parquet(root).where("source = '4-NOT SPECIFIED' AND year = 1998").select("seq", "href", "year")
 
 
@@ -151,7 +151,7 @@ def held_files(spark, sf):
     """Folders with files below a written layout, from the file listing alone."""
     root = fresh_dir(spark, "held")
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("category"), F.year("o_orderdate").alias("year"))
-    S.write_layout(rows, root, ["category", "year"])
+    S.write_layout(rows, root, ["category", "year"], ["o_orderkey"])
     files = scan_manifest(spark, root).where(F.endswith("file_name", F.lit(".parquet")))
     return files.groupBy(
         F.regexp_extract("path", "/category=([^/]*)/", 1).alias("category"),
