@@ -22,13 +22,21 @@ def keep_links(
     return links
 
 
+def one_of(href: Column, endings: Column | None = None, beginnings: Column | None = None) -> Column:
+    """The same with lists held in columns, as rules give them."""
+    ok = F.lit(True)
+    if endings is not None:
+        ok = ok & (F.exists(endings, lambda e: F.endswith(href, e)) | (F.size(endings) == 0))
+    if beginnings is not None:
+        ok = ok & (F.exists(beginnings, lambda b: F.startswith(href, b)) | (F.size(beginnings) == 0))
+    return ok
+
+
 def keep_by_rules(links: DataFrame, rules: DataFrame, href: str = "href") -> DataFrame:
-    """The same with the endings and beginnings of each link's site."""
-    c = F.col(href)
+    """Links that the endings and beginnings of their site allow."""
     joined = links.join(small_side(rules.select("site", "endings", "beginnings")), "site")
-    ends = F.exists("endings", lambda e: F.endswith(c, e)) | (F.size("endings") == 0)
-    begins = F.exists("beginnings", lambda b: F.startswith(c, b)) | (F.size("beginnings") == 0)
-    return joined.where(ends & begins).drop("endings", "beginnings")
+    kept = joined.where(one_of(F.col(href), F.col("endings"), F.col("beginnings")))
+    return kept.drop("endings", "beginnings")
 
 
 def padded_release(links: DataFrame, prefix: str, href: str = "href") -> DataFrame:

@@ -20,13 +20,23 @@ CLASS = re.compile(r"""(?is)(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-def parse_scope(scope: str) -> tuple[bool, list[tuple[str, list[str]]]]:
-    """Whether every match counts (else the first), and the (tag, classes) steps from the outside in."""
+STEP = re.compile(r"^(all )?([^.\[]*)(?:\.([^\[]*))?(?:\[(-?\d+)\])?$")
+
+
+def parse_scope(scope: str) -> list[tuple[int | None, str, list[str]]]:
+    """Steps from the outside in: (ordinal, tag, classes); the ordinal of 'all' is None.
+
+    'div.view-content > all tbody' reads: every table body in the first such div;
+    'td[-3]' is the third cell from the end.
+    """
     steps = []
-    for word in scope.removeprefix("all ").split(" > "):
-        tag, _, classes = word.strip().partition(".")
-        steps.append((tag.lower(), classes.split()))
-    return scope.startswith("all "), steps
+    for word in scope.split(" > "):
+        parsed = STEP.match(word.strip())
+        if not parsed:
+            raise ValueError(f"cannot read scope step {word!r}")
+        every, tag, classes, ordinal = parsed.groups()
+        steps.append((None if every else int(ordinal or 1), tag.strip().lower(), (classes or "").split()))
+    return steps
 
 
 def _is_match(name: str, attributes: str, tag: str, classes: list[str]) -> bool:
@@ -67,12 +77,19 @@ def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[
     return [markup[a : b if b >= 0 else len(markup)] for a, b in spans]
 
 
+def _select(markup: str, ordinal: int | None, tag: str, classes: list[str]) -> list[str]:
+    hits = _inner(markup, tag, classes, ordinal == 1)
+    if ordinal is None:
+        return hits
+    at = ordinal - 1 if ordinal > 0 else len(hits) + ordinal
+    return hits[at : at + 1] if at >= 0 else []
+
+
 def regions_of(markup: str, scope: str) -> list[str]:
     """Regions a scope selects, in document order."""
-    every, steps = parse_scope(scope)
     found = [markup]
-    for tag, classes in steps:
-        found = [inner for piece in found for inner in _inner(piece, tag, classes, not every)]
+    for step in parse_scope(scope):
+        found = [inner for piece in found for inner in _select(piece, *step)]
     return found
 
 

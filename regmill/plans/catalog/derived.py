@@ -56,7 +56,7 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
            || '<tr><td> ' || o_orderstatus || ' </td><td>' || o_orderpriority || '</td><td>&nbsp;</td></tr></tbody></table></div>'
            || '<div><ul><li>Customer ' || o_custkey || ', Date: ' || date_format(o_orderdate, 'MMMM d, yyyy') || ', ' || o_orderpriority || '</li></ul></div>'
            || '<select id="nationality"><option>all</option><option value="' || o_custkey || '">c</option><option value="' || o_orderstatus || '">s</option></select>'
-           || '</body></html>' AS html""",
+           || '<table><tr><td><a href="/nav.htm">next</a></td></tr></table></body></html>' AS html""",
     )
 
 
@@ -64,6 +64,64 @@ def month_name(ts: str) -> str:
     return f"strftime({ts}, '%B')"
 
 
+ROUTED_SITE = (
+    "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'litigation'"
+    " WHEN o_orderpriority = '3-MEDIUM' THEN 'admin' ELSE 'enforce' END"
+)
+
+
+def archive_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The order pages as archive pages of the three routed sites."""
+    site = F.expr(ROUTED_SITE.replace("o_orderpriority", "site"))
+    return order_pages(spark, sf).withColumn("site", site)
+
+
+def archived_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The page each order's page link points to; its text names its own address."""
+    url = f"'{ROOT}/litigation/litreleases/lr' || o_orderkey || '.htm'"
+    return table(spark, sf, "orders").selectExpr(
+        f"{ROUTED_SITE} AS site",
+        "year(o_orderdate) AS year",
+        f"{url} AS url",
+        f"""'<body><font> Text &amp; order ' || o_orderkey || ' see http' || substr({url}, 6) || ' now</font>'
+            || '<p>aside</p><font>' || o_orderpriority || '</font></body>' AS html""",
+    )
+
+
+RULED_SITE = (
+    "CASE o_orderpriority WHEN '1-URGENT' THEN 'ams' WHEN '2-HIGH' THEN 'fcc' WHEN '3-MEDIUM' THEN 'treasury'"
+    " WHEN '4-NOT SPECIFIED' THEN 'railroads' ELSE 'pcaob' END"
+)
+
+
+def ruled_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Listing pages of five sites, one per order, and the pages two of them link to, one per customer."""
+    listing = spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+        f"{RULED_SITE} AS site",
+        "year(o_orderdate) AS year",
+        "o_orderkey AS seq",
+        "'https://listing.example/' || o_orderkey AS url",
+        """CASE o_orderpriority
+           WHEN '1-URGENT' THEN '<a href="/reports/My%2520File' || o_custkey || '.pdf">x</a><a href="/other">o</a>'
+           WHEN '2-HIGH' THEN '<div class="view-content"><div><a href="/document/' || o_custkey || '">d</a></div><a href="/x">x</a></div><a href="/document/out">n</a>'
+           WHEN '3-MEDIUM' THEN '<table><tr><td><a href="https://ofac.treasury.gov/media/' || o_custkey || '/download?inline">m</a></td></tr></table><a href="/media/0/download?inline">o</a>'
+           WHEN '4-NOT SPECIFIED' THEN '<h2 class="title elibrary--title"><a href="/elib/' || o_custkey || '">t</a><a href="/elib/second">s</a></h2><a href="/elib/out">o</a>'
+           ELSE '<a href="https://assets.pcaobus.org/pcaob-dev/docs/default-source/enforcement/decisions/documents/f' || o_custkey || '.pdf?sfvrsn=1">p</a><a href="/no.pdf">n</a>' END AS html""",
+    )
+    customers = table(spark, sf, "customer")
+    no_place = ["CAST(NULL AS INT) AS year", "CAST(NULL AS BIGINT) AS seq"]
+    fcc = customers.selectExpr(
+        "'fcc' AS site", *no_place, "'https://www.fcc.gov/document/' || c_custkey AS url",
+        """'<div class="documents"><a href="https://www.fcc.gov/f/' || c_custkey || '.pdf">p</a><a href="/f/x.txt">t</a></div><a href="/no.pdf">n</a>' AS html""",
+    )
+    railroads = customers.selectExpr(
+        "'railroads' AS site", *no_place, "'https://railroads.dot.gov/elib/' || c_custkey AS url",
+        """'<div class="document--set file--attachment field field--name-field-document field--type-file field--label-hidden clearfix field__item"><a href="/sites/f%20'
+           || c_custkey || '/download">p</a><a href="/second/download">t</a></div>' AS html""",
+    )
+    return listing.unionByName(fcc).unionByName(railroads)
+
+
 def document_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Each document as a table page: a row per line, a cell per sentence end."""
     safe = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"

@@ -132,50 +132,90 @@ def live_release_documents(spark, sf):
     return documents.select(*RELEASE_COLUMNS)
 
 
-DENIED = ["/litigation/litreleases/lr7.htm"]
+DENIED = ("litigation", "exact", "/litigation/litreleases/lr7.htm")
 NAMED_SQL = f"""
     SELECT *, CASE WHEN route = 'page_text' THEN parent || '.txt' WHEN route = 'text_file' THEN plain
-                   WHEN parent IS NULL THEN plain ELSE parent || ' ' || plain END AS file_name
+                   WHEN parent IS NULL THEN plain ELSE parent || ' ' || plain END AS file_name,
+           'www_agency_example ' || CASE site WHEN 'enforce' THEN 'Enforce' ELSE site END AS folder
     FROM (SELECT *, last_value(CASE WHEN route = 'page_text' THEN 'lr' || seq END IGNORE NULLS)
-                      OVER (PARTITION BY source ORDER BY seq) AS parent,
+                      OVER (PARTITION BY site ORDER BY seq) AS parent,
                  CASE WHEN href LIKE '/files/%' THEN 'note ' || o_custkey || '.txt'
                       WHEN href LIKE 'http%' THEN 'a+b ' || o_custkey || '.pdf' ELSE o_custkey || '.pdf' END AS plain
-          FROM (SELECT *, CASE WHEN href LIKE '%.htm' THEN 'page_text' WHEN href LIKE '%.txt' THEN 'text_file'
+          FROM (SELECT *, CASE WHEN href LIKE '%.htm' AND site <> 'admin' THEN 'page_text' WHEN href LIKE '%.txt' THEN 'text_file'
                                WHEN href LIKE 'http%.pdf' THEN 'pdf_absolute' WHEN href LIKE '%.pdf' THEN 'pdf_relative' END AS route
-                FROM ({LINKS_SQL}) WHERE href <> '{DENIED[0]}')
+                FROM (SELECT {derived.ROUTED_SITE.replace("o_orderpriority", "source")} AS site, * FROM ({LINKS_SQL}))
+                WHERE (site <> 'litigation' OR href <> '{DENIED[2]}') AND (site <> 'enforce' OR year >= 1999))
           WHERE route IS NOT NULL)"""
 
 
+def agency_sites(spark):
+    """The routed sites moved to one example host."""
+    return rules.local_frame(spark, [(s, ROOT, p, label) for s, _, p, label in rules.ROUTED_SITES], rules.ROUTED_SCHEMA)
+
+
+def archive_targets(spark, sf):
+    """Archive pages to the files not held; notes of urgent orders of the first site are."""
+    held = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+    manifest = held.select(
+        F.lit("www_agency_example litigation").alias("folder"),
+        F.year("o_orderdate").alias("year"),
+        F.concat(F.lit("note "), F.col("o_custkey").cast("string"), F.lit(".txt")).alias("file_name"),
+    )
+    denied = rules.local_frame(spark, [*rules.DENIED_LINKS, DENIED], rules.DENY_SCHEMA)
+    pages_ = derived.archive_pages(spark, sf)
+    return collection.targets_to_fetch(pages_, agency_sites(spark), rules.year_rules(spark), denied, manifest)
+
+
 @query(
     "files_to_fetch",
     f"""
     WITH named AS ({NAMED_SQL})
-    SELECT 'www_agency_example litigation' AS folder, year, file_name, route, min(seq) AS seq FROM named
-    WHERE route <> 'page_text' AND (year, file_name) NOT IN (SELECT year, plain FROM named WHERE route = 'text_file' AND source = '5-LOW')
-    GROUP BY year, file_name, route
-    HAVING min(seq) = (SELECT min(n.seq) FROM named n WHERE n.route <> 'page_text' AND n.year = named.year AND n.file_name = named.file_name)
+    SELECT folder, year, file_name, arg_min(route, seq) AS route, min(seq) AS seq FROM named
+    WHERE route <> 'page_text' AND (folder, year, file_name) NOT IN
+      (SELECT folder, year, plain FROM named WHERE route = 'text_file' AND source = '1-URGENT')
+    GROUP BY folder, year, file_name
     UNION ALL
-    SELECT 'www_agency_example litigation', year, file_name, route, seq FROM named WHERE route = 'page_text'""",
+    SELECT folder, year, file_name, route, seq FROM named WHERE route = 'page_text'""",
 )
 def files_to_fetch(spark, sf):
-    """Archive and current pages to the files not held: linked, routed, named after their parent page."""
-    all_pages = order_pages(spark, sf)
-    held = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '5-LOW'")
+    """Linked, routed, named after their parent page, first of each place, not held."""
+    return archive_targets(spark, sf).select("folder", "year", "file_name", "route", "seq")
+
+
+@query(
+    "page_text_files",
+    f"""
+    WITH named AS ({NAMED_SQL})
+    SELECT folder, year, file_name, 'Text & order ' || seq || ' see ' || chr(10) || source || chr(10) AS text
+    FROM named WHERE route = 'page_text'""",
+)
+def page_text_files(spark, sf):
+    """Texts of the linked pages: one line per text region, cut at the page's own address."""
+    texts = collection.page_texts(archive_targets(spark, sf), derived.archived_texts(spark, sf), rules.year_rules(spark))
+    return texts.select("folder", "year", "file_name", "text")
+
+
+@query(
+    "rule_driven_files",
+    f"""
+    SELECT folder, year, file_name, min(seq) AS seq FROM (
+      SELECT CASE site WHEN 'ams' THEN 'www_ams_usda_gov' WHEN 'fcc' THEN 'www_fcc_gov' WHEN 'treasury' THEN 'ofac_treasury_gov'
+                       WHEN 'railroads' THEN 'railroads_dot_gov' ELSE 'assets_pcaobus_org' END AS folder, year, seq,
+             CASE site WHEN 'ams' THEN 'My File' WHEN 'railroads' THEN 'f ' WHEN 'pcaob' THEN 'f' ELSE '' END || o_custkey || '.pdf' AS file_name
+      FROM (SELECT {derived.RULED_SITE} AS site, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey AS seq, o_custkey FROM orders)
+      WHERE NOT (site = 'ams' AND year = 1998))
+    GROUP BY folder, year, file_name""",
+)
+def rule_driven_files(spark, sf):
+    """Five sites with their own rules in one job; one site's files of one year are held."""
+    held = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998")
     manifest = held.select(
-        F.lit("www_agency_example litigation").alias("folder"),
+        F.lit("www_ams_usda_gov").alias("folder"),
         F.year("o_orderdate").alias("year"),
-        F.concat(F.lit("note "), F.col("o_custkey").cast("string"), F.lit(".txt")).alias("file_name"),
-    )
-    files = collection.targets_to_fetch(
-        all_pages.where("year < 1999"),
-        all_pages.where("year >= 1999"),
-        manifest,
-        ROOT,
-        "/litigation/litreleases",
-        DENIED,
-        " litigation",
+        F.concat(F.lit("My File"), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("file_name"),
     )
-    return files.select("folder", "year", "file_name", "route", "seq")
+    files = collection.site_files_to_fetch(derived.ruled_pages(spark, sf), rules.site_rules(spark), manifest)
+    return files.select("folder", "year", "file_name", "seq")
 
 
 PENALTY_SQL = f"""

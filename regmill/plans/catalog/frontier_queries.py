@@ -53,7 +53,7 @@ def _year_rule_sql() -> str:
         + ")"
         for row in rules.YEAR_RULES
     )
-    return f"(VALUES {rows}) AS r(site, year_lo, year_hi, template, table_ordinal, text_region, text_ordinal)"
+    return f"(VALUES {rows}) AS r(site, year_lo, year_hi, template, scope, text_scope)"
 
 
 @query(
@@ -61,7 +61,7 @@ def _year_rule_sql() -> str:
     f"""
     SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, site,
            replace(template, '{{year}}', CAST(year(o_orderdate) AS VARCHAR)) AS address,
-           CAST(table_ordinal AS INTEGER) AS table_ordinal, text_region, CAST(text_ordinal AS INTEGER) AS text_ordinal
+           scope, text_scope
     FROM orders JOIN {_year_rule_sql()}
       ON r.site = CASE o_orderstatus WHEN 'O' THEN 'litigation' WHEN 'F' THEN 'admin' ELSE 'enforce' END
      AND year(o_orderdate) BETWEEN year_lo AND coalesce(year_hi, 2100)""",
@@ -73,9 +73,7 @@ def year_rules(spark, sf):
     )
     dated = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), site.alias("site"))
     out = O.apply_year_rules(dated, rules.year_rules(spark))
-    return out.select(
-        "o_orderkey", "year", "site", F.col("template").alias("address"), "table_ordinal", "text_region", "text_ordinal"
-    )
+    return out.select("o_orderkey", "year", "site", F.col("template").alias("address"), "scope", "text_scope")
 
 
 @query(

@@ -79,8 +79,8 @@ def class_regions(spark, sf):
     WHERE href <> ''""",
 )
 def nested_scope_links(spark, sf):
-    """Every list item of the navigation, then the first link of each: a scope of two steps."""
-    scoped = pages(spark, sf).select("page_id", "html", F.lit("all nav > li").alias("scope"))
+    """Every item of the first navigation list, then the first link of each."""
+    scoped = pages(spark, sf).select("page_id", "html", F.lit("nav > all li").alias("scope"))
     links = X.first_link(scoped_regions(scoped), html="region")
     return links.select("page_id", "region_no", "href")
 

@@ -1,56 +1,154 @@
-"""Document collection: archive pages to the files still to be fetched."""
+"""Document collection: pages to the files still to be fetched, and page texts.
+
+Pages are rows (site, year, seq, url, html); `seq` is the crawl order. What differs between
+sites comes from rule tables, so one job serves them all.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regmill.functions import html as H
 from regmill.functions import urls as U
+from regmill.functions.text import cut_before, strip
 from regmill.operators import links as L
 from regmill.operators.extract import extract_links
+from regmill.operators.frontier import apply_year_rules
 from regmill.operators.ordered import forward_fill
-from regmill.operators.scale import first_by
-from regmill.operators.store import union_collections
+from regmill.operators.regions import scoped_regions
+from regmill.operators.scale import first_by, small_side
 from regmill.session import written
 
+PLACE = ["folder", "year", "file_name"]
+ORDER = ["seq", "region_no", "pos"]
+
+
+def scoped_links(pages: DataFrame) -> DataFrame:
+    """Links of each page inside the regions its `scope` column selects; without a scope, of the whole page.
+
+    Only pages with a scope pass through the region step.
+    """
+    whole = extract_links(pages.where(F.col("scope").isNull()).drop("scope")).withColumn(
+        "region_no", F.lit(0).cast("bigint")
+    )
+    regions = scoped_regions(pages.where(F.col("scope").isNotNull()))
+    return whole.unionByName(extract_links(regions, "region"))
 
-def routed_links(pages: DataFrame, root: str, page_prefix: str, denied: list[str]) -> DataFrame:
-    """Links of archive pages (site, year, seq, html) with route and target."""
-    links = extract_links(pages)
-    links = links.where(~F.col("href").isin(denied)) if denied else links
-    return L.resolve_links(L.route_links(links, root, page_prefix), F.lit(root))
 
+def _not_held(named: DataFrame, manifest: DataFrame) -> DataFrame:
+    """First target of each place that the manifest lacks; page texts always stay, as they are rewritten."""
+    rewritten = F.col("route") == "page_text"
+    placed = named.withColumns(
+        {
+            "_visit": F.when(rewritten, F.concat_ws(":", *ORDER)),
+            "_held": F.when(~rewritten, F.col("file_name")),
+        }
+    )
+    fresh = first_by(placed, ["folder", "year", "_visit", "_held"], [F.col(c) for c in ORDER])
+    held = manifest.select("folder", "year", F.col("file_name").alias("_held")).distinct()
+    return fresh.join(held, ["folder", "year", "_held"], "left_anti").drop("_visit", "_held")
+
+
+# --- sites that list documents, directly or one page further ------------------
+
+
+def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Document links of all sites under their rules, named and placed.
+
+    Links of linked pages are extracted from all pages of two-step sites first, so that the
+    second step joins narrow link rows, one per target of a site and year.
+    """
+    ruled = pages.join(small_side(rules), "site")
+    constants = ["site", "root", "name_rule", "label"]
+    listing = ruled.select(*constants, "year", "seq", "html", "scope", "first_only", "beginnings", "endings", "detail_scope")
+    links = scoped_links(listing).where(~F.col("first_only") | (F.col("pos") == 0))
+    begun = links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings")))
+
+    direct = begun.where(F.col("detail_scope").isNull() & L.one_of(F.col("href"), F.col("endings")))
+    hops = begun.where(F.col("detail_scope").isNotNull())
+    hops = hops.withColumn("url", U.resolve(F.col("root"), F.col("href")))
+    hops = first_by(hops, ["site", "year", "url"], [F.col(c) for c in ORDER]).drop("href")
+
+    details = ruled.where(F.col("detail_scope").isNotNull()).select(
+        "site", "url", "html", F.nullif(F.col("detail_scope"), F.lit("")).alias("scope"), "detail_first_only", "endings"
+    )
+    found = scoped_links(details).where(~F.col("detail_first_only") | (F.col("pos") == 0))
+    found = found.where(L.one_of(F.col("href"), F.col("endings")))
+    found = found.select("site", "url", "href", F.col("region_no").alias("_region"), F.col("pos").alias("_pos"))
 
-def named_targets(routed: DataFrame, label: Column | str) -> DataFrame:
+    columns = [*constants, "year", *ORDER, "href", "_region", "_pos"]
+    nothing = F.lit(0)
+    both = direct.withColumns({"_region": nothing.cast("bigint"), "_pos": nothing}).select(*columns)
+    both = both.unionByName(hops.join(found, ["site", "url"]).select(*columns))
+    target = U.resolve(F.col("root"), U.without_base(F.col("href"), F.col("root")))
+    return both.withColumn("target", target).withColumns(
+        {
+            "file_name": U.file_name(F.col("target"), F.col("name_rule")),
+            "folder": U.site_folder(F.col("root"), F.col("label")),
+        }
+    )
+
+
+def site_files_to_fetch(pages: DataFrame, rules: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The same without what is held; the first target of a place wins."""
+    files = written(site_files(pages, rules), "site-files")
+    return L.not_held(files, manifest, PLACE, [*ORDER, "_region", "_pos"])
+
+
+# --- sites whose archives link page texts, text files and PDFs ----------------
+
+
+def routed_links(pages: DataFrame, sites: DataFrame, year_rules: DataFrame, denied: DataFrame) -> DataFrame:
+    """Links of archive pages with route and target; the region of the links depends on site and year."""
+    ruled = apply_year_rules(pages, year_rules).drop("template", "text_scope")
+    links = scoped_links(ruled.drop("url")).join(small_side(sites), "site")
+    allowed = L.deny_links(links, denied.where(F.col("kind") == "exact"), ["site"])
+    routed = L.route_links(allowed, F.col("root"), F.col("page_prefix"))
+    return L.resolve_links(routed, F.col("root"))
+
+
+def named_targets(routed: DataFrame) -> DataFrame:
     """Folder and file name of each target; a PDF carries the stem of the page before it."""
     stem = F.when(F.col("route") == "page_text", U.stem(F.col("target")))
-    parents = forward_fill(routed.withColumn("_stem", stem), "_stem", ["site"], ["seq", "pos"], "parent").drop("_stem")
+    parents = forward_fill(routed.withColumn("_stem", stem), "_stem", ["site"], ORDER, "parent").drop("_stem")
     plain = U.file_name(F.col("target"), F.lit("base"))
     name = (
         F.when(F.col("route") == "page_text", F.concat("parent", F.lit(".txt")))
         .when(F.col("route") == "text_file", plain)
         .otherwise(U.with_stem(F.col("parent"), plain))
     )
-    return parents.withColumns({"file_name": name, "folder": U.site_folder(F.col("target"), label)})
+    return parents.withColumns({"file_name": name, "folder": U.site_folder(F.col("root"), F.col("label"))})
 
 
 def targets_to_fetch(
-    archive: DataFrame, current: DataFrame, manifest: DataFrame, root: str, page_prefix: str, denied: list[str], label: str
+    pages: DataFrame, sites: DataFrame, year_rules: DataFrame, denied: DataFrame, manifest: DataFrame
 ) -> DataFrame:
-    """Files of the archive and the current page that are not held: first of each place wins.
+    """Files that are not held, first of each place, and every page text.
 
-    Page texts are taken whether held or not, since they are rewritten on each run: they get a
-    place of their own and no name to find in the manifest. Links are written once, so that
-    markup is parsed once and the ordered steps run over the narrow link table.
+    Links are written once, so that markup is parsed once and the ordered steps run over the
+    narrow link table.
     """
-    links = written(routed_links(union_collections(archive, current), root, page_prefix, denied), "links")
-    rewritten = F.col("route") == "page_text"
-    named = named_targets(links, label).withColumns(
-        {
-            "_place": F.when(rewritten, F.concat_ws(":", "seq", "pos")).otherwise(F.col("file_name")),
-            "_held": F.when(~rewritten, F.col("file_name")),
-        }
+    links = written(routed_links(pages, sites, year_rules, denied), "links")
+    return _not_held(named_targets(links), manifest)
+
+
+def page_texts(targets: DataFrame, pages: DataFrame, year_rules: DataFrame, marker: str | None = None) -> DataFrame:
+    """Texts of linked pages: one trimmed line per region, cut where the page names its own address.
+
+    `pages` are the linked pages (site, year, url, html); a given marker replaces the address.
+    Texts are made before the join, so that the join does not move markup.
+    """
+    ruled = apply_year_rules(pages.select("site", "year", "url", "html"), year_rules).drop("template", "scope")
+    regions = scoped_regions(ruled.withColumnRenamed("text_scope", "scope"))
+    cut = F.lit(marker) if marker else F.regexp_replace("url", "^https://", "http://")
+    line = F.concat(cut_before(strip(H.plain(F.col("region"))), cut), F.lit("\n"))
+    lines = regions.select("site", "url", "year", "region_no", line.alias("line"))
+    texts = lines.groupBy("site", "year", "url").agg(
+        F.array_join(
+            F.transform(F.sort_array(F.collect_list(F.struct("region_no", "line"))), lambda x: x["line"]), ""
+        ).alias("text")
     )
-    fresh = first_by(named, ["folder", "year", "_place"], [F.col("seq"), F.col("pos")])
-    held = manifest.select("folder", "year", F.col("file_name").alias("_held")).distinct()
-    return fresh.join(held, ["folder", "year", "_held"], "left_anti").drop("_place", "_held")
+    wanted = targets.where(F.col("route") == "page_text")
+    wanted = wanted.select("site", "year", "folder", "file_name", F.col("target").alias("url")).distinct()
+    return wanted.join(texts, ["site", "year", "url"])

@@ -129,46 +129,47 @@ SOURCE_SCHEMA = "source string, doc_source_type string, doc_source string, entit
 
 # --- fixed values: sites -----------------------------------------------------
 
-# Years whose page address, table position or text region differ.
-# (site, first year, last year, address template, ordinal of the link table, tag and ordinal of the text)
-# A null last year is open; ordinals count from the end when negative; null means the whole page.
+# Regions of a page are written as a path of steps from the outside in, parted by ' > '. A step is
+# 'tag', '.class' or 'tag.class'; the first match counts, '[k]' picks the k-th (from the end when
+# negative), 'all ' in front takes every match.
+
+# Years whose page address, link region or text region differ.
+# (site, first year, last year, address template, region of the links, region of the page text)
+# A null last year is open; a null region is the whole page.
 YEAR_RULES = [
-    ("litigation", 1995, 2007, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -2, "font", None),
-    ("litigation", 2008, 2009, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -2, "td", -3),
-    ("litigation", 2010, 2010, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -2, ".Content", -1),
-    ("litigation", 2011, 2015, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -2, "td", -3),
-    ("litigation", 2016, 2017, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -1, "td", -3),
-    ("litigation", 2018, 2019, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", -1, ".grid_10 push_2", 1),
-    ("litigation", 2020, None, "/litigation/litreleases/litrelarchive/litarchive{year}.htm", -1, ".grid_10 push_2", 1),
-    ("admin", 1995, 2008, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "font", None),
-    ("admin", 2009, 2009, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr", -3),
-    ("admin", 2010, 2010, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".Content", -1),
-    ("admin", 2011, 2017, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr", -3),
-    ("admin", 2018, 2019, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".grid_10 push_2", 1),
-    ("admin", 2020, None, "/litigation/admin/adminarchive/adminarc{year}.htm", None, ".grid_10 push_2", 1),
-    ("enforce", 1999, 2008, "/divisions/enforce/friactions/friactions{year}.shtml", None, "font", None),
-    ("enforce", 2009, 2009, "/divisions/enforce/friactions/friactions{year}.shtml", None, "tr", -2),
-    ("enforce", 2010, 2010, "/divisions/enforce/friactions/friactions{year}.htm", None, ".Content", -1),
-    ("enforce", 2011, 2017, "/divisions/enforce/friactions/friactions{year}.htm", None, "tr", -2),
-    ("enforce", 2018, None, "/divisions/enforce/friactions/friactions{year}.htm", None, ".grid_10 push_2", 1),
-    ("onrr_pdf", 2017, 2017, "/document/Penalty.Collections.pdf", None, None, None),
-    ("onrr_pdf", 2018, 2021, "/document/{year}.pdf", None, None, None),
-    ("onrr_pdf", 2022, None, "/document/{year}_Penalties.pdf", None, None, None),
-    ("onrr", 2018, 2021, "/document/{year}.pdf", None, None, None),
-    ("onrr", 2022, None, "/document/{year}_Penalties.pdf", None, None, None),
+    ("litigation", 1995, 2007, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "all font"),
+    ("litigation", 2008, 2009, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3]"),
+    ("litigation", 2010, 2010, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", ".Content[-1]"),
+    ("litigation", 2011, 2015, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3]"),
+    ("litigation", 2016, 2017, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", "td[-3]"),
+    ("litigation", 2018, 2019, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", ".grid_10 push_2"),
+    ("litigation", 2020, None, "/litigation/litreleases/litrelarchive/litarchive{year}.htm", "table[-1]", ".grid_10 push_2"),
+    ("admin", 1995, 2008, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "all font"),
+    ("admin", 2009, 2009, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3]"),
+    ("admin", 2010, 2010, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".Content[-1]"),
+    ("admin", 2011, 2017, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3]"),
+    ("admin", 2018, 2019, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".grid_10 push_2"),
+    ("admin", 2020, None, "/litigation/admin/adminarchive/adminarc{year}.htm", None, ".grid_10 push_2"),
+    ("enforce", 1999, 2008, "/divisions/enforce/friactions/friactions{year}.shtml", None, "all font"),
+    ("enforce", 2009, 2009, "/divisions/enforce/friactions/friactions{year}.shtml", None, "tr[-2]"),
+    ("enforce", 2010, 2010, "/divisions/enforce/friactions/friactions{year}.htm", None, ".Content[-1]"),
+    ("enforce", 2011, 2017, "/divisions/enforce/friactions/friactions{year}.htm", None, "tr[-2]"),
+    ("enforce", 2018, None, "/divisions/enforce/friactions/friactions{year}.htm", None, ".grid_10 push_2"),
+    ("onrr_pdf", 2017, 2017, "/document/Penalty.Collections.pdf", None, None),
+    ("onrr_pdf", 2018, 2021, "/document/{year}.pdf", None, None),
+    ("onrr_pdf", 2022, None, "/document/{year}_Penalties.pdf", None, None),
+    ("onrr", 2018, 2021, "/document/{year}.pdf", None, None),
+    ("onrr", 2022, None, "/document/{year}_Penalties.pdf", None, None),
     (
         "bsee", 1997, 1997,
-        "/what-we-do/safety-enforcement-division/civil-penalties/4th-quarter-of-1997-civil-penalties",
-        1, None, None,
+        "/what-we-do/safety-enforcement-division/civil-penalties/4th-quarter-of-1997-civil-penalties", "table", None,
     ),
-    ("bsee", 1998, 2008, "/what-we-do/safety-enforcement-division/civil-penalties/{year}-civil-penalties", 1, None, None),
-    ("bsee", 2010, 2011, "/what-we-do/safety-enforcement-division/civil-penalties/{year}-civil-penalties", 1, None, None),
-    ("treasury", 2003, 2008, None, None, None, None),
-    ("treasury", 2009, None, None, 1, None, None),
+    ("bsee", 1998, 2008, "/what-we-do/safety-enforcement-division/civil-penalties/{year}-civil-penalties", "table", None),
+    ("bsee", 2010, 2011, "/what-we-do/safety-enforcement-division/civil-penalties/{year}-civil-penalties", "table", None),
+    ("treasury", 2003, 2008, None, None, None),
+    ("treasury", 2009, None, None, "table", None),
 ]
-YEAR_RULE_SCHEMA = (
-    "site string, year_lo int, year_hi int, template string, table_ordinal int, text_region string, text_ordinal int"
-)
+YEAR_RULE_SCHEMA = "site string, year_lo int, year_hi int, template string, scope string, text_scope string"
 
 # First and last year of each yearly frontier; a last year <= 0 is relative to the current year.
 SITE_YEARS = [
@@ -202,59 +203,67 @@ DENIED_LINKS = [
 ]
 DENY_SCHEMA = "site string, kind string, value string"
 
-# How each site is read.
-# site, site root, scope of links on the listing page, scope on the detail page (null: one hop),
-# endings kept, beginnings kept, naming rule, folder label
-# A scope is a path of regions from the outside in, parted by ' > ': 'tag', '.class' or 'tag.class';
-# 'all' as the first word means every such region, otherwise the first one counts.
+# Sites whose archive links are routed by kind: site, site root, beginning of page links, folder label.
+ROUTED_SITES = [
+    ("litigation", "https://www.sec.gov", "/litigation/litreleases", " litigation"),
+    ("admin", "https://www.sec.gov", "/litigation/admin/", " admin"),
+    ("enforce", "https://www.sec.gov", "/litigation/", " Enforce"),
+]
+ROUTED_SCHEMA = "site string, root string, page_prefix string, label string"
+
+_DOCUMENT_SET = (
+    "div.document--set file--attachment field field--name-field-document field--type-file "
+    "field--label-hidden clearfix field__item"
+)
+
+# How every other site is read.
+# site, site root, region of listing links, only the first link of each region, beginnings of links kept,
+# region of the document links on the linked page (null: the listing links are the documents; '': whole page),
+# only the first of those, endings kept, naming rule, folder label
 SITE_RULES = [
-    ("ams", "https://www.ams.usda.gov", None, None, [".pdf"], [], "base", ""),
-    ("faa", "https://www.faa.gov", None, None, [".pdf"], [], "base", ""),
-    ("fcc", "https://www.fcc.gov", ".view-content", ".documents", [".pdf"], ["/document"], "base", ""),
-    ("ferc", "https://www.ferc.gov", None, None, [".pdf"], [], "base", ""),
+    ("ams", "https://www.ams.usda.gov", None, False, [], None, False, [".pdf"], "base", ""),
+    ("faa", "https://www.faa.gov", None, False, [], None, False, [".pdf"], "base", ""),
+    ("fcc", "https://www.fcc.gov", ".view-content", False, ["/document"], ".documents", False, [".pdf"], "base", ""),
+    ("ferc", "https://www.ferc.gov", None, False, [], None, False, [".pdf"], "base", ""),
+    (
+        "ferc_table", "https://www.ferc.gov", "div.col content__body--main > div.table--responsive > tbody",
+        False, [], None, False, [".pdf"], "base", "",
+    ),
     (
-        "ferc_table", "https://www.ferc.gov",
-        "div.col content__body--main > div.table--responsive > tbody", None, [".pdf"], [], "base", "",
+        "ferc_audit", "https://www.ferc.gov", "all div.toggle__content toggle__content--show",
+        False, [], None, False, [], "base", "_Audits",
     ),
+    ("bsee", "https://www.bsee.gov", None, False, [], None, False, [".pdf"], "base", ""),
     (
-        "ferc_audit", "https://www.ferc.gov",
-        "all div.toggle__content toggle__content--show", None, [], [], "base", "_Audits",
+        "cms_manufacturer", "https://www.cms.gov", "div.view-content > all tbody",
+        False, [], "", False, [".pdf"], "base", "Manufacturer",
     ),
-    ("bsee", "https://www.bsee.gov", None, None, [".pdf"], [], "base", ""),
-    ("cms_manufacturer", "https://www.cms.gov", "div.view-content > tbody", "", [".pdf"], [], "base", "Manufacturer"),
-    ("cms_part_c_d", "https://www.cms.gov", "div.view-content > tbody", "", [".pdf"], [], "base", "Part_C_D"),
-    ("cms_part_c_d_list", "https://www.cms.gov", "all li.field__item", None, [".pdf"], [], "base", "Part_C_D"),
-    ("energy", "https://www.energy.gov", ".search-results", "", [".pdf"], [], "base", ""),
-    ("fincen", "https://www.fincen.gov", ".view-content > tbody > .views-field views-field-title", None, [], [], "base", ""),
-    ("treasury", "https://ofac.treasury.gov", "table", None, ["download?inline"], [], "media", ""),
-    ("declinations", "https://www.justice.gov", None, None, ["download"], [], "dl", "_declinations"),
-    ("environmental", "https://www.justice.gov", None, None, ["download", ".pdf"], [], "dl", "_enviromental"),
-    ("nrc", "https://www.nrc.gov", None, None, [".pdf"], [], "base", ""),
-    ("onrr_pdf", "https://www.onrr.gov", None, None, [], [], "base", ""),
+    ("cms_part_c_d", "https://www.cms.gov", "div.view-content > all tbody", False, [], "", False, [".pdf"], "base", "Part_C_D"),
+    ("cms_part_c_d_list", "https://www.cms.gov", "all li.field__item", True, [], None, False, [".pdf"], "base", "Part_C_D"),
+    ("energy", "https://www.energy.gov", ".search-results", False, [], "", False, [".pdf"], "base", ""),
     (
-        "pcaob", "https://assets.pcaobus.org", None, None, [],
-        ["https://assets.pcaobus.org/pcaob-dev/docs/default-source/enforcement/decisions/documents/"], "noq", "",
+        "fincen", "https://www.fincen.gov", ".view-content > tbody > all .views-field views-field-title",
+        True, [], None, False, [], "base", "",
     ),
-    ("pmddtc", "https://www.pmddtc.state.gov", None, None, [], ["/sys"], "id", ""),
+    ("treasury", "https://ofac.treasury.gov", "table", False, [], None, False, ["download?inline"], "media", ""),
+    ("declinations", "https://www.justice.gov", None, False, [], None, False, ["download"], "dl", "_declinations"),
+    ("environmental", "https://www.justice.gov", None, False, [], None, False, ["download", ".pdf"], "dl", "_enviromental"),
+    ("nrc", "https://www.nrc.gov", None, False, [], None, False, [".pdf"], "base", ""),
     (
-        "railroads", "https://railroads.dot.gov", "all .title elibrary--title",
-        "div.document--set file--attachment field field--name-field-document field--type-file "
-        "field--label-hidden clearfix field__item",
-        [], [], "dl", "",
+        "pcaob", "https://assets.pcaobus.org", None, False,
+        ["https://assets.pcaobus.org/pcaob-dev/docs/default-source/enforcement/decisions/documents/"],
+        None, False, [], "noq", "",
     ),
+    ("pmddtc", "https://www.pmddtc.state.gov", None, False, ["/sys"], None, False, [], "id", ""),
+    ("railroads", "https://railroads.dot.gov", "all .title elibrary--title", True, [], _DOCUMENT_SET, True, [], "dl", ""),
     (
-        "transportation", "https://www.transportation.gov", ".table-responsive > tbody > .views-field views-field-title",
-        "div.document--set file--attachment field field--name-field-document field--type-file "
-        "field--label-hidden clearfix field__item",
-        [], [], "base", "",
+        "transportation", "https://www.transportation.gov",
+        ".table-responsive > all tbody > all .views-field views-field-title", True, [], _DOCUMENT_SET, True, [], "base", "",
     ),
-    ("admin", "https://www.sec.gov", None, None, [".htm", ".txt", ".pdf"], ["/litigation/admin/"], "base", " admin"),
-    ("litigation", "https://www.sec.gov", None, None, [".htm", ".txt", ".pdf"], ["/litigation/litreleases"], "base", " litigation"),
-    ("enforce", "https://www.sec.gov", None, None, [".htm", ".txt", ".pdf"], ["/litigation/"], "base", " Enforce"),
 ]
 SITE_RULE_SCHEMA = (
-    "site string, root string, scope string, detail_scope string, endings array<string>, "
-    "beginnings array<string>, name_rule string, label string"
+    "site string, root string, scope string, first_only boolean, beginnings array<string>, detail_scope string, "
+    "detail_first_only boolean, endings array<string>, name_rule string, label string"
 )
 
 # Frontier dimensions that are plain lists.
@@ -294,6 +303,10 @@ def site_rules(spark: SparkSession) -> DataFrame:
     return local_frame(spark, SITE_RULES, SITE_RULE_SCHEMA)
 
 
+def routed_sites(spark: SparkSession) -> DataFrame:
+    return local_frame(spark, ROUTED_SITES, ROUTED_SCHEMA)
+
+
 def denied_links(spark: SparkSession) -> DataFrame:
     return local_frame(spark, DENIED_LINKS, DENY_SCHEMA)
 

@@ -27,15 +27,15 @@ def test_site_years(spark):
 def test_year_rules(spark):
     years = O.expand_years(rules.site_years(spark), 2024).select("site", "year")
     got = {(r.site, r.year): r for r in O.apply_year_rules(years, rules.year_rules(spark)).collect()}
-    assert got["litigation", 2015].table_ordinal == -2 and got["litigation", 2016].table_ordinal == -1
+    assert got["litigation", 2015].scope == "table[-2]" and got["litigation", 2016].scope == "table[-1]"
     assert got["litigation", 2019].template.endswith("litarchive2019.shtml")
     assert got["litigation", 2020].template.endswith("litarchive2020.htm")
     assert ("bsee", 2009) not in got
     assert got["bsee", 1997].template.endswith("4th-quarter-of-1997-civil-penalties")
     assert got["onrr_pdf", 2017].template == "/document/Penalty.Collections.pdf"
     assert got["onrr", 2023].template == "/document/2023_Penalties.pdf"
-    assert got["treasury", 2008].table_ordinal is None and got["treasury", 2009].table_ordinal == 1
-    assert (got["admin", 2009].text_region, got["admin", 2009].text_ordinal) == ("tr", -3)
+    assert got["treasury", 2008].scope is None and got["treasury", 2009].scope == "table"
+    assert (got["admin", 2009].text_scope, got["enforce", 2009].text_scope) == ("tr[-3]", "tr[-2]")
     assert all(("fcc", y) not in got for y in range(2002, 2025))
 
 

@@ -107,13 +107,17 @@ NESTED = """<div class="view-content"><div class="x"><table><tbody><tr><td class
 def test_regions_nest(spark):
     assert regions_of(NESTED, ".view-content")[0].endswith("</div>tail")
     assert [r.strip() for r in regions_of(NESTED, "all .view-content")][1:] == ["second<br>", "third"]
+    assert regions_of(NESTED, ".view-content[-1]") == ["third"] and regions_of(NESTED, "div[9]") == []
+    assert regions_of(NESTED, ".view-content[2]") == ["second<br>"] and regions_of(NESTED, "div[-9]") == []
+    with pytest.raises(ValueError):
+        regions_of(NESTED, "div[x]")
     assert regions_of(NESTED, "div.view-content > tbody > .views-field views-field-title")[0].strip() == '<a href="/a">a</a>'
     assert regions_of(NESTED, ".missing") == []
     assert regions_of("<ul><li>a<li>b</ul>c", "all ul") == ["<li>a<li>b"]
     assert regions_of("<div class='a'>open", ".a") == ["open"]
     assert regions_of('<div title="1 > 2" class="a">x</div>', ".a") == ["x"]
     scoped = pages(spark, NESTED, NESTED, None).select(
-        "id", "html", F.when(F.col("id") == 0, "all .view-content > a").otherwise(F.lit(None)).alias("scope")
+        "id", "html", F.when(F.col("id") == 0, "all .view-content > all a").otherwise(F.lit(None)).alias("scope")
     )
     rows = scoped_regions(scoped.where("html is not null")).orderBy("id", "region_no").collect()
     assert [(r.id, r.region_no) for r in rows] == [(0, 0), (1, 0)]
