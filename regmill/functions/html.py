@@ -47,3 +47,22 @@ def plain(markup: Column) -> Column:
 def attribute(markup: Column, name: str) -> Column:
     """First value of a double-quoted attribute, null when absent."""
     return F.nullif(F.regexp_extract(markup, rf'(?is)\s{name}\s*=\s*"([^"]*)"', 1), F.lit(""))
+
+
+def classed(markup: Column, name: str) -> Column:
+    """Inner markup of the first element of a class that holds no element of its own tag; '' when absent."""
+    opened = rf'(?is)<([a-z][a-z0-9]*)\s(?:[^>]*\s)?class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>(.*?)</\1\s*>'
+    return F.regexp_extract(markup, opened, 2)
+
+
+def before_class(markup: Column, tag: str, name: str) -> Column:
+    """Inner markup of the element right in front of the first one of a class; '' when there is none."""
+    inner = rf"((?:[^<]|<(?!/?{tag}\b)){{0,2000}})"
+    behind = rf'<{tag}\s(?:[^>]*\s)?class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
+    return F.regexp_extract(markup, rf"(?is)<{tag}(?:\s[^>]*)?>{inner}</{tag}\s*>\s*{behind}", 1)
+
+
+def titled_href(markup: Column, title: str) -> Column:
+    """Target of the first anchor with a title; null when there is none."""
+    tag = F.regexp_extract(markup, rf'(?is)<a\s(?:[^>]*\s)?title\s*=\s*"{title}"[^>]*>', 0)
+    return F.try_element_at(hrefs(tag), F.lit(1))

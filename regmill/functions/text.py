@@ -39,26 +39,28 @@ def capitalize(c: Column) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substring(c, F.lit(2), F.length(c))))
 
 
-def _decimal_references(c: Column) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#([0-9]{1,7});"), F.lit(1)))
-
-    def put(text: Column, code: Column) -> Column:
-        number = code.cast("int")
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        return F.replace(text, F.concat(F.lit("&#"), code, F.lit(";")), F.when(valid, char).otherwise(F.lit("\ufffd")))
-
-    return F.when(F.contains(c, F.lit("&#")), F.aggregate(codes, c, put)).otherwise(c)
+def _entity_map() -> Column:
+    quoted = [v.replace("\\", "\\\\").replace("'", "\\'") for pair in NAMED_ENTITIES for v in pair]
+    return F.expr("map(" + ", ".join(f"'{v}'" for v in quoted) + ")")
 
 
 def decode_entities(c: Column) -> Column:
-    """Character references to text: decimal ones, then named ones with the ampersand last."""
+    """Named and decimal character references to text, in one pass; unknown ones stay as they are."""
+    known = _entity_map()
+
+    def after_ampersand(part: Column, i: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        number = F.regexp_extract(name, "^#([0-9]{1,7})$", 1).try_cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        value = F.coalesce(F.try_element_at(known, name), F.when(valid, char).when(number.isNotNull(), "\ufffd"))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        decoded = F.when(F.contains(part, F.lit(";")), F.concat(value, rest))
+        return F.when(i == 0, part).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), part)))
 
     def decoded(text: Column) -> Column:
-        out = _decimal_references(text)
-        for name, char in NAMED_ENTITIES:
-            out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-        return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+        pieces = F.transform(F.split(text, "&"), after_ampersand)
+        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
     return bind(c, decoded)
 

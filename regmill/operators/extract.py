@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from regmill.functions import html as H
 from regmill.functions.text import cut_before, strip
+from regmill.rules import TEASER_DATE_CLASS
 
 
 def _unnest(pages: DataFrame, html: str, array: Column, pos: str, value: str) -> DataFrame:
@@ -55,11 +56,12 @@ def extract_table(pages: DataFrame, html: str = "html") -> DataFrame:
     return _unnest(pages, html, rows, "row_no", "cells")
 
 
-def extract_listing(pages: DataFrame, kind: str, root: str, html: str = "html") -> DataFrame:
+def extract_listing(pages: DataFrame, kind: str, root: str, prefix: str = "", html: str = "html") -> DataFrame:
     """(date, title, link) of each listed release.
 
     kind 'table': date in the first cell, title and link in the second; 'cards': list items
-    holding a link whose text is the title, no date.
+    holding a link whose text is the title, no date; 'teasers': the markup is one teaser with a
+    dated element, a heading and a link padded with blanks.
     """
 
     def item(date: Column, title: Column, markup: Column) -> Column:
@@ -78,11 +80,18 @@ def extract_listing(pages: DataFrame, kind: str, root: str, html: str = "html")
     elif kind == "cards":
         title = lambda li: strip(H.plain(F.try_element_at(H.elements(li, "a"), F.lit(1))))
         items = F.transform(H.elements(body, "li"), lambda li: item(F.lit(None).cast("string"), title(li), li))
+    elif kind == "teasers":
+        date = strip(H.plain(H.classed(body, TEASER_DATE_CLASS)))
+        title = strip(H.plain(F.try_element_at(H.elements(body, "h3"), F.lit(1))))
+        items = F.array(item(date, title, body))
     else:
         raise ValueError(f"unknown listing kind {kind!r}")
     rows = _unnest(pages, html, items, "pos", "_item")
-    linked = rows.where(F.col("_item.href").isNotNull())
-    link = F.concat(F.lit(root), F.col("_item.href")).alias("link")
+    href = F.col("_item.href")
+    linked = rows.where(F.startswith(href, F.lit(prefix)))
+    if prefix.startswith(" "):
+        href = F.try_element_at(F.split(F.trim(href), r"\s+"), F.lit(1))
+    link = F.concat(F.lit(root), href).alias("link")
     return linked.select(*[c for c in rows.columns if c != "_item"], "_item.date", "_item.title", link)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regmill.operators.scale import small_side
+from regmill.functions import html as H
+from regmill.functions.text import strip
 
 OPEN_YEAR = 2100
 
@@ -27,7 +28,7 @@ def apply_year_rules(df: DataFrame, year_rules: DataFrame) -> DataFrame:
     """
     high = F.coalesce(F.col("year_hi"), F.lit(OPEN_YEAR))
     yearly = year_rules.withColumn("year", F.explode(F.sequence(F.col("year_lo"), high))).drop("year_lo", "year_hi")
-    out = df.join(small_side(yearly), ["site", "year"])
+    out = df.join(yearly, ["site", "year"])
     return out.withColumn("template", F.replace(F.col("template"), F.lit("{year}"), F.col("year").cast("string")))
 
 
@@ -43,14 +44,14 @@ def cross_frontier(df: DataFrame, **dims: Column | list) -> DataFrame:
     return df
 
 
-def caption_total(caption: Column) -> Column:
-    """Total in captions such as '1 to 100 of 1,234 entries'; null when there is none."""
-    tail = F.substring_index(F.substring_index(caption, " entries", 1), "of ", -1)
-    return F.replace(F.trim(tail), F.lit(","), F.lit("")).try_cast("bigint")
+def caption_total(caption: Column, lead: str = "of ") -> Column:
+    """Total behind `lead` in captions such as '1 to 100 of 1,234 entries'; null when there is none."""
+    tail = F.trim(F.substring_index(F.substring_index(caption, " entries", 1), lead, -1))
+    return F.replace(tail, F.lit(","), F.lit("")).try_cast("bigint")
 
 
-def page_count(df: DataFrame, caption: str, size: int) -> DataFrame:
-    total = caption_total(F.col(caption))
+def page_count(df: DataFrame, caption: str, size: int, lead: str = "of ") -> DataFrame:
+    total = caption_total(F.col(caption), lead)
     return df.withColumn("total", total).withColumn("n_pages", F.ceil(F.col("total") / F.lit(size)))
 
 
@@ -82,7 +83,7 @@ def progress(df: DataFrame, caption: str) -> DataFrame:
 def band(df: DataFrame, column: str, bands: DataFrame) -> DataFrame:
     """Attach every band that holds the value; overlapping bands give several rows, none gives no row."""
     points = bands.withColumn("_point", F.explode(F.sequence("age_lo", "age_hi")))
-    return df.join(small_side(points), F.col(column).cast("int") == F.col("_point")).drop("_point")
+    return df.join(points, F.col(column).cast("int") == F.col("_point")).drop("_point")
 
 
 def code_list(df: DataFrame, html: str, tag: str = "option") -> DataFrame:
@@ -90,3 +91,18 @@ def code_list(df: DataFrame, html: str, tag: str = "option") -> DataFrame:
     opened = F.regexp_extract_all(F.col(html), F.lit(rf'(?is)<{tag}\s(?:[^>]*?\s)?value\s*=\s*"([^"]*)"'), F.lit(1))
     kept = [c for c in df.columns if c != html]
     return df.select(*kept, F.posexplode_outer(opened).alias("pos", "code")).where(F.col("pos").isNotNull())
+
+
+def pager(pages: DataFrame, how: str, into: str = "last", html: str = "html") -> DataFrame:
+    """What a listing's pager says about its last page, for `last_page` to read.
+
+    titled: target of the link titled 'Go to last page'; shown: text in front of the next-page item.
+    """
+    body = H.content(F.col(html))
+    if how == "titled":
+        found = H.titled_href(body, "Go to last page")
+    elif how == "shown":
+        found = F.nullif(strip(H.plain(H.before_class(body, "li", "next-page"))), F.lit(""))
+    else:
+        raise ValueError(f"unknown pager {how!r}")
+    return pages.withColumn(into, found).drop(html)

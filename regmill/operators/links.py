@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regmill.functions import urls as U
 from regmill.operators.extract import extract_links
-from regmill.operators.scale import first_by, small_side
+from regmill.operators.scale import first_by
 
 
 def keep_links(
@@ -34,7 +34,7 @@ def one_of(href: Column, endings: Column | None = None, beginnings: Column | Non
 
 def keep_by_rules(links: DataFrame, rules: DataFrame, href: str = "href") -> DataFrame:
     """Links that the endings and beginnings of their site allow."""
-    joined = links.join(small_side(rules.select("site", "endings", "beginnings")), "site")
+    joined = links.join(rules.select("site", "endings", "beginnings"), "site")
     kept = joined.where(one_of(F.col(href), F.col("endings"), F.col("beginnings")))
     return kept.drop("endings", "beginnings")
 
@@ -47,7 +47,7 @@ def padded_release(links: DataFrame, prefix: str, href: str = "href") -> DataFra
 
 def deny_links(links: DataFrame, denied: DataFrame, by: list[str], href: str = "href") -> DataFrame:
     """Links that are not on the list; `denied` holds the same columns, a null in it denies nothing."""
-    return links.join(small_side(denied.select(*by, F.col("value").alias(href))), [*by, href], "left_anti")
+    return links.join(denied.select(*by, F.col("value").alias(href)), [*by, href], "left_anti")
 
 
 def deny_endings(links: DataFrame, endings: list[str], href: str = "href") -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from regmill.operators.scale import small_side
 
 KEYS = ["country", "sex", "age", "warrant"]
 
@@ -30,7 +29,7 @@ def quota_split(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str
 
     ages = bands.withColumn("_age", F.explode(F.sequence("age_lo", "age_hi")))
     wanted = F.when(F.col("level") == "band", F.col("age").cast("int"))
-    banded = split.join(small_side(ages), wanted == F.col("_age"), "left").where(
+    banded = split.join(ages, wanted == F.col("_age"), "left").where(
         (F.col("level") != "band") | F.col("_age").isNotNull()
     )
     n_band = F.sum("cell").over(Window.partitionBy("country", "sex", "level", "age_lo", "age_hi"))

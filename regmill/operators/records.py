@@ -9,12 +9,11 @@ from regmill import rules as R
 from regmill.functions import dates as D
 from regmill.functions.identity import keyed_id
 from regmill.functions.text import split_at_patterns
-from regmill.operators.scale import small_side
 
 
 def enrich(df: DataFrame, sources: DataFrame, on: str = "source") -> DataFrame:
     """Constants of each row's source."""
-    return df.join(small_side(sources), on)
+    return df.join(sources, on)
 
 
 def merge_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -36,7 +35,7 @@ def normalize_dates(df: DataFrame, column: str, fmt: str, into: str) -> DataFram
 
 def repair_dates(df: DataFrame, column: str, fixes: DataFrame) -> DataFrame:
     """Literal corrections applied before parsing."""
-    fixes = small_side(fixes.select(F.col("raw").alias(column), "fixed"))
+    fixes = fixes.select(F.col("raw").alias(column), "fixed")
     return df.join(fixes, column, "left").withColumn(column, F.coalesce("fixed", column)).drop("fixed")
 
 

@@ -7,16 +7,22 @@ batches, each page on its own. Scripts, styles and comments are removed before,
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regmill.functions.html import content
 
+# The functions below travel with the job, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""")
 CLASS = re.compile(r"""(?is)(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+FIRST_CLASS = r"\.([^\s\[>]+)"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -97,7 +103,8 @@ def scoped_regions(pages: DataFrame, scope: str = "scope", html: str = "html") -
     """One row per selected region of each page; `scope` names the column holding the page's rule.
 
     A page without a scope is one region, itself. The page column is replaced by
-    `region` and `region_no`.
+    `region` and `region_no`. Pages that do not hold the scope's first class name at all are
+    left out by a substring test before anything goes to Python.
     """
     kept = [f for f in pages.schema.fields if f.name not in (html, scope)]
     names = [f.name for f in kept]
@@ -110,4 +117,6 @@ def scoped_regions(pages: DataFrame, scope: str = "scope", html: str = "html") -
             out = out[[len(r) > 0 for r in found]].explode(["region", "region_no"])
             yield out.astype({"region_no": "int64"})[[*names, "region_no", "region"]]
 
-    return pages.withColumn(html, content(F.col(html))).mapInPandas(select_regions, schema)
+    named = F.regexp_extract(scope, FIRST_CLASS, 1)
+    likely = pages.where(F.contains(F.col(html), F.coalesce(named, F.lit(""))))
+    return likely.withColumn(html, content(F.col(html))).mapInPandas(select_regions, schema)

@@ -1,4 +1,9 @@
-"""Plans that stay balanced when one key holds a large share of the rows."""
+"""Plans that stay balanced when one key holds a large share of the rows.
+
+There are no broadcast hints in the package: Spark broadcasts a side whose size it knows
+(rule rows are local relations, tables have file sizes) or has measured (adaptive execution),
+and runs anything larger as a shuffled equi-join whose oversized partitions it splits.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_ROWS = 50_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a rule-like frame after counting it; a larger one is left to the planner.
-
-    The count stops at the bound, and a join that is not broadcast still runs as an
-    ordinary equi-join, where adaptive execution splits oversized partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the least in `order` (which must not tie).
 

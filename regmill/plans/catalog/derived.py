@@ -122,6 +122,51 @@ def ruled_pages(spark: SparkSession, sf: str) -> DataFrame:
     return listing.unionByName(fcc).unionByName(railroads)
 
 
+HHS_PATH = "/fraud/enforcement/"
+ARTICLE = "grid-col desktop:grid-col-10 margin-bottom-2 desktop:margin-bottom-5"
+
+
+def card_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of two cards per order: one linked, one not; around it, a list outside the region."""
+    return spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+        "o_orderkey AS seq",
+        f"""'<ul class="nav"><li><a href="/x">x</a></li></ul><ul class="usa-card-group padding-y-0"><li><a href="{HHS_PATH}'
+           || o_orderkey || '"> Case ' || o_orderpriority || ' </a></li><li>plain</li></ul>' AS html""",
+    )
+
+
+def card_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The release page of each order; those of one status lack the article."""
+    return spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+        f"'https://oig.hhs.gov{HHS_PATH}' || o_orderkey AS url",
+        f"""'<p>menu</p><article class="' || CASE WHEN o_orderstatus = 'P' THEN 'other' ELSE '{ARTICLE}' END
+           || '"><ul><li>Date: ' || CASE WHEN o_orderkey = 7 THEN 'March, 2010' ELSE date_format(o_orderdate, 'MMMM d, yyyy') END
+           || ', Action</li><li>second</li></ul><p>Paid &#36;' || o_custkey || '.</p><p>More</p></article>' AS html""",
+    )
+
+
+DOL_PATH = "/newsroom/releases/ofccp/"
+
+
+def teaser_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of two teasers per order; the link of the second one is not padded and so not kept."""
+    return spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+        "o_orderkey AS seq",
+        f"""'<div class="image-left-teaser x"><h3> Release ' || o_orderkey || ' </h3><p><span class="dol-date-text"> '
+           || date_format(o_orderdate, 'MMMM d, yyyy') || '</span></p><a href="    {DOL_PATH}' || o_orderkey || '  ">more</a></div>'
+           || '<div class="image-left-teaser"><h3>Other</h3><a href="{DOL_PATH}0">m</a></div>' AS html""",
+    )
+
+
+def teaser_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The release page of each order, its region nested, text behind the marker to be cut."""
+    return spread_scan(table(spark, sf, "orders"), "o_orderkey").selectExpr(
+        f"'https://www.dol.gov{DOL_PATH}' || o_orderkey AS url",
+        """'<div>menu<div class="dol-press-page"><div>By ' || o_custkey || '</div> for ' || o_orderpriority
+           || '<div>Share This page</div></div>footer</div>' AS html""",
+    )
+
+
 def document_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Each document as a table page: a row per line, a cell per sentence end."""
     safe = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"

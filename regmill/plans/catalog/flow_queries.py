@@ -68,15 +68,16 @@ def site_link_counts(spark, sf):
     return count_by(first_seen(links, ["path"], ["folder"], ["page_id", "pos"]), ["folder"])
 
 
-def release_listing(spark, sf):
-    rows = X.extract_listing(order_pages(spark, sf), "table", ROOT)
-    return rows.select(F.lit("fda").alias("source"), F.col("seq").alias("pos"), "date", "title", "link")
+FDA_RULE = rules.RELEASE_RULES["fda"]._replace(root=ROOT, master_url=MASTER, body="first")
+
+
+def listing_pages(spark, sf):
+    return order_pages(spark, sf).select("seq", "html")
 
 
 def release_pages(spark, sf):
-    """A detail page per customer, under the addresses their documents are listed at."""
-    c = table(spark, sf, "customer")
-    return c.select(
+    """A release page per customer, under the addresses their documents are listed at."""
+    return table(spark, sf, "customer").select(
         F.concat(F.lit(f"{ROOT}/docs/"), F.col("c_custkey").cast("string"), F.lit(".pdf")).alias("url"),
         F.concat(F.lit("<article><p>Body &amp; text of "), "c_name", F.lit("<p>More</article>")).alias("html"),
     )
@@ -87,33 +88,37 @@ RELEASES_SQL = f"""
            '{ROOT}' || href AS doc_source_pdf_url, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS time_master
     FROM (SELECT *, {derived.order_link()} AS href FROM orders) JOIN customer
       ON href = '/docs/' || c_custkey || '.pdf'"""
-FDA = "US Food & Drug Administration Criminal Division"
-RELEASE_ID_SQL = sql_keyed_id(
-    f"message_title || message_body || 'Press Release' || '{FDA}' || '{MASTER}' || doc_source_pdf_url || time_master || time_master"
-)
 RELEASE_COLUMNS = ["message_title", "message_body", "doc_source", "doc_source_pdf_url", "time_master", "document_id"]
 
 
-@query(
-    "release_documents",
-    f"""
-    SELECT message_title, message_body, '{FDA}' AS doc_source, doc_source_pdf_url, time_master, {RELEASE_ID_SQL} AS document_id
-    FROM ({RELEASES_SQL})""",
-)
+def documents_sql(source: str, master: str, rows: str) -> str:
+    """Records of a source with its constants and their id."""
+    _, kind, name, _, _ = next(s for s in rules.SOURCES if s[0] == source)
+    message = (
+        f"message_title || message_body || '{kind}' || '{name}' || '{master}' || doc_source_pdf_url || time_master || time_master"
+    )
+    return f"""
+    SELECT message_title, message_body, '{name}' AS doc_source, doc_source_pdf_url, time_master,
+           {sql_keyed_id(message)} AS document_id
+    FROM ({rows})"""
+
+
+@query("release_documents", documents_sql("fda", MASTER, RELEASES_SQL))
 def release_documents(spark, sf):
-    """Listing rows, their detail pages, source constants, ids."""
-    records = releases.release_records(
-        release_listing(spark, sf), release_pages(spark, sf), rules.sources(spark), MASTER, "month_day_slash_year"
+    """Table listing, release pages, source constants, ids."""
+    documents, _ = releases.release_documents(
+        listing_pages(spark, sf), release_pages(spark, sf), rules.sources(spark), FDA_RULE, DEMO_KEY
     )
-    documents, _ = releases.keyed_documents(records, DEMO_KEY)
     return documents.select(*RELEASE_COLUMNS)
 
 
 @query(
     "live_release_documents",
-    f"""
-    SELECT message_title, message_body, '{FDA}' AS doc_source, doc_source_pdf_url, time_master, {RELEASE_ID_SQL} AS document_id
-    FROM ({RELEASES_SQL}) WHERE o_orderkey < (SELECT min(o_orderkey) FROM orders WHERE o_totalprice > 499000)""",
+    documents_sql(
+        "fda",
+        MASTER,
+        f"SELECT * FROM ({RELEASES_SQL}) WHERE o_orderkey < (SELECT min(o_orderkey) FROM orders WHERE o_totalprice > 499000)",
+    ),
 )
 def live_release_documents(spark, sf):
     """Only releases listed in front of the first one already held."""
@@ -124,11 +129,48 @@ def live_release_documents(spark, sf):
         F.col("o_orderkey").alias("seq"),
     )
     marks = high_water(index, ["source"], "title", ["seq"])
-    fresh = releases.live_records(release_listing(spark, sf), marks)
-    records = releases.release_records(
-        fresh, release_pages(spark, sf), rules.sources(spark), MASTER, "month_day_slash_year"
+    documents, _ = releases.release_documents(
+        listing_pages(spark, sf), release_pages(spark, sf), rules.sources(spark), FDA_RULE, DEMO_KEY, marks
+    )
+    return documents.select(*RELEASE_COLUMNS)
+
+
+@query(
+    "card_release_documents",
+    documents_sql(
+        "hhs",
+        rules.RELEASE_RULES["hhs"].master_url,
+        f"""SELECT 'Case ' || o_orderpriority AS message_title, 'Paid $' || o_custkey || '.' AS message_body,
+                   'https://oig.hhs.gov{derived.HHS_PATH}' || o_orderkey AS doc_source_pdf_url,
+                   CASE WHEN o_orderkey = 7 THEN '2010-03-25T00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%dT00:00:00') END AS time_master
+            FROM orders WHERE o_orderstatus <> 'P'""",
+    ),
+)
+def card_release_documents(spark, sf):
+    """Card listing; dates from the release pages, incomplete ones repaired; pages without the article drop out."""
+    documents, _ = releases.release_documents(
+        derived.card_listing(spark, sf), derived.card_pages(spark, sf), rules.sources(spark),
+        rules.RELEASE_RULES["hhs"], DEMO_KEY,
+    )
+    return documents.select(*RELEASE_COLUMNS)
+
+
+@query(
+    "teaser_release_documents",
+    documents_sql(
+        "dol",
+        rules.RELEASE_RULES["dol"].master_url,
+        f"""SELECT 'Release ' || o_orderkey AS message_title, 'By ' || o_custkey || ' for ' || o_orderpriority AS message_body,
+                   'https://www.dol.gov{derived.DOL_PATH}' || o_orderkey AS doc_source_pdf_url,
+                   strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS time_master FROM orders""",
+    ),
+)
+def teaser_release_documents(spark, sf):
+    """Teaser listing with padded links; bodies cut at their marker."""
+    documents, _ = releases.release_documents(
+        derived.teaser_listing(spark, sf), derived.teaser_pages(spark, sf), rules.sources(spark),
+        rules.RELEASE_RULES["dol"], DEMO_KEY,
     )
-    documents, _ = releases.keyed_documents(records, DEMO_KEY)
     return documents.select(*RELEASE_COLUMNS)
 
 

@@ -134,6 +134,34 @@ def last_page_links(spark, sf):
     return O.last_page(shown, "text", "shown").select("page_id", "from_first", "from_last", F.col("n_pages").alias("as_shown"))
 
 
+def user_pagers(spark, sf):
+    """A pager per user: pages 1 to n as shown, the last one linked by its zero-based number."""
+    n = F.col("n").cast("string")
+    html = F.concat(
+        F.lit('<span>Results: '), F.format_number("n", 0),
+        F.lit('</span><ul><li class="page-item"><a href="?page=0">1</a></li><li class="page-item"> '), n,
+        F.lit('</li> <li class="usa next-page"><a href="?page=1">next</a></li><li class="page-item">'
+              '<a href="?size=50&amp;page='), (F.col("n") - 1).cast("string"), F.lit('" title="Go to last page">last</a></li></ul>'),
+    )
+    return count_by(table(spark, sf, "events"), ["user_id"]).select("user_id", html.alias("html"))
+
+
+@query(
+    "pager_pages",
+    "SELECT user_id, count(*) AS titled, count(*) AS shown, CAST(ceil(count(*) / 96.0) AS BIGINT) AS counted "
+    "FROM events GROUP BY user_id",
+)
+def pager_pages(spark, sf):
+    """Page counts from the last-page link, the item in front of 'next' and a caption."""
+    pagers = user_pagers(spark, sf)
+    caption = F.regexp_extract("html", "<span>([^<]*)</span>", 1)
+    captions = O.page_count(pagers.withColumn("caption", caption), "caption", rules.PAGE_SIZES["pcaob"], ": ")
+    both = O.pager(captions.withColumnRenamed("n_pages", "counted").withColumn("copy", F.col("html")), "titled", "a")
+    both = O.last_page(both, "a", "last_value").withColumnRenamed("n_pages", "titled")
+    both = O.pager(both.withColumnRenamed("copy", "html"), "shown", "b")
+    return O.last_page(both, "b", "shown").select("user_id", "titled", F.col("n_pages").alias("shown"), "counted")
+
+
 @query(
     "page_frontier",
     """

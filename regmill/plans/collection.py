@@ -17,7 +17,7 @@ from regmill.operators.extract import extract_links
 from regmill.operators.frontier import apply_year_rules
 from regmill.operators.ordered import forward_fill
 from regmill.operators.regions import scoped_regions
-from regmill.operators.scale import first_by, small_side
+from regmill.operators.scale import first_by
 from regmill.session import written
 
 PLACE = ["folder", "year", "file_name"]
@@ -59,7 +59,7 @@ def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
     Links of linked pages are extracted from all pages of two-step sites first, so that the
     second step joins narrow link rows, one per target of a site and year.
     """
-    ruled = pages.join(small_side(rules), "site")
+    ruled = pages.join(rules, "site")
     constants = ["site", "root", "name_rule", "label"]
     listing = ruled.select(*constants, "year", "seq", "html", "scope", "first_only", "beginnings", "endings", "detail_scope")
     links = scoped_links(listing).where(~F.col("first_only") | (F.col("pos") == 0))
@@ -102,7 +102,7 @@ def site_files_to_fetch(pages: DataFrame, rules: DataFrame, manifest: DataFrame)
 def routed_links(pages: DataFrame, sites: DataFrame, year_rules: DataFrame, denied: DataFrame) -> DataFrame:
     """Links of archive pages with route and target; the region of the links depends on site and year."""
     ruled = apply_year_rules(pages, year_rules).drop("template", "text_scope")
-    links = scoped_links(ruled.drop("url")).join(small_side(sites), "site")
+    links = scoped_links(ruled.drop("url")).join(sites, "site")
     allowed = L.deny_links(links, denied.where(F.col("kind") == "exact"), ["site"])
     routed = L.route_links(allowed, F.col("root"), F.col("page_prefix"))
     return L.resolve_links(routed, F.col("root"))

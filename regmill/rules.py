@@ -6,6 +6,8 @@ sites and services use, otherwise results differ. No logic lives here.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -19,7 +21,7 @@ UNICODE_SPACES = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Named character references decoded in page text; the ampersand must come last.
+# Named character references decoded in page text.
 NAMED_ENTITIES = [
     ("lt", "<"),
     ("gt", ">"),
@@ -127,6 +129,54 @@ SOURCES = [
 ]
 SOURCE_SCHEMA = "source string, doc_source_type string, doc_source string, entity_type string, relationship_type string"
 
+# --- fixed values: press releases --------------------------------------------
+
+
+class ReleaseRule(NamedTuple):
+    """How one source lists its releases and lays out a release page."""
+
+    source: str
+    root: str
+    master_url: str
+    listing: str  # layout of the listing: table, cards or teasers
+    listing_scope: str | None
+    link_prefix: str  # beginning of the links kept, as written in the markup
+    detail_scope: str | None
+    body: str  # how the body is put together
+    marker: str | None  # where the body ends
+    date_format: str
+    date_on_page: bool  # the date stands on the release page, behind 'Date:'
+
+
+RELEASE_RULES = {
+    rule.source: rule
+    for rule in (
+        ReleaseRule(
+            "fda",
+            "https://www.fda.gov/",
+            "https://www.fda.gov/inspections-compliance-enforcement-and-criminal-investigations/"
+            "criminal-investigations/press-releases",
+            "table", ".view-content", "", None, "leaves", None, "month_day_slash_year", False,
+        ),
+        ReleaseRule(
+            "hhs",
+            "https://oig.hhs.gov",
+            "https://oig.hhs.gov/fraud/enforcement/?type=cmp-and-affirmative-exclusions",
+            "cards", "ul.usa-card-group padding-y-0", "",
+            "article.grid-col desktop:grid-col-10 margin-bottom-2 desktop:margin-bottom-5",
+            "first", None, "month_day_year", True,
+        ),
+        ReleaseRule(
+            "dol",
+            "https://www.dol.gov",
+            "https://www.dol.gov/newsroom/releases?agency=48&state=All&topic=All&year=all",
+            "teasers", "all .image-left-teaser", "    /newsroom/releases",
+            "div.dol-press-page", "region", "Share This", "month_day_comma_year", False,
+        ),
+    )
+}
+TEASER_DATE_CLASS = "dol-date-text"
+
 # --- fixed values: sites -----------------------------------------------------
 
 # Regions of a page are written as a path of steps from the outside in, parted by ' > '. A step is

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from regmill.operators import ordered as O
-from regmill.operators.scale import first_by, small_side, spread_scan
+from regmill.operators.scale import first_by, spread_scan
 from regmill.rules import local_frame
 
 ROWS = st.lists(
@@ -112,14 +112,6 @@ def test_since_mark(spark):
     assert none.count() == len(MARKED)
 
 
-def test_small_side_is_broadcast_only_below_its_bound(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(small_side(spark.range(3), 3))
-    assert not hinted(small_side(spark.range(30), 3))
-
-
 def test_spread_scan_only_for_few_splits(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread_scan(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == cores
