@@ -16,6 +16,13 @@ def enrich(df: DataFrame, sources: DataFrame, on: str = "source") -> DataFrame:
     return df.join(sources, on)
 
 
+def of_source(df: DataFrame, source: str) -> DataFrame:
+    """The constants of one known source, as literals rather than a join on a constant."""
+    names = ["doc_source_type", "doc_source", "entity_type", "relationship_type"]
+    values = next(row[1:] for row in R.SOURCES if row[0] == source)
+    return df.withColumns({n: F.lit(v).cast("string") for n, v in zip(names, values)})
+
+
 def merge_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Join in which the right side's value stands for every shared column, null or not."""
     shared = [c for c in left.columns if c in right.columns and c != key]

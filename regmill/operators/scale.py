@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the least in `order` (which must not tie).
 

@@ -107,7 +107,7 @@ def documents_sql(source: str, master: str, rows: str) -> str:
 def release_documents(spark, sf):
     """Table listing, release pages, source constants, ids."""
     documents, _ = releases.release_documents(
-        listing_pages(spark, sf), release_pages(spark, sf), rules.sources(spark), FDA_RULE, DEMO_KEY
+        listing_pages(spark, sf), release_pages(spark, sf), FDA_RULE, DEMO_KEY
     )
     return documents.select(*RELEASE_COLUMNS)
 
@@ -130,7 +130,7 @@ def live_release_documents(spark, sf):
     )
     marks = high_water(index, ["source"], "title", ["seq"])
     documents, _ = releases.release_documents(
-        listing_pages(spark, sf), release_pages(spark, sf), rules.sources(spark), FDA_RULE, DEMO_KEY, marks
+        listing_pages(spark, sf), release_pages(spark, sf), FDA_RULE, DEMO_KEY, marks
     )
     return documents.select(*RELEASE_COLUMNS)
 
@@ -149,8 +149,7 @@ def live_release_documents(spark, sf):
 def card_release_documents(spark, sf):
     """Card listing; dates from the release pages, incomplete ones repaired; pages without the article drop out."""
     documents, _ = releases.release_documents(
-        derived.card_listing(spark, sf), derived.card_pages(spark, sf), rules.sources(spark),
-        rules.RELEASE_RULES["hhs"], DEMO_KEY,
+        derived.card_listing(spark, sf), derived.card_pages(spark, sf), rules.RELEASE_RULES["hhs"], DEMO_KEY
     )
     return documents.select(*RELEASE_COLUMNS)
 
@@ -168,8 +167,7 @@ def card_release_documents(spark, sf):
 def teaser_release_documents(spark, sf):
     """Teaser listing with padded links; bodies cut at their marker."""
     documents, _ = releases.release_documents(
-        derived.teaser_listing(spark, sf), derived.teaser_pages(spark, sf), rules.sources(spark),
-        rules.RELEASE_RULES["dol"], DEMO_KEY,
+        derived.teaser_listing(spark, sf), derived.teaser_pages(spark, sf), rules.RELEASE_RULES["dol"], DEMO_KEY
     )
     return documents.select(*RELEASE_COLUMNS)
 

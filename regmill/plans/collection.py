@@ -29,11 +29,9 @@ def scoped_links(pages: DataFrame) -> DataFrame:
 
     Only pages with a scope pass through the region step.
     """
-    whole = extract_links(pages.where(F.col("scope").isNull()).drop("scope")).withColumn(
-        "region_no", F.lit(0).cast("bigint")
-    )
+    whole = pages.where(F.col("scope").isNull()).drop("scope").withColumnRenamed("html", "region")
     regions = scoped_regions(pages.where(F.col("scope").isNotNull()))
-    return whole.unionByName(extract_links(regions, "region"))
+    return extract_links(whole.withColumn("region_no", F.lit(0).cast("bigint")).unionByName(regions), "region")
 
 
 def _not_held(named: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -56,14 +54,15 @@ def _not_held(named: DataFrame, manifest: DataFrame) -> DataFrame:
 def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Document links of all sites under their rules, named and placed.
 
-    Links of linked pages are extracted from all pages of two-step sites first, so that the
-    second step joins narrow link rows, one per target of a site and year.
+    Listing links are written once and then read for the one-step and the two-step sites. Links
+    of linked pages are extracted before the second step, which so joins narrow link rows, one
+    per target of a site and year.
     """
     ruled = pages.join(rules, "site")
     constants = ["site", "root", "name_rule", "label"]
     listing = ruled.select(*constants, "year", "seq", "html", "scope", "first_only", "beginnings", "endings", "detail_scope")
     links = scoped_links(listing).where(~F.col("first_only") | (F.col("pos") == 0))
-    begun = links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings")))
+    begun = written(links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings"))), "site-links")
 
     direct = begun.where(F.col("detail_scope").isNull() & L.one_of(F.col("href"), F.col("endings")))
     hops = begun.where(F.col("detail_scope").isNotNull())
@@ -92,8 +91,7 @@ def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 def site_files_to_fetch(pages: DataFrame, rules: DataFrame, manifest: DataFrame) -> DataFrame:
     """The same without what is held; the first target of a place wins."""
-    files = written(site_files(pages, rules), "site-files")
-    return L.not_held(files, manifest, PLACE, [*ORDER, "_region", "_pos"])
+    return L.not_held(site_files(pages, rules), manifest, PLACE, [*ORDER, "_region", "_pos"])
 
 
 # --- sites whose archives link page texts, text files and PDFs ----------------

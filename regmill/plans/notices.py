@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regmill import rules
 from regmill.operators import records as R
 
 
@@ -21,6 +20,5 @@ def notice_documents(
     good, bad = R.split_rejects(
         dated, {"birth date": F.col("entity_dob").isNotNull(), "entity id": F.col("entity_id").isNotNull()}
     )
-    renamed = R.rename_notice(good, kind).withColumn("source", F.lit(kind))
-    constants = R.enrich(renamed, rules.sources(responses.sparkSession)).drop("source")
-    return R.document_id(R.fold_attributes(constants), "entity_id", key_hex), bad
+    sourced = R.of_source(R.rename_notice(good, kind), kind)
+    return R.document_id(R.fold_attributes(sourced), "entity_id", key_hex), bad

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regmill import rules
 from regmill.operators import records as R
 from regmill.operators.ordered import CHUNK, assemble_records
 
@@ -37,5 +36,4 @@ def penalty_records(
         chunk=chunk,
     )
     valued = R.fiscal_stamp(R.parse_amount(assembled, "payment", "message_value"), "year")
-    constants = R.enrich(valued.withColumn("source", F.lit("onrr")), rules.sources(rows.sparkSession))
-    return R.split_rejects(constants, {"no amount": F.col("message_value").isNotNull()})
+    return R.split_rejects(R.of_source(valued, "onrr"), {"no amount": F.col("message_value").isNotNull()})

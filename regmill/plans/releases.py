@@ -39,7 +39,7 @@ def release_details(pages: DataFrame, rule: ReleaseRule) -> DataFrame:
     return dated.select("link", "message_body", F.trim("date").alias("date"))
 
 
-def release_records(listing: DataFrame, details: DataFrame, sources: DataFrame, rule: ReleaseRule) -> DataFrame:
+def release_records(listing: DataFrame, details: DataFrame, rule: ReleaseRule) -> DataFrame:
     """Listing rows with body, date and source constants.
 
     Equal listing rows give equal records, so they are reduced to the first one before bodies are joined.
@@ -48,7 +48,7 @@ def release_records(listing: DataFrame, details: DataFrame, sources: DataFrame,
     joined = (once.drop("date") if rule.date_on_page else once).join(details, "link")
     repaired = R.repair_dates(joined, "date", date_fixes(listing.sparkSession)) if rule.date_on_page else joined
     dated = R.normalize_dates(repaired, "date", rule.date_format, "time_master")
-    return R.enrich(dated, sources).withColumns(
+    return R.of_source(dated, rule.source).withColumns(
         {
             "message_title": F.col("title"),
             "doc_source_url": F.lit(rule.master_url),
@@ -66,12 +66,11 @@ def keyed_documents(records: DataFrame, key_hex: str) -> tuple[DataFrame, DataFr
 
 
 def release_documents(
-    listing_pages: DataFrame, detail_pages: DataFrame, sources: DataFrame, rule: ReleaseRule, key_hex: str,
-    marks: DataFrame | None = None,
+    listing_pages: DataFrame, detail_pages: DataFrame, rule: ReleaseRule, key_hex: str, marks: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, rejects) of one source; with marks (source, mark) only what is listed in front of them."""
     listing = release_listing(listing_pages, rule)
     if marks is not None:
         listing = since_mark(listing, marks, ["source"], "title", "pos")
-    records = release_records(listing, release_details(detail_pages, rule), sources, rule)
+    records = release_records(listing, release_details(detail_pages, rule), rule)
     return keyed_documents(records, key_hex)
