@@ -57,7 +57,7 @@ def classed(markup: Column, name: str) -> Column:
 
 def before_class(markup: Column, tag: str, name: str) -> Column:
     """Inner markup of the element right in front of the first one of a class; '' when there is none."""
-    inner = rf"((?:[^<]|<(?!/?{tag}\b)){{0,2000}})"
+    inner = rf"((?:[^<]+|<(?!/?{tag}\b))*+)"
     behind = rf'<{tag}\s(?:[^>]*\s)?class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
     return F.regexp_extract(markup, rf"(?is)<{tag}(?:\s[^>]*)?>{inner}</{tag}\s*>\s*{behind}", 1)
 

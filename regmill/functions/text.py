@@ -45,12 +45,14 @@ def _entity_map() -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Named and decimal character references to text, in one pass; unknown ones stay as they are."""
+    """Named and numeric character references to text, in one pass; unknown ones stay as they are."""
     known = _entity_map()
 
     def after_ampersand(part: Column, i: Column) -> Column:
         name = F.substring_index(part, ";", 1)
-        number = F.regexp_extract(name, "^#([0-9]{1,7})$", 1).try_cast("int")
+        decimal = F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint")
+        hexadecimal = F.nullif(F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]+)$", 1), F.lit(""))
+        number = F.coalesce(decimal, F.conv(hexadecimal, 16, 10).try_cast("bigint"))
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
         value = F.coalesce(F.try_element_at(known, name), F.when(valid, char).when(number.isNotNull(), "\ufffd"))

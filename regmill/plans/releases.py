@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from regmill.operators import records as R
 from regmill.operators.extract import body_text, extract_listing, first_region, labelled_date
 from regmill.operators.ordered import first_seen, since_mark
 from regmill.operators.regions import scoped_regions
-from regmill.rules import ReleaseRule, date_fixes
+from regmill.rules import DOCUMENT_FIELDS, ID_EXCLUDES, ReleaseRule, date_fixes
 
 
 def _in_scope(pages: DataFrame, scope: str | None) -> DataFrame:
@@ -60,9 +62,10 @@ def release_records(listing: DataFrame, details: DataFrame, rule: ReleaseRule) -
 
 def keyed_documents(records: DataFrame, key_hex: str) -> tuple[DataFrame, DataFrame]:
     """(documents with their id, rejects): a record with any field missing has no id."""
-    messages = R.canonical_message(records)
-    good, bad = R.split_rejects(messages, {"field missing": F.col("message").isNotNull()})
-    return R.document_id(good, "message", key_hex).drop("message"), bad
+    fields = [f for f in DOCUMENT_FIELDS if f not in ID_EXCLUDES]
+    complete = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields])
+    good, bad = R.split_rejects(records, {"field missing": complete})
+    return R.document_id(R.canonical_message(good), "message", key_hex).drop("message"), bad
 
 
 def release_documents(

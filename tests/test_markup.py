@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from regmill.functions import html as H
 from regmill.functions.text import capitalize, cut_before, decode_entities, split_at_patterns, strip
 from regmill.operators import extract as X
-from regmill.operators.frontier import code_list
+from regmill.operators.frontier import code_list, last_page, pager
 from regmill.operators.regions import regions_of, scoped_regions
 from regmill.rules import NAMED_ENTITIES, REGULATION_PATTERNS, UNICODE_SPACES, local_frame
 
@@ -29,9 +29,9 @@ def test_strip_equals_python(spark, texts):
 
 
 def test_entities(spark):
-    texts = [f"a&{n};b" for n, _ in NAMED_ENTITIES if n != "nbsp"] + ["&#65;&#8364;&#128512;", "&amp;lt;", "plain", "a & b", "&#;"]
+    texts = [f"a&{n};b" for n, _ in NAMED_ENTITIES if n != "nbsp"] + ["&#65;&#8364;&#128512;", "&#x41;&#X20ac;", "&#00000000065;", "&unknown;&;x;", "&amp;lt;", "plain", "a & b", "&#;"]
     assert values(spark, decode_entities, texts) == [stdlib_html.unescape(t) for t in texts]
-    assert values(spark, decode_entities, ["&#55296;|&#1114112;", None]) == ["�|�", None]
+    assert values(spark, decode_entities, ["&#55296;|&#1114112;|&#x110000;", None]) == ["�|�|�", None]
 
 
 def test_cut_capitalize_split(spark):
@@ -126,3 +126,14 @@ def test_regions_nest(spark):
 
 def test_plain_text(spark):
     assert values(spark, H.plain, ["<b>a</b> &lt;i&gt;<br/>c", None]) == ["a <i>c", None]
+
+
+def test_pager_items_of_any_length(spark):
+    long = "<b>x</b>" * 20000
+    page = f'<li>{long}</li><li class="page"> <i>12</i> </li>\n<li class="a next-page b"><a href="?p=2">n</a></li><a title="Go to last page" href="?p=11">l</a>'
+    shown = last_page(pager(pages(spark, page, "<li>1</li>"), "shown"), "last", "shown").orderBy("id").collect()
+    assert [r.n_pages for r in shown] == [12, None]
+    wide = pages(spark, f'<li>{long}</li><li class="next-page">n</li>')
+    assert len(pager(wide, "shown").first().last) == 20000
+    titled = last_page(pager(pages(spark, page, "none"), "titled"), "last", "last_value").orderBy("id").collect()
+    assert [r.n_pages for r in titled] == [12, None]
