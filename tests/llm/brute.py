@@ -87,8 +87,8 @@ def repeated_bytes(rows, length=50):
         gone = bytearray(len(b))
         for i in range(len(b) - length + 1):
             if first[b[i : i + length]] < doc:
-                gone[i : i + length] = b"\1" * length
-        runs = len(re.findall(rb"\1+", bytes(gone)))
+                gone[i : i + length] = b"\x01" * length
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
         out[doc] = (len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest())
     return out
