@@ -9,10 +9,11 @@ of each. The order is by a count sketch of fixed size over the whole corpus, tie
  2. one pass writes per row the size, a 64-bit digest of the set and the leading n-grams; rows of equal sets are
     one node, so copies never multiply;
  3. leading n-grams that two nodes or more hold give the blocks of columns (`shared_keys`);
- 4. columns of at most FEW nodes give pairs, each verified once on the whole sets, the first set of a pair being
+ 4. columns of at most FEW nodes give pairs; those whose sets end too soon after the shared n-gram to overlap
+    enough are discarded, the others verified once on the whole sets, the first set of a pair being
     built once for all its partners;
  5. columns of more nodes are near-copies by the thousand: nodes connected by such columns form a group, cut by size
-    class and hash into blocks of at most about BLOCK nodes. Every two blocks whose sizes can link are one tile;
+    class and hash into blocks of about BLOCK nodes. Every two blocks whose sizes can link are one tile;
     a task accumulates the tile's overlaps, n-gram block by n-gram block, and returns one row a node: a
     peer that connects it and the number of its links. Pairs are never emitted;
  6. links and peers are joined to components (`components`).
@@ -42,7 +43,7 @@ from regmill.session import written
 SKETCH_BITS = 20
 SKETCH_PIECES = 64
 FEW = 64
-BLOCK = 256
+BLOCK = 1024
 DENSE = 24  # n-grams of more nodes in a tile go through the dense product
 COLUMNS = 4096
 
@@ -124,7 +125,7 @@ def signatures(docs: DataFrame, id: str, text: str, width: int, percent: int) ->
 
 
 def shared_columns(rows: DataFrame) -> DataFrame:
-    """key, node, n: the leading n-grams that two nodes or more hold."""
+    """key, node, n, place: the leading n-grams that two nodes or more hold, with their place in the node's order."""
     buckets = shared_keys.bucket_count(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,18 +134,20 @@ def shared_columns(rows: DataFrame) -> DataFrame:
             times = np.diff(grams.offsets.to_numpy())
             keys = grams.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), times)
-            sizes = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype("<i4"), times)
-            yield from shared_keys.pack(keys, nodes, sizes, buckets)
+            sizes = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype("<i8"), times)
+            places = np.arange(len(keys)) - np.repeat(np.cumsum(times) - times, times)
+            yield from shared_keys.pack(keys, nodes, sizes << 32 | places, buckets)
 
     packed = rows.where("node is not null").select("node", "n", "leading").mapInArrow(run, shared_keys.PACKED)
-    return shared_keys.shared(packed).select("key", F.col("owner").alias("node"), F.col("extra").alias("n"))
+    n, place = F.shiftright("extra", 32).cast("int"), F.col("extra").bitwiseAND(0xFFFFFFFF).cast("int")
+    return shared_keys.shared(packed).select("key", F.col("owner").alias("node"), n.alias("n"), place.alias("place"))
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
     """node, n, copies, text of the wanted nodes (a column `node`): the text of each node's first row."""
     first = nodes.join(wanted, "node").select("node", "n", "copies", "row")
     rows = docs.select(row_key(F.col(id), F.col(text)).alias("row"), F.col(text).alias("text"))
-    return rows.join(first, "row").dropDuplicates(["node"])
+    return rows.join(first, "row").dropDuplicates(["row"]).drop("row")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -230,16 +233,16 @@ def tile_links(nodes: np.ndarray, sides: np.ndarray, copies: np.ndarray, sets: l
 
 
 def tiled(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """node, peer, links of the groups (node, group), tile by tile."""
+    """node, peer, links of the groups (node, group, n, copies), tile by tile; a group of at most BLOCK is one tile."""
     step = max(math.log(100 / percent) * 1.001, 1e-9)
-    placed = groups.join(texts, "node").withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step))
+    placed = groups.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / step))
+    totals = placed.groupBy("group").agg(F.count("*").alias("total"))
     counts = placed.groupBy("group", "size").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     above = counts.select("group", (F.col("size") - 1).alias("size"), F.col("parts").alias("above"))
     below = counts.select("group", (F.col("size") + 1).alias("size"), F.col("parts").alias("below"))
     counts = counts.join(above, ["group", "size"], "left").join(below, ["group", "size"], "left")
-    placed = placed.join(counts, ["group", "size"]).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts"))
-    )
+    counts = counts.join(totals, "group")
+    placed = placed.join(counts, ["group", "size"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
 
     def tile(low: Column, i: Column, high: Column, j: Column, side: Column) -> Column:
         return F.struct(
@@ -257,8 +260,12 @@ def tiled(groups: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     )
     up = F.transform(numbers("above"), lambda k: tile(size, part, size + 1, k, F.lit(False)))
     down = F.transform(numbers("below"), lambda k: tile(size - 1, k, size, part, F.lit(True)))
-    rows = placed.select("group", F.explode(F.concat(same, up, down)).alias("t"), "node", "copies", "text")
-    rows = rows.select("group", "t.low", "t.i", "t.high", "t.j", "t.side", "node", "copies", "text")
+    zero = F.lit(0).cast("long")
+    one = F.array(tile(zero, zero, zero, zero, F.lit(False)))
+    tiles = F.when(F.col("total") <= BLOCK, one).otherwise(F.concat(same, up, down))
+    rows = placed.select("group", F.explode(tiles).alias("t"), "node", "copies")
+    rows = rows.select("group", "t.low", "t.i", "t.high", "t.j", "t.side", "node", "copies")
+    rows = rows.join(texts.select("node", "text"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
@@ -291,15 +298,20 @@ def _joined(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     # groups: what columns of many nodes connect
     frequent = held.where(F.col("held") > FEW).select("key", "center")
     star = columns.join(frequent, "key").where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"))
-    groups = written(components(star.distinct()).withColumnRenamed("root", "group"), "groups")
+    groups = components(star.distinct()).withColumnRenamed("root", "group")
+    groups = written(groups.join(nodes.select("node", "n", "copies"), "node"), "groups")
 
     # pairs: nodes that a column of few nodes holds and that no group holds together
     few = columns.join(held.where(F.col("held") <= FEW).select("key"), "key")
-    few = few.join(groups, "node", "left")
-    other = few.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    few = few.join(groups.select("node", "group"), "node", "left")
+    other = few.select(
+        "key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("group").alias("other")
+    )
+    # overlap is at most what follows the first shared n-gram on either side; linked pairs need percent (n + m) / (100 + percent)
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")).cast("long")
     pairs = few.withColumnRenamed("node", "a").join(other, "key").where("a < b")
     pairs = pairs.where(F.col("group").isNull() | F.col("other").isNull() | (F.col("group") != F.col("other")))
-    pairs = pairs.where(100 * F.least("n", "m").cast("long") >= percent * F.greatest("n", "m").cast("long"))
+    pairs = pairs.where((100 + percent) * left >= percent * (F.col("n").cast("long") + F.col("m")))
     pairs = written(pairs.select("a", "b").distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))

@@ -75,8 +75,8 @@ def shared(packed: DataFrame) -> DataFrame:
     def find(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         owners = np.frombuffer(b"".join(table.column("owners").to_pylist()), "<i8")
-        extras = np.frombuffer(b"".join(table.column("extras").to_pylist()), "<i4")
-        extras = extras if len(extras) else np.zeros(len(owners), "<i4")
+        extras = np.frombuffer(b"".join(table.column("extras").to_pylist()), "<i8")
+        extras = extras if len(extras) else np.zeros(len(owners), "<i8")
         keys = b"".join(table.column("keys").to_pylist())
         if bucket < 0:
             keys = np.frombuffer(keys, "<u8")
@@ -96,4 +96,4 @@ def shared(packed: DataFrame) -> DataFrame:
             keys, owners, extras = keys[keep], owners[keep], extras[keep]
         return pa.table({"key": keys.astype("<i8"), "owner": owners, "extra": extras})
 
-    return packed.groupBy("bucket").applyInArrow(find, "key bigint, owner bigint, extra int")
+    return packed.groupBy("bucket").applyInArrow(find, "key bigint, owner bigint, extra bigint")
