@@ -1,9 +1,9 @@
 """Suffix-array dedup: bytes covered by a string of `length` bytes that also starts in a document of smaller id.
 
 Sorting all suffixes of a corpus together does not distribute. So the windows of `length` bytes are first dealt
-out by content: the anchor of a window is its 16-byte string of least hash, leftmost of equals. Equal
+out by content: the anchor of a window is its GRAM-byte string of least hash, leftmost of equals. Equal
 windows have equal anchors at equal places, and neighbouring windows mostly share theirs, so one window in
-about eighteen brings a new anchor.
+about fourteen brings a new anchor.
 
  1. every row's anchors go, packed by batch, to the buckets of their hash, which return those that another row
     holds too (`shared_keys`; a frequent anchor comes once a batch);
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from regmill.llm.hashing import blocks, mix
 from regmill.llm.registry import documents, query
 from regmill.llm.suffix_sort import SYMBOL, equal_windows
 
-GRAM = 16
+GRAM = 24
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -50,9 +51,10 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     none = np.empty(0, np.int64)
     if n < span:
         return none.view(np.uint64), none, none, none, none
-    low = np.ndarray((n,), "<u8", buffer, strides=(1,))
-    high = np.ndarray((n,), "<u8", buffer, offset=8, strides=(1,))
-    hashes = mix(low * np.uint64(0x9E3779B97F4A7C15) + mix(high + np.uint64(0x632BE59BD9B4E019)))
+    hashes = np.full(n, GRAM, np.uint64)
+    for at in range(0, GRAM, 8):
+        part = np.ndarray((n,), "<u8", buffer, offset=at, strides=(1,))
+        hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + part)
     least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
     width = 1
     while 2 * width <= span:
@@ -96,15 +98,50 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-CONTEXTS = "bucket int, key bigint, row bigint, id bigint, begin int, context binary"
+# A row holds the contexts of one bucket and batch: their numbers, then their bytes one after the other, compressed.
+CONTEXTS = "bucket int, n int, packed binary"
+_NUMBERS = (("keys", "<u4"), ("rows", "<i8"), ("ids", "<i8"), ("begins", "<i4"), ("sizes", "<i4"))
+
+
+def _pack(columns: list[np.ndarray | list], texts: list[bytes], squeeze: zstandard.ZstdCompressor) -> bytes:
+    numbers = [np.asarray(c, kind).tobytes() for c, (_, kind) in zip(columns, _NUMBERS, strict=True)]
+    return squeeze.compress(b"".join(numbers + texts))
+
+
+def _unpack(counts: list[int], packed: list[bytes]) -> tuple[dict[str, np.ndarray], bytes]:
+    """The numbers of all rows by name, and all their bytes."""
+    open_, parts, texts = zstandard.ZstdDecompressor(), {name: [] for name, _ in _NUMBERS}, []
+    for n, frame in zip(counts, packed, strict=True):
+        data, at = open_.decompress(frame), 0
+        for name, kind in _NUMBERS:
+            parts[name].append(np.frombuffer(data, kind, n, at))
+            at += parts[name][-1].nbytes
+        texts.append(data[at:])
+    return {name: np.concatenate(p) for name, p in parts.items()}, b"".join(texts)
 
 
 def _contexts(held: DataFrame, length: int, buckets: int) -> DataFrame:
     """Contexts of the shared anchors of each row (row, id, text, keys), and runs settled within a batch.
 
-    A run has a null context; its length stands in `key` and it is spread over negative buckets.
+    Settled runs have sizes but no bytes and are spread over negative buckets.
     """
 
+    def packed(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """found: (key, row, id, begin, size, bytes); keys below 2^32 are no anchors' but spread settled runs."""
+        found.sort(key=lambda x: x[0])
+        numbers = np.array([x[0] for x in found], np.uint64)
+        cuts = np.flatnonzero(np.diff(numbers >> np.uint64(32))) + 1
+        squeeze, out = zstandard.ZstdCompressor(level=3), []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(found)], strict=True):
+            keys, rows, ids, begins, sizes, texts = zip(*found[a:b], strict=True)
+            small = numbers[a:b] & np.uint64(0xFFFFFFFF)
+            out.append(((keys[0] >> 32) - 1, b - a, _pack([small, rows, ids, begins, sizes], list(texts), squeeze)))
+        types = (pa.int32(), pa.int32(), pa.binary())
+        for x in range(0, len(out), 256):
+            columns = zip(*out[x : x + 256], strict=True)
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "n", "packed"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).to_pylist()
@@ -116,10 +153,10 @@ def _contexts(held: DataFrame, length: int, buckets: int) -> DataFrame:
             order = np.lexsort((pairs, owner_of))
             pairs, owner_of = pairs[order], owner_of[order]
             limits = np.searchsorted(owner_of, np.arange(len(rows) + 1))
-            best: dict[tuple[int, int, bytes], list] = {}
-            out: list[tuple] = []
+            best: dict[tuple[int, bytes], tuple] = {}
+            out, settled = [], []
             for a, b in blocks([len(t) for t in texts]):
-                found, owner, at, begin, count = anchors(texts[a:b], length)
+                found, owner, _, begin, count = anchors(texts[a:b], length)
                 keys = shared_keys.cut(found, buckets)
                 keep = np.zeros(len(keys), bool)
                 edges = np.searchsorted(owner, np.arange(b - a + 1))
@@ -136,51 +173,44 @@ def _contexts(held: DataFrame, length: int, buckets: int) -> DataFrame:
                     context = texts[a + k][p : p + c + length - 1]
                     here = (ids[a + k], rows[a + k], p)
                     other = best.get((key, context))
-                    if other is None:
+                    if other is None or here[0] < other[0]:
                         best[(key, context)] = here
+                        here, other = other, here
+                    if here is None:
                         continue
-                    if here[0] < other[0]:
-                        best[(key, context)], here, other = here, other, here
                     if other[0] < here[0]:
-                        out.append((-1 - here[1] % (1 << 20), len(context), here[1], None, here[2], None))
-                    else:  # equal ids: neither removes, both may be removed by others
-                        out.append((key >> 32, _signed(key), here[1], here[0], here[2], context))
+                        settled.append((0, here[1], here[0], here[2], len(context), b""))
+                    else:  # equal ids do not remove from each other, but others may remove from both
+                        out.append((key + (1 << 32), here[1], here[0], here[2], len(context), context))
             out += [
-                (key >> 32, _signed(key), row, id, p, context) for (key, context), (id, row, p) in best.items()
+                (key + (1 << 32), row, id, p, len(context), context) for (key, context), (id, row, p) in best.items()
             ]
-            for x in range(0, len(out), 50_000):
-                columns = list(zip(*out[x : x + 50_000], strict=True))
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                names = [c.split()[0] for c in CONTEXTS.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+            if out:
+                yield from packed(out)
+            for x in range(0, len(settled), shared_keys.SPREAD):
+                for part in packed(settled[x : x + shared_keys.SPREAD]):
+                    spread = pa.array([-1 - settled[x][1] % (1 << 20)] * len(part), pa.int32())
+                    yield part.set_column(0, "bucket", spread)
 
     return held.mapInArrow(run, CONTEXTS)
 
 
-def _signed(key: int) -> int:
-    return key - (1 << 64) if key >> 63 else key
-
-
 def _runs(contexts: DataFrame, length: int) -> DataFrame:
     """row, begin, end of the runs of removed bytes."""
 
     def run(table: pa.Table) -> pa.Table:
+        numbers, joined = _unpack(table.column("n").to_pylist(), table.column("packed").to_pylist())
+        rows, ids, first = numbers["rows"], numbers["ids"], numbers["begins"]
+        sizes = numbers["sizes"].astype(np.int64)
         if table.column("bucket")[0].as_py() < 0:
-            begin = table.column("begin").to_numpy()
-            end = begin + table.column("key").to_numpy().astype(np.int32)
-            return pa.table({"row": table.column("row"), "begin": begin, "end": end})
-        texts = table.column("context").to_pylist()
-        buffer = b"".join(texts) + b"\0" * SYMBOL
-        ids, rows = table.column("id").to_numpy(), table.column("row").to_numpy()
-        first = table.column("begin").to_numpy()
-        sizes = np.array([len(t) for t in texts])
+            return pa.table({"row": rows, "begin": first, "end": first + numbers["sizes"]})
+        buffer = joined + b"\0" * SYMBOL
         counts = sizes - length + 1
-        owner = np.repeat(np.arange(len(texts)), counts)
+        owner = np.repeat(np.arange(len(sizes)), counts)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         starts = (np.cumsum(sizes) - sizes)[owner] + inside
         # windows of one anchor can be equal only if the anchor is the same
-        _, group = np.unique(table.column("key").to_numpy(), return_inverse=True)
-        window, segment = equal_windows(buffer, starts, group[owner], length)
+        window, segment = equal_windows(buffer, starts, numbers["keys"].astype(np.int64)[owner], length)
         if len(window):
             cuts = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
             least = np.minimum.reduceat(ids[owner[window]], cuts)
