@@ -20,6 +20,7 @@ hash. Repeated rows are written each. An empty table gives files without segment
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from regmill.llm.chunks import ChunkEncoder
+from regmill.llm.chunks import ChunkEncoder, kept
 from regmill.llm.registry import documents, query
 from regmill.session import fresh_dir
 
 MAGIC = b"BPLANES1"
 BLOCK_IDS = 65_536
 SEGMENT_IDS = 2_000_000
+PREPARED = 1000  # documents whose new chunks are encoded at once
 _ENTRY = np.dtype([("ids", "<u4"), ("plane", [("at", "<u8"), ("size", "<u8")], 4)])
 
 
@@ -99,7 +101,8 @@ def write_ids(
 ) -> None:
     """Write the files below `path`: part, segment, n_ids, ids of the documents, content."""
     with open(tokenizer, encoding="utf-8") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        content = file.read()
+    digest, model = hashlib.sha256(content.encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(content)
     id_type = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,13 +111,17 @@ def write_ids(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_str(model.value)
-        library.encode_special_tokens = True
+        def make() -> ChunkEncoder:
+            library = Tokenizer.from_str(model.value)
+            library.encode_special_tokens = True
 
-        def encode(piece: str) -> bytes:
-            return np.array(library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            def encode_many(pieces: list[str]) -> list[bytes]:
+                found = library.encode_batch_fast(pieces, add_special_tokens=False)
+                return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-        encoder, end = ChunkEncoder(encode), np.array([end_id], "<u4").tobytes()
+            return ChunkEncoder(lambda piece: encode_many([piece])[0], encode_many=encode_many)
+
+        encoder, end = kept(f"library {digest}", make), np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         made, lengths, names, size, number = [], [], [], 0, 0
 
@@ -131,8 +138,11 @@ def write_ids(
 
         for batch in batches:
             names_type = batch.column(0).type
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.ids(value.as_py()) + end
+            for place, name in enumerate(batch.column(0).to_pylist()):
+                if place % PREPARED == 0:
+                    texts = batch.column(1).slice(place, PREPARED).to_pylist()
+                    encoder.prepare(texts)
+                ids = encoder.ids(texts[place % PREPARED]) + end
                 made.append(ids)
                 names.append(name)
                 lengths.append(len(ids) // 4)

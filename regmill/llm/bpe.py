@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regmill.llm.chunks import ChunkEncoder, Memo
+from regmill.llm.chunks import ChunkEncoder, Memo, kept
 from regmill.llm.registry import documents, query
 
 
@@ -132,17 +132,21 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
-def _vocabulary(df: DataFrame, path: str):
-    """The vocabulary, read once on the driver and broadcast: its size does not depend on the data."""
-    return df.sparkSession.sparkContext.broadcast(read_ranks(path))
+def _codec(df: DataFrame, path: str, pattern: str):
+    """Function that gives a worker's codec. The vocabulary is read once on the driver and broadcast: its size
+    does not depend on the data."""
+    with open(path, "rb") as file:
+        name = f"codec {hashlib.sha256(file.read()).hexdigest()} {pattern}"
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return lambda: kept(name, lambda: Codec(ranks.value, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """All columns and `ids`: the text's ids as little-endian unsigned 32-bit integers."""
-    ranks = _vocabulary(docs, path)
+    worker = _codec(docs, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks.value, pattern)
+        codec = worker()
         for batch in batches:
             made = pa.array([codec.encode(t) for t in batch.column(text).to_pylist()], pa.binary())
             keep = [n for n in batch.schema.names if n != ids]
@@ -154,10 +158,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """All columns and `decoded`: the bytes that the ids stand for."""
-    ranks = _vocabulary(encoded, path)
+    worker = _codec(encoded, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks.value, pattern)
+        codec = worker()
         for batch in batches:
             made = pa.array([codec.decode(x) for x in batch.column(ids).to_pylist()], pa.binary())
             keep = [n for n in batch.schema.names if n != decoded]
@@ -169,11 +173,11 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", decode
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_tokens and the digests of ids and decoded bytes: encode and decode in one pass, ids stay in the task."""
-    ranks = _vocabulary(docs, path)
+    worker = _codec(docs, path, pattern)
     id_type = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(ranks.value, pattern)
+        codec = worker()
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for value in batch.column(1):

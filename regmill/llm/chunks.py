@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 400_000
+
+
+def kept(name: str, make: Callable):
+    """One object per Python worker process and name: workers serve many tasks, memos should too."""
+    store = sys.modules.setdefault("_regmill_kept", types.ModuleType("_regmill_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
 
 
 class _Odd(Exception):
@@ -35,8 +45,13 @@ class ChunkEncoder:
     given to `encode` whole.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], entries: int = MEMO_ENTRIES):
-        self.encode = encode
+    def __init__(
+        self,
+        encode: Callable[[str], bytes],
+        entries: int = MEMO_ENTRIES,
+        encode_many: Callable[[list[str]], list[bytes]] | None = None,
+    ):
+        self.encode, self.encode_many = encode, encode_many
         self.memo = Memo(self._chunk, entries)
 
     def _chunk(self, chunk: str) -> bytes:
@@ -54,3 +69,12 @@ class ChunkEncoder:
             return self.encode(first) + b"".join(map(self.memo.__getitem__, rest))
         except _Odd:
             return self.encode(text)
+
+    def prepare(self, texts: list[str | None]) -> None:
+        """Encode the chunks of these texts that are not known yet, all at once."""
+        chunks = {c for t in texts if t for c in t.split(" ")[1:]}
+        new = [c for c in chunks - self.memo.keys() if c and not c[0].isspace() and not c[-1].isspace()]
+        if len(self.memo) + len(new) > self.memo.entries:
+            self.memo.clear()
+            new = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        self.memo.update(zip(new, self.encode_many([" " + c for c in new]), strict=True))
