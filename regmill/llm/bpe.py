@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -34,7 +35,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank, lowest rank first, positions of a rank in order."""
+    """Positions by rank, lowest rank first, positions of a rank in order.
+
+    One bit stands for a bucket in use, in words of 64; a bit of the next level for a word that is not zero.
+    """
+
+    __slots__ = ("buckets", "low", "middle", "top")
 
     def __init__(self):
         self.buckets: dict[int, list[int]] = {}
@@ -44,68 +50,73 @@ class RankQueue:
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket is None:
-            bucket = self.buckets[rank] = []
-        if not bucket:
-            a, b = rank >> 6, rank >> 12
-            self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
-            self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
-            self.top |= 1 << b
-        heappush(bucket, position)
+        if bucket:
+            heappush(bucket, position)
+            return
+        self.buckets[rank] = [position]
+        a, b = rank >> 6, rank >> 12
+        self.low[a] = self.low.get(a, 0) | 1 << (rank & 63)
+        self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
+        self.top |= 1 << b
 
     def pop(self) -> tuple[int, int] | None:
         """The lowest rank and its first position."""
-        if not self.top:
+        top = self.top
+        if not top:
             return None
-        b = (self.top & -self.top).bit_length() - 1
+        b = (top & -top).bit_length() - 1
         word = self.middle[b]
         a = (b << 6) + (word & -word).bit_length() - 1
         word = self.low[a]
-        rank = (a << 6) + (word & -word).bit_length() - 1
+        first = word & -word
+        rank = (a << 6) + first.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.low[a] ^= 1 << (rank & 63)
-            if not self.low[a]:
-                self.middle[b] ^= 1 << (a & 63)
-                if not self.middle[b]:
-                    self.top ^= 1 << b
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        word = self.low[a] = self.low[a] ^ first
+        if not word:
+            word = self.middle[b] = self.middle[b] ^ 1 << (a & 63)
+            if not word:
+                self.top = top ^ 1 << b
+        return rank, bucket.pop()
 
 
 def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: always the pair of lowest rank is merged, the first of equals."""
-    whole = ranks.get(piece)
+    rank_of = ranks.get
+    whole = rank_of(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
     parts = [piece[i : i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    wanted = [-1] * n
+    wanted = [rank_of(piece[i : i + 2], -1) for i in range(n)]
+    wanted[n - 1] = -1
     queue = RankQueue()
-
-    def offer(i: int) -> None:
-        j = after[i]
-        rank = ranks.get(parts[i] + parts[j], -1) if j < n else -1
-        wanted[i] = rank
+    push, pop = queue.push, queue.pop
+    for i, rank in enumerate(wanted):
         if rank >= 0:
-            queue.push(rank, i)
-
-    for i in range(n - 1):
-        offer(i)
-    while (found := queue.pop()) is not None:
+            push(rank, i)
+    while (found := pop()) is not None:
         rank, i = found
         if wanted[i] != rank:
-            continue
+            continue  # stale: the pair here has changed
         j = after[i]
-        parts[i] += parts[j]
+        merged = parts[i] = parts[i] + parts[j]
         wanted[j] = -1
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            rank = wanted[i] = rank_of(merged + parts[k], -1)
+            if rank >= 0:
+                push(rank, i)
+        else:
+            wanted[i] = -1
+        h = before[i]
+        if h >= 0:
+            rank = wanted[h] = rank_of(parts[h] + merged, -1)
+            if rank >= 0:
+                push(rank, h)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[parts[i]])
@@ -122,7 +133,7 @@ class Codec:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        pieces = Memo(lambda piece: np.array(encode_piece(piece.encode(), ranks), "<u4").tobytes())
+        pieces = Memo(lambda piece: struct.pack(f"<{len(x := encode_piece(piece.encode(), ranks))}I", *x))
         self.chunks = ChunkEncoder(lambda text: b"".join(map(pieces.__getitem__, split.findall(text))))
 
     def encode(self, text: str | None) -> bytes:
