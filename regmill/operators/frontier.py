@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from regmill.functions import html as H
 from regmill.functions.text import strip
 
-OPEN_YEAR = 2100
-
-
 def expand_years(rules: DataFrame, as_of_year: int) -> DataFrame:
     """One row per year of each rule; a last year <= 0 counts from `as_of_year`, an empty range gives none."""
     last = F.when(F.col("year_hi") <= 0, F.col("year_hi") + F.lit(as_of_year)).otherwise(F.col("year_hi"))
@@ -22,16 +19,24 @@ def expand_years(rules: DataFrame, as_of_year: int) -> DataFrame:
 
 
 def apply_year_rules(df: DataFrame, year_rules: DataFrame) -> DataFrame:
-    """Attach the rule whose year range holds the row's year; years without a rule drop out.
+    """Attach the rule whose year range holds the row's year; a range without a last year stays open.
 
-    Ranges become one row per year first, which turns the range join into an equi-join.
+    The join is by site, whose rules are a few rows, with the range as predicate. `without_rule` has the rest.
     """
-    high = F.coalesce(F.col("year_hi"), F.lit(OPEN_YEAR))
-    yearly = year_rules.withColumn("year", F.explode(F.sequence(F.col("year_lo"), high))).drop("year_lo", "year_hi")
-    out = df.join(yearly, ["site", "year"])
+    out = df.join(year_rules, "site").where(_covers()).drop("year_lo", "year_hi")
     return out.withColumn("template", F.replace(F.col("template"), F.lit("{year}"), F.col("year").cast("string")))
 
 
+def without_rule(df: DataFrame, year_rules: DataFrame) -> DataFrame:
+    """The rows whose year no rule of their site holds, or whose site has none."""
+    rules = year_rules.select(F.col("site").alias("_site"), "year_lo", "year_hi")
+    return df.join(rules, (F.col("site") == F.col("_site")) & _covers(), "left_anti")
+
+
+def _covers() -> Column:
+    return (F.col("year") >= F.col("year_lo")) & (F.col("year_hi").isNull() | (F.col("year") <= F.col("year_hi")))
+
+
 def letters() -> Column:
     return F.transform(F.sequence(F.lit(97), F.lit(122)), lambda c: F.chr(c))
 

@@ -18,7 +18,6 @@ from pyspark.sql.window import Window
 from regmill.operators.scale import first_by
 
 CHUNK = 1 << 18
-SALTS = 32
 
 
 def _chunked(df: DataFrame, seq: str, chunk: int) -> DataFrame:
@@ -122,15 +121,13 @@ def high_water(index: DataFrame, by: list[str], title: str, order: list[str]) ->
 def since_mark(listing: DataFrame, marks: DataFrame, by: list[str], title: str, pos: str) -> DataFrame:
     """Newest-first listing rows in front of the marked title; all rows when the mark is absent.
 
-    The cut is the least position of the mark, a combinable minimum, instead of a running
-    flag over the listing of a source; a source's rows meet it spread over salts.
+    The cut is the least position of the mark, a combinable minimum, instead of a running flag over the
+    listing of a source. It is one row per source: Spark broadcasts it or splits a source's oversized partition.
     """
     hits = listing.select(*by, title, pos).join(marks.withColumnRenamed("mark", title), [*by, title])
     reached = hits.groupBy(*by).agg(F.min(pos).alias("_reached"))
-    spread = reached.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    salted = listing.withColumn("_salt", F.pmod(F.xxhash64(title, pos), F.lit(SALTS)))
     return (
-        salted.join(spread, [*by, "_salt"], "left")
+        listing.join(reached, by, "left")
         .where(F.col("_reached").isNull() | (F.col(pos) < F.col("_reached")))
         .select(*listing.columns)
     )

@@ -17,6 +17,20 @@ def quota_split(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str
     windows over that small count table, never over people, and since every level lies inside a
     country one shuffle by country serves them all.
     """
+    leaves = _placed(people, bands, quota, sexes).where("remainder is null").drop("remainder")
+    counted = leaves.groupBy("country", "sex", "age_lo", "age_hi", "warrant").agg(F.sum("cell").alias("n"))
+    return counted.withColumn("overflow", F.col("n") > quota)
+
+
+def quota_remainder(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
+    """People that no leaf filter reaches, counted by why: their sex is not asked for, their age lies in no band, or
+    their part is split by warrant country and they have none. With bands that do not overlap, leaves and remainder
+    add up to the people."""
+    rest = _placed(people, bands, quota, sexes).where("remainder is not null")
+    return rest.groupBy("country", "sex", "age_lo", "age_hi", "remainder").agg(F.sum("cell").alias("n"))
+
+
+def _placed(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
     cells = people.groupBy(*KEYS).agg(F.count("*").alias("cell"))
     sized = cells.withColumns(
         {
@@ -25,33 +39,32 @@ def quota_split(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str
         }
     )
     level = F.when(F.col("n_country") <= quota, "country").when(F.col("n_sex") <= quota, "sex").otherwise("band")
-    split = sized.withColumn("level", level).where((F.col("level") == "country") | F.col("sex").isin(sexes))
+    split = sized.withColumn("level", level)
+    other_sex = (F.col("level") != "country") & ~F.coalesce(F.col("sex").isin(sexes), F.lit(False))
+    split = split.withColumn("level", F.when(other_sex, "sex").otherwise(F.col("level")))
+    split = split.withColumn("remainder", F.when(other_sex, "sex"))
 
     ages = bands.withColumn("_age", F.explode(F.sequence("age_lo", "age_hi")))
     wanted = F.when(F.col("level") == "band", F.col("age").cast("int"))
-    banded = split.join(ages, wanted == F.col("_age"), "left").where(
-        (F.col("level") != "band") | F.col("_age").isNotNull()
-    )
+    banded = split.join(ages, wanted == F.col("_age"), "left")
+    no_band = (F.col("level") == "band") & F.col("_age").isNull()
+    banded = banded.withColumn("remainder", F.coalesce("remainder", F.when(no_band, "age")))
     n_band = F.sum("cell").over(Window.partitionBy("country", "sex", "level", "age_lo", "age_hi"))
     finer = (F.col("level") == "band") & F.col("splits") & (F.col("n_band") > quota)
     placed = banded.withColumn("n_band", n_band).withColumn("finer", F.coalesce(finer, F.lit(False)))
-    leaves = placed.where(~F.col("finer") | F.col("warrant").isNotNull()).select(
+    no_warrant = F.col("finer") & F.col("warrant").isNull()
+    return placed.select(
         "country",
         F.when(F.col("level") != "country", F.col("sex")).alias("sex"),
         "age_lo",
         "age_hi",
         F.when(F.col("finer"), F.col("warrant")).alias("warrant"),
         "cell",
+        F.coalesce("remainder", F.when(no_warrant, "warrant")).alias("remainder"),
     )
-    counted = leaves.groupBy("country", "sex", "age_lo", "age_hi", "warrant").agg(F.sum("cell").alias("n"))
-    return counted.withColumn("overflow", F.col("n") > quota)
 
 
 def unknown_sex_leaf(people: DataFrame, quota: int, code: str = "U") -> DataFrame:
-    """The one request for people of unknown sex, made only when it stays below the quota."""
-    return (
-        people.where(F.col("sex") == code)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") < quota)
-        .select(F.lit(code).alias("sex"), "n")
-    )
+    """The one request for people of unknown sex; at the quota or beyond it overflows, as it cannot be split."""
+    counted = people.where(F.col("sex") == code).agg(F.count("*").alias("n"))
+    return counted.select(F.lit(code).alias("sex"), "n", (F.col("n") >= quota).alias("overflow"))

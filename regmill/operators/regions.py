@@ -59,6 +59,7 @@ def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[
     """Inner markup of matching elements; a closing tag also ends what was left open inside it."""
     spans: list[list[int]] = []
     open_tags: list[tuple[str, int]] = []
+    n_open: dict[str, int] = {}
     for token in TAG.finditer(markup):
         name = token[2].lower()
         if not token[1]:
@@ -71,9 +72,11 @@ def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[
                     spans[hit][1] = token.end()
             else:
                 open_tags.append((name, hit))
-        elif any(t == name for t, _ in open_tags):
+                n_open[name] = n_open.get(name, 0) + 1
+        elif n_open.get(name):
             while True:
                 t, hit = open_tags.pop()
+                n_open[t] -= 1
                 if hit >= 0:
                     spans[hit][1] = token.start()
                 if t == name:
@@ -91,10 +94,10 @@ def _select(markup: str, ordinal: int | None, tag: str, classes: list[str]) -> l
     return hits[at : at + 1] if at >= 0 else []
 
 
-def regions_of(markup: str, scope: str) -> list[str]:
-    """Regions a scope selects, in document order."""
+def regions_of(markup: str, scope: str | list) -> list[str]:
+    """Regions a scope (or its parsed steps) selects, in document order."""
     found = [markup]
-    for step in parse_scope(scope):
+    for step in parse_scope(scope) if isinstance(scope, str) else scope:
         found = [inner for piece in found for inner in _select(piece, *step)]
     return found
 
@@ -112,7 +115,8 @@ def scoped_regions(pages: DataFrame, scope: str = "scope", html: str = "html") -
 
     def select_regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [regions_of(m, s) if s else [m] for m, s in zip(batch[html], batch[scope])]
+            steps = {s: parse_scope(s) for s in batch[scope].unique() if s}
+            found = [regions_of(m, steps[s]) if s else [m] for m, s in zip(batch[html], batch[scope])]
             out = batch[names].assign(region=found, region_no=[range(len(r)) for r in found])
             out = out[[len(r) > 0 for r in found]].explode(["region", "region_no"])
             yield out.astype({"region_no": "int64"})[[*names, "region_no", "region"]]

@@ -22,11 +22,6 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a file with far fewer splits than cores, dealt out over the cores by a unique key.
-
-    Parsing markup is work per row, so one unsplittable file would keep a single core busy.
-    A table of many files has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() * 2 <= cores else df
+def deal_out(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt out over a number of partitions by a unique key: for work per row on a file that cannot be split."""
+    return df.repartition(partitions, key)

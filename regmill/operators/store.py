@@ -1,14 +1,15 @@
 """Keyed document tables on plain Parquet.
 
-Writes are appended as one folder per batch, so a load costs what its batch holds and a
-replayed batch replaces its own folder. Readers take the last write of each id.
+Writes are appended as one folder per source, load and batch. A load costs what its batch holds, a
+replayed batch replaces its own folder and no other one, and readers take the last write of each id.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from regmill.operators.ordered import CHUNK, running_count
@@ -32,17 +33,34 @@ def write_versions(writes: DataFrame, key: list[str], order: list[str], chunk: i
     return running_count(writes, F.lit(True), key, order, "version", inclusive=True, chunk=chunk)
 
 
-def append_batch(batch: DataFrame, root: str, batch_id: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+PLACE = ["load", "batch", "source"]
+
+
+def append_batch(batch: DataFrame, root: str, batch_id: int, load: int = 0, source: str = "main") -> None:
+    """Write one batch of a load; loads are numbered in the order in which later writes win."""
+    batch.write.mode("overwrite").parquet(f"{root}/source={source}/load={load}/batch={batch_id}")
+
+
+def next_load(spark: SparkSession, root: str) -> int:
+    """The number after the last load of any source; 0 for a new index. Only folder names are read."""
+    try:
+        last = read_writes(spark, root).agg(F.max("load").alias("last")).first()["last"]
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return 0 if last is None else last + 1
 
 
 def read_writes(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(f"{root}/batch=*")
+    """All writes with their place: load, batch, source."""
+    found = spark.read.option("basePath", root).parquet(f"{root}/source=*/load=*/batch=*")
+    return found.withColumn("source", F.col("source").cast("string"))
 
 
 def read_index(spark: SparkSession, root: str, key: list[str], order: list[str]) -> DataFrame:
-    """Current documents: the last write per id over all batches."""
-    return last_write(read_writes(spark, root), key, ["batch", *order])
+    """Current documents: the last write per id over all loads and batches."""
+    return last_write(read_writes(spark, root), key, [*PLACE[:2], *order, PLACE[2]])
 
 
 def append_random_id(df: DataFrame, into: str = "document_id") -> DataFrame:
@@ -65,17 +83,25 @@ def spread(df: DataFrame, keys: list[str], unique: list[str], rows_per_file: int
     return salted.repartition(*keys, "_salt").select(*df.columns)
 
 
+def replacing_own_folders(df: DataFrame, keys: list[str]) -> DataFrameWriter:
+    """Writer that replaces the folders the rows fall into and leaves all others."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+
+
 def write_csv_by(df: DataFrame, root: str, key: str, unique: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Headerless delimited files, one folder per key value."""
+    """Headerless delimited files, one folder per key value; folders of other keys stay."""
     parts = spread(df, [key], unique, rows_per_file)
-    parts.write.mode("overwrite").partitionBy(key).option("escape", '"').csv(root, header=False)
+    replacing_own_folders(parts, [key]).option("escape", '"').csv(root, header=False)
 
 
 def write_layout(
     df: DataFrame, root: str, keys: list[str], unique: list[str], rows_per_file: int = ROWS_PER_FILE
 ) -> None:
-    """Rows laid out by site, category and year, so that reads of one of them open its folders only."""
-    spread(df, keys, unique, rows_per_file).write.mode("overwrite").partitionBy(*keys).parquet(root)
+    """Rows laid out by site, category and year, so that reads of one of them open its folders only.
+
+    Folders that the rows do not touch stay, so one site can be written after another.
+    """
+    replacing_own_folders(spread(df, keys, unique, rows_per_file), keys).parquet(root)
 
 
 def write_bundles(
@@ -83,7 +109,7 @@ def write_bundles(
 ) -> None:
     """The bundled files, one compressed folder per key."""
     parts = spread(files, [key], [path], rows_per_file)
-    parts.write.mode("overwrite").option("compression", codec).partitionBy(key).parquet(root)
+    replacing_own_folders(parts, [key]).option("compression", codec).parquet(root)
 
 
 def bundle(files: DataFrame, key: str, length: str, prefix: str = "DEF_14A/") -> DataFrame:

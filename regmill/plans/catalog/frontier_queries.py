@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from regmill import rules
 from regmill.operators import frontier as O
 from regmill.operators.ordered import count_by
-from regmill.operators.quota import quota_split, unknown_sex_leaf
+from regmill.operators.quota import quota_remainder, quota_split, unknown_sex_leaf
 from regmill.plans.catalog.registry import query, table
 
 AS_OF = 2000
@@ -64,7 +64,7 @@ def _year_rule_sql() -> str:
            scope, text_scope
     FROM orders JOIN {_year_rule_sql()}
       ON r.site = CASE o_orderstatus WHEN 'O' THEN 'litigation' WHEN 'F' THEN 'admin' ELSE 'enforce' END
-     AND year(o_orderdate) BETWEEN year_lo AND coalesce(year_hi, 2100)""",
+     AND year(o_orderdate) BETWEEN year_lo AND coalesce(year_hi, year(o_orderdate))""",
 )
 def year_rules(spark, sf):
     """Address and region of each order's year; the third site has no rule before 1999."""
@@ -257,8 +257,52 @@ def quota_leaves(spark, sf):
 
 @query(
     "unknown_sex_leaf",
-    "SELECT 'U' AS sex, count(*) AS n FROM customer WHERE c_acctbal < 0 HAVING count(*) < 100000000",
+    f"SELECT 'U' AS sex, count(*) AS n, count(*) >= {rules.NOTICE_QUOTA} AS overflow FROM customer WHERE c_acctbal < 0",
 )
 def unknown_sex(spark, sf):
     people = table(spark, sf, "customer").select(F.when(F.col("c_acctbal") < 0, "U").otherwise("M").alias("sex"))
-    return unknown_sex_leaf(people, 100_000_000)
+    return unknown_sex_leaf(people, rules.NOTICE_QUOTA)
+
+
+@query(
+    "quota_accounts",
+    "SELECT c_nationkey AS country, count(*) AS people, count(*) AS placed FROM customer GROUP BY 1",
+)
+def quota_accounts(spark, sf):
+    """Leaves and remainder of each country add up, with unknown sexes, ages beyond the bands and no warrant countries."""
+    people = table(spark, sf, "customer").selectExpr(
+        "c_nationkey AS country",
+        "CASE WHEN c_acctbal < 0 THEN NULL WHEN c_mktsegment < 'C' THEN 'U' WHEN c_mktsegment < 'G' THEN 'F' ELSE 'M' END AS sex",
+        "CAST(nullif(c_custkey % 131, 7) AS INT) AS age",
+        "nullif(c_mktsegment, 'MACHINERY') AS warrant",
+    )
+    parts = [people, rules.age_bands(spark), QUOTA, rules.SEXES]
+    placed = quota_split(*parts).select("country", "n").unionByName(quota_remainder(*parts).select("country", "n"))
+    counted = people.groupBy("country").agg(F.count("*").alias("people"))
+    return counted.join(placed.groupBy("country").agg(F.sum("n").alias("placed")), "country")
+
+
+@query(
+    "late_year_rules",
+    """
+    SELECT o_orderkey, CAST(year(o_orderdate) + 300 AS INTEGER) AS year FROM orders WHERE o_orderstatus = 'F'""",
+)
+def late_year_rules(spark, sf):
+    """Rules without a last year hold for any year."""
+    later = (F.year("o_orderdate") + 300).cast("int").alias("year")
+    dated = table(spark, sf, "orders").select("o_orderkey", later, F.lit("admin").alias("site"), "o_orderstatus")
+    held = O.apply_year_rules(dated.where("o_orderstatus = 'F'"), rules.year_rules(spark))
+    return held.select("o_orderkey", "year")
+
+
+@query(
+    "years_without_rule",
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE o_orderstatus = 'P' OR year(o_orderdate) < 1994",
+)
+def years_without_rule(spark, sf):
+    """Orders of a site without rules, and years before its rules, come back as rejects."""
+    year = F.year("o_orderdate")
+    site = F.when(F.col("o_orderstatus") == "P", "no such site").otherwise("litigation")
+    moved = F.when(year < 1994, year - 100).otherwise(F.greatest(year, F.lit(2000)))
+    dated = table(spark, sf, "orders").select("o_orderkey", year.alias("shown"), moved.alias("year"), site.alias("site"))
+    return O.without_rule(dated, rules.year_rules(spark)).select("o_orderkey", F.col("shown").alias("year"))

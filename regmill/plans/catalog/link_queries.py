@@ -9,11 +9,11 @@ from regmill.functions.text import cut_before
 from regmill.operators import extract as X
 from regmill.operators import links as L
 from regmill.operators.ordered import count_by
-from regmill.operators.scale import spread_scan
+from regmill.operators.scale import deal_out
 from regmill.operators.store import union_collections
 from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_links
 from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
-from regmill.plans.catalog.registry import query, sql_decode, table
+from regmill.plans.catalog.registry import CORES, query, sql_decode, table
 from regmill.rules import local_frame
 
 PAGE_PREFIX = "/litigation/litreleases"
@@ -294,7 +294,7 @@ def decoded_names(spark, sf):
     """Texts percent-encoded twice come back whole."""
     once = F.replace(F.url_encode("text"), F.lit("+"), F.lit("%20"))
     twice = F.replace(F.url_encode(once), F.lit("+"), F.lit("%20"))
-    documents = spread_scan(table(spark, sf, "documents"), "doc_id")
+    documents = deal_out(table(spark, sf, "documents"), "doc_id", CORES)
     return documents.select("doc_id", U.twice_decoded(twice).alias("name"))
 
 

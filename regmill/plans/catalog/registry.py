@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from regmill.functions.identity import key_pads
 from regmill.rules import NAMED_ENTITIES
 
+# Partitions over which queries deal out the rows of the unsplit test files before they build markup of them.
+CORES = 8
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

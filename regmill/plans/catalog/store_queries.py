@@ -70,7 +70,7 @@ def index_after_batches(spark, sf):
     writes = order_writes(spark, sf)
     for batch_id, status in enumerate(["F", "O", "P", "P"]):
         S.append_batch(writes.where(F.col("o_orderstatus") == status), root, min(batch_id, 2))
-    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop("batch")
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop(*S.PLACE)
 
 
 @query("incremental_index", LAST_ORDER_SQL)
@@ -82,7 +82,49 @@ def incremental_index(spark, sf):
     run_incremental(
         stream, root, fresh_dir(spark, "stream-state"), lambda b: b.select("o_custkey", "o_orderkey", "o_orderstatus")
     ).awaitTermination()
-    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop("batch")
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop(*S.PLACE)
+
+
+@query(
+    "history_then_live",
+    """
+    SELECT o_custkey, arg_max(o_orderkey, (o_orderstatus <> 'F', o_orderkey)) AS o_orderkey,
+           arg_max(o_orderstatus, (o_orderstatus <> 'F', o_orderkey)) AS o_orderstatus
+    FROM orders GROUP BY o_custkey""",
+)
+def history_then_live(spark, sf):
+    """A full load of the closed orders, then a stream of the others into the same index: both are kept."""
+    root = fresh_dir(spark, "two-loads")
+    S.append_batch(order_writes(spark, sf).where("o_orderstatus = 'F'"), root, 0, S.next_load(spark, root), "history")
+    stream = spark.readStream.schema(table(spark, sf, "orders").schema)
+    stream = stream.option("pathGlobFilter", "orders.parquet").parquet(sf)
+    live = lambda b: b.where("o_orderstatus <> 'F'").select("o_custkey", "o_orderkey", "o_orderstatus")
+    run_incremental(stream, root, fresh_dir(spark, "live-state"), live, "live").awaitTermination()
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop(*S.PLACE)
+
+
+@query(
+    "two_sources_one_index",
+    "SELECT o_custkey, count(*) AS writes, count(DISTINCT o_orderstatus) AS sources FROM orders GROUP BY o_custkey",
+)
+def two_sources_one_index(spark, sf):
+    """Batches of equal numbers from several sources do not replace each other."""
+    root = fresh_dir(spark, "sources")
+    writes = order_writes(spark, sf)
+    for status in ("F", "O", "P"):
+        S.append_batch(writes.where(F.col("o_orderstatus") == status), root, 0, 0, status)
+    held = S.read_writes(spark, root).groupBy("o_custkey")
+    return held.agg(F.count("*").alias("writes"), F.count_distinct("source").alias("sources"))
+
+
+@query("layout_site_after_site", "SELECT c_mktsegment AS site, count(*) AS n FROM customer GROUP BY 1")
+def layout_site_after_site(spark, sf):
+    """Each site is written by a job of its own; earlier sites stay."""
+    root = fresh_dir(spark, "sites")
+    rows = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("site"))
+    for low, high in (("A", "C"), ("C", "I"), ("I", "Z")):
+        S.write_layout(rows.where((F.col("site") >= low) & (F.col("site") < high)), root, ["site"], ["c_custkey"])
+    return spark.read.parquet(root).groupBy("site").agg(F.count("*").alias("n"))
 
 
 @query("random_ids", "SELECT count(*) AS n, count(*) AS ids FROM customer")

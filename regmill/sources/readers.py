@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from regmill.operators.scale import spread_scan
+from regmill.operators.scale import deal_out
 
 
-def scan_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Fetched pages that have content; a stored status other than 200 means there is none."""
+def scan_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Fetched pages that have content; a stored status other than 200 means there is none.
+
+    The file layout decides the partitions unless a number of them is asked for, which moves whole pages.
+    """
     pages = spark.read.parquet(path)
     usable = F.col("html").isNotNull()
     if "status" in pages.columns:
         usable = usable & (F.col("status") == 200)
-    return spread_scan(pages.where(usable), "url")
+    pages = pages.where(usable)
+    return pages if partitions is None else deal_out(pages, "url", partitions)
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -28,9 +32,13 @@ def decode_json(df: DataFrame, column: str, schema: StructType | str, into: str
     return df.withColumn(into, F.from_json(F.col(column), schema))
 
 
-def scan_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Columns of a delimited file picked by header name, wherever they stand."""
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path).select(*columns)
+def scan_csv(spark: SparkSession, path: str, columns: list[str], line_breaks: bool = True) -> DataFrame:
+    """Columns of a delimited file picked by header name, wherever they stand.
+
+    Quoted values may hold line breaks, so a file is one split; without them files can be split.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+    return reader.csv(path).select(*columns)
 
 
 def scan_table_rows(

@@ -4,23 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from regmill.operators.store import append_batch
+from regmill.operators.store import append_batch, next_load
+
+
+def load_number(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The load that belongs to a checkpoint: chosen on its first run, found again on every later one."""
+    place = f"{checkpoint.rstrip('/')}-load"
+    try:
+        return spark.read.schema("load bigint").parquet(place).first()["load"]
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+    number = next_load(spark, root)
+    spark.range(1).select(F.lit(number).cast("bigint").alias("load")).write.parquet(place)
+    return number
 
 
 def run_incremental(
-    stream: DataFrame, root: str, checkpoint: str, build: Callable[[DataFrame], DataFrame]
+    stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    build: Callable[[DataFrame], DataFrame],
+    source: str = "main",
 ) -> StreamingQuery:
     """Process what is new and stop.
 
     The checkpoint remembers which files were taken. A micro-batch that is replayed after a
-    lost driver or executor overwrites its own folder, so no write is counted twice.
+    lost driver or executor overwrites its own folder, so no write is counted twice. Earlier loads,
+    other sources and other checkpoints have folders of their own.
     """
+    number = load_number(stream.sparkSession, root, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_batch(build(batch), root, batch_id)
+        append_batch(build(batch), root, batch_id, number, source)
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from regmill import rules
 from regmill.operators import frontier as O
-from regmill.operators.quota import quota_split, unknown_sex_leaf
+from regmill.operators.quota import quota_remainder, quota_split, unknown_sex_leaf
 from regmill.rules import local_frame
 
 
@@ -122,6 +122,9 @@ def test_quota_split(spark, people, quota, bands):
     assert {tuple(r)[:5]: r.n for r in got} == leaves_by_loop(people, bands, quota)
     assert len(got) == len({tuple(r)[:5] for r in got})
     assert all(r.overflow == (r.n > quota) for r in got)
+    rest = quota_remainder(frame, rules.age_bands(spark, bands), quota, rules.SEXES).collect()
+    if bands is rules.AGE_BANDS:
+        assert sum(r.n for r in got) + sum(r.n for r in rest) == len(people)
 
 
 def test_exactly_the_quota_is_not_split(spark):
@@ -132,5 +135,15 @@ def test_exactly_the_quota_is_not_split(spark):
     leaf = quota_split(one_more, rules.age_bands(spark), rules.NOTICE_QUOTA, rules.SEXES).collect()
     assert [(r.sex, r.age_lo, r.warrant, r.n, r.overflow) for r in leaf] == [("M", 30, "US", 161, True)]
     unknown = frame.withColumn("sex", F.lit("U"))
-    assert unknown_sex_leaf(unknown, 160).count() == 0
-    assert unknown_sex_leaf(unknown, 161).first().n == 160
+    assert [tuple(r) for r in unknown_sex_leaf(unknown, 160).collect()] == [("U", 160, True)]
+    assert [tuple(r) for r in unknown_sex_leaf(unknown, 161).collect()] == [("U", 160, False)]
+
+
+def test_open_rules_have_no_last_year_and_rejects_come_back(spark):
+    rule = local_frame(spark, [("a", 2000, None, "x/{year}")], "site string, year_lo int, year_hi int, template string")
+    years = local_frame(spark, [("a", 1999), ("a", 2101), ("a", 9999), ("b", 2001)], "site string, year int")
+    assert [(r.year, r.template) for r in O.apply_year_rules(years, rule).orderBy("year").collect()] == [
+        (2101, "x/2101"),
+        (9999, "x/9999"),
+    ]
+    assert sorted(map(tuple, O.without_rule(years, rule).collect())) == [("a", 1999), ("b", 2001)]

@@ -137,3 +137,14 @@ def test_pager_items_of_any_length(spark):
     assert len(pager(wide, "shown").first().last) == 20000
     titled = last_page(pager(pages(spark, page, "none"), "titled"), "last", "last_value").orderBy("id").collect()
     assert [r.n_pages for r in titled] == [12, None]
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    from regmill.operators.regions import regions_of
+
+    page = "<div class='a'>" + "<p>text <b>x</b>" * 8000 + "</div>"
+    start = time.perf_counter()
+    (found,) = regions_of(page, "div.a")
+    assert len(found) == 16 * 8000 and time.perf_counter() - start < 0.5

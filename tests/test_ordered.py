@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from regmill.operators import ordered as O
-from regmill.operators.scale import first_by, spread_scan
+from regmill.operators.scale import deal_out, first_by
 from regmill.rules import local_frame
 
 ROWS = st.lists(
@@ -112,11 +112,10 @@ def test_since_mark(spark):
     assert none.count() == len(MARKED)
 
 
-def test_spread_scan_only_for_few_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_scan(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == cores
-    assert spread_scan(spark.range(100, numPartitions=cores), "id").rdd.getNumPartitions() == cores
-    assert spread_scan(spark.range(100, numPartitions=1), "id").count() == 100
+@pytest.mark.parametrize("splits", [1, 20])
+def test_deal_out_does_as_told(spark, splits):
+    dealt = deal_out(spark.range(100, numPartitions=splits), "id", 5)
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 100
 
 
 @pytest.mark.parametrize("chunk", [1, 3])

@@ -68,6 +68,17 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     assert rows(S.read_index(spark, root, ["id"], ["seq"]).select("id", "body")) == [("a", "z"), ("b", "y")]
 
 
+def test_live_load_keeps_history_and_other_checkpoints(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "index")
+    S.append_batch(local_frame(spark, [("old", 1, "x"), ("both", 9, "y")], SCHEMA), root, 0, S.next_load(spark, root))
+    local_frame(spark, [("both", 2, "z")], SCHEMA).write.parquet(source)
+    for state in ("s1", "s2", "s1"):
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        run_incremental(stream, root, str(tmp_path / state), lambda b: b).awaitTermination()
+    assert S.read_writes(spark, root).count() == 4 and S.next_load(spark, root) == 3
+    assert rows(S.read_index(spark, root, ["id"], ["seq"]).select("id", "body")) == [("both", "z"), ("old", "x")]
+
+
 @pytest.mark.parametrize("pieces", [1, 3])
 def test_stream_in_pieces_equals_one_batch(spark, tmp_path, pieces):
     source, root, state = (str(tmp_path / n) for n in ("in", "index", "state"))
@@ -81,7 +92,7 @@ def test_stream_in_pieces_equals_one_batch(spark, tmp_path, pieces):
         local_frame(spark, data[p::pieces], SCHEMA).write.mode("append").parquet(source)
         load()
     load()  # nothing new: nothing written
-    assert len(glob.glob(f"{root}/batch=*")) == pieces
+    assert len(glob.glob(f"{root}/source=main/load=0/batch=*")) == pieces
     assert S.read_writes(spark, root).count() == 30
     got = S.last_write(S.read_writes(spark, root), ["id"], ["seq"]).select("id", "seq", "body")
     want = {r[0]: r for r in data if r[1] % 2 == 0}
@@ -111,6 +122,8 @@ def test_csv_by_year_and_header_scan(spark, tmp_path):
     (text,) = [open(p).read() for p in glob.glob(f"{out}/year=2001/*.csv")]
     assert text == '"a ""q"", x",1\n'
     (tmp_path / "t.csv").write_text('NAME,TICKER,X\n"Acme, Inc",ACM,1\n"B ""b""",BBB,2\n')
+    (tmp_path / "u.csv").write_text('TICKER,NAME\nACM,"two\nlines"\nBBB,x\n')
+    assert [r.NAME for r in scan_csv(spark, str(tmp_path / "u.csv"), ["NAME"]).collect()] == ["two\nlines", "x"]
     got = scan_csv(spark, str(tmp_path / "t.csv"), ["TICKER"])
     assert got.columns == ["TICKER"] and [r.TICKER for r in got.collect()] == ["ACM", "BBB"]
 
