@@ -156,7 +156,9 @@ def fit(voted: DataFrame, column: str = "votes", rounds: int = ROUNDS) -> Model:
     of good cannot flip.
     """
     patterns = voted.groupBy(F.col(column).alias("v")).agg(F.count("*").cast("double").alias("n"))
-    row = patterns.agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("patterns"))
+    # empty patterns are rows that do not count; dropped here, where no filter on the votes' inputs can come of it
+    counted = F.filter(F.sort_array(F.collect_list(F.struct("v", "n"))), lambda p: F.size(p["v"]) > 0)
+    row = patterns.agg(counted.alias("patterns"))
 
     def step(state: Column) -> Column:
         weighed = F.transform(
@@ -214,8 +216,9 @@ def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFr
 
     The signals are computed twice, once to count vote patterns and once to filter: no text is stored or moved.
     """
-    counted = docs.select(let(signals(F.col(text)), lambda s: F.struct(votes(s).alias("votes"), base_failed(s).alias("failed"))).alias("x"))
-    model = fit(counted.select("x.*").where("not failed"))
+    none = F.array().cast("array<int>")
+    voted = let(signals(F.col(text)), lambda s: F.when(base_failed(s), none).otherwise(votes(s)))
+    model = fit(docs.select(voted.alias("votes")))
     judged = let(signals(F.col(text)), lambda s: ~base_failed(s) & (quality(votes(s), model) >= least))
     return docs.where(judged)
 
