@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from regmill.llm.chunks import ChunkEncoder, kept
+from regmill.llm.hashing import blocks
 from regmill.llm.registry import documents, query
 from regmill.session import fresh_dir
 
 MAGIC = b"BPLANES1"
 BLOCK_IDS = 65_536
 SEGMENT_IDS = 2_000_000
-PREPARED = 1000  # documents whose new chunks are encoded at once
+JOINED = 256  # new chunks that the library gets as one text
 _ENTRY = np.dtype([("ids", "<u4"), ("plane", [("at", "<u8"), ("size", "<u8")], 4)])
 
 
@@ -115,11 +117,24 @@ def write_ids(
             library = Tokenizer.from_str(model.value)
             library.encode_special_tokens = True
 
+            def encode(piece: str) -> bytes:
+                return np.array(library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+
+            # \u0120 stands for the space in byte-level vocabularies: a chunk has one space, at its start
+            spaced = np.zeros(library.get_vocab_size(), bool)
+            spaced[[i for token, i in library.get_vocab().items() if token[0] == "\u0120"]] = True
+
             def encode_many(pieces: list[str]) -> list[bytes]:
-                found = library.encode_batch_fast(pieces, add_special_tokens=False)
-                return [np.array(x.ids, "<u4").tobytes() for x in found]
+                out = []
+                joined = ["".join(pieces[a : a + JOINED]) for a in range(0, len(pieces), JOINED)]
+                for found in library.encode_batch_fast(joined, add_special_tokens=False):
+                    ids = np.array(found.ids, "<u4")
+                    edges = [*(4 * np.flatnonzero(spaced[ids])).tolist(), 4 * len(ids)]
+                    raw = ids.tobytes()
+                    out += [raw[a:b] for a, b in pairwise(edges)]
+                return out
 
-            return ChunkEncoder(lambda piece: encode_many([piece])[0], encode_many=encode_many)
+            return ChunkEncoder(encode, encode_many=encode_many)
 
         encoder, end = kept(f"library {digest}", make), np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
@@ -138,11 +153,10 @@ def write_ids(
 
         for batch in batches:
             names_type = batch.column(0).type
-            for place, name in enumerate(batch.column(0).to_pylist()):
-                if place % PREPARED == 0:
-                    texts = batch.column(1).slice(place, PREPARED).to_pylist()
-                    encoder.prepare(texts)
-                ids = encoder.ids(texts[place % PREPARED]) + end
+            texts = batch.column(1).to_pylist()
+            encoded = (x for a, b in blocks([len(t or "") for t in texts]) for x in encoder.many(texts[a:b]))
+            for name, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                ids += end
                 made.append(ids)
                 names.append(name)
                 lengths.append(len(ids) // 4)

@@ -22,19 +22,35 @@ class _Odd(Exception):
 
 
 class Memo(dict):
-    """Results of a function by argument; emptied when full, so its size is bounded."""
+    """Results of a function by argument, in two generations of at most `entries` each.
+
+    A full generation becomes the older one; what is used of that comes back, the rest goes with the next change.
+    """
 
     def __init__(self, function: Callable, entries: int = MEMO_ENTRIES):
         super().__init__()
-        self.function, self.entries = function, entries
+        self.function, self.entries, self.older = function, entries, {}
 
     def __missing__(self, key):
-        value = self.function(key)
+        value = self.older.get(key)
+        return self.put(key, self.function(key) if value is None else value)
+
+    def put(self, key, value):
         if len(self) >= self.entries:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
 
+    def unknown(self, keys: set) -> list:
+        """Those of the keys that neither generation has; those in the older one come back."""
+        missing = [k for k in keys if k not in self]
+        older = self.older
+        for k in missing:
+            if k in older:
+                self.put(k, older[k])
+        return [k for k in missing if k not in older]
+
 
 class ChunkEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers.
@@ -59,22 +75,30 @@ class ChunkEncoder:
             raise _Odd
         return self.encode(" " + chunk)
 
-    def ids(self, text: str | None) -> bytes:
+    def _cut(self, text: str | None) -> list[str]:
+        return text.split(" ") if text else []
+
+    def _joined(self, text: str | None, parts: list[str]) -> bytes:
         if not text:
             return b""
-        first, *rest = text.split(" ")
+        first = parts[0]
         try:
-            if rest and (not first or first[-1].isspace()):
+            if len(parts) > 1 and (not first or first[-1].isspace()):
                 raise _Odd
-            return self.encode(first) + b"".join(map(self.memo.__getitem__, rest))
+            return self.encode(first) + b"".join(map(self.memo.__getitem__, parts[1:]))
         except _Odd:
             return self.encode(text)
 
-    def prepare(self, texts: list[str | None]) -> None:
-        """Encode the chunks of these texts that are not known yet, all at once."""
-        chunks = {c for t in texts if t for c in t.split(" ")[1:]}
-        new = [c for c in chunks - self.memo.keys() if c and not c[0].isspace() and not c[-1].isspace()]
-        if len(self.memo) + len(new) > self.memo.entries:
-            self.memo.clear()
-            new = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        self.memo.update(zip(new, self.encode_many([" " + c for c in new]), strict=True))
+    def ids(self, text: str | None) -> bytes:
+        return self._joined(text, self._cut(text))
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; chunks that are not known yet are encoded all at once."""
+        cut = [self._cut(t) for t in texts]
+        chunks: set[str] = set()
+        for parts in cut:
+            chunks.update(parts[1:])
+        new = [c for c in self.memo.unknown(chunks) if c and not c[0].isspace() and not c[-1].isspace()]
+        for chunk, ids in zip(new, self.encode_many([" " + c for c in new]), strict=True):
+            self.memo.put(chunk, ids)
+        return [self._joined(t, parts) for t, parts in zip(texts, cut, strict=True)]
