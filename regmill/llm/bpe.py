@@ -3,7 +3,8 @@
 A piece (a match of the split pattern) is a linked list of byte strings. Every mergeable pair waits in
 the bucket of its rank; a bitmap of three levels of 64-bit words marks the buckets in use, and finding the
 first set bit on each level gives the lowest rank. Entries whose pair has changed since are stale and
-skipped when they come up. A piece of n bytes takes O(n log n) at worst, so very long pieces are fine.
+skipped when they come up. The new pieces of many texts share a queue, so a bucket is found once for all their
+pairs; a very long piece is one list like any other.
 
 Texts are encoded where they are, without a shuffle. A null text is empty and has no ids; a text is never
 cut; repeated rows get equal results and an empty table an empty one. Other columns, named anyhow, are kept by
@@ -16,7 +17,6 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regmill.llm.chunks import ChunkEncoder, Memo, kept
+from regmill.llm.hashing import blocks
 from regmill.llm.registry import documents, query
 
+SINGLE = [bytes([x]) for x in range(256)]
+QUEUED = 1 << 18  # bytes that share a queue, one piece at least
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a vocabulary file: a base64 token and its rank per line. Its size is the vocabulary's."""
@@ -35,9 +39,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank, lowest rank first, positions of a rank in order.
+    """Positions by rank, lowest rank first.
 
     One bit stands for a bucket in use, in words of 64; a bit of the next level for a word that is not zero.
+    Who finds a bucket in `buckets` may append to it; `push` opens one.
     """
 
     __slots__ = ("buckets", "low", "middle", "top")
@@ -50,8 +55,8 @@ class RankQueue:
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
+        if bucket is not None:
+            bucket.append(position)
             return
         self.buckets[rank] = [position]
         a, b = rank >> 6, rank >> 12
@@ -59,8 +64,8 @@ class RankQueue:
         self.middle[b] = self.middle.get(b, 0) | 1 << (a & 63)
         self.top |= 1 << b
 
-    def pop(self) -> tuple[int, int] | None:
-        """The lowest rank and its first position."""
+    def pop(self) -> tuple[int, list[int]] | None:
+        """The lowest rank and its positions in order; the bucket is closed."""
         top = self.top
         if not top:
             return None
@@ -70,58 +75,90 @@ class RankQueue:
         word = self.low[a]
         first = word & -word
         rank = (a << 6) + first.bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        word = self.low[a] = self.low[a] ^ first
+        word = self.low[a] = word ^ first
         if not word:
             word = self.middle[b] = self.middle[b] ^ 1 << (a & 63)
             if not word:
                 self.top = top ^ 1 << b
-        return rank, bucket.pop()
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
 
 
-def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one piece: always the pair of lowest rank is merged, the first of equals."""
+def encode_pieces(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+    """Ids of each piece: always its pair of lowest rank is merged, the first of equals.
+
+    The pieces lie in one linked list, parted by None, and share a queue: pieces do not touch each other, so
+    a bucket may be worked off for all of them together.
+    """
     rank_of = ranks.get
-    whole = rank_of(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    parts = [piece[i : i + 1] for i in range(n)]
+    parts: list[bytes | None] = []
+    wanted: list[int] = []
+    starts = []
+    for piece in pieces:
+        starts.append(len(parts))
+        parts += [SINGLE[x] for x in piece]
+        parts.append(None)
+        wanted += [rank_of(piece[i : i + 2], -1) for i in range(len(piece) - 1)]
+        wanted += (-1, -1) if piece else (-1,)
+    n = len(parts)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    wanted = [rank_of(piece[i : i + 2], -1) for i in range(n)]
-    wanted[n - 1] = -1
     queue = RankQueue()
-    push, pop = queue.push, queue.pop
+    push, pop, opened = queue.push, queue.pop, queue.buckets.get
     for i, rank in enumerate(wanted):
         if rank >= 0:
             push(rank, i)
     while (found := pop()) is not None:
-        rank, i = found
-        if wanted[i] != rank:
-            continue  # stale: the pair here has changed
-        j = after[i]
-        merged = parts[i] = parts[i] + parts[j]
-        wanted[j] = -1
-        k = after[i] = after[j]
-        if k < n:
+        rank, bucket = found
+        least = rank + 1
+        for at, i in enumerate(bucket):
+            if wanted[i] != rank:
+                continue  # stale: the pair here has changed
+            j = after[i]
+            merged = parts[i] = parts[i] + parts[j]
+            wanted[j] = -1
+            k = after[i] = after[j]
             before[k] = i
-            rank = wanted[i] = rank_of(merged + parts[k], -1)
-            if rank >= 0:
-                push(rank, i)
-        else:
-            wanted[i] = -1
-        h = before[i]
-        if h >= 0:
-            rank = wanted[h] = rank_of(parts[h] + merged, -1)
-            if rank >= 0:
-                push(rank, h)
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[parts[i]])
-        i = after[i]
-    return ids
+            follower = parts[k]
+            if follower is None:
+                wanted[i] = -1
+            else:
+                new = wanted[i] = rank_of(merged + follower, -1)
+                if new >= 0:
+                    if (other := opened(new)) is None:
+                        push(new, i)
+                    else:
+                        other.append(i)
+                    if new < least:
+                        least = new
+            h = before[i]
+            leader = parts[h]
+            if leader is not None:
+                new = wanted[h] = rank_of(leader + merged, -1)
+                if new >= 0:
+                    if (other := opened(new)) is None:
+                        push(new, h)
+                    else:
+                        other.append(h)
+                    if new < least:
+                        least = new
+            if least <= rank:  # the merge made a pair that comes before the rest of the bucket
+                for i in bucket[at + 1 :]:
+                    push(rank, i)
+                break
+    out = []
+    for i in starts:
+        ids = []
+        while (part := parts[i]) is not None:
+            ids.append(ranks[part])
+            i = after[i]
+        out.append(ids)
+    return out
+
+
+def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one piece."""
+    return encode_pieces([piece], ranks)[0]
 
 
 class Codec:
@@ -133,12 +170,35 @@ class Codec:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        pieces = Memo(lambda piece: struct.pack(f"<{len(x := encode_piece(piece.encode(), ranks))}I", *x))
-        self.chunks = ChunkEncoder(lambda text: b"".join(map(pieces.__getitem__, split.findall(text))))
+        self.ranks, self.findall = ranks, split.findall
+        self.pieces = Memo(lambda piece: self._packed([piece])[0])
+        self.chunks = ChunkEncoder(
+            lambda text: b"".join(map(self.pieces.__getitem__, self.findall(text))), encode_many=self._many
+        )
+
+    def _packed(self, pieces: list[str]) -> list[bytes]:
+        """Ids of the pieces; those that are no token go through the queue together, a bounded number of bytes a time."""
+        raw = [piece.encode() for piece in pieces]
+        whole = [self.ranks.get(piece) for piece in raw]
+        split = [piece for piece, rank in zip(raw, whole, strict=True) if rank is None]
+        made = (x for a, b in blocks([len(p) for p in split], QUEUED) for x in encode_pieces(split[a:b], self.ranks))
+        ids = ([rank] if rank is not None else next(made) for rank in whole)
+        return [struct.pack(f"<{len(x)}I", *x) for x in ids]
+
+    def _many(self, texts: list[str]) -> list[bytes]:
+        cut = [self.findall(text) for text in texts]
+        new = self.pieces.unknown({piece for pieces in cut for piece in pieces})
+        for piece, ids in zip(new, self._packed(new), strict=True):
+            self.pieces.put(piece, ids)
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
 
     def encode(self, text: str | None) -> bytes:
         return self.chunks.ids(text)
 
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        for a, b in blocks([len(t or "") for t in texts]):
+            yield from self.chunks.many(texts[a:b])
+
     def decode(self, ids: bytes | None) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
@@ -159,7 +219,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker()
         for batch in batches:
-            made = pa.array([codec.encode(t) for t in batch.column(text).to_pylist()], pa.binary())
+            made = pa.array(list(codec.encode_all(batch.column(text).to_pylist())), pa.binary())
             keep = [n for n in batch.schema.names if n != ids]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [ids])
 
@@ -191,8 +251,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", tex
         codec = worker()
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for value in batch.column(1):
-                made = codec.encode(value.as_py())
+            for made in codec.encode_all(batch.column(1).to_pylist()):
                 counts.append(len(made) // 4)
                 of_ids.append(hashlib.sha256(made).hexdigest())
                 of_text.append(hashlib.sha256(codec.decode(made)).hexdigest())
