@@ -42,6 +42,7 @@ MAGIC = b"BPLANES1"
 BLOCK_IDS = 65_536
 SEGMENT_IDS = 2_000_000
 JOINED = 256  # new chunks that the library gets as one text
+MEMO_ENTRIES = 1_000_000  # chunks in each of the two generations of a worker's memo, some 0.2 KB each
 _ENTRY = np.dtype([("ids", "<u4"), ("plane", [("at", "<u8"), ("size", "<u8")], 4)])
 
 
@@ -134,7 +135,7 @@ def write_ids(
                     out += [raw[a:b] for a, b in pairwise(edges)]
                 return out
 
-            return ChunkEncoder(encode, encode_many=encode_many)
+            return ChunkEncoder(encode, MEMO_ENTRIES, encode_many)
 
         encoder, end = kept(f"library {digest}", make), np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
