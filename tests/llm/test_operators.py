@@ -388,3 +388,33 @@ def test_secret_edges(spark, odd, empty):
     got = {r.doc_id: r for r in secrets.scan_secrets(odd).collect()}
     assert [s.kind for s in got[8].base] == [0, 1, 2] and not got[5].found
     assert secrets.scan_secrets(odd).count() == odd.count() and secrets.scan_secrets(empty).count() == 0
+
+
+def test_pieces_of_a_shared_queue_merge_as_if_alone():
+    """Against plain rescanning, with ranks in any order, so that merges make pairs of lower rank too."""
+    import random
+
+    from regmill.llm import bpe
+
+    def plain(piece, ranks):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[part] for part in parts]
+
+    some = random.Random(5)
+    for _ in range(100):
+        tokens = {bytes(some.choices(b"ab", k=some.randint(2, 6))) for _ in range(30)} | {b"a", b"b"}
+        ranks = {token: rank for rank, token in enumerate(some.sample(sorted(tokens), len(tokens)))}
+        pieces = [bytes(some.choices(b"ab", k=some.randint(0, 30))) for _ in range(20)]
+        assert bpe.encode_pieces(pieces, ranks) == [plain(piece, ranks) for piece in pieces]
+
+
+def test_memo_keeps_two_generations():
+    from regmill.llm.chunks import Memo
+
+    calls = []
+    memo = Memo(lambda key: calls.append(key) or key, 2)
+    assert [memo[k] for k in "abcab"] == list("abcab") and calls == ["a", "b", "c"]
+    assert memo.unknown({"a", "z"}) == ["z"] and len(memo) <= 2 and len(memo.older) <= 2
