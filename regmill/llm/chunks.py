@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable
 
 MEMO_ENTRIES = 400_000
+SHORT = 64  # characters of a text's first piece up to which it is remembered
 
 
 def kept(name: str, make: Callable):
@@ -67,38 +68,52 @@ class ChunkEncoder:
         entries: int = MEMO_ENTRIES,
         encode_many: Callable[[list[str]], list[bytes]] | None = None,
     ):
-        self.encode, self.encode_many = encode, encode_many
-        self.memo = Memo(self._chunk, entries)
+        self.encode = encode
+        self.encode_many = encode_many or (lambda pieces: [encode(p) for p in pieces])
+        self.memo, self.new = Memo(self._reserved, entries), {}
+        self.starts = Memo(encode, entries // 8)
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _reserved(self, chunk: str) -> bytearray:
+        """A buffer that stands for the chunk's ids until they are known."""
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Odd
-        return self.encode(" " + chunk)
+        return self.new.setdefault(chunk, bytearray())
 
-    def _cut(self, text: str | None) -> list[str]:
-        return text.split(" ") if text else []
-
-    def _joined(self, text: str | None, parts: list[str]) -> bytes:
+    def _found(self, text: str | None) -> list:
+        """Ids of the text's pieces, some of them still reserved buffers."""
         if not text:
-            return b""
-        first = parts[0]
+            return []
+        first, *parts = text.split(" ")
+        if parts and (not first or first[-1].isspace()):
+            return [self.encode(text)]
         try:
-            if len(parts) > 1 and (not first or first[-1].isspace()):
-                raise _Odd
-            return self.encode(first) + b"".join(map(self.memo.__getitem__, parts[1:]))
+            start = self.starts[first] if len(first) <= SHORT else self.encode(first)
+            return [start, *map(self.memo.__getitem__, parts)]
         except _Odd:
-            return self.encode(text)
+            return [self.encode(text)]
+
+    def _fill(self) -> None:
+        for (chunk, buffer), ids in zip(
+            self.new.items(), self.encode_many([" " + c for c in self.new]), strict=True
+        ):
+            buffer += ids
+            holder = self.memo if chunk in self.memo else self.memo.older
+            if chunk in holder:
+                holder[chunk] = ids
 
     def ids(self, text: str | None) -> bytes:
-        return self._joined(text, self._cut(text))
+        return self.many([text])[0]
 
     def many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; chunks that are not known yet are encoded all at once."""
-        cut = [self._cut(t) for t in texts]
-        chunks: set[str] = set()
-        for parts in cut:
-            chunks.update(parts[1:])
-        new = [c for c in self.memo.unknown(chunks) if c and not c[0].isspace() and not c[-1].isspace()]
-        for chunk, ids in zip(new, self.encode_many([" " + c for c in new]), strict=True):
-            self.memo.put(chunk, ids)
-        return [self._joined(t, parts) for t, parts in zip(texts, cut, strict=True)]
+        try:
+            found = [self._found(text) for text in texts]
+            self._fill()
+        except BaseException:
+            # nothing may stay reserved: the worker can be given another task
+            self.memo.clear()
+            self.memo.older = {}
+            raise
+        finally:
+            self.new = {}
+        return [b"".join(pieces) for pieces in found]

@@ -418,3 +418,27 @@ def test_memo_keeps_two_generations():
     memo = Memo(lambda key: calls.append(key) or key, 2)
     assert [memo[k] for k in "abcab"] == list("abcab") and calls == ["a", "b", "c"]
     assert memo.unknown({"a", "z"}) == ["z"] and len(memo) <= 2 and len(memo.older) <= 2
+
+
+def test_chunk_encoder_fills_what_it_reserved():
+    """Equal to encoding whole texts, also past the memo's bound; a failed call leaves no empty chunk behind."""
+    from regmill.llm.chunks import ChunkEncoder
+
+    def encode(text):
+        return text.encode("utf-16-le")
+
+    calls = []
+
+    def encode_many(pieces):
+        calls.append(len(pieces))
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return [encode(p) for p in pieces]
+
+    coder = ChunkEncoder(encode, 3, encode_many)
+    texts = [None, "", "a b c d e f g b a", "x  y z", " b c", "a b\n c", "b " * 50 + "é", "q" * 300 + " b", "a\tb c"]
+    with pytest.raises(RuntimeError):
+        coder.many(texts)
+    for _ in range(2):
+        assert coder.many(texts) == [encode(t or "") for t in texts]
+    assert coder.ids("b b z") == encode("b b z") and len(coder.memo) <= 3 and len(coder.memo.older) <= 3
