@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmill.functions import html as H
 from regmill.functions.text import strip
 
+
 def expand_years(rules: DataFrame, as_of_year: int) -> DataFrame:
     """One row per year of each rule; a last year <= 0 counts from `as_of_year`, an empty range gives none."""
     last = F.when(F.col("year_hi") <= 0, F.col("year_hi") + F.lit(as_of_year)).otherwise(F.col("year_hi"))
@@ -27,6 +30,16 @@ def apply_year_rules(df: DataFrame, year_rules: DataFrame) -> DataFrame:
     return out.withColumn("template", F.replace(F.col("template"), F.lit("{year}"), F.col("year").cast("string")))
 
 
+def year_scope(df: DataFrame, year_rules: DataFrame) -> DataFrame:
+    """`scope` replaced by that of the rule which holds the row's year, also where that is null; other rows keep theirs."""
+    rules = year_rules.select(
+        F.col("site").alias("_site"), "year_lo", "year_hi", F.struct(F.col("scope").alias("scope")).alias("_rule")
+    )
+    out = df.join(rules, (F.col("site") == F.col("_site")) & _covers(), "left")
+    scope = F.when(F.col("_rule").isNotNull(), F.col("_rule.scope")).otherwise(F.col("scope"))
+    return out.withColumn("scope", scope).drop("_site", "year_lo", "year_hi", "_rule")
+
+
 def without_rule(df: DataFrame, year_rules: DataFrame) -> DataFrame:
     """The rows whose year no rule of their site holds, or whose site has none."""
     rules = year_rules.select(F.col("site").alias("_site"), "year_lo", "year_hi")
@@ -91,9 +104,16 @@ def band(df: DataFrame, column: str, bands: DataFrame) -> DataFrame:
     return df.join(points, F.col(column).cast("int") == F.col("_point")).drop("_point")
 
 
-def code_list(df: DataFrame, html: str, tag: str = "option") -> DataFrame:
-    """Values of the options of a select box in order; options without the attribute are skipped."""
-    opened = F.regexp_extract_all(F.col(html), F.lit(rf'(?is)<{tag}\s(?:[^>]*?\s)?value\s*=\s*"([^"]*)"'), F.lit(1))
+def code_list(df: DataFrame, html: str, tag: str = "option", select: str | None = None) -> DataFrame:
+    """Values of the options of the select box with this id (null: of all boxes) in order.
+
+    Scripts and comments do not count; options without a value are skipped.
+    """
+    body = H.content(F.col(html))
+    if select is not None:
+        opening = rf"""(?is)<select\s(?:[^>]*?\s)?id\s*=\s*["']?{re.escape(select)}["'\s>].*?</select"""
+        body = F.regexp_extract(body, opening, 0)
+    opened = F.regexp_extract_all(body, F.lit(rf'(?is)<{tag}\s(?:[^>]*?\s)?value\s*=\s*"([^"]*)"'), F.lit(1))
     kept = [c for c in df.columns if c != html]
     return df.select(*kept, F.posexplode_outer(opened).alias("pos", "code")).where(F.col("pos").isNotNull())
 

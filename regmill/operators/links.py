@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,9 +107,14 @@ def unmatched(links: DataFrame, pages: DataFrame, target: str = "target") -> Dat
 
 
 def not_held(targets: DataFrame, manifest: DataFrame, place: list[str], order: list[str]) -> DataFrame:
-    """Targets still to fetch: the first of each place in this batch, unless it is held already."""
+    """Targets still to fetch: the first of each place in this batch, unless it is held already.
+
+    Parts of a place may be null (no category, no folder per year); nulls are equal here.
+    """
     fresh = first_by(targets, place, [F.col(c) for c in order])
-    return fresh.join(manifest.select(*place).distinct(), place, "left_anti")
+    held = manifest.select(*[F.col(c).alias(f"_held_{c}") for c in place]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in place]
+    return fresh.join(held, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def classify(df: DataFrame, n_files: str = "n_files", failed: str = "failed") -> DataFrame:

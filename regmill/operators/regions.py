@@ -33,7 +33,7 @@ def parse_scope(scope: str) -> list[tuple[int | None, str, list[str]]]:
     """Steps from the outside in: (ordinal, tag, classes); the ordinal of 'all' is None.
 
     'div.view-content > all tbody' reads: every table body in the first such div;
-    'td[-3]' is the third cell from the end.
+    'td[-3]' is the third cell from the end, 'td > *' is every child of the first cell.
     """
     steps = []
     for word in scope.split(" > "):
@@ -86,7 +86,44 @@ def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[
     return [markup[a : b if b >= 0 else len(markup)] for a, b in spans]
 
 
+def children(markup: str) -> list[str]:
+    """Elements and bare texts at the top of a piece of markup, in order; what is left open ends with it."""
+    pieces: list[str] = []
+    n_open: dict[str, int] = {}
+    open_tags: list[str] = []
+    start = 0
+
+    def cut(end: int) -> None:
+        nonlocal start
+        if end > start:
+            pieces.append(markup[start:end])
+        start = end
+
+    for token in TAG.finditer(markup):
+        name = token[2].lower()
+        if not token[1]:
+            if not open_tags:
+                cut(token.start())
+            if name not in VOID and not token[3].endswith("/"):
+                open_tags.append(name)
+                n_open[name] = n_open.get(name, 0) + 1
+            elif not open_tags:
+                cut(token.end())
+        elif n_open.get(name):
+            while True:
+                t = open_tags.pop()
+                n_open[t] -= 1
+                if t == name:
+                    break
+            if not open_tags:
+                cut(token.end())
+    cut(len(markup))
+    return pieces
+
+
 def _select(markup: str, ordinal: int | None, tag: str, classes: list[str]) -> list[str]:
+    if tag == "*":
+        return children(markup)
     hits = _inner(markup, tag, classes, ordinal == 1)
     if ordinal is None:
         return hits

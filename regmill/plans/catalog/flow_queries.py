@@ -190,7 +190,7 @@ NAMED_SQL = f"""
 
 def agency_sites(spark):
     """The routed sites moved to one example host."""
-    return rules.local_frame(spark, [(s, ROOT, p, label) for s, _, p, label in rules.ROUTED_SITES], rules.ROUTED_SCHEMA)
+    return rules.local_frame(spark, [(s, ROOT, *rest) for s, _, *rest in rules.ROUTED_SITES], rules.ROUTED_SCHEMA)
 
 
 def archive_targets(spark, sf):
@@ -231,7 +231,8 @@ def files_to_fetch(spark, sf):
 )
 def page_text_files(spark, sf):
     """Texts of the linked pages: one line per text region, cut at the page's own address."""
-    texts = collection.page_texts(archive_targets(spark, sf), derived.archived_texts(spark, sf), rules.year_rules(spark))
+    pages_ = derived.archived_texts(spark, sf)
+    texts = collection.page_texts(archive_targets(spark, sf), pages_, rules.year_rules(spark), agency_sites(spark))
     return texts.select("folder", "year", "file_name", "text")
 
 
@@ -239,22 +240,31 @@ def page_text_files(spark, sf):
     "rule_driven_files",
     f"""
     SELECT folder, year, file_name, min(seq) AS seq FROM (
-      SELECT CASE site WHEN 'ams' THEN 'www_ams_usda_gov' WHEN 'fcc' THEN 'www_fcc_gov' WHEN 'treasury' THEN 'ofac_treasury_gov'
-                       WHEN 'railroads' THEN 'railroads_dot_gov' ELSE 'assets_pcaobus_org' END AS folder, year, seq,
+      SELECT site, CASE site WHEN 'ams' THEN 'www_ams_usda_gov' WHEN 'fcc' THEN 'www_fcc_gov' WHEN 'treasury' THEN 'ofac_treasury_gov'
+                       WHEN 'railroads' THEN 'railroads_dot_gov' ELSE 'assets_pcaobus_org' END AS folder,
+             CASE WHEN site IN ('fcc', 'treasury') THEN year END AS year, seq, o_custkey,
              CASE site WHEN 'ams' THEN 'My File' WHEN 'railroads' THEN 'f ' WHEN 'pcaob' THEN 'f' ELSE '' END || o_custkey || '.pdf' AS file_name
       FROM (SELECT {derived.RULED_SITE} AS site, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey AS seq, o_custkey FROM orders)
-      WHERE NOT (site = 'ams' AND year = 1998))
+    )
+    WHERE NOT (site = 'ams' AND o_custkey IN
+               (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998))
+      AND file_name NOT LIKE '%9.pdf'
     GROUP BY folder, year, file_name""",
 )
 def rule_driven_files(spark, sf):
-    """Five sites with their own rules in one job; one site's files of one year are held."""
+    """Five sites with their own rules in one job; files of one site are held, one ending is denied, folders
+    per year are kept where the site has them."""
     held = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1998")
     manifest = held.select(
         F.lit("www_ams_usda_gov").alias("folder"),
-        F.year("o_orderdate").alias("year"),
+        F.lit(None).cast("int").alias("year"),
         F.concat(F.lit("My File"), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("file_name"),
     )
-    files = collection.site_files_to_fetch(derived.ruled_pages(spark, sf), rules.site_rules(spark), manifest)
+    endings = {"fcc": "9.pdf", "pcaob": "9.pdf?sfvrsn=1", "railroads": "9/download", "ams": "9.pdf", "treasury": "9/download?inline"}
+    denied = rules.local_frame(spark, [(s, "ending", e) for s, e in endings.items()], rules.DENY_SCHEMA)
+    files = collection.site_files_to_fetch(
+        derived.ruled_pages(spark, sf), rules.site_rules(spark), rules.year_rules(spark), denied, manifest
+    )
     return files.select("folder", "year", "file_name", "seq")
 
 

@@ -1,7 +1,7 @@
 """Document collection: pages to the files still to be fetched, and page texts.
 
-Pages are rows (site, year, seq, url, html); `seq` is the crawl order. What differs between
-sites comes from rule tables, so one job serves them all.
+Pages are rows (site, year, seq, url, html) and, where a site lists by category, category; `seq` is the
+crawl order. What differs between sites comes from rule tables, so one job serves them all.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from regmill.functions import urls as U
 from regmill.functions.text import cut_before, strip
 from regmill.operators import links as L
 from regmill.operators.extract import extract_links
-from regmill.operators.frontier import apply_year_rules
+from regmill.operators.frontier import apply_year_rules, year_scope
 from regmill.operators.ordered import forward_fill
 from regmill.operators.regions import scoped_regions
 from regmill.operators.scale import first_by
 from regmill.session import written
 
-PLACE = ["folder", "year", "file_name"]
+PLACE = ["folder", "category", "year", "file_name"]
 ORDER = ["seq", "region_no", "pos"]
 
 
@@ -51,29 +51,46 @@ def _not_held(named: DataFrame, manifest: DataFrame) -> DataFrame:
 # --- sites that list documents, directly or one page further ------------------
 
 
-def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def _with_category(df: DataFrame) -> DataFrame:
+    return df if "category" in df.columns else df.withColumn("category", F.lit(None).cast("string"))
+
+
+def _allowed(links: DataFrame, denied: DataFrame) -> DataFrame:
+    """Links that neither an exact address nor an ending of their site's list denies; the lists are rule rows."""
+    exact = L.deny_links(links, denied.where(F.col("kind") == "exact"), ["site"])
+    endings = denied.where(F.col("kind") == "ending").groupBy("site").agg(F.collect_set("value").alias("_denied"))
+    marked = exact.join(endings, "site", "left")
+    ends = F.exists("_denied", lambda e: F.endswith(F.col("href"), e))
+    return marked.where(~F.coalesce(ends, F.lit(False))).drop("_denied")
+
+
+def site_files(pages: DataFrame, rules: DataFrame, year_rules: DataFrame, denied: DataFrame) -> DataFrame:
     """Document links of all sites under their rules, named and placed.
 
+    A year rule of a site stands above the site's region of listing links. `year` is that of the file's folder, null
+    for sites without folders per year; `category` is null where pages have none.
+
     Listing links are written once and then read for the one-step and the two-step sites. Links
     of linked pages are extracted before the second step, which so joins narrow link rows, one
     per target of a site and year.
     """
-    ruled = pages.join(rules, "site")
-    constants = ["site", "root", "name_rule", "label"]
+    ruled = year_scope(_with_category(pages).join(rules, "site"), year_rules)
+    constants = ["site", "category", "root", "name_rule", "label", "by_year"]
     listing = ruled.select(*constants, "year", "seq", "html", "scope", "first_only", "beginnings", "endings", "detail_scope")
     links = scoped_links(listing).where(~F.col("first_only") | (F.col("pos") == 0))
-    begun = written(links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings"))), "site-links")
+    begun = _allowed(links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings"))), denied)
+    begun = written(begun, "site-links")
 
     direct = begun.where(F.col("detail_scope").isNull() & L.one_of(F.col("href"), F.col("endings")))
     hops = begun.where(F.col("detail_scope").isNotNull())
     hops = hops.withColumn("url", U.resolve(F.col("root"), F.col("href")))
-    hops = first_by(hops, ["site", "year", "url"], [F.col(c) for c in ORDER]).drop("href")
+    hops = first_by(hops, ["site", "category", "year", "url"], [F.col(c) for c in ORDER]).drop("href")
 
     details = ruled.where(F.col("detail_scope").isNotNull()).select(
         "site", "url", "html", F.nullif(F.col("detail_scope"), F.lit("")).alias("scope"), "detail_first_only", "endings"
     )
     found = scoped_links(details).where(~F.col("detail_first_only") | (F.col("pos") == 0))
-    found = found.where(L.one_of(F.col("href"), F.col("endings")))
+    found = _allowed(found.where(L.one_of(F.col("href"), F.col("endings"))), denied)
     found = found.select("site", "url", "href", F.col("region_no").alias("_region"), F.col("pos").alias("_pos"))
 
     columns = [*constants, "year", *ORDER, "href", "_region", "_pos"]
@@ -85,13 +102,17 @@ def site_files(pages: DataFrame, rules: DataFrame) -> DataFrame:
         {
             "file_name": U.file_name(F.col("target"), F.col("name_rule")),
             "folder": U.site_folder(F.col("root"), F.col("label")),
+            "year": F.when(F.col("by_year"), F.col("year")),
         }
     )
 
 
-def site_files_to_fetch(pages: DataFrame, rules: DataFrame, manifest: DataFrame) -> DataFrame:
-    """The same without what is held; the first target of a place wins."""
-    return L.not_held(site_files(pages, rules), manifest, PLACE, [*ORDER, "_region", "_pos"])
+def site_files_to_fetch(
+    pages: DataFrame, rules: DataFrame, year_rules: DataFrame, denied: DataFrame, manifest: DataFrame
+) -> DataFrame:
+    """The same without what is held (folder, year, file_name, maybe category); the first target of a place wins."""
+    files = site_files(pages, rules, year_rules, denied)
+    return L.not_held(files, _with_category(manifest), PLACE, [*ORDER, "_region", "_pos"])
 
 
 # --- sites whose archives link page texts, text files and PDFs ----------------
@@ -131,22 +152,29 @@ def targets_to_fetch(
     return _not_held(named_targets(links), manifest)
 
 
-def page_texts(targets: DataFrame, pages: DataFrame, year_rules: DataFrame, marker: str | None = None) -> DataFrame:
-    """Texts of linked pages: one trimmed line per region, cut where the page names its own address.
+def page_texts(targets: DataFrame, pages: DataFrame, year_rules: DataFrame, sites: DataFrame) -> DataFrame:
+    """Texts of linked pages: one trimmed line per region, cut at the site's marker or the page's own address.
 
-    `pages` are the linked pages (site, year, url, html); a given marker replaces the address.
-    Texts are made before the join, so that the join does not move markup.
+    `pages` are the linked pages (site, year, url, html and, where pages are read again, seq). The last
+    crawl of a page counts, and of the pages that share a file the last one listed, as each write replaces
+    the one before. Texts are made before the join, so that the join does not move markup.
     """
-    ruled = apply_year_rules(pages.select("site", "year", "url", "html"), year_rules).drop("template", "scope")
+    crawl = F.coalesce("seq", F.lit(-1)) if "seq" in pages.columns else F.lit(-1)
+    pages = pages.select("site", "year", "url", crawl.cast("bigint").alias("_crawl"), "html")
+    ruled = apply_year_rules(pages, year_rules).drop("template", "scope").join(sites.select("site", "marker"), "site")
     regions = scoped_regions(ruled.withColumnRenamed("text_scope", "scope"))
-    cut = F.lit(marker) if marker else F.regexp_replace("url", "^https://", "http://")
+    cut = F.coalesce("marker", F.regexp_replace("url", "^https://", "http://"))
     line = F.concat(cut_before(strip(H.plain(F.col("region"))), cut), F.lit("\n"))
-    lines = regions.select("site", "url", "year", "region_no", line.alias("line"))
-    texts = lines.groupBy("site", "year", "url").agg(
+    lines = regions.select("site", "url", "year", "_crawl", "region_no", line.alias("line"))
+    page = ["site", "year", "url"]
+    texts = lines.groupBy(*page, "_crawl").agg(
         F.array_join(
             F.transform(F.sort_array(F.collect_list(F.struct("region_no", "line"))), lambda x: x["line"]), ""
         ).alias("text")
     )
+    texts = texts.groupBy(*page).agg(F.max_by("text", "_crawl").alias("text"))
     wanted = targets.where(F.col("route") == "page_text")
-    wanted = wanted.select("site", "year", "folder", "file_name", F.col("target").alias("url")).distinct()
-    return wanted.join(texts, ["site", "year", "url"])
+    wanted = wanted.select("site", "year", "folder", "file_name", F.col("target").alias("url"), *ORDER)
+    there = wanted.join(pages.select(*page).distinct(), page, "left_semi")
+    last = first_by(there, ["folder", "year", "file_name"], [F.col(c).desc() for c in ORDER])
+    return last.drop(*ORDER).join(texts, page)

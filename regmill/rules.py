@@ -181,30 +181,30 @@ TEASER_DATE_CLASS = "dol-date-text"
 
 # Regions of a page are written as a path of steps from the outside in, parted by ' > '. A step is
 # 'tag', '.class' or 'tag.class'; the first match counts, '[k]' picks the k-th (from the end when
-# negative), 'all ' in front takes every match.
+# negative), 'all ' in front takes every match, '*' stands for every child, bare text among them.
 
 # Years whose page address, link region or text region differ.
 # (site, first year, last year, address template, region of the links, region of the page text)
 # A null last year is open; a null region is the whole page.
 YEAR_RULES = [
     ("litigation", 1995, 2007, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "all font"),
-    ("litigation", 2008, 2009, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3]"),
-    ("litigation", 2010, 2010, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", ".Content[-1]"),
-    ("litigation", 2011, 2015, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3]"),
-    ("litigation", 2016, 2017, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", "td[-3]"),
-    ("litigation", 2018, 2019, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", ".grid_10 push_2"),
-    ("litigation", 2020, None, "/litigation/litreleases/litrelarchive/litarchive{year}.htm", "table[-1]", ".grid_10 push_2"),
+    ("litigation", 2008, 2009, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3] > *"),
+    ("litigation", 2010, 2010, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", ".Content[-1] > *"),
+    ("litigation", 2011, 2015, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-2]", "td[-3] > *"),
+    ("litigation", 2016, 2017, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", "td[-3] > *"),
+    ("litigation", 2018, 2019, "/litigation/litreleases/litrelarchive/litarchive{year}.shtml", "table[-1]", ".grid_10 push_2 > *"),
+    ("litigation", 2020, None, "/litigation/litreleases/litrelarchive/litarchive{year}.htm", "table[-1]", ".grid_10 push_2 > *"),
     ("admin", 1995, 2008, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "all font"),
-    ("admin", 2009, 2009, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3]"),
-    ("admin", 2010, 2010, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".Content[-1]"),
-    ("admin", 2011, 2017, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3]"),
-    ("admin", 2018, 2019, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".grid_10 push_2"),
-    ("admin", 2020, None, "/litigation/admin/adminarchive/adminarc{year}.htm", None, ".grid_10 push_2"),
+    ("admin", 2009, 2009, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3] > *"),
+    ("admin", 2010, 2010, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".Content[-1] > *"),
+    ("admin", 2011, 2017, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, "tr[-3] > *"),
+    ("admin", 2018, 2019, "/litigation/admin/adminarchive/adminarc{year}.shtml", None, ".grid_10 push_2 > *"),
+    ("admin", 2020, None, "/litigation/admin/adminarchive/adminarc{year}.htm", None, ".grid_10 push_2 > *"),
     ("enforce", 1999, 2008, "/divisions/enforce/friactions/friactions{year}.shtml", None, "all font"),
-    ("enforce", 2009, 2009, "/divisions/enforce/friactions/friactions{year}.shtml", None, "tr[-2]"),
-    ("enforce", 2010, 2010, "/divisions/enforce/friactions/friactions{year}.htm", None, ".Content[-1]"),
-    ("enforce", 2011, 2017, "/divisions/enforce/friactions/friactions{year}.htm", None, "tr[-2]"),
-    ("enforce", 2018, None, "/divisions/enforce/friactions/friactions{year}.htm", None, ".grid_10 push_2"),
+    ("enforce", 2009, 2009, "/divisions/enforce/friactions/friactions{year}.shtml", None, "tr[-2] > *"),
+    ("enforce", 2010, 2010, "/divisions/enforce/friactions/friactions{year}.htm", None, ".Content[-1] > *"),
+    ("enforce", 2011, 2017, "/divisions/enforce/friactions/friactions{year}.htm", None, "tr[-2] > *"),
+    ("enforce", 2018, None, "/divisions/enforce/friactions/friactions{year}.htm", None, ".grid_10 push_2 > *"),
     ("onrr_pdf", 2017, 2017, "/document/Penalty.Collections.pdf", None, None),
     ("onrr_pdf", 2018, 2021, "/document/{year}.pdf", None, None),
     ("onrr_pdf", 2022, None, "/document/{year}_Penalties.pdf", None, None),
@@ -253,19 +253,23 @@ DENIED_LINKS = [
 ]
 DENY_SCHEMA = "site string, kind string, value string"
 
-# Sites whose archive links are routed by kind: site, site root, beginning of page links, folder label.
+# Sites whose archive links are routed by kind: site, site root, beginning of page links, folder label,
+# where lines of page texts are cut (null: at the page's own address).
 ROUTED_SITES = [
-    ("litigation", "https://www.sec.gov", "/litigation/litreleases", " litigation"),
-    ("admin", "https://www.sec.gov", "/litigation/admin/", " admin"),
-    ("enforce", "https://www.sec.gov", "/litigation/", " Enforce"),
+    ("litigation", "https://www.sec.gov", "/litigation/litreleases", " litigation", "http"),
+    ("admin", "https://www.sec.gov", "/litigation/admin/", " admin", None),
+    ("enforce", "https://www.sec.gov", "/litigation/", " Enforce", None),
 ]
-ROUTED_SCHEMA = "site string, root string, page_prefix string, label string"
+ROUTED_SCHEMA = "site string, root string, page_prefix string, label string, marker string"
 
 _DOCUMENT_SET = (
     "div.document--set file--attachment field field--name-field-document field--type-file "
     "field--label-hidden clearfix field__item"
 )
 
+# Sites of the following rules that keep a folder per year.
+YEARLY_SITES = ["fcc", "treasury", "ferc"]
+
 # How every other site is read.
 # site, site root, region of listing links, only the first link of each region, beginnings of links kept,
 # region of the document links on the linked page (null: the listing links are the documents; '': whole page),
@@ -350,7 +354,8 @@ def site_years(spark: SparkSession) -> DataFrame:
 
 
 def site_rules(spark: SparkSession) -> DataFrame:
-    return local_frame(spark, SITE_RULES, SITE_RULE_SCHEMA)
+    rows = [(*rule, rule[0] in YEARLY_SITES) for rule in SITE_RULES]
+    return local_frame(spark, rows, f"{SITE_RULE_SCHEMA}, by_year boolean")
 
 
 def routed_sites(spark: SparkSession) -> DataFrame:

@@ -36,9 +36,44 @@ LISTED = [
 ]
 
 
+def files_to_fetch(spark, pages, manifest):
+    return collection.site_files_to_fetch(
+        pages, rules.site_rules(spark), rules.year_rules(spark), rules.denied_links(spark), manifest
+    )
+
+
+def test_places_and_rules_of_sites(spark):
+    """Categories and years part files only where the site keeps folders for them; denied endings, old pages."""
+    media = "https://ofac.treasury.gov/media/{}/download?inline"
+    pages = local_frame(
+        spark,
+        [
+            ("nrc", "reactors", 2020, 1, "u1", '<a href="/d/doc1.pdf">1</a><a href="/d/held.pdf">h</a>'),
+            ("nrc", "materials", 2020, 2, "u2", '<a href="/m/doc1.pdf">1</a><a href="/m/held.pdf">h</a>'),
+            ("ams", None, 2019, 3, "u3", '<a href="/r/same.pdf">s</a>'),
+            ("ams", None, 2020, 4, "u4", '<a href="/r/same.pdf">s</a>'),
+            ("treasury", None, 2005, 5, "u5", f'<a href="{media.format(1)}">out</a><table></table>'),
+            ("treasury", None, 2015, 6, "u6", f'<a href="{media.format(2)}">out</a><table><tr><td><a href="{media.format(3)}">in</a></td></tr></table>'),
+            ("treasury", None, 2016, 7, "u7", f'<table><tr><td><a href="{media.format(3)}">other year</a></td></tr></table>'),
+            ("bsee", None, 2017, 8, "u8", '<a href="/x/cp-matrix-522.pdf">denied</a><a href="/x/kept.pdf">k</a>'),
+        ],
+        "site string, category string, year int, seq bigint, url string, html string",
+    )
+    manifest = local_frame(
+        spark, [("www_nrc_gov", "reactors", None, "held.pdf")], "folder string, category string, year int, file_name string"
+    )
+    rows = {(r.site, r.category, r.year, r.file_name, r.seq) for r in files_to_fetch(spark, pages, manifest).collect()}
+    assert rows == {
+        ("nrc", "reactors", None, "doc1.pdf", 1), ("nrc", "materials", None, "doc1.pdf", 2),
+        ("nrc", "materials", None, "held.pdf", 2), ("ams", None, None, "same.pdf", 3),
+        ("treasury", None, 2005, "1.pdf", 5), ("treasury", None, 2015, "3.pdf", 6), ("treasury", None, 2016, "3.pdf", 7),
+        ("bsee", None, None, "kept.pdf", 8),
+    }
+
+
 def test_every_site_shape(spark):
-    manifest = local_frame(spark, [("www_faa_gov", 2020, "y.pdf")], "folder string, year int, file_name string")
-    got = collection.site_files_to_fetch(local_frame(spark, LISTED, PAGES), rules.site_rules(spark), manifest)
+    manifest = local_frame(spark, [("www_faa_gov", None, "y.pdf")], "folder string, year int, file_name string")
+    got = files_to_fetch(spark, local_frame(spark, LISTED, PAGES), manifest)
     assert sorted((r.site, r.folder, r.file_name, r.seq) for r in got.collect()) == sorted([
         ("faa", "www_faa_gov", "x.pdf", 1),
         ("ferc_table", "www_ferc_gov", "in.pdf", 2),
@@ -89,8 +124,40 @@ def test_archive_flow_and_texts(spark):
          ("admin", 2021, None, "https://www.sec.gov/litigation/admin/2021/34-1.htm", '<div class="grid_10 push_2"> In <b>re</b> </div>')],
         PAGES,
     )
-    texts = collection.page_texts(targets, linked, rules.year_rules(spark)).collect()
-    assert sorted((r.site, r.file_name, r.text) for r in texts) == [("admin", "34-1.txt", "In re\n"), ("litigation", "lr1.txt", "text \n")]
+    texts = collection.page_texts(targets, linked, rules.year_rules(spark), rules.routed_sites(spark)).collect()
+    assert sorted((r.site, r.file_name, r.text) for r in texts) == [
+        ("admin", "34-1.txt", "In\nre\n\n"), ("litigation", "lr1.txt", "text \n"),
+    ]
+
+
+def test_page_texts_line_per_child(spark):
+    """Each child of the chosen element is a line cut on its own; the last crawl of a page and the last page of a file win."""
+    root = "https://www.sec.gov"
+    children = '<p>first</p><p>see {0}://other.example/x</p><p>at http://www.sec.gov/{1} end</p>last <br>tail'
+    targets = local_frame(
+        spark,
+        [(s, 2021, 1, 0, k, "page_text", s, f"{n}.txt", f"{root}/{u}") for s, k, n, u in (
+            ("litigation", 1, "a", "l1"), ("admin", 2, "b", "a1"), ("admin", 3, "c", "c1"), ("admin", 4, "c", "c2"), ("admin", 5, "c", "gone"))],
+        "site string, year int, seq bigint, region_no bigint, pos int, route string, folder string, file_name string, target string",
+    )
+    box = '<div class="grid_10 push_2">{}</div>'
+    pages = local_frame(
+        spark,
+        [
+            ("litigation", 2021, 1, f"{root}/l1", box.format(children.format("http", "l1"))),
+            ("admin", 2021, 1, f"{root}/a1", box.format("old")),
+            ("admin", 2021, 2, f"{root}/a1", box.format(children.format("http", "a1"))),
+            ("admin", 2021, 1, f"{root}/c1", box.format("<b>one</b>")),
+            ("admin", 2021, 1, f"{root}/c2", box.format("<b>two</b>")),
+        ],
+        PAGES,
+    )
+    texts = collection.page_texts(targets, pages, rules.year_rules(spark), rules.routed_sites(spark)).collect()
+    assert {(r.site, r.file_name): r.text for r in texts} == {
+        ("litigation", "a.txt"): "first\nsee \nat \nlast\n\ntail\n",
+        ("admin", "b.txt"): "first\nsee http://other.example/x\nat \nlast\n\ntail\n",
+        ("admin", "c.txt"): "two\n",
+    }
 
 
 def test_release_listing_spans_pages(spark):

@@ -95,6 +95,9 @@ def test_ordinals_first_and_codes(spark):
     select = '<select><option>all</option><option value="AF">a</option><option selected value="">e</option></select>'
     codes = code_list(pages(spark, select), "html").collect()
     assert [(c.pos, c.code) for c in codes] == [(0, "AF"), (1, "")]
+    boxes = f'<!-- <option value="no"> --><select id="sex"><option value="F">f</option></select>{select.replace("<select", "<select class=x id=nat")}'
+    one = code_list(pages(spark, boxes), "html", select="nat").collect()
+    assert [c.code for c in one] == ["AF", ""] and code_list(pages(spark, boxes), "html", select="age").count() == 0
     dated = X.labelled_date(local_frame(spark, [("Date: March 3, 2010, x",), ("none",)], "t string"), "t")
     assert [r.date for r in dated.collect()] == [" March 3 2010", None]
 
