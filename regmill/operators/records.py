@@ -23,10 +23,18 @@ def of_source(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({n: F.lit(v).cast("string") for n, v in zip(names, values)})
 
 
-def merge_right(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Join in which the right side's value stands for every shared column, null or not."""
+def merge_right(left: DataFrame, right: DataFrame, key: str, found: str | None = None) -> DataFrame:
+    """Join in which the right side's value stands for every shared column, null or not.
+
+    With `found`, rows without a partner stay as they are, and the column of that name is null in them, else true.
+    """
     shared = [c for c in left.columns if c in right.columns and c != key]
-    return left.drop(*shared).join(right, key)
+    if found is None:
+        return left.drop(*shared).join(right, key)
+    own = left.withColumnsRenamed({c: f"_left_{c}" for c in shared})
+    joined = own.join(right.withColumn(found, F.lit(True)), key, "left")
+    merged = {c: F.when(F.col(found), F.col(c)).otherwise(F.col(f"_left_{c}")) for c in shared}
+    return joined.withColumns(merged).drop(*[f"_left_{c}" for c in shared])
 
 
 def split_rejects(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -90,22 +98,29 @@ def document_id(df: DataFrame, message: str, key_hex: str, into: str = "document
     return df.withColumn(into, keyed_id(F.col(message), key_hex))
 
 
-def explode_notices(responses: DataFrame, body: str = "body") -> DataFrame:
-    """One row per notice that links to its detail; the picture link may be missing."""
+def explode_notices(responses: DataFrame, body: str = "body", unlinked: bool = False) -> DataFrame:
+    """One row per notice that links to its detail; the picture link may be missing.
+
+    With `unlinked`, notices without the link stay, `detail_url` null.
+    """
     n = F.col("n")
     rows = responses.select(F.explode(F.col(f"{body}._embedded.notices")).alias("n"))
-    return rows.where(n["_links"]["self"]["href"].isNotNull()).select(
+    rows = rows if unlinked else rows.where(n["_links"]["self"]["href"].isNotNull())
+    return rows.select(
         "n.*",
         n["_links"]["self"]["href"].alias("detail_url"),
         n["_links"]["thumbnail"]["href"].alias("entity_profile_image_url"),
     )
 
 
-def promote_first(df: DataFrame, array: str) -> DataFrame:
-    """Fields of the first element as columns, replacing columns of the same name; no element rejects the row."""
+def promote_first(df: DataFrame, array: str, empty: bool = False) -> DataFrame:
+    """Fields of the first element as columns, replacing columns of the same name; no element rejects the row.
+
+    With `empty`, rows without an element stay, the fields null.
+    """
     first = F.get(F.col(array), F.lit(0))
     fields = df.schema[array].dataType.elementType.names
-    kept = df.where(F.size(array) > 0).withColumn("_first", first)
+    kept = (df if empty else df.where(F.size(array) > 0)).withColumn("_first", first)
     return kept.withColumns({f: F.col("_first")[f] for f in fields}).drop("_first")
 
 
@@ -125,12 +140,18 @@ def normalize_dob(df: DataFrame, column: str = "date_of_birth", into: str = "ent
 
 
 def fold_attributes(df: DataFrame, into: str = "entity_notes") -> DataFrame:
-    """Physical attributes as one note 'k: v; k: v;'; a list stands by its last item, absent ones are left out."""
+    """Physical attributes as one note 'k: v; k: v;'; a list stands by its last item, absent ones are left out.
+
+    A value may be a list or its JSON text; any other text stands as it is, so numbers keep their printed form.
+    """
     parts = []
     for name in [c for c in R.FOLDED_ATTRIBUTES if c in df.columns]:
         c = F.col(name)
         if df.schema[name].dataType.typeName() == "array":
             c = F.try_element_at(c, F.lit(-1))
+        elif df.schema[name].dataType.typeName() == "string":
+            items = F.from_json(c, "array<string>")
+            c = F.when(F.startswith(c, F.lit("[")), F.try_element_at(items, F.lit(-1))).otherwise(c)
         parts.append(F.when(c.isNotNull(), F.concat(F.lit(f"{name}: "), c.cast("string"), F.lit(";"))))
     joined = F.concat_ws(" ", *parts)
     note = F.when(joined != "", F.concat(F.lit(R.FOLD_PREFIX), joined))

@@ -220,7 +220,9 @@ def notice_details(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_mktsegment").alias("place_of_birth"),
         F.col("c_nationkey").cast("string").alias("country_of_birth_id"),
         F.when(F.col("c_acctbal") > 5000, F.lit("tall")).alias("distinguishing_marks"),
+        F.when(F.col("c_acctbal") > 8000, F.col("c_nationkey")).alias("weight"),
         F.when(F.col("c_acctbal") > 2000, F.array(F.lit("BLO"), F.lit("BRO"))).alias("hairs_id"),
+        F.when(F.col("c_acctbal") > 9000, F.lit("BLU")).alias("eyes_colors_id"),
         F.array(F.concat(F.lit("L"), F.col("c_nationkey").cast("string"))).alias("languages_spoken_ids"),
         F.array(F.col("c_nationkey").cast("string")).alias("nationalities"),
         F.when(

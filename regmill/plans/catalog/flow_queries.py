@@ -154,6 +154,20 @@ def card_release_documents(spark, sf):
     return documents.select(*RELEASE_COLUMNS)
 
 
+@query(
+    "release_rejects",
+    f"""
+    SELECT 'Case ' || o_orderpriority AS title, 'https://oig.hhs.gov{derived.HHS_PATH}' || o_orderkey AS link,
+           'no release page' AS reason FROM orders WHERE o_orderstatus = 'P'""",
+)
+def release_rejects(spark, sf):
+    """Listed releases whose page lacks the article come back as rejects."""
+    _, rejects = releases.release_documents(
+        derived.card_listing(spark, sf), derived.card_pages(spark, sf), rules.RELEASE_RULES["hhs"], DEMO_KEY
+    )
+    return rejects.select("title", "link", "reason")
+
+
 @query(
     "teaser_release_documents",
     documents_sql(

@@ -98,8 +98,10 @@ def birth_dates(spark, sf):
 
 
 NOTE_SQL = """
-    'Physical description: ' || CASE WHEN c_acctbal > 2000 THEN 'hair_colour: BRO; ' ELSE '' END
-      || 'languages_spoken: L' || c_nationkey || ';' || CASE WHEN c_acctbal > 5000 THEN ' distinguishing_marks: tall;' ELSE '' END"""
+    'Physical description: ' || CASE WHEN c_acctbal > 8000 THEN 'weight: ' || c_nationkey || '; ' ELSE '' END
+      || CASE WHEN c_acctbal > 2000 THEN 'hair_colour: BRO; ' ELSE '' END
+      || CASE WHEN c_acctbal > 9000 THEN 'eyes_colour: BLU; ' ELSE '' END ||
+      'languages_spoken: L' || c_nationkey || ';' || CASE WHEN c_acctbal > 5000 THEN ' distinguishing_marks: tall;' ELSE '' END"""
 
 
 @query("physical_notes", f"SELECT '/notice/' || c_custkey AS detail_url, {NOTE_SQL} AS entity_notes FROM customer")
@@ -144,6 +146,22 @@ def yellow_notice_rejects(spark, sf):
     return rejects.select("entity_id", "reason")
 
 
+@query(
+    "red_notice_rejects",
+    """
+    SELECT entity_id, reason FROM (
+      SELECT 'N/' || c_custkey AS entity_id,
+             CASE WHEN c_acctbal <= 5000 THEN 'no detail' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'no warrant'
+                  WHEN c_mktsegment = 'HOUSEHOLD' THEN 'birth date' END AS reason FROM customer)
+    WHERE reason IS NOT NULL""",
+)
+def red_notice_rejects(spark, sf):
+    """Every notice that does not become a document, with the first reason."""
+    known = details(spark, sf).where("distinguishing_marks IS NOT NULL")
+    _, rejects = N.notice_documents(responses(spark, sf), known, "red", DEMO_KEY)
+    return rejects.select("entity_id", "reason")
+
+
 @query(
     "renamed_notices",
     f"""

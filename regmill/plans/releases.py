@@ -45,9 +45,10 @@ def release_records(listing: DataFrame, details: DataFrame, rule: ReleaseRule) -
     """Listing rows with body, date and source constants.
 
     Equal listing rows give equal records, so they are reduced to the first one before bodies are joined.
+    A row whose release page is missing, or lacks the region of the text, stays without body.
     """
     once = first_seen(listing, ["title", "date", "link"], ["source"], ["pos"])
-    joined = (once.drop("date") if rule.date_on_page else once).join(details, "link")
+    joined = (once.drop("date") if rule.date_on_page else once).join(details, "link", "left")
     repaired = R.repair_dates(joined, "date", date_fixes(listing.sparkSession)) if rule.date_on_page else joined
     dated = R.normalize_dates(repaired, "date", rule.date_format, "time_master")
     return R.of_source(dated, rule.source).withColumns(
@@ -61,10 +62,12 @@ def release_records(listing: DataFrame, details: DataFrame, rule: ReleaseRule) -
 
 
 def keyed_documents(records: DataFrame, key_hex: str) -> tuple[DataFrame, DataFrame]:
-    """(documents with their id, rejects): a record with any field missing has no id."""
+    """(documents with their id, rejects): a record without a body or with any field missing has no id."""
     fields = [f for f in DOCUMENT_FIELDS if f not in ID_EXCLUDES]
     complete = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in fields])
-    good, bad = R.split_rejects(records, {"field missing": complete})
+    good, bad = R.split_rejects(
+        records, {"no release page": F.col("message_body").isNotNull(), "field missing": complete}
+    )
     return R.document_id(R.canonical_message(good), "message", key_hex).drop("message"), bad
 
 

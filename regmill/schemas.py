@@ -2,7 +2,6 @@
 
 from pyspark.sql.types import (
     ArrayType,
-    DoubleType,
     LongType,
     StringType,
     StructField,
@@ -56,8 +55,9 @@ WARRANT = StructType(_strings("charge", "issuing_country_id"))
 
 NOTICE_DETAIL = StructType(
     _strings("entity_id", "name", "forename", "date_of_birth", "sex_id", "place_of_birth", "country_of_birth_id")
-    + [StructField("height", DoubleType()), StructField("weight", DoubleType())]
-    + [StructField(n, ArrayType(StringType())) for n in ("languages_spoken_ids", "hairs_id", "eyes_colors_id", "nationalities")]
+    # one value or a list, by notice; as text, both keep their printed form
+    + _strings("height", "weight", "languages_spoken_ids", "hairs_id", "eyes_colors_id")
+    + [StructField("nationalities", ArrayType(StringType()))]
     + _strings("distinguishing_marks")
     + [StructField("arrest_warrants", ArrayType(WARRANT))]
 )

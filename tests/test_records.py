@@ -38,7 +38,9 @@ def test_message_has_eight_fields_in_order(spark):
     messages = R.canonical_message(frame).collect()
     assert [m.message for m in messages] == ["".join(row), None]
     good, bad = keyed_documents(frame, KEY)
-    assert good.count() == 1 and [r.reason for r in bad.collect()] == ["field missing"]
+    assert good.count() == 1 and [r.reason for r in bad.collect()] == ["no release page"]
+    last = local_frame(spark, [row[:-1] + (None,)], ", ".join(f"{f} string" for f in fields))
+    assert [r.reason for r in keyed_documents(last, KEY)[1].collect()] == ["field missing"]
     stamped = R.stamp(good).select("time_collected", "time_uploaded").first()
     assert stamped.time_collected == stamped.time_uploaded
 
@@ -111,15 +113,39 @@ def test_red_and_yellow_notices(spark):
     assert row.document_id == hmac.new(bytes.fromhex(KEY), b"1/1", hashlib.sha256).hexdigest().upper()
     gone = {"height", "weight", "hair_colour", "_links", "date_of_birth", "arrest_warrants", "issuing_country_id", "charge"}
     assert not gone & set(documents.columns)
-    assert [r.entity_id for r in rejects.collect()] == ["1/2"]
+    assert sorted((r.entity_id, r.reason) for r in rejects.collect()) == [
+        ("1/2", "birth date"), ("1/3", "no link to the detail"), ("1/4", "no warrant"),
+    ]
 
     documents, rejects = notices.notice_documents(*notice_inputs(spark), "yellow", KEY)
     rows = {r.entity_id: r for r in documents.collect()}
+    assert sorted((r.entity_id, r.reason) for r in rejects.collect()) == [
+        ("1/2", "birth date"), ("1/3", "no link to the detail"),
+    ]
     assert set(rows) == {"1/1", "1/4"} and rows["1/4"].entity_notes is None
     sparse = R.to_sparse(documents.select("entity_id", "entity_notes", "entity_dob"), "entity_id").collect()
     assert {r.entity_id: r.document for r in sparse}["1/4"] == '{"entity_id":"1/4","entity_dob":"1970-01-01T00:00:00.000Z"}'
 
 
+def test_rejects_are_all_that_is_no_document(spark):
+    responses, details = notice_inputs(spark)
+    broken = decode_json(local_frame(spark, [("{oops",), (None,)], "r string"), "r", schemas.NOTICE_RESPONSE)
+    documents, rejects = notices.notice_documents(responses.unionByName(broken), details.where("detail_url <> '/1'"), "red", KEY)
+    assert documents.count() == 0
+    reasons = sorted((r.entity_id or "", r.reason) for r in rejects.collect())
+    assert reasons == [("", "undecodable response")] * 2 + [
+        ("1/1", "no detail"), ("1/2", "birth date"), ("1/3", "no link to the detail"), ("1/4", "no warrant"),
+    ]
+
+
+def test_attributes_keep_their_form(spark):
+    """One value or a list, and numbers as printed."""
+    body = '{"entity_id": "1", "weight": 80, "height": 1.80, "hairs_id": "BRO", "eyes_colors_id": ["BLU", "GRN"], "languages_spoken_ids": []}'
+    details = decode_json(local_frame(spark, [(body,)], "r string"), "r", schemas.NOTICE_DETAIL).select("body.*")
+    note = R.fold_attributes(details.withColumnsRenamed(rules.NOTICE_RENAMES)).first().entity_notes
+    assert note in {f"Physical description: height: {h}; weight: 80; hair_colour: BRO; eyes_colour: GRN;" for h in ("1.8", "1.80")}
+
+
 def test_rename_needs_every_key(spark):
     with pytest.raises(ValueError, match="charge"):
         R.rename_notice(local_frame(spark, [(1,)], "a int"), "red")
