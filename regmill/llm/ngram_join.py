@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,24 +41,35 @@ from regmill.llm.hashing import Shingler, blocks
 from regmill.llm.registry import documents, query
 from regmill.session import written
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SKETCH_PIECES = 64
 FEW = 64
 BLOCK = 1024
 DENSE = 24  # n-grams of more nodes in a tile go through the dense product
 COLUMNS = 4096
+_COUNTS = ("u1", "<u2", "<u4", "<u8")
 
 
 def _bytes(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold them all, compressed; the first byte names the width."""
+    width = next(k for k, kind in enumerate(_COUNTS) if counts.max(initial=0) <= np.iinfo(kind).max)
+    return bytes([width]) + zstandard.compress(counts.astype(_COUNTS[width]).tobytes(), 1)
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed[1:]), _COUNTS[packed[0]]).astype(np.int64)
+
+
 def count_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
     """How often n-grams of each of 2^SKETCH_BITS classes occur: fixed size, added up in tasks."""
     size = (1 << SKETCH_BITS) // SKETCH_PIECES
 
     def rows(pieces: dict[int, np.ndarray]) -> pa.RecordBatch:
-        counts = pa.array([c.astype("<i8").tobytes() for c in pieces.values()], pa.binary())
+        counts = pa.array([_packed_counts(c) for c in pieces.values()], pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int32()), counts], ["piece", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +78,7 @@ def count_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
             texts = _bytes(batch, 0)
             for a, b in blocks([len(t) for t in texts]):
                 found = np.concatenate(list(shingler.windows(texts[a:b])))
-                total += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+                np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if total.any():
             yield rows(dict(enumerate(np.split(total, SKETCH_PIECES))))
 
@@ -74,7 +86,7 @@ def count_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
         pieces: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pieces[piece] = pieces.get(piece, 0) + np.frombuffer(counts, "<i8")
+                pieces[piece] = pieces.get(piece, 0) + _counts(counts)
         if pieces:
             yield rows(pieces)
 
@@ -82,7 +94,7 @@ def count_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
     parts = docs.select(text).mapInArrow(count, packed).repartition("piece").mapInArrow(add, packed)
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in parts.collect():  # SKETCH_PIECES rows
-        total[row["piece"] * size : (row["piece"] + 1) * size] = np.frombuffer(row["counts"], "<i8")
+        total[row["piece"] * size : (row["piece"] + 1) * size] = _counts(row["counts"])
     return np.minimum(total, 2**32 - 1).astype(np.uint32)
 
 

@@ -442,3 +442,10 @@ def test_chunk_encoder_fills_what_it_reserved():
     for _ in range(2):
         assert coder.many(texts) == [encode(t or "") for t in texts]
     assert coder.ids("b b z") == encode("b b z") and len(coder.memo) <= 3 and len(coder.memo.older) <= 3
+
+
+def test_sketch_counts_survive_packing():
+    from regmill.llm.ngram_join import _counts, _packed_counts
+
+    for values in ([], [0, 255], [1, 256], [2**16, 0], [2**32, 3]):
+        assert _counts(_packed_counts(np.array(values, np.int64))).tolist() == values
