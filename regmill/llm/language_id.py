@@ -4,8 +4,9 @@ Counting covers all learning rows: tasks count four-character keys (16 bits a ch
 to lower case, runs of non-letters as one space) with sorting and run lengths, and Spark adds them up per language.
 The shorter orders follow from the counted keys as continuation counts. The model of a language is three sorted
 arrays of keys with the probability of each seen sequence, and the mass that each context leaves to the
-next shorter order; look-ups are binary searches. At most `entries` keys a language, the most
-frequent ones, and `languages` languages make up a model, which bounds the broadcast.
+next shorter order; look-ups are binary searches. Every counted key of every language is in its model: models grow
+with the distinct keys of the learning rows, and so does what is broadcast. The driver takes the counts and
+sends the models by shards: languages of some `SHARD` keys together, or one larger language.
 
 A text has the language of least cross-entropy per character. The score is the softmax of the negated
 cross-entropies (scaled by the root of the text's length), times the calibrated probability
@@ -28,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regmill.llm.registry import documents, query
+from regmill.session import written
 
 ORDER = 4
-ENTRIES = 200_000
-LANGUAGES = 200
+SHARD = 4_000_000
 DISCOUNT = 0.75
 SLICE_CHARS = 4_000_000
 
@@ -170,36 +171,52 @@ def entropies(models: dict[str, CharModel], texts: list[str | None]) -> tuple[np
     return out, chars, letters
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", entries: int = ENTRIES, languages: int = LANGUAGES) -> dict[str, CharModel]:
+def _shards(sizes: dict[str, int]) -> Iterator[list[str]]:
+    """Names in order, cut into groups of at most SHARD keys together (one name at least)."""
+    group, held = [], 0
+    for name in sorted(sizes):
+        if group and held + sizes[name] > SHARD:
+            yield group
+            group, held = [], 0
+        group.append(name)
+        held += sizes[name]
+    if group:
+        yield group
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, CharModel]:
     """Models by language, in order of name. The counts come from every row of `docs`; calibration measures at
     most a thousand rows a language, those of the least text hash."""
-    from pyspark.sql.window import Window
-
-    counts = count_keys(docs, text, lang)
-    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    most = counts.withColumn("rank", F.row_number().over(frequent)).where(F.col("rank") <= entries)
-    sizes = most.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    table = most.join(F.broadcast(sizes.select("lang")), "lang").select("lang", "key", "n").toArrow()
-    names = table.column("lang").to_numpy()
-    keys = table.column("key").to_numpy().view(np.uint64)
-    numbers = table.column("n").to_numpy().astype(float)
+    counts = written(count_keys(docs, text, lang), "language-keys")
+    sizes = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     models = {}
-    for name in sorted(set(names)):
-        own = names == name
-        order = np.argsort(keys[own])
-        models[name] = CharModel.learn(keys[own][order], numbers[own][order])
+    for group in _shards(sizes):
+        table = counts.where(F.col("lang").isin(group)).toArrow().combine_chunks()
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        which = langs.indices.to_numpy()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.lexsort((keys, which))
+        keys, numbers = keys[order], table.column("n").to_numpy()[order].astype(float)
+        edges = np.searchsorted(which[order], np.arange(len(langs.dictionary) + 1))
+        for name, a, b in zip(langs.dictionary.to_pylist(), edges[:-1], edges[1:], strict=True):
+            models[name] = CharModel.learn(keys[a:b], numbers[a:b])
+    models = {name: models[name] for name in sorted(models)}
     _calibrate(docs, models, text, lang)
     return models
 
 
-def _broadcast(docs: DataFrame, models: dict[str, CharModel]):
-    """The models' arrays: at most `languages` times `entries` keys, whatever the input."""
-    plain = {name: (m.keys, m.probs, m.contexts, m.left, m.usual) for name, m in models.items()}
-    return docs.sparkSession.sparkContext.broadcast(plain)
+def _broadcast(docs: DataFrame, models: dict[str, CharModel]) -> list:
+    """The models' arrays, one broadcast a shard."""
+    send = docs.sparkSession.sparkContext.broadcast
+    sizes = {name: len(m.keys[-1]) for name, m in models.items()}
+    return [
+        send({n: (models[n].keys, models[n].probs, models[n].contexts, models[n].left, models[n].usual) for n in group})
+        for group in _shards(sizes)
+    ]
 
 
-def _received(shared) -> dict[str, CharModel]:
-    return {name: CharModel(*parts) for name, parts in shared.value.items()}
+def _received(shared: list) -> dict[str, CharModel]:
+    return {name: CharModel(*parts) for shard in shared for name, parts in shard.value.items()}
 
 
 def _calibrate(docs: DataFrame, models: dict[str, CharModel], text: str, lang: str, rows: int = 1000) -> None:

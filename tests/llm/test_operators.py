@@ -231,6 +231,16 @@ def test_char_model_sums_to_one():
     assert abs(np.exp2(-model.surprise(every)).sum() - 1) < 1e-6
 
 
+def test_language_models_keep_every_key_and_language(spark):
+    chars = np.random.default_rng(6).integers(0x4E00, 0x9000, 230_000).astype("<u4")
+    long = chars.tobytes().decode("utf-32-le")
+    rows = [(long, "zh")] + [(f"word{chr(0x4E00 + k)}", f"l{k:03}") for k in range(230)]
+    models = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert list(models) == sorted({name for _, name in rows})
+    want = np.unique(language_id._keys([long])[0])
+    assert len(want) > 200_000 and (models["zh"].keys[-1] == want).all()
+
+
 # --- tokens ------------------------------------------------------------------------------------------------
 
 
