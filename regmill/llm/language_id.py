@@ -185,8 +185,8 @@ def _shards(sizes: dict[str, int]) -> Iterator[list[str]]:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, CharModel]:
-    """Models by language, in order of name. The counts come from every row of `docs`; calibration measures at
-    most a thousand rows a language, those of the least text hash."""
+    """Models by language, in order of name. The counts come from every row of `docs`, and calibration
+    measures every row with a letter against its own language's model."""
     counts = written(count_keys(docs, text, lang), "language-keys")
     sizes = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     models = {}
@@ -219,26 +219,28 @@ def _received(shared: list) -> dict[str, CharModel]:
     return {name: CharModel(*parts) for shard in shared for name, parts in shard.value.items()}
 
 
-def _calibrate(docs: DataFrame, models: dict[str, CharModel], text: str, lang: str, rows: int = 1000) -> None:
+def _calibrate(docs: DataFrame, models: dict[str, CharModel], text: str, lang: str) -> None:
     if not models:
         return
-    # the least hashes of all rows, in one pass; the texts are cut off by nothing but the number of rows
-    slim = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
-        F.col("lang").isNotNull() & (F.length("text") > 0)
-    )
-    sample = slim.orderBy(F.xxhash64("text"), "lang").limit(rows)
     shared = _broadcast(docs, models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = _received(shared)
-        names = list(models)
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            bits, chars, _ = entropies(models, batch.column(1).to_pylist())
-            own = [bits[i, names.index(x)] if x in names else None for i, x in enumerate(langs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64())], ["lang", "bits"])
+            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            by: dict[str, list] = {}
+            for t, name in zip(texts, langs, strict=True):
+                by.setdefault(name, []).append(t)
+            for name, own in by.items():
+                # a language whose rows hold no key has no model
+                if name in models:
+                    bits, _, letters = entropies({name: models[name]}, own)
+                    own_bits = bits[letters, 0]
+                    names = pa.array([name] * len(own_bits), pa.string())
+                    yield pa.RecordBatch.from_arrays([names, pa.array(own_bits, pa.float64())], ["lang", "bits"])
 
-    measured = sample.mapInArrow(run, "lang string, bits double").where("bits is not null")
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang is not null")
+    measured = rows.mapInArrow(run, "lang string, bits double")
     for row in measured.groupBy("lang").agg(F.mean("bits").alias("m"), F.stddev_pop("bits").alias("s")).collect():
         models[row["lang"]].usual = (row["m"], max(row["s"], 0.25))
 

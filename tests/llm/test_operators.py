@@ -241,6 +241,17 @@ def test_language_models_keep_every_key_and_language(spark):
     assert len(want) > 200_000 and (models["zh"].keys[-1] == want).all()
 
 
+def test_language_calibration_measures_every_language_and_row(spark):
+    words = "der die das ein haus baum wald see berg tal weg stein".split()
+    some = np.random.default_rng(7)
+    own = [" ".join(some.choice(words, 12)) for _ in range(40)]
+    rows = [("the same copied line", "en")] * 1500 + [(t, "de") for t in own] + [("un texte rare", "fr"), ("", "fr"), ("12", "de")]
+    models = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+    for name in ("de", "en", "fr"):
+        bits = language_id.entropies({name: models[name]}, [t for t, x in rows if x == name and len(t) > 2])[0]
+        assert models[name].usual == pytest.approx((bits.mean(), max(bits.std(), 0.25)))
+
+
 # --- tokens ------------------------------------------------------------------------------------------------
 
 
