@@ -43,11 +43,12 @@ def _codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     joined = "".join(" " * ORDER + t + " " for t in plain)
     chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     lengths = np.array([len(t) + ORDER + 1 for t in plain])
-    # characters of the first plane are kept as they are, the others are folded onto it
-    codes = (chars ^ (chars >> 16)).astype(np.uint64) & 0xFFFF
-    kinds, where = np.unique(codes, return_inverse=True)
-    letter = np.array([chr(int(k)).isalpha() for k in kinds])[where]
-    return np.where(letter, codes, 32).astype(np.uint64), lengths
+    kinds, where = np.unique(chars, return_inverse=True)
+    letter = np.array([chr(int(k)).isalpha() for k in kinds], bool)
+    # letters of the first plane are kept as they are, the others are folded onto it, though never onto the space
+    folded = (kinds ^ (kinds >> 16)).astype(np.uint64) & 0xFFFF
+    folded[folded == 32] = 0xFFFF
+    return np.where(letter, folded, 32).astype(np.uint64)[where], lengths
 
 
 def _keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

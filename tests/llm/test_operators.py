@@ -252,6 +252,17 @@ def test_language_calibration_measures_every_language_and_row(spark):
         assert models[name].usual == pytest.approx((bits.mean(), max(bits.std(), 0.25)))
 
 
+def test_letters_beyond_the_first_plane(spark):
+    ido, adlam = "\U00020000\U00020022", "\U0001e900\U0001e921"
+    letters = ["\U00020000", "\U00020022", "\U00010021", ido, adlam, "x"]
+    _, _, has = language_id._keys([*letters, "\U0001d100", "\U0001f600 12", None])
+    assert has.tolist() == [True] * 6 + [False] * 3
+    rows = [(1, ido * 9, "zh"), (2, adlam * 9, "ff"), (3, "\U0001d100" * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs, language_id.learn(docs)).collect()}
+    assert got == {1: "zh", 2: "ff", 3: "und"}
+
+
 # --- tokens ------------------------------------------------------------------------------------------------
 
 
