@@ -2,8 +2,10 @@
 
 Base kinds (assign, access, hex) are regular expressions; their spans always stay. Wider candidates (long
 mixed tokens, kind `live`) become spans only if the corpus says so: candidate values are hashed and counted over distinct owners
-and repositories, and a value that few owners hold and that looks random counts as live, while one that
-is copied across many owners is an example. Without a column of repositories each document is one.
+and repositories, and a value that few owners and few repositories hold and that looks random counts as live, while
+one that is copied across many of either is an example. Without a column of repositories each document is one.
+Words and dates keep to one kind of character for long; a value looks random if it changes between letters and digits,
+or from small letters to capitals, once in `RUN` letters and digits or more often.
 
 Everything is DataFrame functions. Positions come from the lengths of the pieces between matches, in code
 points. Frequencies are combinable aggregates of (value, owner) pairs, so a value that a third of all
@@ -27,8 +29,11 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
-# Wider candidates; they also need a letter and three digits.
+# Wider candidates; they also need a letter and three digits, and to look random.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+CHANGE = r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])|[a-z](?=[A-Z])"
+RUN = 6
+
 
 def spans(text: Column, pattern: str, group: int, least: int, kind: str) -> Column:
     """Array of (at, kind, end, value): the non-overlapping matches, leftmost first, whose group is long enough."""
@@ -68,6 +73,11 @@ def spans(text: Column, pattern: str, group: int, least: int, kind: str) -> Colu
 KINDS = ["assign", "access", "hex", "live"]
 
 
+def looks_random(value: Column) -> Column:
+    plain = F.regexp_replace(value, "[^A-Za-z0-9]", "")
+    return F.regexp_count(plain, F.lit(CHANGE)) * RUN >= F.length(plain)
+
+
 def candidates(text: Column) -> tuple[Column, Column]:
     """Base spans by start then kind, and the wider candidates."""
     whole = F.coalesce(text, F.lit(""))
@@ -76,7 +86,9 @@ def candidates(text: Column) -> tuple[Column, Column]:
     base = F.array_sort(F.concat(spans(whole, ASSIGN, 2, LEAST["assign"], "assign"), access, hexes))
     wide = F.filter(
         spans(whole, TOKEN, 0, 20, "live"),
-        lambda s: F.rlike(s["value"], F.lit("[0-9].*[0-9].*[0-9]")) & F.rlike(s["value"], F.lit("[A-Za-z]")),
+        lambda s: F.rlike(s["value"], F.lit("[0-9].*[0-9].*[0-9]"))
+        & F.rlike(s["value"], F.lit("[A-Za-z]"))
+        & looks_random(s["value"]),
     )
     return base, wide
 
@@ -95,11 +107,12 @@ def scan_secrets(
     owner: str = "source",
     repository: str | None = None,
     few_owners: int = 2,
+    few_repositories: int = 5,
 ) -> DataFrame:
     """One row per input row: id, base and all spans (at, kind, end, value, n_owners, n_repositories, live).
 
-    A value is live when at most `few_owners` distinct owners hold it, and copied otherwise. A wider
-    candidate is a span if it is live and does not overlap a base span.
+    A value is live when at most `few_owners` distinct owners and at most `few_repositories` distinct repositories
+    hold it, and copied otherwise. A wider candidate is a span if it is live and does not overlap a base span.
     """
     base, wide = candidates(F.col(text))
     rows = written(
@@ -136,7 +149,7 @@ def scan_secrets(
                     "s.value",
                     "n_owners",
                     "n_repositories",
-                    (F.col("n_owners") <= few_owners).alias("live"),
+                    ((F.col("n_owners") <= few_owners) & (F.col("n_repositories") <= few_repositories)).alias("live"),
                 )
             )
         ).alias("all")

@@ -416,6 +416,19 @@ def test_secret_patterns_and_ownership(spark):
     assert not got[100].found and [s.live for s in got[200].found] == [True]
 
 
+def test_secret_copied_inside_one_source_and_words(spark):
+    slugs = ["2024-01-15-some-long-article-title", "src/main/java/com/example/server/v2024"]
+    rows = [(i, "key Zx81kQp09LmN3vBt77Rw", "hot") for i in range(40)]
+    rows += [(100 + i, "key Aa81kQp09LmN3vBt77Rw", "hot") for i in range(3)]
+    rows += [(200 + i, t, f"o{i}") for i, t in enumerate(slugs)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.found for r in secrets.scan_secrets(docs).collect()}
+    assert not any(got[i] for i in range(40)) and not got[200] and not got[201]
+    assert all([s.live for s in got[100 + i]] == [True] for i in range(3))
+    once = {r.doc_id: r.found for r in secrets.scan_secrets(docs, repository="source").collect()}
+    assert all(s.live and s.n_repositories == 1 for s in once[0])
+
+
 def test_secret_edges(spark, odd, empty):
     got = {r.doc_id: r for r in secrets.scan_secrets(odd).collect()}
     assert [s.kind for s in got[8].base] == [0, 1, 2] and not got[5].found
