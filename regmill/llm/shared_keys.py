@@ -9,6 +9,7 @@ and 32 bits; two keys that agree in those are taken for one, which can only add
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,8 +60,10 @@ def pack(keys: np.ndarray, owners: np.ndarray, extras: np.ndarray | None, bucket
         row(bucket, small[a:b], o[a:b], e[a:b], known[a:b])
     k, o, e = keys[~first], owners[~first], extras[~first]
     for a in range(0, len(k), SPREAD):
-        spread = -1 - int(k[a] % np.uint64(1 << 20))
-        row(spread, k[a : a + SPREAD], o[a : a + SPREAD], e[a : a + SPREAD], np.empty(0, bool))
+        run = k[a : a + SPREAD], o[a : a + SPREAD], e[a : a + SPREAD]
+        # these need no group: keys and owners make the bucket, as batches that share keys differ in owners
+        spread = zlib.crc32(run[1].tobytes(), zlib.crc32(run[0].tobytes()))
+        row(-1 - (spread & 0x7FFFFFFF), *run, np.empty(0, bool))
     schema = pa.schema(
         [("bucket", pa.int32())] + [(n, pa.binary()) for n in ("keys", "owners", "extras", "known")]
     )

@@ -381,6 +381,18 @@ def test_blind_trie_sorts():
     assert sorted(i for x in leaves for i in x) == list(range(200))
 
 
+def test_further_owners_of_the_same_keys_are_spread():
+    """Batches that hold the same shared keys send their further owners to buckets of their own."""
+    from regmill.llm import shared_keys
+
+    keys, seen = np.repeat(np.arange(1, 50, dtype=np.uint64) << np.uint64(40), 3), []
+    for batch in range(50):
+        owners = np.tile(np.arange(3), 49) + 3 * batch
+        rows = [b for part in shared_keys.pack(keys, owners, None, 8) for b in part.column("bucket").to_pylist()]
+        seen += [b for b in rows if b < 0]
+    assert len(seen) == len(set(seen)) == 50 and min(seen) >= -(1 << 31)
+
+
 def test_repeats_edges(spark, odd, empty):
     got = substring_dedup.remove_repeats(odd).collect()
     assert len(got) == odd.count()
