@@ -3,14 +3,16 @@
 A window partitioned by site would put a site's whole history into one task. Here a
 group is cut into chunks of its sequence number: windows run inside chunks, one
 summary row per chunk carries the state across them, and the carry is joined back on
-the key the rows are already partitioned by.
+the group key and the chunk.
 
-Group keys must not be null, and the first order column is a sequence number that
-grows through the group (crawl position, row number, event number).
+Null group keys are equal: their rows are one group, as in a window. The first order column
+is a sequence number that grows through the group (crawl position, row number, event number).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,6 +35,14 @@ def _chunks_before(by: list[str]):
     return Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _carried(rows: DataFrame, carry: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with the carry of their chunk; nulls are equal here."""
+    keys = [*by, "_chunk"]
+    held = carry.select(*[F.col(c).alias(f"_of_{c}") if c in keys else c for c in carry.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys]
+    return rows.join(held, reduce(lambda a, b: a & b, same), "left").drop(*[f"_of_{c}" for c in keys])
+
+
 def forward_fill(
     df: DataFrame, value: str, by: list[str], order: list[str], into: str, chunk: int = CHUNK
 ) -> DataFrame:
@@ -42,7 +52,7 @@ def forward_fill(
     ends = rows.groupBy(*by, "_chunk").agg(F.max_by(F.col(value), place).alias("_end"))
     carry = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(_chunks_before(by))).drop("_end")
     filled = rows.withColumn("_last", F.last(value, ignorenulls=True).over(_inside(by, order)))
-    out = filled.join(carry, [*by, "_chunk"], "left").withColumn(into, F.coalesce("_last", "_carry"))
+    out = _carried(filled, carry, by).withColumn(into, F.coalesce("_last", "_carry"))
     return out.select(*df.columns, into)
 
 
@@ -57,7 +67,7 @@ def _counted(df: DataFrame, flag: Column, by: list[str], order: list[str], chunk
         F.sum("_sum").over(Window.partitionBy(*by)).alias("_total"),
     )
     seen = rows.withColumn("_seen", F.sum("_flag").over(_inside(by, order)))
-    out = seen.join(carry, [*by, "_chunk"], "left")
+    out = _carried(seen, carry, by)
     return out.withColumn("_before", F.col("_carry") + F.col("_seen") - F.col("_flag")).drop("_carry", "_seen")
 
 

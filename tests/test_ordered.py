@@ -124,3 +124,18 @@ def test_order_ties_broken_by_second_column(spark, chunk):
     frame = local_frame(spark, rows, "site string, seq bigint, pos int, text string")
     got = O.forward_fill(frame, "text", ["site"], ["seq", "pos"], "parent", chunk).orderBy("seq", "pos").collect()
     assert [r.parent for r in got] == ["p", "p", "q", "q"]
+
+
+@pytest.mark.parametrize("chunk", [1, 1000])
+def test_null_keys_are_a_group(spark, chunk):
+    rows = [(None, 0, "x"), (None, 1, None), (None, 2, "y"), (None, 3, None), ("a", 0, None), ("a", 1, "z")]
+    frame = local_frame(spark, rows, SCHEMA)
+    filled = O.forward_fill(frame, "text", ["site"], ["seq"], "parent", chunk).collect()
+    want = [(None, 0, "x"), (None, 1, "x"), (None, 2, "y"), (None, 3, "y"), ("a", 0, None), ("a", 1, "z")]
+    assert {(r.site, r.seq, r.parent) for r in filled} == set(want) and len(filled) == len(want)
+    counted = O.running_count(frame, F.lit(True), ["site"], ["seq"], "n", True, chunk).collect()
+    assert {(r.site, r.seq, r.n) for r in counted} == {(site, seq, seq + 1) for site, seq, _ in rows}
+    made = O.assemble_records(
+        frame, ["site"], ["seq"], {"text": F.col("text")}, F.col("seq") % 2 == 1, {"closed_at": F.col("seq")}, chunk
+    ).collect()
+    assert {(r.site, r.record_no, r.text, r.closed_at) for r in made} == {(None, 0, "x", 1), (None, 1, "y", 3), ("a", 0, "z", 1)}
