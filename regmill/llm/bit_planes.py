@@ -14,7 +14,8 @@ segment, all numbers little-endian:
 Spark writes the segments, one binary value each with its place (part, segment), as uncompressed
 Parquet: commits and lost executors are its business. Reading decodes segments independently.
 
-A null text is empty and holds the end id alone. Null ids come first; rows of equal id follow by the text's
+The library reads the file's added tokens in a text, so <|endoftext|> there is its one id. They hold no
+space, so texts may still be cut at spaces. A null text is empty and holds the end id alone. Null ids come first; rows of equal id follow by the text's
 hash. Repeated rows are written each. An empty table gives files without segments. Other columns are not read.
 """
 
@@ -116,7 +117,6 @@ def write_ids(
 
         def make() -> ChunkEncoder:
             library = Tokenizer.from_str(model.value)
-            library.encode_special_tokens = True
 
             def encode(piece: str) -> bytes:
                 return np.array(library.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()

@@ -310,6 +310,17 @@ def test_planes_equal_library(spark, odd, empty, tmp_path):
     assert bit_planes.read_ids(spark, str(tmp_path / "empty")).count() == 0
 
 
+def test_planes_hold_added_tokens_as_the_library_does(spark, tmp_path):
+    library = Tokenizer.from_file(library_path())
+    mark = "<|endoftext|>"
+    cases = [mark, f"one {mark} two", f"one{mark}two{mark} x", f"a  {mark}\n b", f" {mark} {mark}", f"\u0120 {mark}\u0120 <|end", f"{mark} " * 300]
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")
+    bit_planes.write_ids(docs, str(tmp_path / "added"), library_path())
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bit_planes.read_ids(spark, str(tmp_path / "added")).collect()}
+    assert got == {i: library.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(cases)}
+    assert got[0] == [50256, 0]
+
+
 def library_path():
     return public_tokenizers.path("byte_bpe_50k.json")
 
