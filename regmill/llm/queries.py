@@ -4,6 +4,8 @@ from regmill.llm import (  # noqa: F401
     bit_planes,
     bpe,
     exact_dedup,
+    fill_middle,
+    filter_audit,
     language_id,
     mixing,
     ngram_join,
