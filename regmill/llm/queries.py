@@ -9,6 +9,7 @@ from regmill.llm import (  # noqa: F401
     language_id,
     mixing,
     ngram_join,
+    ppm,
     quality_rules,
     secrets,
     substring_dedup,
