@@ -50,25 +50,41 @@ SHARED_LEVELS = 2  # levels of 0 and 1 bytes are broadcast
 
 def strings(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The different strings of order + 1 bytes that end at a byte or the end of a text, as numbers in rising order,
-    and for every byte and end of every text the place of its string."""
+    and for every byte and end of every text the place of its string.
+
+    Every level is walked twice in runs of texts, so only the nodes reached are held for the whole block.
+    """
     gap = bytes([END]) * order
     codes = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
-    alphabet, dense = np.unique(codes, return_inverse=True)
-    dense = dense.astype(np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts])
-    # the gap after a text is its end and order - 1 bytes that are context only
-    place = np.arange(sizes.sum(), dtype=np.int64) + np.repeat(np.arange(len(texts)) * (order - 1), sizes)
+    alphabet = np.flatnonzero(np.bincount(codes, minlength=256))
+    dense = np.cumsum(np.bincount(alphabet, minlength=256)).astype(np.uint8) - np.uint8(1)
     width = len(alphabet)
-    node, packed = np.zeros(len(place), np.int64), np.zeros(1, np.int64)
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    runs = [(a, int(ends[a] - sizes[a]), b, int(ends[b - 1])) for a, b in blocks(sizes.tolist())]
+    node, packed = np.zeros(int(ends[-1]) if len(texts) else 0, np.int32), np.zeros(1, np.int64)
+
+    def keys(depth: int):
+        for a, first, b, last in runs:
+            # the gap after a text is its end and order - 1 bytes that are context only
+            place = np.arange(first + depth, last + depth) + np.repeat(np.arange(a, b) * (order - 1), sizes[a:b])
+            yield first, last, node[first:last].astype(np.int64) * width + dense[codes[place]]
+
     for depth in range(order + 1):
-        key = node * width + dense[place + depth]
         if len(packed) * width <= TABLE:
             seen = np.zeros(len(packed) * width, bool)
-            seen[key] = True
+            for _, _, key in keys(depth):
+                seen[key] = True
             fresh = np.flatnonzero(seen)
-            node = (np.cumsum(seen, dtype=np.int32) - 1)[key].astype(np.int64)
+            number = np.cumsum(seen, dtype=np.int32) - np.int32(1)
+            for first, last, key in keys(depth):
+                node[first:last] = number[key]
         else:
-            fresh, node = np.unique(key, return_inverse=True)
+            fresh = np.empty(0, np.int64)
+            for _, _, key in keys(depth):
+                fresh = np.union1d(fresh, key)
+            for first, last, key in keys(depth):
+                node[first:last] = np.searchsorted(fresh, key)
         packed = (packed[fresh // width] << 8) | alphabet[fresh % width]
     return packed, node
 
@@ -101,12 +117,15 @@ def _texts(table: pa.Table) -> list[bytes]:
     return [(x or b"").lower() for x in table.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of runs of these lengths, of which some may be 0."""
-    out = np.zeros(len(counts))
-    some = counts > 0
-    if some.any():
-        out[some] = np.add.reduceat(values, (np.cumsum(counts) - counts)[some])
+def _sums(values: np.ndarray, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the values at these places over runs of these lengths, of which some may be 0."""
+    out, ends = np.zeros(len(counts)), np.cumsum(counts)
+    for a, b in blocks(counts.tolist()):
+        first = int(ends[a] - counts[a])
+        here, begins = values[places[first : int(ends[b - 1])]], ends[a:b] - counts[a:b] - first
+        some = counts[a:b] > 0
+        if some.any():
+            out[a:b][some] = np.add.reduceat(here, begins[some])
     return out
 
 
@@ -258,7 +277,6 @@ def _add_up(docs: DataFrame, replies: DataFrame, id_type: str, order: int) -> Da
         by_word, by_string = of(~kind), of(kind)
         _, places, counts = words(texts)
         _, node = strings(texts, order)
-        here = by_word[places]
         end = by_word[-1]
         fresh = np.zeros(len(texts), np.int64)
         fresh[0] = values.column("fresh").to_numpy().sum()
@@ -267,9 +285,9 @@ def _add_up(docs: DataFrame, replies: DataFrame, id_type: str, order: int) -> Da
                 "id": table.column("id"),
                 "held_out": table.column("held_out"),
                 "n_tokens": counts + 1,
-                "n_known": _sums((here > 0).astype(float), counts).astype(np.int64) + int(end > 0),
-                "known": _sums(here, counts) + end,
-                "score": _sums(by_string[node], np.array([len(t) + 1 for t in texts])),
+                "n_known": _sums((by_word > 0).astype(float), places, counts).astype(np.int64) + int(end > 0),
+                "known": _sums(by_word, places, counts) + end,
+                "score": _sums(by_string, node, np.array([len(t) + 1 for t in texts])),
                 "fresh": fresh,
             }
         )
