@@ -6,13 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from regmill.operators import layout
 from regmill.operators import store as S
+from regmill.operators import versions as V
 from regmill.operators.ordered import count_by
 from regmill.plans.catalog.derived import LINKS_SQL, order_links
 from regmill.plans.catalog.registry import query, table
 from regmill.session import fresh_dir
 from regmill.sources.readers import scan_csv, scan_manifest
 from regmill.streaming.incremental import run_incremental
+from regmill.streaming.live import run_live
 
 LAST_ORDER_SQL = "SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey"
 
@@ -241,3 +244,151 @@ def ensured_target(spark, sf):
         name = S.ensure_target(spark, asked, "c_custkey bigint, c_name string", fresh_dir(spark, "table"))
     table(spark, sf, "customer").select("c_custkey", "c_name").write.insertInto(name)
     return spark.table(name)
+
+
+PLACED_SQL = "SELECT o_orderstatus AS site, CAST(year(o_orderdate) AS INTEGER) AS year, 'f' || o_orderkey AS file_name, o_custkey, o_orderkey FROM orders"
+PLACE = ["site", "year"]
+
+
+def placed_files(spark, sf):
+    """Orders as files of a site and year."""
+    return table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("site"),
+        F.year("o_orderdate").alias("year"),
+        F.concat(F.lit("f"), "o_orderkey").alias("file_name"),
+        "o_custkey",
+        "o_orderkey",
+    )
+
+
+@query(
+    "layout_written_twice",
+    f"""
+    SELECT site, year, file_name, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS content,
+           CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS load
+    FROM ({PLACED_SQL})""",
+)
+def layout_written_twice(spark, sf):
+    """One site and year filled by two loads: the second brings everything again with other contents, the first is started
+    again after it. Files that were there keep theirs, nothing is lost or doubled."""
+    root = fresh_dir(spark, "placed")
+    files = placed_files(spark, sf).select(*PLACE, "file_name", F.col("o_custkey").alias("content"), "o_orderkey")
+    for token in ("first", "second", "first", "second"):
+        part = files.where("o_orderkey % 3 = 0") if token == "first" else files.withColumn("content", F.col("content") + 1)
+        layout.write_load(part, root, token, PLACE, "file_name", ["o_orderkey"])
+    held = layout.read_layout(spark, root, files.schema, PLACE, "file_name")
+    return held.select(*PLACE, "file_name", "content", "load")
+
+
+@query(
+    "texts_written_again",
+    f"""
+    SELECT site, year, file_name, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS content
+    FROM ({PLACED_SQL}) WHERE site = 'F' AND year = 1998""",
+)
+def texts_written_again(spark, sf):
+    """Texts of a second load stand in for those of the first; one site and year opens its folders only."""
+    root = fresh_dir(spark, "texts")
+    files = placed_files(spark, sf).select(*PLACE, "file_name", F.col("o_custkey").alias("content"), "o_orderkey")
+    again = files.where("o_orderkey % 3 = 0").withColumn("content", F.col("content") + 1)
+    for token, part in (("one", files), ("two", again)):
+        layout.write_load(part, root, token, PLACE, "file_name", ["o_orderkey"], wins=layout.LAST)
+    held = layout.read_layout(spark, root, files.schema, PLACE, "file_name", wins=layout.LAST)
+    return held.where("site = 'F' AND year = 1998").select(*PLACE, "file_name", "content")
+
+
+@query(
+    "manifest_counts",
+    f"SELECT site, year, count(*) AS n_files, true AS sized FROM ({PLACED_SQL}) GROUP BY site, year",
+)
+def manifest_counts(spark, sf):
+    """Files held per site and year, from the manifest alone."""
+    root = fresh_dir(spark, "manifest")
+    files = placed_files(spark, sf)
+    for part in (0, 1):
+        layout.write_load(files.where(F.col("o_orderkey") % 2 == part), root, f"part {part}", PLACE, "file_name", ["o_orderkey"])
+    held = layout.manifest(spark, root, [files.schema[c] for c in PLACE], "file_name")
+    return held.groupBy(*PLACE).agg(F.count("*").alias("n_files"), (F.min("size") > 0).alias("sized"))
+
+
+@query(
+    "index_after_compaction",
+    """
+    SELECT o_custkey, arg_max(o_orderkey, (year(o_orderdate), o_orderkey)) AS o_orderkey,
+           arg_max(o_orderstatus, (year(o_orderdate), o_orderkey)) AS o_orderstatus FROM orders GROUP BY o_custkey""",
+)
+def index_after_compaction(spark, sf):
+    """A load per year, merged whenever four are open; old versions and merged writes are removed."""
+    root = fresh_dir(spark, "compacted")
+    dated = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    first, last = dated.agg(F.min("y"), F.max("y")).first()
+    for load, year in enumerate(range(first, last + 1)):
+        S.append_batch(dated.where(F.col("y") == year).select("o_custkey", "o_orderkey", "o_orderstatus"), root, 0, load)
+        S.compact_after(spark, root, ["o_custkey"], ["o_orderkey"], writes=4)
+    S.expire(spark, root, versions=1)
+    return S.read_index(spark, root, ["o_custkey"], ["o_orderkey"]).drop(*S.PLACE)
+
+
+STATUS_VERSIONS_SQL = """
+    SELECT o_custkey, o_orderkey, o_orderstatus,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus, o_orderkey) AS version FROM orders"""
+
+
+def loads_with_versions(spark, sf):
+    """The orders in three loads by status, the second merged, the last written twice."""
+    root = fresh_dir(spark, "versions")
+    writes = order_writes(spark, sf).withColumn("url", F.concat(F.lit("/orders/"), "o_orderkey"))
+    for load, status in enumerate(["F", "O", "P", "P"]):
+        part = writes.where(F.col("o_orderstatus") == status)
+        V.append_versions(part, root, 0, ["o_custkey"], ["o_orderkey"], "url", min(load, 2))
+        if status == "O":
+            S.compact(spark, V.counts_root(root), ["o_custkey"], ["total"])
+    return root
+
+
+@query("versions_over_loads", f"SELECT o_custkey, o_orderkey, version FROM ({STATUS_VERSIONS_SQL})")
+def versions_over_loads(spark, sf):
+    """Three loads number the writes of an id as one would."""
+    return S.read_writes(spark, loads_with_versions(spark, sf)).select("o_custkey", "o_orderkey", "version")
+
+
+@query(
+    "audited_writes",
+    f"""
+    SELECT o_custkey, '/orders/' || o_orderkey AS url, version,
+           '{{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus
+           || '","url":"/orders/' || o_orderkey || '"}}' AS record
+    FROM ({STATUS_VERSIONS_SQL}) WHERE version > 1""",
+)
+def audited_writes(spark, sf):
+    """Repeated writes of an id with their address and the whole record."""
+    root = loads_with_versions(spark, sf)
+    return S.read_writes(spark, V.audit_root(root)).select("o_custkey", "url", "version", "record")
+
+
+VISITS = (1996, 1998, 9999)
+
+
+@query(
+    "live_listing",
+    """
+    SELECT o_orderpriority AS site, o_orderkey, CAST(CASE WHEN year(o_orderdate) <= 1996 THEN 1
+           WHEN year(o_orderdate) <= 1998 THEN 2 ELSE 3 END AS INTEGER) AS run FROM orders""",
+)
+def live_listing(spark, sf):
+    """A listing visited three times, each time all of it and the newest first: each row is taken on the first visit that shows it."""
+    root, seen, state = (fresh_dir(spark, n) for n in ("live-index", "listing", "live-marks"))
+    place = F.unix_date(F.to_date("o_orderdate")).cast("bigint") * (1 << 40) + F.col("o_orderkey")
+    listing = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("site"),
+        F.concat(F.lit("Release "), "o_orderkey").alias("title"),
+        (-place).alias("pos"),
+        "o_orderkey",
+        F.year("o_orderdate").alias("year"),
+    )
+    for visit, last in enumerate(VISITS, 1):
+        shown = listing.where(F.col("year") <= last).drop("year").withColumn("run", F.lit(visit))
+        shown.write.mode("append").parquet(seen)
+        stream = spark.readStream.schema(shown.schema).parquet(seen)
+        run_live(stream, root, state, ["site"], "run", "title", "pos", lambda rows: rows).awaitTermination()
+    return S.read_writes(spark, root).select("site", "o_orderkey", "run")

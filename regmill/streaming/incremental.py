@@ -4,25 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from regmill.operators.store import append_batch, next_load
+from regmill.operators import folders
+from regmill.operators.store import append_batch
 
 
 def load_number(spark: SparkSession, root: str, checkpoint: str) -> int:
-    """The load that belongs to a checkpoint: chosen on its first run, found again on every later one."""
-    place = f"{checkpoint.rstrip('/')}-load"
-    try:
-        return spark.read.schema("load bigint").parquet(place).first()["load"]
-    except AnalysisException as absent:
-        if absent.getCondition() != "PATH_NOT_FOUND":
-            raise
-    number = next_load(spark, root)
-    spark.range(1).select(F.lit(number).cast("bigint").alias("load")).write.parquet(place)
-    return number
+    """The load that belongs to a checkpoint: claimed on its first run, found again on every later one.
+
+    Streams that start together get different numbers. A checkpoint that was removed and starts over is a new load.
+    """
+    checkpoint, runs = checkpoint.rstrip("/"), 0
+    held = {folders.text_of(spark, path) for path in folders.found(spark, f"{root}/{folders.LOADS}/*")}
+    while f"stream {runs} {checkpoint}" in held:
+        runs += 1
+    if runs and folders.exists(spark, checkpoint):
+        runs -= 1
+    return folders.claim_load(spark, root, f"stream {runs} {checkpoint}")
+
+
+def run_batches(
+    stream: DataFrame, checkpoint: str, load: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
+    """Hand what is new to `load`, batch by batch, and stop."""
+    return (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def run_incremental(
@@ -39,13 +51,6 @@ def run_incremental(
     other sources and other checkpoints have folders of their own.
     """
     number = load_number(stream.sparkSession, root, checkpoint)
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        append_batch(build(batch), root, batch_id, number, source)
-
-    return (
-        stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return run_batches(
+        stream, checkpoint, lambda batch, batch_id: append_batch(build(batch), root, batch_id, number, source)
     )
