@@ -1,12 +1,15 @@
 """Order-dependent steps without one task per group.
 
 A window partitioned by site would put a site's whole history into one task. Here a
-group is cut into chunks of its sequence number: windows run inside chunks, one
-summary row per chunk carries the state across them, and the carry is joined back on
-the group key and the chunk.
+group is cut into chunks of its order: windows run inside chunks, one summary row per chunk carries
+the state across them, and the carry is joined back on the group key and the chunk.
 
-Null group keys are equal: their rows are one group, as in a window. The first order column
-is a sequence number that grows through the group (crawl position, row number, event number).
+Chunks start at rows of the group itself, chosen by a hash of their order columns: one row in `chunk`, and of these
+the ones of least hash, at most BOUNDS a group. So chunks follow the rows however their order values are spread, a
+group of few rows is one chunk, and a job that is started again cuts alike. A group has at most BOUNDS + 1 summary rows.
+
+Null group keys are equal: their rows are one group, as in a window. Order columns are of any type that sorts; rows that
+agree in all of them lie in one chunk.
 """
 
 from __future__ import annotations
@@ -19,12 +22,20 @@ from pyspark.sql.window import Window
 
 from regmill.operators.scale import first_by
 
-CHUNK = 1 << 18
+CHUNK = 1 << 14
+BOUNDS = 255
 
 
-def _chunked(df: DataFrame, seq: str, chunk: int) -> DataFrame:
-    place = F.col(seq).cast("long")
-    return df.withColumn("_chunk", place - F.pmod(place, F.lit(chunk)))
+def _chunked(df: DataFrame, by: list[str], order: list[str], chunk: int) -> DataFrame:
+    """Rows with the number of their chunk: how many bounds of their group lie at or before them."""
+    place, mark = F.struct(*order), F.xxhash64(*by, *order)
+    some = df.where(F.pmod(mark, F.lit(chunk)) == 0).select(*by, place.alias("_place"), mark.alias("_mark")).distinct()
+    some = first_by(some, by, [F.col("_mark"), F.col("_place")], most=BOUNDS)
+    bounds = some.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(F.sort_array(F.collect_list("_place")).alias("_bounds"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    passed = F.size(F.filter("_bounds", lambda b: b <= place))
+    chunked = df.join(bounds, same, "left").withColumn("_chunk", F.when(F.col("_bounds").isNull(), 0).otherwise(passed))
+    return chunked.select(*df.columns, "_chunk")
 
 
 def _inside(by: list[str], order: list[str]):
@@ -47,7 +58,7 @@ def forward_fill(
     df: DataFrame, value: str, by: list[str], order: list[str], into: str, chunk: int = CHUNK
 ) -> DataFrame:
     """Most recent non-null `value` up to and including each row, per group."""
-    rows = _chunked(df, order[0], chunk)
+    rows = _chunked(df, by, order, chunk)
     place = F.when(F.col(value).isNotNull(), F.struct(*order))
     ends = rows.groupBy(*by, "_chunk").agg(F.max_by(F.col(value), place).alias("_end"))
     carry = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(_chunks_before(by))).drop("_end")
@@ -58,7 +69,7 @@ def forward_fill(
 
 def _counted(df: DataFrame, flag: Column, by: list[str], order: list[str], chunk: int) -> DataFrame:
     """Rows with their chunk, the flags before them in the group and the group's flags in all."""
-    rows = _chunked(df.withColumn("_flag", F.when(flag, 1).otherwise(0).cast("long")), order[0], chunk)
+    rows = _chunked(df.withColumn("_flag", F.when(flag, 1).otherwise(0).cast("long")), by, order, chunk)
     sums = rows.groupBy(*by, "_chunk").agg(F.sum("_flag").alias("_sum"))
     carry = sums.select(
         *by,

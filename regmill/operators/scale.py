@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the least in `order` (which must not tie).
+def first_by(df: DataFrame, keys: list[str], order: list[Column], most: int = 1) -> DataFrame:
+    """One row per key (or the first few), the least in `order` (which must not tie).
 
-    Spark turns rank <= 1 into a per-task limit before the shuffle, so a hot key
-    sends one row per map task and no group is ever gathered.
+    Spark turns rank <= most into a per-task limit before the shuffle, so a hot key
+    sends that many rows per map task and no group is ever gathered.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= most).drop("_rank")
 
 
 def deal_out(df: DataFrame, key: str, partitions: int) -> DataFrame:

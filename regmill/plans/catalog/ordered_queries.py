@@ -115,3 +115,31 @@ def running_signups(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     flag = F.col("event_type") == "signup"
     return O.running_count(events, flag, ["user_id"], ["event_id"], "signups", inclusive=True).select("event_id", "signups")
+
+
+HOT_EVENTS_SQL = """
+    SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS who, event_type, event_id,
+           epoch_us(ts) // 1000000 * 1000003 AS place FROM events"""
+
+
+@query(
+    "sparse_hot_counts",
+    f"""
+    SELECT who, event_id, count(*) FILTER (event_type = 'purchase') OVER (PARTITION BY who ORDER BY place, event_id) AS n,
+           last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS)
+             OVER (PARTITION BY who ORDER BY place, event_id) AS latest
+    FROM ({HOT_EVENTS_SQL})""",
+)
+def sparse_hot_counts(spark, sf):
+    """Running count and last value where order values lie far apart and one user has a third of all events."""
+    events = table(spark, sf, "events").select(
+        F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("who"),
+        "event_type",
+        "event_id",
+        (F.unix_timestamp("ts") * 1000003).alias("place"),
+    )
+    bought = F.col("event_type") == "purchase"
+    order = ["place", "event_id"]
+    counted = O.running_count(events, bought, ["who"], order, "n", inclusive=True)
+    marked = counted.withColumn("own", F.when(bought, F.col("event_id")))
+    return O.forward_fill(marked, "own", ["who"], order, "latest").select("who", "event_id", "n", "latest")

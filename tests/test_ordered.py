@@ -139,3 +139,25 @@ def test_null_keys_are_a_group(spark, chunk):
         frame, ["site"], ["seq"], {"text": F.col("text")}, F.col("seq") % 2 == 1, {"closed_at": F.col("seq")}, chunk
     ).collect()
     assert {(r.site, r.record_no, r.text, r.closed_at) for r in made} == {(None, 0, "x", 1), (None, 1, "y", 3), ("a", 0, "z", 1)}
+
+
+def test_chunks_follow_the_rows_not_their_order_values(spark):
+    """A hot group with values far apart, most of them in one corner, is cut into chunks of like size."""
+    skewed = F.when(F.col("id") % 10 == 0, F.col("id") * 10**12).otherwise(F.col("id"))
+    rows = spark.range(60_000).select(F.lit("hot").alias("site"), skewed.alias("seq"))
+    rows = rows.unionByName(spark.range(50).select(F.concat(F.lit("s"), "id").alias("site"), F.col("id").alias("seq")))
+    sizes = {}
+    for r in O._chunked(rows, ["site"], ["seq"], 64).groupBy("site", "_chunk").count().collect():
+        sizes.setdefault(r.site, []).append(r["count"])
+    hot = sorted(sizes.pop("hot"))
+    assert len(hot) == O.BOUNDS + 1 and hot[-1] <= 12 * 60_000 / len(hot)
+    assert all(len(x) <= 2 for x in sizes.values())
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 1000])
+def test_order_of_texts_and_nulls(spark, chunk):
+    """Order columns need be no numbers; nulls come first."""
+    data = [("a", x) for x in ("m", None, "b", "z", "k", "c", "q")] + [(None, "x"), (None, "y")]
+    got = O.running_count(local_frame(spark, data, "site string, place string"), F.lit(True), ["site"], ["place"], "n", True, chunk)
+    want = [("a", p, n) for n, p in enumerate([None, "b", "c", "k", "m", "q", "z"], 1)] + [(None, "x", 1), (None, "y", 2)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
