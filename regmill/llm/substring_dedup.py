@@ -6,7 +6,8 @@ windows have equal anchors at equal places, and neighbouring windows mostly shar
 about fourteen brings a new anchor.
 
  1. every row's anchors go, packed by batch, to the buckets of their hash, which return those that another row
-    holds too (`shared_keys`; a frequent anchor comes once a batch);
+    holds too (`shared_keys`; a frequent anchor comes once a batch). Buckets follow the bytes of the texts, not the
+    partitions, so a batch packs as many rows however many tasks there are;
  2. rows with such anchors cut out, for each, its context: the bytes of all its windows. Equal contexts within a
     batch are settled at once: only the one of least id goes on, so a passage that a third of all
     documents hold is sent once a batch;
@@ -36,6 +37,8 @@ from regmill.llm.registry import documents, query
 from regmill.llm.suffix_sort import SYMBOL, equal_windows
 
 GRAM = 24
+BUCKET_BYTES = 16_000_000  # of texts whose anchors share a bucket
+FINER = 3  # a bucket's contexts go to 2^FINER buckets, as they hold more than its anchors
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -89,7 +92,7 @@ def _anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 keys.append(found)
                 owners.append(rows[a:b][owner])
             if keys:
-                yield from shared_keys.pack(np.concatenate(keys), np.concatenate(owners), None, buckets)
+                yield from shared_keys.pack(np.concatenate(keys), np.concatenate(owners), None, buckets, squeeze=True)
 
     return docs.select("row", "text").mapInArrow(run, shared_keys.PACKED)
 
@@ -181,9 +184,9 @@ def _contexts(held: DataFrame, length: int, buckets: int) -> DataFrame:
                     if other[0] < here[0]:
                         settled.append((0, here[1], here[0], here[2], len(context), b""))
                     else:  # equal ids do not remove from each other, but others may remove from both
-                        out.append((key + (1 << 32), here[1], here[0], here[2], len(context), context))
+                        out.append(((key << FINER) + (1 << 32), here[1], here[0], here[2], len(context), context))
             out += [
-                (key + (1 << 32), row, id, p, len(context), context) for (key, context), (id, row, p) in best.items()
+                ((key << FINER) + (1 << 32), row, id, p, len(context), context) for (key, context), (id, row, p) in best.items()
             ]
             if out:
                 yield from packed(out)
@@ -230,8 +233,9 @@ def _runs(contexts: DataFrame, length: int) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     """row and spans (maximal runs of removed bytes, in order) of the rows (row, id, text) that lose bytes."""
-    buckets = shared_keys.bucket_count(docs.sparkSession)
-    shared = shared_keys.shared(_anchor_rows(docs, length, buckets))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = shared_keys.buckets_of(size, BUCKET_BYTES)
+    shared = shared_keys.shared(_anchor_rows(docs, length, buckets), squeezed=True)
     keys = shared.groupBy(F.col("owner").alias("row")).agg(F.collect_list("key").alias("keys"))
     held = docs.join(keys, "row").select("row", "id", "text", "keys")
     found = _runs(_contexts(held, length, buckets), length)

@@ -292,7 +292,6 @@ def test_bpe_edges(spark, odd, empty, encoding):
 
 def test_planes_equal_library(spark, odd, empty, tmp_path):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     bit_planes.write_ids(odd, str(tmp_path / "odd"), library_path(), block_ids=64, segment_ids=200)
     sums = bit_planes.read_digests(spark, str(tmp_path / "odd")).collect()
     got = sorted(bit_planes.read_ids(spark, str(tmp_path / "odd")).collect(), key=lambda r: r.start)
@@ -404,6 +403,29 @@ def test_further_owners_of_the_same_keys_are_spread():
     assert len(seen) == len(set(seen)) == 50 and min(seen) >= -(1 << 31)
 
 
+def test_squeezed_entries_come_back():
+    from regmill.llm import shared_keys as K
+
+    rng = np.random.default_rng(3)
+    for kind in ("<u4", "<u8"):
+        for n in (0, 1, 5000):
+            keys = np.sort(rng.integers(0, 2**32, n).astype(kind))
+            assert np.array_equal(K.open_keys(K.squeeze_keys(keys), kind), keys)
+    owners = rng.integers(-(2**62), 2**62, 50)[rng.integers(0, 50, 999)]
+    assert np.array_equal(K.open_owners(K.squeeze_owners(owners)), owners)
+    assert [K.buckets_of(n, 16) for n in (0, 16, 17)] == [1, 1, 2]
+
+
+def test_packed_rows_follow_bytes_not_partitions(spark):
+    """As many batches give as many packed rows whatever the shuffle partitions are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id AS row", "doc_id AS id", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    buckets = substring_dedup.shared_keys.buckets_of(size, substring_dedup.BUCKET_BYTES)
+    rows = substring_dedup._anchor_rows(docs.repartition(6), 50, buckets)
+    # a row a batch and bucket, and those that pass at once
+    assert buckets == 1 and rows.where("bucket >= 0").count() == 6
+
+
 def test_repeats_edges(spark, odd, empty):
     got = substring_dedup.remove_repeats(odd).collect()
     assert len(got) == odd.count()
