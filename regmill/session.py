@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regmill.operators import folders
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
 
@@ -48,8 +52,35 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables that `written` made while this was open; `drop` deletes them once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def drop(self) -> None:
+        while self.paths:
+            folders.delete(self.spark, self.paths.pop())
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Notes the tables written inside, so that their owner can drop them when its result has been stored."""
+    noted = Scratch(spark)
+    _open.append(noted)
+    try:
+        yield noted
+    finally:
+        _open.remove(noted)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, kept when executors are lost."""
     path = fresh_dir(df.sparkSession, label)
+    for noted in _open:
+        noted.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

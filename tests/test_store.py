@@ -184,3 +184,15 @@ def test_shared_folder_follows_the_session(spark):
     with pytest.raises(ValueError, match=session.CHECKPOINT_CONF):
         session.shared_root(cluster())
     assert session.written(spark.range(3).toDF("id"), "kept").count() == 3
+
+
+def test_scratch_tables_go_when_their_owner_is_done(spark):
+    before = session.written(spark.range(2).toDF("id"), "before")
+    with session.scratch(spark) as noted:
+        inside = session.written(spark.range(3).toDF("id"), "inside")
+    after = session.written(spark.range(4).toDF("id"), "after")
+    assert len(noted.paths) == 1 and inside.count() == 3
+    place = noted.paths[0]
+    noted.drop()
+    noted.drop()
+    assert not os.path.exists(place) and before.count() + after.count() == 6
