@@ -29,6 +29,7 @@ from regmill.llm.hashing import blocks
 from regmill.llm.registry import documents, query
 
 SINGLE = [bytes([x]) for x in range(256)]
+MEMO_ENTRIES = 150_000  # in each of two generations of chunks and of pieces: some 150 MB a worker together
 QUEUED = 1 << 18  # bytes that share a queue, one piece at least
 
 
@@ -171,9 +172,9 @@ class Codec:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.ranks, self.findall = ranks, split.findall
-        self.pieces = Memo(lambda piece: self._packed([piece])[0])
+        self.pieces = Memo(lambda piece: self._packed([piece])[0], MEMO_ENTRIES)
         self.chunks = ChunkEncoder(
-            lambda text: b"".join(map(self.pieces.__getitem__, self.findall(text))), encode_many=self._many
+            lambda text: b"".join(map(self.pieces.__getitem__, self.findall(text))), MEMO_ENTRIES, self._many
         )
 
     def _packed(self, pieces: list[str]) -> list[bytes]:

@@ -7,6 +7,8 @@ import types
 from collections.abc import Callable
 
 MEMO_ENTRIES = 400_000
+ENTRY_BYTES = 256  # of an entry on average; longer ones fill a memo sooner
+OBJECTS = 130  # bytes that an entry takes besides its characters and ids
 SHORT = 64  # characters of a text's first piece up to which it is remembered
 
 
@@ -23,26 +25,36 @@ class _Odd(Exception):
 
 
 class Memo(dict):
-    """Results of a function by argument, in two generations of at most `entries` each.
+    """Results of a function by argument, in two generations of at most `entries` each, and of `entries` times ENTRY_BYTES.
 
-    A full generation becomes the older one; what is used of that comes back, the rest goes with the next change.
+    A full generation becomes the older one; what is used of that comes back, the rest goes with the next change. A result
+    that alone would fill a quarter of a generation is not kept.
     """
 
     def __init__(self, function: Callable, entries: int = MEMO_ENTRIES):
         super().__init__()
         self.function, self.entries, self.older = function, entries, {}
+        self.most, self.size = max(entries * ENTRY_BYTES, 1 << 12), 0
 
     def __missing__(self, key):
         value = self.older.get(key)
         return self.put(key, self.function(key) if value is None else value)
 
     def put(self, key, value):
-        if len(self) >= self.entries:
+        size = OBJECTS + 5 * len(key)  # ids are four bytes and rarely more than characters
+        if size > self.most // 4:
+            return value
+        if len(self) >= self.entries or self.size + size > self.most:
             self.older = dict(self)
-            self.clear()
+            self.forget()
+        self.size += size
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.size = 0
+
     def unknown(self, keys: set) -> list:
         """Those of the keys that neither generation has; those in the older one come back."""
         missing = [k for k in keys if k not in self]
@@ -111,7 +123,7 @@ class ChunkEncoder:
             self._fill()
         except BaseException:
             # nothing may stay reserved: the worker can be given another task
-            self.memo.clear()
+            self.memo.forget()
             self.memo.older = {}
             raise
         finally:

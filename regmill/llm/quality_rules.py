@@ -214,13 +214,16 @@ def quality(v: Column, model: Model) -> Column:
 def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows that pass the base checks and whose posterior quality is at least `least`.
 
-    The signals are computed twice, once to count vote patterns and once to filter: no text is stored or moved.
+    Texts are read once: rows are written with their votes (none if they fail a base check), to which the model is
+    fitted and which it then decides.
     """
+    signs = docs.select(F.struct(*docs.columns).alias("doc"), signals(F.col(text)).alias("s"))
     none = F.array().cast("array<int>")
-    voted = let(signals(F.col(text)), lambda s: F.when(base_failed(s), none).otherwise(votes(s)))
-    model = fit(docs.select(voted.alias("votes")))
-    judged = let(signals(F.col(text)), lambda s: ~base_failed(s) & (quality(votes(s), model) >= least))
-    return docs.where(judged)
+    # the votes are a value of their own, so that filters on them do not compute the signals again
+    voted = signs.select("doc", let(F.col("s"), lambda s: F.when(base_failed(s), none).otherwise(votes(s))).alias("votes"))
+    rows = written(voted, "votes")
+    model = fit(rows.select("votes"))
+    return rows.where((F.size("votes") > 0) & (quality(F.col("votes"), model) >= least)).select("doc.*")
 
 
 def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
