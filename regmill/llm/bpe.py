@@ -29,7 +29,8 @@ from regmill.llm.hashing import blocks
 from regmill.llm.registry import documents, query
 
 SINGLE = [bytes([x]) for x in range(256)]
-MEMO_ENTRIES = 150_000  # in each of two generations of chunks and of pieces: some 150 MB a worker together
+MEMO_ENTRIES = 100_000  # in each of two generations of chunks and of pieces: some 100 MB a worker together
+ROWS = 256  # rows of an Arrow batch that are in work at once
 QUEUED = 1 << 18  # bytes that share a queue, one piece at least
 
 
@@ -213,13 +214,19 @@ def _codec(df: DataFrame, path: str, pattern: str):
     return lambda: kept(name, lambda: Codec(ranks.value, pattern))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """All columns and `ids`: the text's ids as little-endian unsigned 32-bit integers."""
     worker = _codec(docs, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker()
-        for batch in batches:
+        for batch in _slices(batches):
             made = pa.array(list(codec.encode_all(batch.column(text).to_pylist())), pa.binary())
             keep = [n for n in batch.schema.names if n != ids]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [ids])
@@ -234,7 +241,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", decode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker()
-        for batch in batches:
+        for batch in _slices(batches):
             made = pa.array([codec.decode(x) for x in batch.column(ids).to_pylist()], pa.binary())
             keep = [n for n in batch.schema.names if n != decoded]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [decoded])
@@ -250,7 +257,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker()
-        for batch in batches:
+        for batch in _slices(batches):
             counts, of_ids, of_text = [], [], []
             for made in codec.encode_all(batch.column(1).to_pylist()):
                 counts.append(len(made) // 4)
