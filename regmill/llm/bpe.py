@@ -17,6 +17,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from regmill.llm.hashing import blocks
 from regmill.llm.registry import documents, query
 
 SINGLE = [bytes([x]) for x in range(256)]
-MEMO_ENTRIES = 100_000  # in each of two generations of chunks and of pieces: some 100 MB a worker together
-ROWS = 256  # rows of an Arrow batch that are in work at once
+MEMO_ENTRIES = 400_000  # in each of two generations of chunks and of pieces: at most 400 MB together
+ROWS = 1024  # rows of an Arrow batch that are in work at once
 QUEUED = 1 << 18  # bytes that share a queue, one piece at least
 
 
@@ -201,17 +202,32 @@ class Codec:
         for a, b in blocks([len(t or "") for t in texts]):
             yield from self.chunks.many(texts[a:b])
 
+    def forget(self) -> None:
+        self.pieces.drop()
+        self.chunks.drop()
+
     def decode(self, ids: bytes | None) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
 
-def _codec(df: DataFrame, path: str, pattern: str):
-    """Function that gives a worker's codec. The vocabulary is read once on the driver and broadcast: its size
-    does not depend on the data."""
+def _codec(df: DataFrame, path: str, pattern: str, remember: bool = False):
+    """Context that lends a task its worker's codec. The vocabulary is read once on the driver and broadcast: its size
+    does not depend on the data. Memos go with the task, so that whatever the worker does next has its memory, unless
+    it is to `remember` them for the next task."""
     with open(path, "rb") as file:
         name = f"codec {hashlib.sha256(file.read()).hexdigest()} {pattern}"
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path))
-    return lambda: kept(name, lambda: Codec(ranks.value, pattern))
+
+    @contextmanager
+    def worker() -> Iterator[Codec]:
+        codec = kept(name, lambda: Codec(ranks.value, pattern))
+        try:
+            yield codec
+        finally:
+            if not remember:
+                codec.forget()
+
+    return worker
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,11 +241,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     worker = _codec(docs, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker()
-        for batch in _slices(batches):
-            made = pa.array(list(codec.encode_all(batch.column(text).to_pylist())), pa.binary())
-            keep = [n for n in batch.schema.names if n != ids]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [ids])
+        with worker() as codec:
+            for batch in _slices(batches):
+                made = pa.array(list(codec.encode_all(batch.column(text).to_pylist())), pa.binary())
+                keep = [n for n in batch.schema.names if n != ids]
+                yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [ids])
 
     schema = docs.drop(ids).withColumn(ids, F.lit(b"").cast("binary")).schema
     return docs.mapInArrow(run, schema)
@@ -240,11 +256,11 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", decode
     worker = _codec(encoded, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker()
-        for batch in _slices(batches):
-            made = pa.array([codec.decode(x) for x in batch.column(ids).to_pylist()], pa.binary())
-            keep = [n for n in batch.schema.names if n != decoded]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [decoded])
+        with worker() as codec:
+            for batch in _slices(batches):
+                made = pa.array([codec.decode(x) for x in batch.column(ids).to_pylist()], pa.binary())
+                keep = [n for n in batch.schema.names if n != decoded]
+                yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [made], keep + [decoded])
 
     schema = encoded.drop(decoded).withColumn(decoded, F.lit(b"").cast("binary")).schema
     return encoded.mapInArrow(run, schema)
@@ -252,21 +268,21 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", decode
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_tokens and the digests of ids and decoded bytes: encode and decode in one pass, ids stay in the task."""
-    worker = _codec(docs, path, pattern)
+    worker = _codec(docs, path, pattern, remember=True)
     id_type = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker()
-        for batch in _slices(batches):
-            counts, of_ids, of_text = [], [], []
-            for made in codec.encode_all(batch.column(1).to_pylist()):
-                counts.append(len(made) // 4)
-                of_ids.append(hashlib.sha256(made).hexdigest())
-                of_text.append(hashlib.sha256(codec.decode(made)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with worker() as codec:
+            for batch in batches:
+                counts, of_ids, of_text = [], [], []
+                for made in codec.encode_all(batch.column(1).to_pylist()):
+                    counts.append(len(made) // 4)
+                    of_ids.append(hashlib.sha256(made).hexdigest())
+                    of_text.append(hashlib.sha256(codec.decode(made)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         run, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

@@ -55,6 +55,11 @@ class Memo(dict):
         self.clear()
         self.size = 0
 
+    def drop(self) -> None:
+        """Both generations."""
+        self.forget()
+        self.older = {}
+
     def unknown(self, keys: set) -> list:
         """Those of the keys that neither generation has; those in the older one come back."""
         missing = [k for k in keys if k not in self]
@@ -113,6 +118,10 @@ class ChunkEncoder:
             if chunk in holder:
                 holder[chunk] = ids
 
+    def drop(self) -> None:
+        self.memo.drop()
+        self.starts.drop()
+
     def ids(self, text: str | None) -> bytes:
         return self.many([text])[0]
 
@@ -123,8 +132,7 @@ class ChunkEncoder:
             self._fill()
         except BaseException:
             # nothing may stay reserved: the worker can be given another task
-            self.memo.forget()
-            self.memo.older = {}
+            self.memo.drop()
             raise
         finally:
             self.new = {}
