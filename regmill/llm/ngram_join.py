@@ -20,7 +20,7 @@ of each. The order is by a count sketch of fixed size over the whole corpus, tie
 
 Nodes and n-grams are identified by 64-bit hashes. A null or empty text, or one without words, has no n-grams, links
 with nothing and is a component of its own. Null ids never name a component unless no other id does. Equal rows give equal results. An
-empty table gives an empty result. Only the id and the text are read; stages carry all other columns.
+empty table gives an empty result. Only the id and the text are read; stages carry all other columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -364,8 +364,11 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     Rows of one id are one document and stay together. Only rows that must go are listed and joined.
     """
     found = _joined(docs, id, text, width, percent)
-    drop = found.where(~F.col(id).eqNullSafe(F.col("component_id"))).select(F.col("row").alias("_row")).distinct()
-    return docs.join(drop, row_key(docs[id], docs[text]) == F.col("_row"), "left_anti")
+    gone = "_row"
+    while gone.lower() in {name.lower() for name in docs.columns}:
+        gone += "_"
+    drop = found.where(~F.col(id).eqNullSafe(F.col("component_id"))).select(F.col("row").alias(gone)).distinct()
+    return docs.join(drop, row_key(F.col(id), F.col(text)) == F.col(gone), "left_anti")
 
 
 @query("op2_ngram_jaccard")

@@ -180,6 +180,11 @@ def test_jaccard_edges(spark, odd, empty):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
     assert {r.doc_id for r in kept.collect()} == {1, 3, 4, 5, 6, 7, 8, 9, None}
+    clash = odd.select("*", *[F.lit(1).alias(c) for c in ("_row", "_ROW_", "node", "leading", "_doc", "_id", "_tie", "_n")])
+    with_names = ngram_join.keep_one(clash)
+    assert with_names.columns == clash.columns and with_names.count() == kept.count()
+    for stage in (mixing.mix, exact_dedup.exact_dedup, quality_rules.keep_good):
+        assert stage(clash).columns == clash.columns and stage(clash).count() == stage(odd).count()
     assert ngram_join.jaccard_join(empty).count() == ngram_join.keep_one(empty).count() == 0
 
 
