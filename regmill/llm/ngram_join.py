@@ -47,6 +47,7 @@ FEW = 64
 BLOCK = 1024
 DENSE = 24  # n-grams of more nodes in a tile go through the dense product
 COLUMNS = 4096
+BUCKET = 1 << 18  # leading n-grams of a bucket
 _COUNTS = ("u1", "<u2", "<u4", "<u8")
 
 
@@ -138,7 +139,8 @@ def signatures(docs: DataFrame, id: str, text: str, width: int, percent: int) ->
 
 def shared_columns(rows: DataFrame) -> DataFrame:
     """key, node, n, place: the leading n-grams that two nodes or more hold, with their place in the node's order."""
-    buckets = shared_keys.bucket_count(rows.sparkSession)
+    entries = rows.where("node is not null").agg(F.sum(F.size("leading").cast("long"))).first()[0] or 0
+    buckets = shared_keys.buckets_of(entries, BUCKET)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,19 +15,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 PACKED = "bucket int, keys binary, owners binary, extras binary, known binary"
 SPREAD = 1 << 16  # entries of a row that passes
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets follow the shuffle partitions, which follow the data: a bucket is an eighth of a partition."""
-    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def buckets_of(size: int, each: int) -> int:
-    """Buckets for an input of `size` bytes, one for `each` of them, however many partitions Spark makes of it."""
+    """Buckets for an input of `size` bytes or entries, one for `each`, however many partitions Spark makes of it."""
     return max(1, -(-size // each))
 
 
