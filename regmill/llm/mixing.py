@@ -112,7 +112,8 @@ def mix_plan(
 ) -> DataFrame:
     """One row per document: id, source, size, tie, source_size, target, copies.
 
-    `copies` lists the copies that the mix takes: copy, taken (words) and position. With `cut` the copy in
+    `copies` lists the copies that the mix takes: copy (its epoch), taken (words) and position, the inverse of the
+    source's demand at the middle of those words. With `cut` the copy in
     which the target is reached is taken up to that word, so a source's words equal its rounded target;
     without, copies are whole and taken while their middle lies before the target.
     """
@@ -208,16 +209,28 @@ found AS (SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, turn LIM
 targets AS (
   SELECT source, source_size,
          CASE WHEN ratio <= (SELECT level FROM found) THEN cap
-              ELSE least(cap, (SELECT level FROM found) * weight) END AS target FROM levels),
+              ELSE least(cap, (SELECT level FROM found) * weight) END AS target, turn FROM levels),
 placed AS (
-  SELECT r.doc_id, r.size, t.source_size, t.target,
+  SELECT r.doc_id, r.size, t.source_size, t.target, t.turn,
          coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY key, doc_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
-  FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (least(size, greatest(round(target)::BIGINT - begins, 0))
-        + least(size, greatest(round(target)::BIGINT - source_size - begins, 0)))::BIGINT AS taken
-FROM placed
+  FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT *, [1.0::DOUBLE, 2.0, 0.5][(turn % 3 + 1)::INT] AS a, 1.0::DOUBLE AS b, [1.0::DOUBLE, 0.5, 2.0][(turn % 3 + 1)::INT] AS c,
+         least(size, greatest(round(target)::BIGINT - begins, 0))::BIGINT AS taken_1,
+         least(size, greatest(round(target)::BIGINT - source_size - begins, 0))::BIGINT AS taken_2 FROM placed),
+demand AS (
+  SELECT *, (a + b) / 4 AS half,
+         least((begins + taken_1 / 2) / greatest(target, 1), 1) * (a + 2 * b + c) / 4 AS area_1,
+         least((source_size + begins + taken_2 / 2) / greatest(target, 1), 1) * (a + 2 * b + c) / 4 AS area_2 FROM copies)
+SELECT doc_id, size, source_size, target, (taken_1 + taken_2)::BIGINT AS taken,
+       CASE WHEN taken_1 > 0 THEN round(CASE
+         WHEN area_1 <= half THEN 2 * area_1 / (a + sqrt(greatest(a * a + 4 * (b - a) * area_1, 0)))
+         ELSE 0.5 + 2 * (area_1 - half) / (b + sqrt(greatest(b * b + 4 * (c - b) * (area_1 - half), 0))) END, 9)::DOUBLE END AS position_1,
+       CASE WHEN taken_2 > 0 THEN round(CASE
+         WHEN area_2 <= half THEN 2 * area_2 / (a + sqrt(greatest(a * a + 4 * (b - a) * area_2, 0)))
+         ELSE 0.5 + 2 * (area_2 - half) / (b + sqrt(greatest(b * b + 4 * (c - b) * (area_2 - half), 0))) END, 9)::DOUBLE END AS position_2
+FROM demand
 """
 
 
@@ -225,10 +238,12 @@ FROM placed
 def op6(spark, sf_dir):
     plan = mix_plan(documents(spark, sf_dir))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c["taken"])
-    first = F.coalesce(F.array_min(F.transform("copies", lambda c: c["position"])), F.lit(2.0))
-    return (
-        plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), first.alias("_at"))
-        .repartitionByRange("_at")
-        .sortWithinPartitions("_at")
-        .drop("_at")
-    )
+
+    def position(copy: int) -> Column:
+        own = F.get(F.filter("copies", lambda c: c["copy"] == copy), F.lit(0))["position"]
+        return F.round(own, 9).alias(f"position_{copy + 1}")
+
+    columns = [F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), position(0), position(1)]
+    # documents by the first place they are trained at; those that are never trained come last, spread by their id
+    at = [F.coalesce("position_1", "position_2", F.lit(2.0)), F.xxhash64("doc_id")]
+    return plan.select(*columns).repartitionByRange(*at).sortWithinPartitions(*at)

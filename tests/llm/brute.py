@@ -92,3 +92,28 @@ def repeated_bytes(rows, length=50):
         kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
         out[doc] = (len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def mixed_positions(rows, target, schedule):
+    """(id, copy) -> (taken, time) of one source's (id, size) rows: demand summed along the schedule, inverted by bisection."""
+
+    def area(t):
+        steps, whole = len(schedule) - 1, 0.0
+        for k, (a, b) in enumerate(zip(schedule, schedule[1:], strict=False)):
+            x = min(max(t * steps - k, 0.0), 1.0)
+            whole += (a * x + (b - a) * x * x / 2) / steps
+        return whole
+
+    rows = sorted(rows, key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest())
+    at, out = 0, {}
+    for copy in range(2):
+        for doc, size in rows:
+            taken = min(size, max(round(target) - at, 0))
+            if taken:
+                low, high = 0.0, 1.0
+                for _ in range(60):
+                    mid = (low + high) / 2
+                    low, high = (mid, high) if area(mid) / area(1.0) * target < at + taken / 2 else (low, mid)
+                out[doc, copy] = (taken, low)
+            at += size
+    return out

@@ -353,6 +353,30 @@ def test_mixing_meets_targets(spark, odd, empty):
     assert whole.columns == odd.columns and mixing.mix(empty).count() == mixing.mix_plan(empty).count() == 0
 
 
+@pytest.mark.parametrize("schedules", [mixing.SCHEDULES, ((0.0, 3.0), (4.0, 1.0, 0.0, 2.0))])
+def test_positions_equal_inverted_demand(spark, schedules):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = mixing.mix_plan(docs, schedules=schedules).select("id", "source", "size", "target", "copies").collect()
+    names = sorted({r.source for r in plan if r.source is not None}) + [None] * any(r.source is None for r in plan)
+    for turn, source in enumerate(names):
+        own = [r for r in plan if r.source == source]
+        want = brute.mixed_positions([(r.id, r.size) for r in own], own[0].target, schedules[turn % len(schedules)])
+        got = {(r.id, c.copy): (c.taken, c.position) for r in own for c in r.copies}
+        assert got.keys() == want.keys()
+        for key, (taken, position) in want.items():
+            assert got[key][0] == taken and abs(got[key][1] - position) < 1e-7
+
+
+def test_mix_query_lists_positions_in_order(spark):
+    rows = rows_of(spark, "op6_mixing")
+    first = [min((p for p in (r.position_1, r.position_2) if p is not None), default=2.0) for r in rows]
+    assert first == sorted(first)
+    assert all((r.taken > 0) == (r.position_1 is not None or r.position_2 is not None) for r in rows)
+    other = mixing.mix_plan(spark.read.parquet(f"{SF}/documents.parquet"), schedules=((1.0, 9.0),)).collect()
+    moved = {r.id: r.copies[0].position for r in other if r.copies}
+    assert any(abs(moved[r.doc_id] - r.position_1) > 0.01 for r in rows if r.position_1 is not None)
+
+
 def test_schedule_is_inverted(spark):
     knots = (2.0, 1.0, 0.5)
     done = spark.range(101).select((F.col("id") / 100).alias("d"))
