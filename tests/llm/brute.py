@@ -38,6 +38,15 @@ def secret_spans(text):
     return sorted(found)
 
 
+def wide_spans(text):
+    """(begin, end, value) of long tokens with a letter, three digits and many changes of kind."""
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+        plain = re.sub("[^A-Za-z0-9]", "", m[0])
+        changes = len(re.findall(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])|[a-z](?=[A-Z])", plain))
+        if len(re.findall("[0-9]", m[0])) >= 3 and re.search("[A-Za-z]", m[0]) and changes * 6 >= len(plain):
+            yield m.start(), m.end(), m[0]
+
+
 def secret_digest(spans):
     names = ["assign", "access", "hex"]
     return hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()

@@ -5,6 +5,7 @@ import hashlib
 import os
 import sys
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -503,6 +504,28 @@ def test_secret_copied_inside_one_source_and_words(spark):
     assert all(s.live and s.n_repositories == 1 for s in once[0])
 
 
+def test_secret_spans_of_many_matches_equal_brute_force(spark):
+    import random
+    import time
+
+    rng = random.Random(3)
+    pieces = ["password=hunter{0} ", "AKIA{0:016d}\n", "{0:032x} ", "key Zx81kQp09LmN{0}vBt77Rw ", "token: Zx81kQp09LmN{0}vBt77Rw/a ", "\U0001f600 "]
+    texts = ["".join(rng.choice(pieces).format(10**6 + rng.randrange(10**6)) for _ in range(n)) for n in (1, 63, 64, 65, 80_000)]
+    docs = spark.createDataFrame([(i, t, f"o{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    begin = time.time()
+    got = {r.doc_id: r for r in secrets.scan_secrets(docs).collect()}
+    assert time.time() - begin < 60
+    holders = Counter(v for t in texts for v in {v for *_, v in brute.wide_spans(t)})
+    for i, text in enumerate(texts):
+        base = brute.secret_spans(text)
+        assert [(s.at, s.kind, s.end) for s in got[i].base] == base
+        covered = bytearray(len(text))
+        for a, _, b in base:
+            covered[a:b] = b"\x01" * (b - a)
+        wide = [(a, 3, b) for a, b, v in brute.wide_spans(text) if holders[v] <= 2 and not any(covered[a:b])]
+        assert [(s.at, s.kind, s.end) for s in got[i].found] == sorted(base + wide)
+
+
 def test_secret_edges(spark, odd, empty):
     got = {r.doc_id: r for r in secrets.scan_secrets(odd).collect()}
     assert [s.kind for s in got[8].base] == [0, 1, 2] and not got[5].found
