@@ -36,7 +36,6 @@ STEM = (3, 12)  # letters of a stem
 LEAST_DOCS = 5
 LEAST_RATIO = 20.0
 LEAST_SURPLUS = 35.0  # likelihood-ratio statistic, twice the log-likelihood
-ENTRIES = 5_000
 PHRASE_DOCS = 5
 
 # Look-alikes of Latin letters in Cyrillic and Greek, and what stands for letters.
@@ -149,15 +148,20 @@ def _curve(x: np.ndarray, y: np.ndarray, rounds: int = 30, penalty: float = 1.0)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, where: str, rows: int) -> DataFrame:
-    """text and label of at most `rows` labelled documents, those of the least hash of the id."""
+    """text and label of at most `rows` labelled documents, those of the least hash of the id.
+
+    Where labels of an id, or of equal texts, disagree, the more frequent one holds; on a tie the document is not toxic.
+    """
+    toxic = (2 * F.sum((F.col("_label") == 1).cast("int")) > F.count("*")).cast("int").alias("_label")
     wanted = labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label is not null")
-    wanted = wanted.where(F.expr(where.format(id="_id"))).dropDuplicates(["_id"])
+    wanted = wanted.where(F.expr(where.format(id="_id"))).groupBy("_id").agg(toxic)
     wanted = wanted.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     return (
         docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
         .join(F.broadcast(wanted), "_id")
         .withColumn("_digest", F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256))
-        .dropDuplicates(["_digest"])
+        .groupBy("_digest")
+        .agg(F.max("_text").alias("_text"), toxic)
         .select("_text", "_label")
     )
 
@@ -198,7 +202,7 @@ def learn(sample: DataFrame) -> Lexicon:
     )
     kept = counted.where(f"stem != '' and toxic >= {LEAST_DOCS}").withColumn("weight", weight)
     kept = kept.where((F.col("weight") >= math.log(LEAST_RATIO)) & (surplus >= LEAST_SURPLUS))
-    found = kept.orderBy(F.desc("toxic"), F.length("stem"), "stem").limit(ENTRIES).collect()
+    found = kept.collect()
     # a stem gives way to a continuation that nearly all its toxic documents hold; what remains stands for its
     # continuations unless one of them tells clearly more
     longer: dict[str, int] = {}
@@ -232,8 +236,8 @@ def learn(sample: DataFrame) -> Lexicon:
 
     phrases = sample.mapInArrow(count_phrases, "phrase string, toxic bigint, other bigint").groupBy("phrase")
     phrases = phrases.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    phrases = phrases.where(f"toxic = 0 and other >= {PHRASE_DOCS}").orderBy(F.desc("other"), "phrase").limit(ENTRIES)
-    exceptions = tuple(r["phrase"] for r in phrases.collect())
+    phrases = phrases.where(f"toxic = 0 and other >= {PHRASE_DOCS}")
+    exceptions = tuple(sorted(r["phrase"] for r in phrases.collect()))
     lexicon = Lexicon(weights, exceptions)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +256,7 @@ def learn(sample: DataFrame) -> Lexicon:
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and score of every row; the lexicon has at most ENTRIES stems and as many phrases."""
+    """id and score of every row; the lexicon is what the bounded sample of labelled rows gives."""
     id_type = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -200,6 +200,14 @@ def test_toxicity_on_held_out_documents(spark):
     assert right >= 0.95 * len(got) and all(0 <= r.score <= 1 for r in got)
 
 
+def test_labels_that_disagree(spark):
+    docs = [(1, "one"), (2, "two"), (3, "three"), (4, "three"), (5, "three"), (6, None), (7, "")]
+    labels = [(1, 1), (1, 0), (2, 1), (2, 1), (2, 0), (3, 1), (4, 1), (5, 0), (6, 1), (7, None)]
+    docs, labels = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(labels, "doc_id int, toxic int")
+    got = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", "{id} > 0", 100).collect()
+    assert {r._text: r._label for r in got} == {"one": 0, "two": 1, "three": 1, None: 1} and len(got) == 4
+
+
 def test_folding_exceptions_and_edges(spark, odd, empty):
     lexicon = toxicity.Lexicon({"idiot": 3.0}, ("village idiot",), (-2.0, 2.0, 1.0))
     matcher = toxicity.Matcher(lexicon)
