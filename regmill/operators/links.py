@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmill.functions import urls as U
+from regmill.operators import bloom
 from regmill.operators.extract import extract_links
 from regmill.operators.scale import first_by
 
@@ -117,6 +118,30 @@ def not_held(targets: DataFrame, manifest: DataFrame, place: list[str], order: l
     return fresh.join(held, reduce(lambda a, b: a & b, same), "left_anti")
 
 
+def not_held_filtered(
+    targets: DataFrame, manifest: DataFrame, place: list[str], order: list[str], max_bytes: int = bloom.MAX_BYTES
+) -> DataFrame:
+    """The rows of `not_held`, for a manifest far larger than the batch.
+
+    A Bloom filter of the manifest tells most new targets at once. Only possible hits are compared with the manifest, and
+    of the manifest only rows that equal one of them: Spark broadcasts the hits while they are few, so the manifest
+    itself is not shuffled. A manifest whose filter would be above `max_bytes`, or whose places have other
+    types than the targets', is compared as in `not_held`.
+    """
+    keys = manifest.count()
+    same_types = all(targets.schema[c].dataType == manifest.schema[c].dataType for c in place)
+    if not same_types or bloom.filter_bytes(keys) > max_bytes:
+        return not_held(targets, manifest, place, order)
+    blocks = bloom.block_count(keys)
+    fresh = first_by(targets, place, [F.col(c) for c in order])
+    marked = bloom.look_up(fresh, place, bloom.build(manifest, place, blocks), blocks, "_maybe")
+    hits = marked.where("_maybe").drop("_maybe")
+    held = manifest.select(*[F.col(c).alias(f"_held_{c}") for c in place])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in place])
+    asked = held.join(hits.select(*place), same, "left_semi").distinct()
+    return marked.where(~F.col("_maybe")).drop("_maybe").unionByName(hits.join(asked, same, "left_anti"))
+
+
 def classify(df: DataFrame, n_files: str = "n_files", failed: str = "failed") -> DataFrame:
     outcome = (
         F.when(F.col(failed), "error").when(F.col(n_files) == 0, "no files").otherwise("files")
@@ -125,7 +150,10 @@ def classify(df: DataFrame, n_files: str = "n_files", failed: str = "failed") ->
 
 
 def held_or_new(targets: DataFrame, manifest: DataFrame, place: list[str]) -> DataFrame:
-    """Each target marked downloaded or already held."""
-    held = manifest.select(*place).distinct().withColumn("_held", F.lit(True))
-    out = targets.join(held, place, "left")
-    return out.withColumn("outcome", F.when(F.col("_held"), "already held").otherwise("downloaded")).drop("_held")
+    """Each target marked downloaded or already held; nulls in a place are equal."""
+    names = [f"_held_{c}" for c in place]
+    held = manifest.select(*[F.col(c).alias(n) for c, n in zip(place, names)]).distinct().withColumn("_held", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(place, names)])
+    out = targets.join(held, same, "left")
+    outcome = F.when(F.col("_held"), "already held").otherwise("downloaded")
+    return out.withColumn("outcome", outcome).drop("_held", *names)

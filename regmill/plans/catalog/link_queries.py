@@ -15,6 +15,7 @@ from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_links
 from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
 from regmill.plans.catalog.registry import CORES, query, sql_decode, table
 from regmill.rules import local_frame
+from regmill.session import written
 
 PAGE_PREFIX = "/litigation/litreleases"
 
@@ -177,22 +178,35 @@ def links_without_page(spark, sf):
     return L.unmatched(links, numbered_pages(spark, sf))
 
 
-@query(
-    "targets_not_held",
-    f"""
+NOT_HELD_SQL = f"""
     SELECT source, year, href, min(seq) AS seq FROM ({LINKS_SQL})
     WHERE (source, year, href) NOT IN (
       SELECT source, year, href FROM ({LINKS_SQL}) JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')
-    GROUP BY source, year, href""",
-)
-def targets_not_held(spark, sf):
-    """First target of each place in the batch, without the places customers of one segment hold already."""
+    GROUP BY source, year, href"""
+
+
+def links_and_manifest(spark, sf):
     links = order_links(spark, sf)
     holders = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
-    manifest = links.join(holders, F.col("o_custkey") == F.col("c_custkey"))
+    return links, links.join(holders, F.col("o_custkey") == F.col("c_custkey"))
+
+
+@query("targets_not_held", NOT_HELD_SQL)
+def targets_not_held(spark, sf):
+    """First target of each place in the batch, without the places customers of one segment hold already."""
+    links, manifest = links_and_manifest(spark, sf)
     return L.not_held(links, manifest, ["source", "year", "href"], ["seq"]).select("source", "year", "href", "seq")
 
 
+@query("targets_not_held_filtered", NOT_HELD_SQL)
+def targets_not_held_filtered(spark, sf):
+    """The same through a Bloom filter of the manifest, which has been written as a store has it."""
+    links, manifest = links_and_manifest(spark, sf)
+    place = ["source", "year", "href"]
+    held = written(manifest.select(*place), "held-places")
+    return L.not_held_filtered(links, held, place, ["seq"]).select("source", "year", "href", "seq")
+
+
 @query(
     "collections_union",
     f"""
