@@ -19,6 +19,12 @@ def _file_system(spark: SparkSession, place: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def qualified(spark: SparkSession, place: str) -> str:
+    """The place with its file system, as Spark's readers name files below it."""
+    files, path = _file_system(spark, place)
+    return files.makeQualified(path).toString()
+
+
 def found(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, in order; none if nothing does."""
     files, path = _file_system(spark, pattern)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from regmill.functions import urls as U
 from regmill.functions.text import cut_before
 from regmill.operators import extract as X
 from regmill.operators import links as L
+from regmill.operators import page_store as P
 from regmill.operators.ordered import count_by
 from regmill.operators.scale import deal_out
 from regmill.operators.store import union_collections
@@ -15,7 +18,7 @@ from regmill.plans.catalog.derived import LINKS_SQL, ROOT, order_links
 from regmill.plans.catalog.page_queries import PAGE_LINKS_SQL, pages
 from regmill.plans.catalog.registry import CORES, query, sql_decode, table
 from regmill.rules import local_frame
-from regmill.session import written
+from regmill.session import fresh_dir, written
 
 PAGE_PREFIX = "/litigation/litreleases"
 
@@ -152,20 +155,31 @@ def numbered_pages(spark, sf):
     return pages(spark, sf).select(F.concat(F.lit("/p/"), F.col("page_id").cast("string")).alias("url"), "html")
 
 
-@query(
-    "followed_links",
-    f"""
+FOLLOWED_SQL = f"""
     SELECT '/p/' || k AS target, first_event, n_refs, CAST(pos AS BIGINT) AS pos, {sql_decode('raw')} AS href
     FROM (SELECT k, min(event_id) AS first_event, count(*) AS n_refs FROM ({EVENT_TARGET_SQL}) GROUP BY k)
-    JOIN ({PAGE_LINKS_SQL}) ON k = page_id WHERE raw <> ''""",
-)
-def followed_links(spark, sf):
-    found = L.follow(event_links(spark, sf), numbered_pages(spark, sf), ["event_id"])
+    JOIN ({PAGE_LINKS_SQL}) ON k = page_id WHERE raw <> ''"""
+
+
+def first_events(found):
     return found.select(
         "target", F.col("first_ref.event_id").alias("first_event"), "n_refs", F.col("pos").cast("bigint"), "href"
     )
 
 
+@query("followed_links", FOLLOWED_SQL)
+def followed_links(spark, sf):
+    return first_events(L.follow(event_links(spark, sf), numbered_pages(spark, sf), ["event_id"]))
+
+
+@query("followed_links_by_bucket", FOLLOWED_SQL)
+def followed_links_by_bucket(spark, sf):
+    """The same over pages stored in buckets by their address."""
+    name = f"pages_{uuid.uuid4().hex}"
+    store = P.write_pages(numbered_pages(spark, sf), name, CORES, path=fresh_dir(spark, name))
+    return first_events(P.follow(spark, event_links(spark, sf), store, ["event_id"]))
+
+
 @query(
     "links_without_page",
     f"""

@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from regmill import rules, schemas
 from regmill.functions.text import capitalize, strip
+from regmill.operators import outcomes as O
 from regmill.operators import records as R
 from regmill.operators.links import filings_between
 from regmill.operators.ordered import count_by
 from regmill.plans import notices as N
 from regmill.plans.catalog import derived
 from regmill.plans.catalog.registry import DEMO_KEY, query, sql_keyed_id, sql_strip, table
+from regmill.rules import local_frame
+from regmill.session import fresh_dir
 from regmill.sources.readers import decode_json
 
 # --- responses and notices ----------------------------------------------------
@@ -355,6 +358,21 @@ def rejected_documents(spark, sf):
     return bad.select("doc_id", "reason")
 
 
+@query(
+    "counted_outcomes",
+    """
+    SELECT CASE WHEN lang = 'es' THEN 'no body' WHEN length(text) < 200 THEN 'too short' WHEN doc_id % 5 = 0 THEN 'already held'
+                ELSE 'good' END AS outcome, count(*) AS n, count(*) AS n_written FROM documents GROUP BY 1""",
+)
+def counted_outcomes(spark, sf):
+    """Outcomes as counted by the job that wrote the documents, next to what it wrote."""
+    checks = {"no body": F.col("message_body").isNotNull(), "too short": F.length("message_body") >= 200}
+    done = O.write_outcomes(document_records(spark, sf), fresh_dir(spark, "outcomes"), checks, F.col("doc_id") % 5 == 0)
+    counted = local_frame(spark, [kv for kv in done.counts.items() if kv[1]], "outcome string, n bigint")
+    stored = done.bad.select("reason").unionAll(done.good.select(F.lit(O.GOOD))).toDF("outcome")
+    return counted.join(stored.groupBy("outcome").agg(F.count("*").alias("n_written")), "outcome", "full")
+
+
 @query(
     "enriched_documents",
     """

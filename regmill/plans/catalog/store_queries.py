@@ -13,7 +13,7 @@ from regmill.operators.ordered import count_by
 from regmill.plans.catalog.derived import LINKS_SQL, order_links
 from regmill.plans.catalog.registry import query, table
 from regmill.session import fresh_dir
-from regmill.sources.readers import scan_csv, scan_manifest
+from regmill.sources.readers import scan_csv, scan_held
 from regmill.streaming.incremental import run_incremental
 from regmill.streaming.live import run_live
 
@@ -197,11 +197,8 @@ def held_files(spark, sf):
     root = fresh_dir(spark, "held")
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("category"), F.year("o_orderdate").alias("year"))
     S.write_layout(rows, root, ["category", "year"], ["o_orderkey"])
-    files = scan_manifest(spark, root).where(F.endswith("file_name", F.lit(".parquet")))
-    return files.groupBy(
-        F.regexp_extract("path", "/category=([^/]*)/", 1).alias("category"),
-        F.regexp_extract("path", "/year=([^/]*)/", 1).alias("year"),
-    ).agg((F.min("length") > 0).alias("held"))
+    files = scan_held(spark, root).where(F.endswith("file_name", F.lit(".parquet")))
+    return files.groupBy("category", "year").agg((F.min("length") > 0).alias("held"))
 
 
 BUNDLE_SQL = """

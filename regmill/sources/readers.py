@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from regmill.operators import folders
 from regmill.operators.scale import deal_out
 
 
@@ -55,3 +56,35 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     return files.select(
         "path", "length", F.substring_index("path", "/", -1).alias("file_name")
     )
+
+
+def scan_held(spark: SparkSession, root: str) -> DataFrame:
+    """Files held below a folder with their place: site, category, year, file_name, path and length.
+
+    Folders may be named (`category=a/year=2020`, any of the three, in any order) or plain: `site/[category/][year/]file`, where
+    a last folder of four digits is the year and what lies between it and the site is the category. Parts that a
+    path lacks are null, as is the value that Spark's writer gives to nulls.
+    """
+    below = F.substring("path", len(folders.qualified(spark, root).rstrip("/")) + 2, 1 << 30)
+    files = scan_manifest(spark, root).withColumn("_dirs", F.slice(F.split(below, "/"), 1, F.size(F.split(below, "/")) - 1))
+    plain = F.filter("_dirs", lambda d: ~F.contains(d, F.lit("=")))
+    files = files.withColumn("_plain", plain)
+    last = F.get("_plain", F.size("_plain") - 1)
+    dated = (F.size("_plain") > 0) & F.coalesce(last.rlike("^[0-9]{4}$"), F.lit(False))
+    rest = F.when(dated, F.slice("_plain", 1, F.size("_plain") - 1)).otherwise(F.col("_plain"))
+    between = F.when(F.size(rest) > 1, F.array_join(F.slice(rest, 2, F.size(rest)), "/"))
+
+    def named(name: str):
+        value = F.get(F.filter("_dirs", lambda d: F.startswith(d, F.lit(f"{name}="))), F.lit(0))
+        value = F.substring(value, len(name) + 2, 1 << 30)
+        value = F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+        return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
+
+    return files.select(
+        F.coalesce(named("site"), F.get(rest, F.lit(0))).alias("site"),
+        F.coalesce(named("category"), between).alias("category"),
+        F.coalesce(named("year"), F.when(dated, last)).alias("year"),
+        "file_name",
+        "path",
+        "length",
+    )
