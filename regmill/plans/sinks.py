@@ -36,7 +36,8 @@ def load_files(files: DataFrame, contents: DataFrame, root: str, token: str) ->
     spark = files.sparkSession
     number = folders.claim_load(spark, root, token)
     order = [c for c in (*ORDER, "_region", "_pos") if c in files.columns]
-    wanted = L.not_held(files, held_files(spark, root, files, number), PLACE, order).select(*PLACE, "target", *ORDER)
+    held = held_files(spark, root, files, number)
+    wanted = L.not_held_filtered(files, held, PLACE, order).select(*PLACE, "target", *ORDER)
     fetched = wanted.join(contents.select("target", "content"), "target")
     layout.write_load(fetched, root, token, FOLDERS, PLACE[-1], ORDER)
     missing = wanted.join(contents.select("target"), "target", "left_anti")
