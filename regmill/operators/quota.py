@@ -4,64 +4,70 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 KEYS = ["country", "sex", "age", "warrant"]
+BAND = ["age_lo", "age_hi", "splits"]
+# The filters from the coarsest to the finest, each inside the one before it.
+LEVELS = [["country"], ["country", "sex"], ["country", "sex", *BAND], ["country", "sex", *BAND, "warrant"]]
 
 
 def quota_split(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
     """Leaf filters with their row counts: country, then sex, then age band, then warrant country.
 
-    People are counted per key combination first (combined on the map side). Level totals are
-    windows over that small count table, never over people, and since every level lies inside a
-    country one shuffle by country serves them all.
+    One aggregate counts every filter of every level. A filter is asked for if the next coarser one is over the quota
+    and split, so only rows of neighbouring levels meet, on the whole coarser filter: no task gets all of a country.
     """
-    leaves = _placed(people, bands, quota, sexes).where("remainder is null").drop("remainder")
-    counted = leaves.groupBy("country", "sex", "age_lo", "age_hi", "warrant").agg(F.sum("cell").alias("n"))
-    return counted.withColumn("overflow", F.col("n") > quota)
+    leaves = _asked(people, bands, quota, sexes).where("state = 'leaf'")
+    return leaves.select("country", "sex", "age_lo", "age_hi", "warrant", "n", (F.col("n") > quota).alias("overflow"))
 
 
 def quota_remainder(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
     """People that no leaf filter reaches, counted by why: their sex is not asked for, their age lies in no band, or
     their part is split by warrant country and they have none. With bands that do not overlap, leaves and remainder
     add up to the people."""
-    rest = _placed(people, bands, quota, sexes).where("remainder is not null")
-    return rest.groupBy("country", "sex", "age_lo", "age_hi", "remainder").agg(F.sum("cell").alias("n"))
+    rest = _asked(people, bands, quota, sexes).where("state in ('sex', 'age', 'warrant')")
+    return rest.select("country", "sex", "age_lo", "age_hi", F.col("state").alias("remainder"), "n")
 
 
-def _placed(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
+def _counted(people: DataFrame, bands: DataFrame) -> DataFrame:
+    """level, its filter (finer columns null) and n. An age in several bands counts in each, but once above them."""
     cells = people.groupBy(*KEYS).agg(F.count("*").alias("cell"))
-    sized = cells.withColumns(
-        {
-            "n_country": F.sum("cell").over(Window.partitionBy("country")),
-            "n_sex": F.sum("cell").over(Window.partitionBy("country", "sex")),
-        }
+    ages = bands.withColumn("_age", F.explode(F.sequence("age_lo", "age_hi")))
+    by_age = ages.groupBy("_age").agg(F.collect_list(F.struct(*BAND)).alias("_bands"))
+    held = cells.join(by_age, F.col("age").cast("int") == F.col("_age"), "left")
+    held = held.select("country", "sex", "warrant", "cell", F.posexplode_outer("_bands").alias("_no", "_band"))
+    once = F.when(F.coalesce("_no", F.lit(0)) == 0, F.col("cell")).otherwise(0)
+    held = held.select("country", "sex", "warrant", "_band.*", "cell", once.alias("once"))
+    sums = held.groupingSets([[F.col(c) for c in keys] for keys in LEVELS], *LEVELS[-1]).agg(
+        F.grouping_id().alias("_rolled"), F.sum("cell").alias("_cells"), F.sum("once").alias("_people")
     )
-    level = F.when(F.col("n_country") <= quota, "country").when(F.col("n_sex") <= quota, "sex").otherwise("band")
-    split = sized.withColumn("level", level)
-    other_sex = (F.col("level") != "country") & ~F.coalesce(F.col("sex").isin(sexes), F.lit(False))
-    split = split.withColumn("level", F.when(other_sex, "sex").otherwise(F.col("level")))
-    split = split.withColumn("remainder", F.when(other_sex, "sex"))
+    # a grouping id has one bit for each column that a level leaves out, the finest column's the lowest
+    level = sum((F.col("_rolled") < 1 << (len(LEVELS[-1]) - len(keys))).cast("int") for keys in LEVELS[1:]) + 1
+    n = F.when(F.col("level") < 3, F.col("_people")).otherwise(F.col("_cells"))
+    return sums.withColumn("level", level).select(*LEVELS[-1], "level", n.alias("n"))
 
-    ages = bands.withColumn("_age", F.explode(F.sequence("age_lo", "age_hi")))
-    wanted = F.when(F.col("level") == "band", F.col("age").cast("int"))
-    banded = split.join(ages, wanted == F.col("_age"), "left")
-    no_band = (F.col("level") == "band") & F.col("_age").isNull()
-    banded = banded.withColumn("remainder", F.coalesce("remainder", F.when(no_band, "age")))
-    n_band = F.sum("cell").over(Window.partitionBy("country", "sex", "level", "age_lo", "age_hi"))
-    finer = (F.col("level") == "band") & F.col("splits") & (F.col("n_band") > quota)
-    placed = banded.withColumn("n_band", n_band).withColumn("finer", F.coalesce(finer, F.lit(False)))
-    no_warrant = F.col("finer") & F.col("warrant").isNull()
-    return placed.select(
-        "country",
-        F.when(F.col("level") != "country", F.col("sex")).alias("sex"),
-        "age_lo",
-        "age_hi",
-        F.when(F.col("finer"), F.col("warrant")).alias("warrant"),
-        "cell",
-        F.coalesce("remainder", F.when(no_warrant, "warrant")).alias("remainder"),
+
+def _asked(people: DataFrame, bands: DataFrame, quota: int, sexes: list[str]) -> DataFrame:
+    """Filters that are reached from the top, with their state: leaf, split, or why nobody asks for them."""
+    counted = _counted(people, bands)
+    level, over = F.col("level"), F.col("n") > quota
+    state = (
+        F.when((level == 2) & ~F.coalesce(F.col("sex").isin(sexes), F.lit(False)), "sex")
+        .when((level == 3) & F.col("age_lo").isNull(), "age")
+        .when((level == 4) & F.col("warrant").isNull(), "warrant")
+        .when(over & ((level < 3) | ((level == 3) & F.col("splits"))), "split")
+        .otherwise("leaf")
     )
+    stated = counted.withColumn("state", state)
+    split = stated.where("state = 'split'").select(level.alias("_level"), *[F.col(c).alias(f"_{c}") for c in LEVELS[2]])
+    meets = F.col("_level") == level - 1
+    for column in LEVELS[2]:
+        # what the coarser level leaves out is null there
+        first = next(at for at, keys in enumerate(LEVELS, 1) if column in keys)
+        meets &= F.when(level > first, F.col(column)).eqNullSafe(F.col(f"_{column}"))
+    joined = stated.join(split, meets, "left")
+    return joined.where((level == 1) | F.col("_level").isNotNull()).drop(*split.columns)
 
 
 def unknown_sex_leaf(people: DataFrame, quota: int, code: str = "U") -> DataFrame:

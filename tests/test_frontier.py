@@ -127,6 +127,15 @@ def test_quota_split(spark, people, quota, bands):
         assert sum(r.n for r in got) + sum(r.n for r in rest) == len(people)
 
 
+def test_filters_of_a_hot_country_do_not_meet(spark):
+    people = [("AA", "FM"[i % 2], 20 + i % 40, "US") for i in range(400)]
+    frame = local_frame(spark, people, "country string, sex string, age int, warrant string")
+    plan = quota_split(frame, rules.age_bands(spark), 5, rules.SEXES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    # every shuffled step is keyed by a whole filter
+    assert "Aggregate [country" in plan and "age_hi" in plan.split("Join", 2)[1].splitlines()[0]
+
+
 def test_exactly_the_quota_is_not_split(spark):
     people = [("AA", "M", 30, "US")] * rules.NOTICE_QUOTA
     frame = local_frame(spark, people, "country string, sex string, age int, warrant string")
