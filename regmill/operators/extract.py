@@ -21,9 +21,13 @@ def _unnest(pages: DataFrame, html: str, array: Column, pos: str, value: str) ->
     return rows.where(F.col(pos).isNotNull())
 
 
-def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Every link in document order; links without a target are dropped, positions are kept."""
-    return _unnest(pages, html, H.hrefs(H.content(F.col(html))), "pos", "href").where(F.col("href") != "")
+def extract_links(pages: DataFrame, html: str = "html", clean: bool = False) -> DataFrame:
+    """Every link in document order; links without a target are dropped, positions are kept.
+
+    `clean` says that scripts, styles and comments are out already, as in regions.
+    """
+    markup = F.col(html) if clean else H.content(F.col(html))
+    return _unnest(pages, html, H.hrefs(markup), "pos", "href").where(F.col("href") != "")
 
 
 def tag_region(pages: DataFrame, tag: str, html: str = "html") -> DataFrame:

@@ -1,18 +1,19 @@
 """Regions of a page chosen by tag and class, which may nest and so need a tag stack.
 
-This is the one Python step of the package: pages stream through `mapInPandas` in Arrow
-batches, each page on its own. Scripts, styles and comments are removed before, in the JVM.
+One walk over the tags of a page lists its elements, and every scope asked of the page is answered from that list. This
+is the one Python step of the package: a pandas UDF that gets markup and scopes, in Arrow batches, each page on its own.
+Scripts, styles and comments are removed before, in the JVM.
 """
 
 from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterator
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regmill.functions.html import content
@@ -55,109 +56,150 @@ def _is_match(name: str, attributes: str, tag: str, classes: list[str]) -> bool:
     return classes[0] in found if len(classes) == 1 else found == classes
 
 
-def _inner(markup: str, tag: str, classes: list[str], only_first: bool) -> list[str]:
-    """Inner markup of matching elements; a closing tag also ends what was left open inside it."""
-    spans: list[list[int]] = []
-    open_tags: list[tuple[str, int]] = []
-    n_open: dict[str, int] = {}
-    for token in TAG.finditer(markup):
-        name = token[2].lower()
-        if not token[1]:
-            hit = -1
-            if not (only_first and spans) and _is_match(name, token[3], tag, classes):
-                hit = len(spans)
-                spans.append([token.end(), -1])
-            if name in VOID or token[3].endswith("/"):
-                if hit >= 0:
-                    spans[hit][1] = token.end()
-            else:
-                open_tags.append((name, hit))
-                n_open[name] = n_open.get(name, 0) + 1
-        elif n_open.get(name):
-            while True:
-                t, hit = open_tags.pop()
-                n_open[t] -= 1
-                if hit >= 0:
-                    spans[hit][1] = token.start()
-                if t == name:
-                    break
-        if only_first and spans and spans[0][1] >= 0:
-            break
-    return [markup[a : b if b >= 0 else len(markup)] for a, b in spans]
-
-
-def children(markup: str) -> list[str]:
-    """Elements and bare texts at the top of a piece of markup, in order; what is left open ends with it."""
-    pieces: list[str] = []
-    n_open: dict[str, int] = {}
-    open_tags: list[str] = []
-    start = 0
-
-    def cut(end: int) -> None:
-        nonlocal start
-        if end > start:
-            pieces.append(markup[start:end])
-        start = end
-
-    for token in TAG.finditer(markup):
-        name = token[2].lower()
-        if not token[1]:
-            if not open_tags:
-                cut(token.start())
-            if name not in VOID and not token[3].endswith("/"):
-                open_tags.append(name)
-                n_open[name] = n_open.get(name, 0) + 1
-            elif not open_tags:
-                cut(token.end())
-        elif n_open.get(name):
-            while True:
-                t = open_tags.pop()
-                n_open[t] -= 1
-                if t == name:
-                    break
-            if not open_tags:
-                cut(token.end())
-    cut(len(markup))
-    return pieces
-
-
-def _select(markup: str, ordinal: int | None, tag: str, classes: list[str]) -> list[str]:
-    if tag == "*":
-        return children(markup)
-    hits = _inner(markup, tag, classes, ordinal == 1)
-    if ordinal is None:
-        return hits
-    at = ordinal - 1 if ordinal > 0 else len(hits) + ordinal
-    return hits[at : at + 1] if at >= 0 else []
-
-
-def regions_of(markup: str, scope: str | list) -> list[str]:
-    """Regions a scope (or its parsed steps) selects, in document order."""
-    found = [markup]
-    for step in parse_scope(scope) if isinstance(scope, str) else scope:
-        found = [inner for piece in found for inner in _select(piece, *step)]
-    return found
+class Elements:
+    """The elements of a page in the order of their opening tags; a closing tag also ends what was left open inside it.
+
+    An element spans starts[i] to ends[i], its inner markup inner[i] to inner_ends[i].
+    """
+
+    def __init__(self, markup: str):
+        self.markup = markup
+        self.starts: list[int] = []
+        self.inner: list[int] = []
+        self.inner_ends: list[int] = []
+        self.ends: list[int] = []
+        self.tags: list[tuple[str, str]] = []
+        self.named: dict[str, list[int]] = {}
+        open_tags: list[int] = []
+        n_open: dict[str, int] = {}
+        for token in TAG.finditer(markup):
+            name = token[2].lower()
+            if not token[1]:
+                number = len(self.starts)
+                self.starts.append(token.start())
+                self.inner.append(token.end())
+                self.tags.append((name, token[3]))
+                self.named.setdefault(name, []).append(number)
+                empty = name in VOID or token[3].endswith("/")
+                self.inner_ends.append(token.end() if empty else len(markup))
+                self.ends.append(self.inner_ends[-1])
+                if not empty:
+                    open_tags.append(number)
+                    n_open[name] = n_open.get(name, 0) + 1
+            elif n_open.get(name):
+                while True:
+                    number = open_tags.pop()
+                    shut = self.tags[number][0]
+                    n_open[shut] -= 1
+                    self.inner_ends[number] = self.ends[number] = token.start()
+                    if shut == name:
+                        self.ends[number] = token.end()
+                        break
+
+    def children(self, begin: int, end: int) -> list[tuple[int, int]]:
+        """Spans of elements and bare texts at the top of a span, in order."""
+        spans, at = [], begin
+        number = bisect_left(self.starts, begin)
+        while number < len(self.starts) and self.starts[number] < end:
+            spans += [(at, self.starts[number]), (self.starts[number], self.ends[number])]
+            at = self.ends[number]
+            number = bisect_left(self.starts, at, number + 1)
+        return [(a, b) for a, b in [*spans, (at, end)] if a < b]
+
+    def select(self, begin: int, end: int, ordinal: int | None, tag: str, classes: list[str]) -> list[tuple[int, int]]:
+        """Spans that one step of a scope selects inside a span."""
+        if tag == "*":
+            return self.children(begin, end)
+        low, high = bisect_left(self.starts, begin), bisect_left(self.starts, end)
+        if tag:
+            own = self.named.get(tag, [])
+            numbers = own[bisect_left(own, low) : bisect_left(own, high)]
+        else:
+            numbers = range(low, high)
+        hits, left = [], None if ordinal is None else abs(ordinal)
+        for number in numbers if ordinal is None or ordinal > 0 else reversed(numbers):
+            if left == 0:
+                break
+            if _is_match(*self.tags[number], tag, classes):
+                hits.append((self.inner[number], self.inner_ends[number]))
+                left = None if left is None else left - 1
+        # an ordinal takes the last one found of so many
+        return hits if left is None else hits[-1:] if left == 0 and ordinal else []
+
+    def regions(self, steps: list) -> list[str]:
+        """Regions that the steps of a scope select, in document order."""
+        spans = [(0, len(self.markup))]
+        for step in steps:
+            spans = [inner for span in spans for inner in self.select(*span, *step)]
+        return [self.markup[a:b] for a, b in spans]
+
+
+def regions_of(markup: str, scope: str) -> list[str]:
+    """Regions a scope selects, in document order."""
+    return Elements(markup).regions(parse_scope(scope))
+
+
+def _answers(markup: pd.Series, scopes: pd.Series) -> pd.Series:
+    """For each page and scope the regions; pages without markup have no scopes asked."""
+    steps = {scope: parse_scope(scope) for asked in scopes for scope in asked}
+
+    def answer(page: str | None, asked: list[str]) -> list[list[str]]:
+        if page is None or not len(asked):
+            return []
+        elements = Elements(page)
+        return [elements.regions(steps[scope]) for scope in asked]
+
+    return pd.Series([answer(*row) for row in zip(markup, scopes)], index=markup.index)
+
+
+def page_regions(pages: DataFrame, scopes: str = "scopes", html: str = "html", into: str = "regions") -> DataFrame:
+    """The regions of each page for all its scopes, as an array of (kind, region_no, region), instead of the page column.
+
+    `scopes` names an array of (kind, scope). A null or empty scope is the whole page, without scripts, styles and
+    comments; without any scope a page has no regions. Only pages that hold the first class name of a scope go to Python, and only with such scopes.
+    """
+    none = F.array().cast(pages.schema[scopes].dataType)
+    clean = pages.withColumns({html: content(F.col(html)), scopes: F.coalesce(scopes, none)})
+    whole = F.coalesce(F.col(html).isNotNull(), F.lit(False))
+    asked = F.filter(
+        scopes,
+        lambda s: whole & (s["scope"] != "") & F.contains(F.col(html), F.coalesce(F.regexp_extract(s["scope"], FIRST_CLASS, 1), F.lit(""))),
+    )
+    plain = F.filter(scopes, lambda s: whole & (F.coalesce(s["scope"], F.lit("")) == ""))
+    sorted_out = clean.withColumns({"_asked": asked, "_plain": plain}).drop(scopes)
+    answers = F.pandas_udf(_answers, "array<array<string>>")
+    markup = F.when(F.size("_asked") > 0, F.col(html))
+    answered = sorted_out.withColumn("_found", answers(markup, F.transform("_asked", lambda s: s["scope"])))
+
+    def region(kind: Column, number: Column, text: Column) -> Column:
+        return F.struct(kind.alias("kind"), number.cast("bigint").alias("region_no"), text.alias("region"))
+
+    uncut = F.transform("_plain", lambda s: region(s["kind"], F.lit(0), F.col(html)))
+    cut = F.transform(
+        "_asked", lambda s, i: F.transform(F.get(F.col("_found"), i), lambda text, number: region(s["kind"], number, text))
+    )
+    every = F.concat(uncut, F.flatten(cut))
+    return answered.withColumn(into, every).drop("_asked", "_plain", "_found", html)
+
+
+def kind_regions(pages: DataFrame, scopes: str = "scopes", html: str = "html") -> DataFrame:
+    """One row per region of `page_regions`, its kind, number and markup in place of the page and its scopes."""
+    found = page_regions(pages, scopes, html, "_regions")
+    kept = [c for c in found.columns if c != "_regions"]
+    # the outer form keeps the optimizer from testing the array first, which would compute it twice
+    rows = found.select(*kept, F.explode_outer("_regions").alias("_region")).where(F.col("_region").isNotNull())
+    return rows.select(*kept, "_region.kind", "_region.region_no", "_region.region")
 
 
 def scoped_regions(pages: DataFrame, scope: str = "scope", html: str = "html") -> DataFrame:
     """One row per selected region of each page; `scope` names the column holding the page's rule.
 
     A page without a scope is one region, itself. The page column is replaced by
-    `region` and `region_no`. Pages that do not hold the scope's first class name at all are
+    `region_no` and `region`. Pages that do not hold the scope's first class name at all are
     left out by a substring test before anything goes to Python.
     """
-    kept = [f for f in pages.schema.fields if f.name not in (html, scope)]
-    names = [f.name for f in kept]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", region_no bigint, region string"
-
-    def select_regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            steps = {s: parse_scope(s) for s in batch[scope].unique() if s}
-            found = [regions_of(m, steps[s]) if s else [m] for m, s in zip(batch[html], batch[scope])]
-            out = batch[names].assign(region=found, region_no=[range(len(r)) for r in found])
-            out = out[[len(r) > 0 for r in found]].explode(["region", "region_no"])
-            yield out.astype({"region_no": "int64"})[[*names, "region_no", "region"]]
-
-    named = F.regexp_extract(scope, FIRST_CLASS, 1)
-    likely = pages.where(F.contains(F.col(html), F.coalesce(named, F.lit(""))))
-    return likely.withColumn(html, content(F.col(html))).mapInPandas(select_regions, schema)
+    one = F.array(F.struct(F.lit("").alias("kind"), F.col(scope).alias("scope")))
+    found = page_regions(pages.withColumn("_scopes", one).drop(scope), "_scopes", html, "_regions")
+    kept = [c for c in found.columns if c != "_regions"]
+    rows = found.select(*kept, F.explode_outer("_regions").alias("_region")).where(F.col("_region").isNotNull())
+    return rows.select(*kept, "_region.region_no", "_region.region")

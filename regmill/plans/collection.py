@@ -16,7 +16,7 @@ from regmill.operators import links as L
 from regmill.operators.extract import extract_links
 from regmill.operators.frontier import apply_year_rules, year_scope
 from regmill.operators.ordered import forward_fill
-from regmill.operators.regions import scoped_regions
+from regmill.operators.regions import kind_regions, page_regions, scoped_regions
 from regmill.operators.scale import first_by
 from regmill.session import written
 
@@ -25,13 +25,8 @@ ORDER = ["seq", "region_no", "pos"]
 
 
 def scoped_links(pages: DataFrame) -> DataFrame:
-    """Links of each page inside the regions its `scope` column selects; without a scope, of the whole page.
-
-    Only pages with a scope pass through the region step.
-    """
-    whole = pages.where(F.col("scope").isNull()).drop("scope").withColumnRenamed("html", "region")
-    regions = scoped_regions(pages.where(F.col("scope").isNotNull()))
-    return extract_links(whole.withColumn("region_no", F.lit(0).cast("bigint")).unionByName(regions), "region")
+    """Links of each page inside the regions its `scope` column selects; without a scope, of the whole page."""
+    return extract_links(scoped_regions(pages), "region", clean=True)
 
 
 def _not_held(named: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -70,27 +65,31 @@ def site_files(pages: DataFrame, rules: DataFrame, year_rules: DataFrame, denied
     A year rule of a site stands above the site's region of listing links. `year` is that of the file's folder, null
     for sites without folders per year; `category` is null where pages have none.
 
-    Listing links are written once and then read for the one-step and the two-step sites. Links
-    of linked pages are extracted before the second step, which so joins narrow link rows, one
-    per target of a site and year.
+    Pages are read once: a page gives the links of its listing region and, where its site is followed one step
+    further, those of its detail region. They are written once and then read for the one-step and the two-step sites;
+    the second step joins narrow link rows, one per target of a site and year.
     """
     ruled = year_scope(_with_category(pages).join(rules, "site"), year_rules)
     constants = ["site", "category", "root", "name_rule", "label", "by_year"]
-    listing = ruled.select(*constants, "year", "seq", "html", "scope", "first_only", "beginnings", "endings", "detail_scope")
-    links = scoped_links(listing).where(~F.col("first_only") | (F.col("pos") == 0))
-    begun = _allowed(links.where(L.one_of(F.col("href"), beginnings=F.col("beginnings"))), denied)
-    begun = written(begun, "site-links")
-
-    direct = begun.where(F.col("detail_scope").isNull() & L.one_of(F.col("href"), F.col("endings")))
+    listing = F.struct(F.lit("listing").alias("kind"), "scope")
+    detail = F.struct(F.lit("detail").alias("kind"), F.nullif("detail_scope", F.lit("")).alias("scope"))
+    scopes = F.array_compact(F.array(listing, F.when(F.col("detail_scope").isNotNull(), detail)))
+    choices = ["first_only", "beginnings", "endings", "detail_scope", "detail_first_only"]
+    asked = ruled.select(*constants, "year", "seq", "url", "html", *choices, scopes.alias("scopes"))
+    links = extract_links(kind_regions(asked), "region", clean=True)
+    listed = F.col("kind") == "listing"
+    first = F.when(listed, F.col("first_only")).otherwise(F.col("detail_first_only"))
+    begins, ends = (L.one_of(F.col("href"), **{k: F.col(k)}) for k in ("beginnings", "endings"))
+    wanted = links.where((~first | (F.col("pos") == 0)) & F.when(listed, begins).otherwise(ends))
+    held = written(_allowed(wanted, denied), "site-links")
+
+    begun = held.where(listed)
+    direct = begun.where(F.col("detail_scope").isNull() & ends)
     hops = begun.where(F.col("detail_scope").isNotNull())
     hops = hops.withColumn("url", U.resolve(F.col("root"), F.col("href")))
     hops = first_by(hops, ["site", "category", "year", "url"], [F.col(c) for c in ORDER]).drop("href")
 
-    details = ruled.where(F.col("detail_scope").isNotNull()).select(
-        "site", "url", "html", F.nullif(F.col("detail_scope"), F.lit("")).alias("scope"), "detail_first_only", "endings"
-    )
-    found = scoped_links(details).where(~F.col("detail_first_only") | (F.col("pos") == 0))
-    found = _allowed(found.where(L.one_of(F.col("href"), F.col("endings"))), denied)
+    found = held.where(~listed)
     found = found.select("site", "url", "href", F.col("region_no").alias("_region"), F.col("pos").alias("_pos"))
 
     columns = [*constants, "year", *ORDER, "href", "_region", "_pos"]
@@ -162,17 +161,13 @@ def page_texts(targets: DataFrame, pages: DataFrame, year_rules: DataFrame, site
     crawl = F.coalesce("seq", F.lit(-1)) if "seq" in pages.columns else F.lit(-1)
     pages = pages.select("site", "year", "url", crawl.cast("bigint").alias("_crawl"), "html")
     ruled = apply_year_rules(pages, year_rules).drop("template", "scope").join(sites.select("site", "marker"), "site")
-    regions = scoped_regions(ruled.withColumnRenamed("text_scope", "scope"))
+    scopes = F.array(F.struct(F.lit("text").alias("kind"), F.col("text_scope").alias("scope")))
+    regions = page_regions(ruled.withColumn("scopes", scopes)).where(F.size("regions") > 0)
     cut = F.coalesce("marker", F.regexp_replace("url", "^https://", "http://"))
-    line = F.concat(cut_before(strip(H.plain(F.col("region"))), cut), F.lit("\n"))
-    lines = regions.select("site", "url", "year", "_crawl", "region_no", line.alias("line"))
+    lines = F.transform("regions", lambda r: F.concat(cut_before(strip(H.plain(r["region"])), cut), F.lit("\n")))
     page = ["site", "year", "url"]
-    texts = lines.groupBy(*page, "_crawl").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("region_no", "line"))), lambda x: x["line"]), ""
-        ).alias("text")
-    )
-    texts = texts.groupBy(*page).agg(F.max_by("text", "_crawl").alias("text"))
+    texts = regions.select(*page, "_crawl", F.array_join(lines, "").alias("text"))
+    texts = texts.groupBy(*page).agg(F.max_by("text", F.struct("_crawl", "text")).alias("text"))
     wanted = targets.where(F.col("route") == "page_text")
     wanted = wanted.select("site", "year", "folder", "file_name", F.col("target").alias("url"), *ORDER)
     there = wanted.join(pages.select(*page).distinct(), page, "left_semi")

@@ -171,3 +171,21 @@ def test_release_listing_spans_pages(spark):
     assert sorted(r.title for r in fresh.collect()) == ["Ta", "Tab"]
     missing = releases.release_details(local_frame(spark, [("u", "<p>no article</p>")], "url string, html string"), rule)
     assert missing.where(F.col("message_body").isNotNull()).count() == 0
+
+
+def test_rule_driven_files_read_and_parse_pages_once(spark, tmp_path, monkeypatch):
+    local_frame(spark, LISTED, PAGES).write.parquet(str(tmp_path / "pages"))
+    pages = spark.read.parquet(str(tmp_path / "pages"))
+    kept, real = [], collection.written
+
+    def held(df, label):
+        kept.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(collection, "written", held)
+    files = collection.site_files(pages, rules.site_rules(spark), rules.year_rules(spark), rules.denied_links(spark))
+    (plan,) = kept
+    # an adaptive plan shows its first form only
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("FileScan parquet") == 1
+    assert "ArrowEvalPython" not in files._jdf.queryExecution().executedPlan().toString()
+    assert files.where("name_rule is null").count() == 0 and files.count() > 0

@@ -9,7 +9,8 @@ from regmill.functions import html as H
 from regmill.functions.text import capitalize, cut_before, decode_entities, split_at_patterns, strip
 from regmill.operators import extract as X
 from regmill.operators.frontier import code_list, last_page, pager
-from regmill.operators.regions import regions_of, scoped_regions
+from regmill.operators import regions
+from regmill.operators.regions import kind_regions, parse_scope, regions_of, scoped_regions
 from regmill.rules import NAMED_ENTITIES, REGULATION_PATTERNS, UNICODE_SPACES, local_frame
 
 
@@ -151,3 +152,115 @@ def test_unclosed_tags_take_linear_time():
     start = time.perf_counter()
     (found,) = regions_of(page, "div.a")
     assert len(found) == 16 * 8000 and time.perf_counter() - start < 0.5
+
+
+# --- the region step against a walk per step over the markup cut out so far ----
+
+
+def inner_by_walk(markup: str, tag: str, classes: list[str], only_first: bool) -> list[str]:
+    """Inner markup of matching elements; a closing tag also ends what was left open inside it."""
+    spans: list[list[int]] = []
+    open_tags: list[tuple[str, int]] = []
+    n_open: dict[str, int] = {}
+    for token in regions.TAG.finditer(markup):
+        name = token[2].lower()
+        if not token[1]:
+            hit = -1
+            if not (only_first and spans) and regions._is_match(name, token[3], tag, classes):
+                hit = len(spans)
+                spans.append([token.end(), -1])
+            if name in regions.VOID or token[3].endswith("/"):
+                if hit >= 0:
+                    spans[hit][1] = token.end()
+            else:
+                open_tags.append((name, hit))
+                n_open[name] = n_open.get(name, 0) + 1
+        elif n_open.get(name):
+            while True:
+                t, hit = open_tags.pop()
+                n_open[t] -= 1
+                if hit >= 0:
+                    spans[hit][1] = token.start()
+                if t == name:
+                    break
+        if only_first and spans and spans[0][1] >= 0:
+            break
+    return [markup[a : b if b >= 0 else len(markup)] for a, b in spans]
+
+
+def children_by_walk(markup: str) -> list[str]:
+    """Elements and bare texts at the top of a piece of markup, in order; what is left open ends with it."""
+    pieces: list[str] = []
+    n_open: dict[str, int] = {}
+    open_tags: list[str] = []
+    start = 0
+
+    def cut(end: int) -> None:
+        nonlocal start
+        if end > start:
+            pieces.append(markup[start:end])
+        start = end
+
+    for token in regions.TAG.finditer(markup):
+        name = token[2].lower()
+        if not token[1]:
+            if not open_tags:
+                cut(token.start())
+            if name not in regions.VOID and not token[3].endswith("/"):
+                open_tags.append(name)
+                n_open[name] = n_open.get(name, 0) + 1
+            elif not open_tags:
+                cut(token.end())
+        elif n_open.get(name):
+            while True:
+                t = open_tags.pop()
+                n_open[t] -= 1
+                if t == name:
+                    break
+            if not open_tags:
+                cut(token.end())
+    cut(len(markup))
+    return pieces
+
+
+def select_by_walk(markup: str, ordinal: int | None, tag: str, classes: list[str]) -> list[str]:
+    if tag == "*":
+        return children_by_walk(markup)
+    hits = inner_by_walk(markup, tag, classes, ordinal == 1)
+    if ordinal is None:
+        return hits
+    at = ordinal - 1 if ordinal > 0 else len(hits) + ordinal
+    return hits[at : at + 1] if at >= 0 else []
+
+
+def regions_by_walks(markup: str, scope: str) -> list[str]:
+    found = [markup]
+    for step in parse_scope(scope):
+        found = [inner for piece in found for inner in select_by_walk(piece, *step)]
+    return found
+
+
+PIECES = ["<div>", "</div>", '<div class="a b">', "<div class=a>", "<td>", "</td>", "<td/>", "<br>", "<p>", "</p>", "x", " ", "<", "<a 'q>", "</i>", "<DIV CLASS='b'>"]
+SCOPES = [
+    "div", "all div", "div[2]", "div[-1]", "div[-2]", "div[0]", "*", "div > *", "all * > all div", "td > *", ".a", "all .a", "all div.a b", "div > all td",
+    "all div > all div", "td[-3] > *", "* > div[2] > *", ".b[-1] > p",
+]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25), st.sampled_from(SCOPES))
+def test_one_walk_equals_a_walk_per_step(parts, scope):
+    markup = "".join(parts)
+    assert regions_of(markup, scope) == regions_by_walks(markup, scope)
+
+
+def test_kinds_of_regions_come_from_one_walk(spark):
+    page = "<!-- <div>no</div> --><div class=a><td>1</td><td>2</td></div>tail"
+    asked = [("list", "div.a > all td"), ("text", None), ("none", "div.zz"), ("all", "")]
+    rows = [(0, page, asked), (1, "", asked), (2, None, asked), (3, page, []), (4, page, None)]
+    found = kind_regions(local_frame(spark, rows, "id int, html string, scopes array<struct<kind string, scope string>>"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    clean = page[page.index("-->") + 3 :]
+    want = [(0, "all", 0, clean), (0, "list", 0, "1"), (0, "list", 1, "2"), (0, "text", 0, clean), (1, "all", 0, ""), (1, "text", 0, "")]
+    assert sorted(map(tuple, found.select("id", "kind", "region_no", "region").collect())) == want
