@@ -139,19 +139,28 @@ def normalize_dob(df: DataFrame, column: str = "date_of_birth", into: str = "ent
     return df.withColumn(into, D.birth_date(F.col(column)))
 
 
+def _is_list(value: Column) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("ARRAY")), F.lit(False))
+
+
 def fold_attributes(df: DataFrame, into: str = "entity_notes") -> DataFrame:
     """Physical attributes as one note 'k: v; k: v;'; a list stands by its last item, absent ones are left out.
 
-    A value may be a list or its JSON text; any other text stands as it is, so numbers keep their printed form.
+    A value may be a list, its JSON text or a variant, whose type is each row's own. Text that is no JSON list stands
+    as it is, so numbers keep their printed form; variants print numbers without closing zeros and objects as JSON.
     """
     parts = []
     for name in [c for c in R.FOLDED_ATTRIBUTES if c in df.columns]:
         c = F.col(name)
-        if df.schema[name].dataType.typeName() == "array":
+        kind = df.schema[name].dataType.typeName()
+        if kind == "array":
             c = F.try_element_at(c, F.lit(-1))
-        elif df.schema[name].dataType.typeName() == "string":
-            items = F.from_json(c, "array<string>")
-            c = F.when(F.startswith(c, F.lit("[")), F.try_element_at(items, F.lit(-1))).otherwise(c)
+        elif kind == "string":
+            last = F.try_element_at(F.from_json(c, "array<string>"), F.lit(-1))
+            c = F.when(_is_list(F.try_parse_json(c)), last).otherwise(c)
+        elif kind == "variant":
+            last = F.try_element_at(F.try_variant_get(c, "$", "array<variant>"), F.lit(-1))
+            c = F.when(_is_list(c), last.cast("string")).otherwise(c.cast("string"))
         parts.append(F.when(c.isNotNull(), F.concat(F.lit(f"{name}: "), c.cast("string"), F.lit(";"))))
     joined = F.concat_ws(" ", *parts)
     note = F.when(joined != "", F.concat(F.lit(R.FOLD_PREFIX), joined))

@@ -185,3 +185,15 @@ def test_penalty_records_split_header(spark):
     row = good.first()
     assert (row.message_summary, row.message_tags, row.message_title) == ("v1 ", "30 CFR 1 ", "PENALTY COLLECTIONS FY 2020")
     assert row.time_master == row.time_document == "2020-12-31T00:00:00.000Z"
+
+
+def test_attributes_of_any_json_type(spark):
+    values = ["1.70", '["BLA", "BRO"]', "[2, 1.75]", '{"b": 1, "a": [2]}', '[{"b": 1, "a": 2}]', "[note without end", "[]", "plain", "true", None]
+    shown = ["1.70", "BRO", "1.75", '{"b": 1, "a": [2]}', '{"b":1,"a":2}', "[note without end", None, "plain", "true", None]
+    frame = local_frame(spark, list(enumerate(values)), "id int, height string")
+    notes = lambda df: [r.entity_notes for r in R.fold_attributes(df).orderBy("id").collect()]
+    want = [v and f"{rules.FOLD_PREFIX}height: {v};" for v in shown]
+    assert notes(frame) == want
+    typed = ["1.7", "BRO", "1.75", '{"a":[2],"b":1}', '{"a":2,"b":1}', None, None, None, "true", None]
+    variants = frame.withColumn("height", F.try_parse_json("height"))
+    assert notes(variants) == [v and f"{rules.FOLD_PREFIX}height: {v};" for v in typed]
