@@ -4,6 +4,9 @@ A window partitioned by site would put a site's whole history into one task. Her
 group is cut into chunks of its order: windows run inside chunks, one summary row per chunk carries
 the state across them, and the carry is joined back on the group key and the chunk.
 
+Rows move once, to their chunk. Bounds are one in `chunk` rows, and only groups that hold one have summary rows, at most
+two a bound; both tables are that much smaller than the input and are sent to the rows.
+
 Chunks start at rows of the group itself, chosen by a hash of their order columns: one row in `chunk`, and of these
 the ones of least hash, at most BOUNDS a group. So chunks follow the rows however their order values are spread, a
 group of few rows is one chunk, and a job that is started again cuts alike. A group has at most BOUNDS + 1 summary rows.
@@ -26,16 +29,26 @@ CHUNK = 1 << 14
 BOUNDS = 255
 
 
+def _sent(small: DataFrame, by: list[str]) -> DataFrame:
+    """A table of bounds or of their summaries, its keys renamed for `_same`: one row in thousands, so rows need not move."""
+    return F.broadcast(small.withColumnsRenamed({c: f"_of_{c}" for c in by}))
+
+
+def _same(by: list[str]) -> Column:
+    """Nulls are equal here."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+
+
 def _chunked(df: DataFrame, by: list[str], order: list[str], chunk: int) -> DataFrame:
-    """Rows with the number of their chunk: how many bounds of their group lie at or before them."""
+    """Rows with the number of their chunk (how many bounds of their group lie at or before them), and whether it has any."""
     place, mark = F.struct(*order), F.xxhash64(*by, *order)
     some = df.where(F.pmod(mark, F.lit(chunk)) == 0).select(*by, place.alias("_place"), mark.alias("_mark")).distinct()
     some = first_by(some, by, [F.col("_mark"), F.col("_place")], most=BOUNDS)
-    bounds = some.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(F.sort_array(F.collect_list("_place")).alias("_bounds"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
+    bounds = some.groupBy(*by).agg(F.sort_array(F.collect_list("_place")).alias("_bounds"))
     passed = F.size(F.filter("_bounds", lambda b: b <= place))
-    chunked = df.join(bounds, same, "left").withColumn("_chunk", F.when(F.col("_bounds").isNull(), 0).otherwise(passed))
-    return chunked.select(*df.columns, "_chunk")
+    cut = F.col("_bounds").isNotNull()
+    chunked = df.join(_sent(bounds, by), _same(by), "left")
+    return chunked.select(*df.columns, F.when(cut, passed).otherwise(0).alias("_chunk"), cut.alias("_cut"))
 
 
 def _inside(by: list[str], order: list[str]):
@@ -47,11 +60,9 @@ def _chunks_before(by: list[str]):
 
 
 def _carried(rows: DataFrame, carry: DataFrame, by: list[str]) -> DataFrame:
-    """Rows with the carry of their chunk; nulls are equal here."""
+    """Rows with the carry of their chunk, null where the group is one chunk."""
     keys = [*by, "_chunk"]
-    held = carry.select(*[F.col(c).alias(f"_of_{c}") if c in keys else c for c in carry.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys]
-    return rows.join(held, reduce(lambda a, b: a & b, same), "left").drop(*[f"_of_{c}" for c in keys])
+    return rows.join(_sent(carry, keys), _same(keys), "left").drop(*[f"_of_{c}" for c in keys])
 
 
 def forward_fill(
@@ -60,7 +71,7 @@ def forward_fill(
     """Most recent non-null `value` up to and including each row, per group."""
     rows = _chunked(df, by, order, chunk)
     place = F.when(F.col(value).isNotNull(), F.struct(*order))
-    ends = rows.groupBy(*by, "_chunk").agg(F.max_by(F.col(value), place).alias("_end"))
+    ends = rows.where("_cut").groupBy(*by, "_chunk").agg(F.max_by(F.col(value), place).alias("_end"))
     carry = ends.withColumn("_carry", F.last("_end", ignorenulls=True).over(_chunks_before(by))).drop("_end")
     filled = rows.withColumn("_last", F.last(value, ignorenulls=True).over(_inside(by, order)))
     out = _carried(filled, carry, by).withColumn(into, F.coalesce("_last", "_carry"))
@@ -70,16 +81,20 @@ def forward_fill(
 def _counted(df: DataFrame, flag: Column, by: list[str], order: list[str], chunk: int) -> DataFrame:
     """Rows with their chunk, the flags before them in the group and the group's flags in all."""
     rows = _chunked(df.withColumn("_flag", F.when(flag, 1).otherwise(0).cast("long")), by, order, chunk)
-    sums = rows.groupBy(*by, "_chunk").agg(F.sum("_flag").alias("_sum"))
+    sums = rows.where("_cut").groupBy(*by, "_chunk").agg(F.sum("_flag").alias("_sum"))
     carry = sums.select(
         *by,
         "_chunk",
-        F.coalesce(F.sum("_sum").over(_chunks_before(by)), F.lit(0).cast("long")).alias("_carry"),
-        F.sum("_sum").over(Window.partitionBy(*by)).alias("_total"),
+        F.sum("_sum").over(_chunks_before(by)).alias("_carry"),
+        F.sum("_sum").over(Window.partitionBy(*by)).alias("_all"),
     )
-    seen = rows.withColumn("_seen", F.sum("_flag").over(_inside(by, order)))
+    here = _inside(by, order)
+    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = rows.select("*", F.sum("_flag").over(here).alias("_seen"), F.sum("_flag").over(whole).alias("_own"))
     out = _carried(seen, carry, by)
-    return out.withColumn("_before", F.col("_carry") + F.col("_seen") - F.col("_flag")).drop("_carry", "_seen")
+    before = F.coalesce("_carry", F.lit(0).cast("long")) + F.col("_seen") - F.col("_flag")
+    counted = out.withColumns({"_before": before, "_total": F.coalesce("_all", "_own")})
+    return counted.drop("_carry", "_all", "_seen", "_own", "_cut")
 
 
 def running_count(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from regmill.operators import store
 from regmill.operators.ordered import running_count
+from regmill.session import scratch, written
 
 
 def counts_root(root: str) -> str:
@@ -59,9 +60,12 @@ def append_versions(
 ) -> None:
     """Write the batch with its versions, then its audit rows, then the totals of its ids.
 
-    Versions are written first and read back for the other two, so all three agree.
+    Versions are written first and read back for the other two, so all three agree. The batch itself is computed once,
+    into a table that is dropped at the end: counting reads it more than once.
     """
     spark = batch.sparkSession
+    with scratch(spark) as kept:
+        batch = written(batch, "batch")
     totals = totals_before(spark, root, key, batch_id, load, source)
     if totals is None:
         totals = batch.select(*key, F.lit(0).cast("bigint").alias("total")).where("false")
@@ -73,3 +77,4 @@ def append_versions(
     store.append_batch(audit, audit_root(root), batch_id, load, source)
     counted = rows.groupBy(*key).agg((F.min(into) - 1).alias("before"), F.max(into).alias("total"))
     store.append_batch(counted, counts_root(root), batch_id, load, source)
+    kept.drop()

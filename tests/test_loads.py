@@ -14,6 +14,7 @@ from regmill.operators import links as L
 from regmill.operators import store as S
 from regmill.operators import versions as V
 from regmill.rules import local_frame
+from regmill.session import shared_root
 from regmill.streaming.incremental import load_number
 from regmill.streaming.live import above_marks, latest_runs, marked_runs, run_live, state_schema
 
@@ -297,3 +298,20 @@ def test_versions_of_loads_are_those_of_one(spark, tmp_path_factory, ids, loads)
     audit = S.read_writes(spark, V.audit_root(root)).collect()
     assert sorted(r.url for r in audit) == sorted(w[2] for w in want if w[3] > 1)
     assert all(f'"url":"{r.url}"' in r.record for r in audit)
+
+
+def test_versions_compute_a_batch_once(spark, tmp_path):
+    """A batch that is dear to compute is not computed again for its counts; its scratch table goes."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def place(k):
+        asked.add(1)
+        return k
+
+    ids = local_frame(spark, [(f"k{k % 30}", k, f"/d/{k}") for k in range(40)], "id string, seq int, url string")
+    batch = ids.withColumn("seq", F.udf(place, "int")("seq"))
+    before = set(glob.glob(f"{shared_root(spark)}/batch-*"))
+    V.append_versions(batch, str(tmp_path / "i"), 0, ["id"], ["seq"], "url")
+    assert asked.value == 40
+    assert set(glob.glob(f"{shared_root(spark)}/batch-*")) == before
+    assert S.read_writes(spark, V.audit_root(str(tmp_path / "i"))).count() == 10

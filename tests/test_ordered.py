@@ -161,3 +161,19 @@ def test_order_of_texts_and_nulls(spark, chunk):
     got = O.running_count(local_frame(spark, data, "site string, place string"), F.lit(True), ["site"], ["place"], "n", True, chunk)
     want = [("a", p, n) for n, p in enumerate([None, "b", "c", "k", "m", "q", "z"], 1)] + [(None, "x", 1), (None, "y", 2)]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_rows_move_once_to_their_chunk(spark):
+    """Bounds and carries are sent to the rows: no join of an ordered step sorts both of its sides."""
+    rows = spark.range(1000).select((F.col("id") % 3).alias("site"), F.col("id").alias("seq"), F.lit("x").alias("text"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frames = [
+            O.running_count(rows, F.lit(True), ["site"], ["seq"], "n", True, 4),
+            O.forward_fill(rows, "text", ["site"], ["seq"], "last", 4),
+            O.assemble_records(rows, ["site"], ["seq"], {"text": F.col("text")}, F.col("seq") % 5 == 0, {}, 4),
+        ]
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
