@@ -45,7 +45,10 @@ def _chunked(df: DataFrame, by: list[str], order: list[str], chunk: int) -> Data
     some = df.where(F.pmod(mark, F.lit(chunk)) == 0).select(*by, place.alias("_place"), mark.alias("_mark")).distinct()
     some = first_by(some, by, [F.col("_mark"), F.col("_place")], most=BOUNDS)
     bounds = some.groupBy(*by).agg(F.sort_array(F.collect_list("_place")).alias("_bounds"))
-    passed = F.size(F.filter("_bounds", lambda b: b <= place))
+    # halving steps, as a hot group has all its bounds to search for every row
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BOUNDS.bit_length()))])
+    step_on = lambda at, step: F.when(F.get("_bounds", at + step - 1) <= place, at + step).otherwise(at)
+    passed = F.aggregate(steps, F.lit(0), step_on)
     cut = F.col("_bounds").isNotNull()
     chunked = df.join(_sent(bounds, by), _same(by), "left")
     return chunked.select(*df.columns, F.when(cut, passed).otherwise(0).alias("_chunk"), cut.alias("_cut"))

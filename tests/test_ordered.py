@@ -177,3 +177,10 @@ def test_rows_move_once_to_their_chunk(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+
+
+def test_bounds_are_searched_in_halves(spark):
+    """A row of a hot group is compared with a few of its bounds, not with all of them."""
+    chunked = O._chunked(spark.range(10).withColumn("site", F.lit("hot")), ["site"], ["id"], 4)
+    plan = chunked._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(_bounds" not in plan and "aggregate([128,64,32,16,8,4,2,1]" in plan
