@@ -13,6 +13,7 @@ from regmill.operators.extract import body_text, extract_listing, first_region,
 from regmill.operators.ordered import first_seen, since_mark
 from regmill.operators.regions import scoped_regions
 from regmill.rules import DOCUMENT_FIELDS, ID_EXCLUDES, ReleaseRule, date_fixes
+from regmill.session import written
 
 
 def _in_scope(pages: DataFrame, scope: str | None) -> DataFrame:
@@ -74,9 +75,12 @@ def keyed_documents(records: DataFrame, key_hex: str) -> tuple[DataFrame, DataFr
 def release_documents(
     listing_pages: DataFrame, detail_pages: DataFrame, rule: ReleaseRule, key_hex: str, marks: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, rejects) of one source; with marks (source, mark) only what is listed in front of them."""
+    """(documents, rejects) of one source; with marks (source, mark) only what is listed in front of them.
+
+    The mark is looked for before rows are cut at it, so the listing is written once and pages are parsed once.
+    """
     listing = release_listing(listing_pages, rule)
     if marks is not None:
-        listing = since_mark(listing, marks, ["source"], "title", "pos")
+        listing = since_mark(written(listing, "listing"), marks, ["source"], "title", "pos")
     records = release_records(listing, release_details(detail_pages, rule), rule)
     return keyed_documents(records, key_hex)

@@ -189,3 +189,20 @@ def test_rule_driven_files_read_and_parse_pages_once(spark, tmp_path, monkeypatc
     assert plan.count("ArrowEvalPython") == 1 and plan.count("FileScan parquet") == 1
     assert "ArrowEvalPython" not in files._jdf.queryExecution().executedPlan().toString()
     assert files.where("name_rule is null").count() == 0 and files.count() > 0
+
+
+def test_marked_listing_is_parsed_once(spark):
+    """The mark is looked for in rows that were written, so pages are not parsed again to cut at it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def page(n):
+        read.add(1)
+        return f'<table><tbody><tr><td>1/2/2020</td><td><a href="/r{n}">t{n}</a></td></tr></tbody></table>'
+
+    listing = spark.range(6).select(F.col("id").alias("seq"), F.udf(page, "string")("id").alias("html"))
+    rule = rules.RELEASE_RULES["fda"]._replace(root="https://x", listing_scope=None, detail_scope=None, body="first")
+    details = local_frame(spark, [(f"https://x/r{n}", f"<p>b{n}</p>") for n in range(6)], "url string, html string")
+    marks = local_frame(spark, [(rule.source, "t4")], "source string, mark string")
+    documents, _ = releases.release_documents(listing, details, rule, "ab" * 32, marks)
+    assert sorted(r.message_title for r in documents.collect()) == ["t0", "t1", "t2", "t3"]
+    assert read.value == 6
