@@ -21,7 +21,7 @@ from regmill.functions.html import content
 # The functions below travel with the job, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""")
+TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>""")
 CLASS = re.compile(r"""(?is)(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
 FIRST_CLASS = r"\.([^\s\[>]+)"
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -59,10 +59,12 @@ def _is_match(name: str, attributes: str, tag: str, classes: list[str]) -> bool:
 class Elements:
     """The elements of a page in the order of their opening tags; a closing tag also ends what was left open inside it.
 
-    An element spans starts[i] to ends[i], its inner markup inner[i] to inner_ends[i].
+    An element spans starts[i] to ends[i], its inner markup inner[i] to inner_ends[i]. `firsts` are the first steps of all
+    scopes asked: if each takes the k-th element from the start, the walk ends when these are closed, as all other steps
+    stay inside them.
     """
 
-    def __init__(self, markup: str):
+    def __init__(self, markup: str, firsts: list[tuple[int | None, str, list[str]]] | None = None):
         self.markup = markup
         self.starts: list[int] = []
         self.inner: list[int] = []
@@ -72,29 +74,53 @@ class Elements:
         self.named: dict[str, list[int]] = {}
         open_tags: list[int] = []
         n_open: dict[str, int] = {}
+        starts, inner, inner_ends, ends, tags, named = self.starts, self.inner, self.inner_ends, self.ends, self.tags, self.named
+        whole = len(markup)
+        counted = bool(firsts) and all((ordinal or 0) > 0 and tag != "*" for ordinal, tag, _ in firsts)
+        left = [list(first) for first in firsts] if counted else []
+        to_close: set[int] = set()
         for token in TAG.finditer(markup):
-            name = token[2].lower()
-            if not token[1]:
-                number = len(self.starts)
-                self.starts.append(token.start())
-                self.inner.append(token.end())
-                self.tags.append((name, token[3]))
-                self.named.setdefault(name, []).append(number)
-                empty = name in VOID or token[3].endswith("/")
-                self.inner_ends.append(token.end() if empty else len(markup))
-                self.ends.append(self.inner_ends[-1])
-                if not empty:
+            closing, name, attributes = token.groups()
+            begin, end = token.span()
+            name = name.lower()
+            if not closing:
+                number = len(starts)
+                starts.append(begin)
+                inner.append(end)
+                tags.append((name, attributes))
+                if name in named:
+                    named[name].append(number)
+                else:
+                    named[name] = [number]
+                if name in VOID or attributes[-1:] == "/":
+                    inner_ends.append(end)
+                    ends.append(end)
+                else:
+                    inner_ends.append(whole)
+                    ends.append(whole)
                     open_tags.append(number)
                     n_open[name] = n_open.get(name, 0) + 1
+                for step in left:
+                    if _is_match(name, attributes, *step[1:]):
+                        step[0] -= 1
+                        if step[0] == 0 and ends[number] == whole:
+                            to_close.add(number)
+                if left:
+                    left = [step for step in left if step[0]]
+                if counted and not left and not to_close:
+                    return
             elif n_open.get(name):
                 while True:
                     number = open_tags.pop()
-                    shut = self.tags[number][0]
+                    shut = tags[number][0]
                     n_open[shut] -= 1
-                    self.inner_ends[number] = self.ends[number] = token.start()
+                    inner_ends[number] = ends[number] = begin
+                    to_close.discard(number)
                     if shut == name:
-                        self.ends[number] = token.end()
+                        ends[number] = end
                         break
+                if counted and not left and not to_close:
+                    return
 
     def children(self, begin: int, end: int) -> list[tuple[int, int]]:
         """Spans of elements and bare texts at the top of a span, in order."""
@@ -136,7 +162,8 @@ class Elements:
 
 def regions_of(markup: str, scope: str) -> list[str]:
     """Regions a scope selects, in document order."""
-    return Elements(markup).regions(parse_scope(scope))
+    steps = parse_scope(scope)
+    return Elements(markup, steps[:1]).regions(steps)
 
 
 def _answers(markup: pd.Series, scopes: pd.Series) -> pd.Series:
@@ -146,7 +173,7 @@ def _answers(markup: pd.Series, scopes: pd.Series) -> pd.Series:
     def answer(page: str | None, asked: list[str]) -> list[list[str]]:
         if page is None or not len(asked):
             return []
-        elements = Elements(page)
+        elements = Elements(page, [steps[scope][0] for scope in asked])
         return [elements.regions(steps[scope]) for scope in asked]
 
     return pd.Series([answer(*row) for row in zip(markup, scopes)], index=markup.index)

@@ -264,3 +264,12 @@ def test_kinds_of_regions_come_from_one_walk(spark):
     clean = page[page.index("-->") + 3 :]
     want = [(0, "all", 0, clean), (0, "list", 0, "1"), (0, "list", 1, "2"), (0, "text", 0, clean), (1, "all", 0, ""), (1, "text", 0, "")]
     assert sorted(map(tuple, found.select("id", "kind", "region_no", "region").collect())) == want
+
+
+def test_the_walk_ends_with_the_elements_asked_for():
+    """Steps that count from the start need no tags behind their last element; others need the whole page."""
+    page = '<div class="a"><p>1</p></div><p>2</p><div class="a"><p>3</p></div>' + "<p>x</p>" * 50
+    read = lambda *scopes: len(regions.Elements(page, [parse_scope(s)[0] for s in scopes]).starts)
+    assert read("div.a") == 2 and read("div.a", "p[2]") == 3 and read("div.a[2] > p") == 5
+    assert {read(s) for s in ("all div", "div[-1]", "*", "div[3]")} == {55}
+    assert regions_of(page, "div.a[2] > p") == ["3"] and regions_of("<div><p>1", "div > p") == ["1"]
