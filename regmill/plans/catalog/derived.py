@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regmill.operators.scale import deal_out
-from regmill.plans.catalog.registry import CORES, table
+from regmill.plans.catalog.registry import shares, table
 
 ROOT = "https://www.agency.example"
 
@@ -45,7 +45,7 @@ LINKS_SQL = f"""
 
 def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A listing page per order: a script with markup in it, a dated table row, a region and a card."""
-    return deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         "o_orderpriority AS site",
         "year(o_orderdate) AS year",
         "o_orderkey AS seq",
@@ -79,7 +79,7 @@ def archive_pages(spark: SparkSession, sf: str) -> DataFrame:
 def archived_texts(spark: SparkSession, sf: str) -> DataFrame:
     """The page each order's page link points to; its text names its own address."""
     url = f"'{ROOT}/litigation/litreleases/lr' || o_orderkey || '.htm'"
-    return table(spark, sf, "orders").selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         f"{ROUTED_SITE} AS site",
         "year(o_orderdate) AS year",
         f"{url} AS url",
@@ -96,7 +96,7 @@ RULED_SITE = (
 
 def ruled_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Listing pages of five sites, one per order, and the pages two of them link to, one per customer."""
-    listing = deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    listing = deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         f"{RULED_SITE} AS site",
         "year(o_orderdate) AS year",
         "o_orderkey AS seq",
@@ -128,7 +128,7 @@ ARTICLE = "grid-col desktop:grid-col-10 margin-bottom-2 desktop:margin-bottom-5"
 
 def card_listing(spark: SparkSession, sf: str) -> DataFrame:
     """A page of two cards per order: one linked, one not; around it, a list outside the region."""
-    return deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         "o_orderkey AS seq",
         f"""'<ul class="nav"><li><a href="/x">x</a></li></ul><ul class="usa-card-group padding-y-0"><li><a href="{HHS_PATH}'
            || o_orderkey || '"> Case ' || o_orderpriority || ' </a></li><li>plain</li></ul>' AS html""",
@@ -137,7 +137,7 @@ def card_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 def card_pages(spark: SparkSession, sf: str) -> DataFrame:
     """The release page of each order; those of one status lack the article."""
-    return deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         f"'https://oig.hhs.gov{HHS_PATH}' || o_orderkey AS url",
         f"""'<p>menu</p><article class="' || CASE WHEN o_orderstatus = 'P' THEN 'other' ELSE '{ARTICLE}' END
            || '"><ul><li>Date: ' || CASE WHEN o_orderkey = 7 THEN 'March, 2010' ELSE date_format(o_orderdate, 'MMMM d, yyyy') END
@@ -150,7 +150,7 @@ DOL_PATH = "/newsroom/releases/ofccp/"
 
 def teaser_listing(spark: SparkSession, sf: str) -> DataFrame:
     """A page of two teasers per order; the link of the second one is not padded and so not kept."""
-    return deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         "o_orderkey AS seq",
         f"""'<div class="image-left-teaser x"><h3> Release ' || o_orderkey || ' </h3><p><span class="dol-date-text"> '
            || date_format(o_orderdate, 'MMMM d, yyyy') || '</span></p><a href="    {DOL_PATH}' || o_orderkey || '  ">more</a></div>'
@@ -160,7 +160,7 @@ def teaser_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 def teaser_pages(spark: SparkSession, sf: str) -> DataFrame:
     """The release page of each order, its region nested, text behind the marker to be cut."""
-    return deal_out(table(spark, sf, "orders"), "o_orderkey", CORES).selectExpr(
+    return deal_out(table(spark, sf, "orders"), "o_orderkey", shares(spark)).selectExpr(
         f"'https://www.dol.gov{DOL_PATH}' || o_orderkey AS url",
         """'<div>menu<div class="dol-press-page"><div>By ' || o_custkey || '</div> for ' || o_orderpriority
            || '<div>Share This page</div></div>footer</div>' AS html""",
@@ -170,7 +170,7 @@ def teaser_pages(spark: SparkSession, sf: str) -> DataFrame:
 def document_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Each document as a table page: a row per line, a cell per sentence end."""
     safe = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-    return deal_out(table(spark, sf, "documents"), "doc_id", CORES).selectExpr(
+    return deal_out(table(spark, sf, "documents"), "doc_id", shares(spark)).selectExpr(
         "doc_id",
         f"""'<table><tbody><tr><td> ' || replace(replace({safe}, '. ', '.</td><td>'), '\\n', ' </td></tr><tr><td> ')
             || '</td></tr></tbody></table>' AS html""",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regmill.functions.identity import key_pads
 from regmill.rules import NAMED_ENTITIES
 
-# Partitions over which queries deal out the rows of the unsplit test files before they build markup of them.
+# Buckets of stored pages, and the least number of partitions that rows are dealt out over.
 CORES = 8
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def shares(spark: SparkSession) -> int:
+    """Partitions over which queries deal out the rows of files with few splits before they build markup of them."""
+    return max(CORES, 2 * spark.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

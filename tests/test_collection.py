@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from regmill import rules
 from regmill.operators.ordered import since_mark
 from regmill.plans import collection, releases
+from regmill.plans.catalog import derived
 from regmill.rules import local_frame
 
 PAGES = "site string, year int, seq bigint, url string, html string"
@@ -206,3 +207,11 @@ def test_marked_listing_is_parsed_once(spark):
     documents, _ = releases.release_documents(listing, details, rule, "ab" * 32, marks)
     assert sorted(r.message_title for r in documents.collect()) == ["t0", "t1", "t2", "t3"]
     assert read.value == 6
+
+
+def test_pages_are_dealt_out_over_all_cores(spark, tmp_path):
+    """A table in few splits still gives every core pages to parse."""
+    orders = "1L AS o_orderkey", "1L AS o_custkey", "'F' AS o_orderstatus", "'2-HIGH' AS o_orderpriority", "DATE'1995-01-02' AS o_orderdate"
+    spark.range(1).selectExpr(*orders).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    for made in (derived.archived_texts, derived.order_pages, derived.card_pages):
+        assert made(spark, str(tmp_path)).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
