@@ -1,6 +1,6 @@
 """Plans that stay balanced when one key holds a large share of the rows.
 
-There are no broadcast hints in the package: Spark broadcasts a side whose size it knows
+Hints are given only for tables that are small by construction (Bloom filters, bounds and carries): Spark broadcasts a side whose size it knows
 (rule rows are local relations, tables have file sizes) or has measured (adaptive execution),
 and runs anything larger as a shuffled equi-join whose oversized partitions it splits.
 """
