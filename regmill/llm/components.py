@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from regmill.session import written
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, files: int | None = None) -> DataFrame:
     """node and root (the least node it reaches) of every node of the links (a, b), both bigint, not null.
 
     Each round is two joins with a combinable minimum, so a hub is never gathered; edges end up pointing from
     every node to the least one, in a number of rounds that grows with the logarithm of the graph.
-    Rounds are written to the shared folder. No links, no rows.
+    Rounds are written to the shared folder, in at most `files` files each. No links, no rows.
     """
-    edges = written(_down(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "edges")
+    edges = written(_down(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "edges", files)
     before = None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
@@ -30,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         large = _down(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(_down(small.unionByName(least.select("u", F.col("m").alias("v")))), "edges")
+        edges = written(_down(small.unionByName(least.select("u", F.col("m").alias("v")))), "edges", files)
 
 
 def _down(edges: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ BLOCK = 1024
 DENSE = 24  # n-grams of more nodes in a tile go through the dense product
 COLUMNS = 4096
 BUCKET = 1 << 18  # leading n-grams of a bucket
+FILES = 8  # of a small table; larger ones have a file for each BUCKET of leading n-grams
 _COUNTS = ("u1", "<u2", "<u4", "<u8")
 
 
@@ -137,9 +138,13 @@ def signatures(docs: DataFrame, id: str, text: str, width: int, percent: int) ->
     return rows.mapInArrow(run, f"id {id_type}, row bigint, n int, node bigint, leading array<bigint>")
 
 
-def shared_columns(rows: DataFrame) -> DataFrame:
+def leading_entries(rows: DataFrame) -> int:
+    """How many leading n-grams the rows have, one at least for each row with a node."""
+    return rows.where("node is not null").agg(F.sum(F.size("leading").cast("long"))).first()[0] or 0
+
+
+def shared_columns(rows: DataFrame, entries: int) -> DataFrame:
     """key, node, n, place: the leading n-grams that two nodes or more hold, with their place in the node's order."""
-    entries = rows.where("node is not null").agg(F.sum(F.size("leading").cast("long"))).first()[0] or 0
     buckets = shared_keys.buckets_of(entries, BUCKET)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,21 +304,24 @@ def jaccard_join(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
 
 def _joined(docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
     rows = written(signatures(docs, id, text, width, percent), "signatures")
+    # tables of numbers per node, n-gram, link or edge follow the leading n-grams; what holds texts follows Spark's partitions
+    entries = leading_entries(rows)
+    files = max(FILES, shared_keys.buckets_of(entries, BUCKET))
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.min("id").alias("label"),
         F.first("n").alias("n"),
         F.min_by("row", F.struct("id", "row")).alias("row"),
         F.count("*").alias("copies"),
     )
-    nodes = written(nodes, "nodes")
-    columns = written(shared_columns(rows), "columns")
+    nodes = written(nodes, "nodes", files)
+    columns = written(shared_columns(rows, entries), "columns", files)
     held = columns.groupBy("key").agg(F.count("*").alias("held"), F.min("node").alias("center"))
 
     # groups: what columns of many nodes connect
     frequent = held.where(F.col("held") > FEW).select("key", "center")
     star = columns.join(frequent, "key").where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"))
-    groups = components(star.distinct()).withColumnRenamed("root", "group")
-    groups = written(groups.join(nodes.select("node", "n", "copies"), "node"), "groups")
+    groups = components(star.distinct(), files).withColumnRenamed("root", "group")
+    groups = written(groups.join(nodes.select("node", "n", "copies"), "node"), "groups", files)
 
     # pairs: nodes that a column of few nodes holds and that no group holds together
     few = columns.join(held.where(F.col("held") <= FEW).select("key"), "key")
@@ -326,14 +334,15 @@ def _joined(docs: DataFrame, id: str, text: str, width: int, percent: int) -> Da
     pairs = few.withColumnRenamed("node", "a").join(other, "key").where("a < b")
     pairs = pairs.where(F.col("group").isNull() | F.col("other").isNull() | (F.col("group") != F.col("other")))
     pairs = pairs.where((100 + percent) * left >= percent * (F.col("n").cast("long") + F.col("m")))
-    pairs = written(pairs.select("a", "b").distinct(), "pairs")
+    pairs = written(pairs.select("a", "b").distinct(), "pairs", files)
 
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = wanted.unionByName(groups.select("node")).distinct()
     texts = written(_texts(docs, nodes, wanted, id, text), "texts")
     links = verified(pairs, texts, width, percent).unionByName(tiled(groups, texts, width, percent))
-    links = written(links, "links")
-    reached = components(links.where("node != peer").select(F.col("node").alias("a"), F.col("peer").alias("b")))
+    # sets are compared in as many tasks as there are; only what they found is gathered
+    links = written(links.repartition("node"), "links", files)
+    reached = components(links.where("node != peer").select(F.col("node").alias("a"), F.col("peer").alias("b")), files)
     named = reached.join(nodes.select("node", "label"), "node")
     names = named.groupBy("root").agg(F.min("label").alias("component_id"))
     classes = reached.join(names, "root").select("node", "component_id")

@@ -77,10 +77,15 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         _open.remove(noted)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, kept when executors are lost."""
+def written(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, kept when executors are lost.
+
+    With `files`, in at most so many of them: the last stage's partitions are joined, without a shuffle. For tables of few
+    and short rows, whose number the caller can bound: to write a file costs more than such rows do (Hadoop's local
+    file system starts several processes for each).
+    """
     path = fresh_dir(df.sparkSession, label)
     for noted in _open:
         noted.paths.append(path)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

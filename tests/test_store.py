@@ -186,6 +186,15 @@ def test_shared_folder_follows_the_session(spark):
     assert session.written(spark.range(3).toDF("id"), "kept").count() == 3
 
 
+def test_written_in_few_files(spark):
+    many = spark.range(0, 40, 1, 10)
+    with session.scratch(spark) as noted:
+        tables = [session.written(many, "many"), session.written(many, "few", 3), session.written(many, "all", 20)]
+    files = [sum(f.endswith(".parquet") for f in os.listdir(p)) for p in noted.paths]
+    assert files == [10, 3, 10] and [t.agg({"id": "sum"}).first()[0] for t in tables] == [780] * 3
+    noted.drop()
+
+
 def test_scratch_tables_go_when_their_owner_is_done(spark):
     before = session.written(spark.range(2).toDF("id"), "before")
     with session.scratch(spark) as noted:
