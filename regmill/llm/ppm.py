@@ -8,8 +8,8 @@ probability c / (n + d) and the escape d / (n + d) (method C); no escape is paid
 empty context all bytes left are equally likely. Shorter contexts count a byte once for each longer context that
 has it, as an adaptive coder with update exclusion counts them, so counts do not depend on the order of the documents.
 
- 1. documents are dealt by hash into blocks of bounded bytes. A block's texts walk down a trie of their own, built level by
-    level on arrays, which numbers the different strings of `order` + 1 bytes in them;
+ 1. documents are dealt by hash into blocks of bounded bytes. The different strings of `order` + 1 bytes in a block's texts
+    are found in runs of texts and merged, so that next to the texts only the different ones are held;
  2. the strings are counted over all blocks, and the trie is made from these counts by Spark, a level at a time;
  3. every different string gets its code length once; strings and words of a block are joined with their values,
     and the block's texts add them up. Nothing but the levels of at most one byte (257 contexts) is broadcast.
@@ -19,16 +19,19 @@ end per text. Words travel as they are; within a block they are told apart by a
 
 A null text is empty: one end. Null ids hash as no digits and so are learnt from. Repeated rows count and are scored each
 (those equal in id and text share a block). Without learning rows all bytes are equally likely. An empty table gives an
-empty result, other columns are not read. A block needs memory for its bytes, or for one longer text.
+empty result, other columns are not read. A task needs memory for a block's bytes, its different strings and words, and
+some 50 bytes for each of a run's bytes; a block is at least one text, and so is a run.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,7 +44,8 @@ ORDER = 4
 BLOCK_BYTES = 16_000_000
 END = 0xFF
 LEAST_ORDER, MOST_ORDER = 1, 6  # a string of 7 bytes fits a bigint
-TABLE = 1 << 24  # entries of a level's array of (node, byte); beyond it the level is sorted
+RUN_BYTES = 1_000_000  # of a block's texts that are walked at once
+TABLE = 1 << 20  # entries of an array of all strings over a run's bytes; beyond it the strings are sorted
 SHARED_LEVELS = 2  # levels of 0 and 1 bytes are broadcast
 
 
@@ -51,111 +55,124 @@ SHARED_LEVELS = 2  # levels of 0 and 1 bytes are broadcast
 def strings(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """The different strings of order + 1 bytes that end at a byte or the end of a text, as numbers in rising order,
     and for every byte and end of every text the place of its string.
-
-    Every level is walked twice in runs of texts, so only the nodes reached are held for the whole block.
     """
+    if not texts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     gap = bytes([END]) * order
     codes = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
     alphabet = np.flatnonzero(np.bincount(codes, minlength=256))
-    dense = np.cumsum(np.bincount(alphabet, minlength=256)).astype(np.uint8) - np.uint8(1)
-    width = len(alphabet)
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    ends = np.cumsum(sizes)
-    runs = [(a, int(ends[a] - sizes[a]), b, int(ends[b - 1])) for a, b in blocks(sizes.tolist())]
-    node, packed = np.zeros(int(ends[-1]) if len(texts) else 0, np.int32), np.zeros(1, np.int64)
-
-    def keys(depth: int):
-        for a, first, b, last in runs:
-            # the gap after a text is its end and order - 1 bytes that are context only
-            place = np.arange(first + depth, last + depth) + np.repeat(np.arange(a, b) * (order - 1), sizes[a:b])
-            yield first, last, node[first:last].astype(np.int64) * width + dense[codes[place]]
-
-    for depth in range(order + 1):
-        if len(packed) * width <= TABLE:
-            seen = np.zeros(len(packed) * width, bool)
-            for _, _, key in keys(depth):
-                seen[key] = True
-            fresh = np.flatnonzero(seen)
-            number = np.cumsum(seen, dtype=np.int32) - np.int32(1)
-            for first, last, key in keys(depth):
-                node[first:last] = number[key]
-        else:
-            fresh = np.empty(0, np.int64)
-            for _, _, key in keys(depth):
-                fresh = np.union1d(fresh, key)
-            for first, last, key in keys(depth):
-                node[first:last] = np.searchsorted(fresh, key)
-        packed = (packed[fresh // width] << 8) | alphabet[fresh % width]
-    return packed, node
-
-
-def words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The different words, for every word its place among them, and the number of words of each text."""
-    hashes, counts, starts, ends = [], [], [], []
-    shingler, at = Shingler(1), 0
+    size, width = len(codes) - order, len(alphabet)
+    packed = np.zeros(size, np.int64)
+    table = width ** (order + 1) <= TABLE
+    if table:
+        dense = np.cumsum(np.bincount(alphabet, minlength=256)) - 1
+        for k in range(order + 1):
+            packed = packed * width + dense[codes[k : k + size]]
+    else:
+        for k in range(order + 1):
+            packed = (packed << 8) | codes[k : k + size]
+    if order > 1:
+        # the gap after a text is its end and order - 1 bytes that are context only
+        after = np.cumsum([len(t) + order for t in texts])
+        only = (after[:, None] - np.arange(1, order)).ravel()
+        packed = np.delete(packed, only)
+    if not table:
+        return np.unique(packed, return_inverse=True)
+    seen = np.zeros(width ** (order + 1), bool)
+    seen[packed] = True
+    fresh, number = np.flatnonzero(seen), np.cumsum(seen, dtype=np.int32) - np.int32(1)
+    full = np.zeros(len(fresh), np.int64)
+    for k in range(order, -1, -1):
+        full = (full << 8) | alphabet[fresh // width**k % width]
+    return full, number[packed]
+
+
+def _runs(table: pa.Table) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The block's texts in lower case, in runs of bounded bytes. Strings and words are ranked over the whole block, so the
+    order of the rows is free to change between jobs."""
+    texts = table.column("text").cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy() + 1
+    for a, b in blocks(sizes.tolist(), RUN_BYTES):
+        yield a, b, [(x or b"").lower() for x in texts.slice(a, b - a).to_pylist()]
+
+
+def _learn(table: pa.Table) -> np.ndarray:
+    return ~table.column("held_out").to_numpy().astype(bool)
+
+
+def _merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in rising order with their counts added up, from parts that are sorted."""
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for more, n in parts:
+        keys, places = np.unique(np.concatenate([keys, more]), return_inverse=True)
+        counts = np.bincount(places, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+    return keys, counts
+
+
+def _joined(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The different ones of both in rising order (np.union1d hashes numbers, which takes many times as long)."""
+    keys = np.sort(np.concatenate([keys, more]))
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def _words(shingler: Shingler, texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Hashes of the different words of a run in rising order, the words, for every word its place among them, and the number
+    of words of each text."""
+    found, counts = shingler.words(texts)
+    hashes, first, places = np.unique(found, return_index=True, return_inverse=True)
     joined = b" ".join(texts) + b" "
-    for a, b in blocks([len(t) for t in texts]):
-        found, numbers = shingler.words(texts[a:b])
-        size = sum(len(t) + 1 for t in texts[a:b])
-        codes = np.frombuffer(joined, np.uint8, size, at)
-        inside = np.concatenate([[False], (codes != 32) & ((codes < 9) | (codes > 13))])
-        edges = np.flatnonzero(inside[1:] != inside[:-1]) + at
-        hashes.append(found)
-        counts.append(numbers)
-        starts.append(edges[0::2])
-        ends.append(edges[1::2])
-        at += size
-    if not hashes:
-        return [], np.empty(0, np.int64), np.empty(0, np.int64)
-    _, first, places = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    begin, end = np.concatenate(starts)[first].tolist(), np.concatenate(ends)[first].tolist()
-    return [joined[a:b] for a, b in zip(begin, end, strict=True)], places, np.concatenate(counts)
-
-
-def _texts(table: pa.Table) -> list[bytes]:
-    """The block's texts in lower case; places are ranks, so the order of the rows is free to change between jobs."""
-    return [(x or b"").lower() for x in table.column("text").cast(pa.binary()).to_pylist()]
-
-
-def _sums(values: np.ndarray, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of the values at these places over runs of these lengths, of which some may be 0."""
-    out, ends = np.zeros(len(counts)), np.cumsum(counts)
-    for a, b in blocks(counts.tolist()):
-        first = int(ends[a] - counts[a])
-        here, begins = values[places[first : int(ends[b - 1])]], ends[a:b] - counts[a:b] - first
-        some = counts[a:b] > 0
-        if some.any():
-            out[a:b][some] = np.add.reduceat(here, begins[some])
+    codes = np.frombuffer(joined, np.uint8)
+    inside = np.concatenate([[False], (codes != 32) & ((codes < 9) | (codes > 13))])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begin, end = edges[0::2][first].tolist(), edges[1::2][first].tolist()
+    return hashes, pa.array([joined[a:b] for a, b in zip(begin, end, strict=True)], pa.binary()), places, counts
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the values over runs of these lengths, of which some may be 0."""
+    out, some = np.zeros(len(counts)), counts > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(counts) - counts)[some])
     return out
 
 
 def _block_strings(docs: DataFrame, order: int) -> DataFrame:
-    """block, place, string and n: how often learning rows have it."""
+    """block, string and n: how often learning rows have it."""
 
     def run(table: pa.Table) -> pa.Table:
-        texts = _texts(table)
-        packed, node = strings(texts, order)
-        learn = ~table.column("held_out").to_numpy().astype(bool)
-        n = np.bincount(node[np.repeat(learn, [len(t) + 1 for t in texts])], minlength=len(packed))
-        block = np.full(len(packed), table.column("block")[0].as_py(), np.int32)
-        return pa.table({"block": block, "place": np.arange(len(packed), dtype=np.int32), "string": packed, "n": n})
+        learn = _learn(table)
+
+        def counted():
+            for a, b, texts in _runs(table):
+                packed, node = strings(texts, order)
+                yield packed, np.bincount(node[np.repeat(learn[a:b], [len(t) + 1 for t in texts])], minlength=len(packed))
+
+        packed, n = _merged(counted())
+        return pa.table({"block": np.full(len(packed), table.column("block")[0].as_py(), np.int32), "string": packed, "n": n})
 
-    return docs.groupBy("block").applyInArrow(run, "block int, place int, string bigint, n bigint")
+    return docs.groupBy("block").applyInArrow(run, "block int, string bigint, n bigint")
 
 
 def _block_words(docs: DataFrame) -> DataFrame:
-    """block, place, word and n: how often learning rows have it. The end comes last, as the empty word."""
+    """block, place, word and n: how often learning rows have it. Places are ranks of the words' hashes; the end comes last, as
+    the empty word."""
 
     def run(table: pa.Table) -> pa.Table:
-        found, places, counts = words(_texts(table))
-        learn = ~table.column("held_out").to_numpy().astype(bool)
-        n = np.bincount(places[np.repeat(learn, counts)], minlength=len(found))
+        shingler, learn = Shingler(1), _learn(table)
+        hashes, found, n = [], [], []
+        for a, b, texts in _runs(table):
+            some, theirs, places, counts = _words(shingler, texts)
+            hashes.append(some)
+            found.append(theirs)
+            n.append(np.bincount(places[np.repeat(learn[a:b], counts)], minlength=len(some)))
+        different, first, places = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        n = np.bincount(places, np.concatenate(n), len(different)).astype(np.int64)
         return pa.table(
             {
-                "block": pa.array(np.full(len(found) + 1, table.column("block")[0].as_py(), np.int32)),
-                "place": pa.array(np.arange(len(found) + 1, dtype=np.int32)),
-                "word": pa.array([*found, b""], pa.binary()),
-                "n": pa.array([*n.tolist(), int(learn.sum())], pa.int64()),
+                "block": np.full(len(different) + 1, table.column("block")[0].as_py(), np.int32),
+                "place": np.arange(len(different) + 1, dtype=np.int32),
+                "word": pa.concat_arrays([pa.concat_arrays(found).take(pa.array(first)), pa.array([b""], pa.binary())]),
+                "n": np.append(n, learn.sum()),
             }
         )
 
@@ -265,29 +282,35 @@ def _add_up(docs: DataFrame, replies: DataFrame, id_type: str, order: int) -> Da
     """The sums of every row; `fresh`, a block's share of the vocabulary, comes with its first row."""
 
     def run(table: pa.Table, values: pa.Table) -> pa.Table:
-        texts = _texts(table)
-        kind, place = values.column("is_string").to_numpy(), values.column("place").to_numpy()
+        kind, key = values.column("is_string").to_numpy(), values.column("key").to_numpy()
         value = values.column("value").to_numpy()
-
-        def of(wanted: np.ndarray) -> np.ndarray:
-            out = np.zeros(int(wanted.sum()))
-            out[place[wanted]] = value[wanted]
-            return out
-
-        by_word, by_string = of(~kind), of(kind)
-        _, places, counts = words(texts)
-        _, node = strings(texts, order)
-        end = by_word[-1]
-        fresh = np.zeros(len(texts), np.int64)
+        ranks = np.argsort(key[kind])
+        known, code = key[kind][ranks], value[kind][ranks]
+        by_word = np.empty(len(key) - len(known))
+        by_word[key[~kind]] = value[~kind]
+        end, shingler, hashes = by_word[-1], Shingler(1), np.empty(0, np.uint64)
+        for _, _, texts in _runs(table):
+            hashes = _joined(hashes, shingler.words(texts)[0])
+        n_words, n_known = np.zeros(table.num_rows, np.int64), np.zeros(table.num_rows, np.int64)
+        base, score = np.zeros(table.num_rows), np.zeros(table.num_rows)
+        for a, b, texts in _runs(table):
+            packed, node = strings(texts, order)
+            score[a:b] = _sums(code[np.searchsorted(known, packed)][node], np.array([len(t) + 1 for t in texts]))
+            found, n_words[a:b] = shingler.words(texts)
+            different, places = np.unique(found, return_inverse=True)
+            of = by_word[np.searchsorted(hashes, different)][places]
+            base[a:b] = _sums(of, n_words[a:b])
+            n_known[a:b] = _sums((of > 0).astype(float), n_words[a:b])
+        fresh = np.zeros(table.num_rows, np.int64)
         fresh[0] = values.column("fresh").to_numpy().sum()
         return pa.table(
             {
                 "id": table.column("id"),
                 "held_out": table.column("held_out"),
-                "n_tokens": counts + 1,
-                "n_known": _sums((by_word > 0).astype(float), places, counts).astype(np.int64) + int(end > 0),
-                "known": _sums(by_word, places, counts) + end,
-                "score": _sums(by_string, node, np.array([len(t) + 1 for t in texts])),
+                "n_tokens": n_words + 1,
+                "n_known": n_known + int(end > 0),
+                "known": base + end,
+                "score": score,
                 "fresh": fresh,
             }
         )
@@ -318,7 +341,7 @@ def score(
     counts = written(requests.groupBy("string").agg(F.sum("n").alias("n")), "strings")
     nodes = trie(counts.where("n > 0"), order)
     by_string = requests.join(string_codes(counts, nodes, order), "string").select(
-        "block", F.lit(True).alias("is_string"), "place", "value", F.lit(0).alias("fresh")
+        "block", F.lit(True).alias("is_string"), F.col("string").alias("key"), "value", F.lit(0).alias("fresh")
     )
 
     # one row a block and word: the sum needs no second pass, and a frequent word has as many rows as there are blocks
@@ -329,7 +352,7 @@ def score(
     by_word = by_word.select(
         "block",
         F.lit(False).alias("is_string"),
-        "place",
+        F.col("place").cast("bigint").alias("key"),
         F.log10(F.col("c") + 1).alias("value"),
         (F.col("first") & (F.col("c") > 0)).cast("int").alias("fresh"),
     )

@@ -2,11 +2,13 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from regmill.llm import ppm, queries
@@ -123,3 +125,77 @@ def test_levels_beyond_the_table_are_sorted(monkeypatch):
     monkeypatch.setattr(ppm, "TABLE", 64)
     got = ppm.strings(texts, 3)
     assert np.array_equal(want[0], got[0]) and np.array_equal(want[1], got[1])
+
+
+class Grouped:
+    """Stands for a frame whose groups are given to a function: keeps the function."""
+
+    def groupBy(self, *_):
+        return self
+
+    def cogroup(self, _):
+        return self
+
+    def applyInArrow(self, function, _):
+        return function
+
+
+def block(size):
+    """A block of about so many bytes in texts of 2,000 over 1,000 words."""
+    picks = np.random.default_rng(1).integers(0, 1000, (size // 2000, 333))
+    texts = [" ".join(f"w{n:04}" for n in row) for row in picks.tolist()]
+    n = len(texts)
+    return pa.table({"block": pa.array([0] * n, pa.int32()), "id": range(n), "held_out": [i % 7 == 2 for i in range(n)], "text": texts})
+
+
+def replies(found, words):
+    """What comes back for a block: 1 for every string, its number of learning rows for every word."""
+    kind = [True] * len(found) + [False] * len(words)
+    key = np.concatenate([found["string"].to_numpy(), words["place"].to_numpy().astype(np.int64)])
+    value = np.concatenate([np.ones(len(found)), words["n"].to_numpy().astype(float)])
+    return pa.table({"is_string": kind, "key": key, "value": value, "fresh": np.zeros(len(key), np.int32)})
+
+
+def traced(function, *tables):
+    """The result, and the most bytes that were allocated meanwhile."""
+    tracemalloc.start()
+    result = function(*tables)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return result, most
+
+
+def test_a_block_holds_little_next_to_its_texts():
+    """What a step allocates does not follow a block's bytes when the strings and words in it stay the same."""
+    small, large = block(3_000_000), block(9_000_000)
+    more = large.nbytes - small.nbytes
+    for step in (ppm._block_strings(Grouped(), 4), ppm._block_words(Grouped())):
+        assert traced(step, large)[1] - traced(step, small)[1] < 0.5 * more
+    step, most = ppm._add_up(Grouped(), Grouped(), "bigint", 4), []
+    for table in (small, large):
+        found, words = ppm._block_strings(Grouped(), 4)(table), ppm._block_words(Grouped())(table)
+        sums, bytes_ = traced(step, table, replies(found, words))
+        assert sums["score"].to_pylist() == [len(t) + 1 for t in table["text"].to_pylist()]
+        assert len(words) == 1001 and set(sums["n_tokens"].to_pylist()) == {334}
+        most.append(bytes_)
+    assert most[1] - most[0] < 0.5 * more
+
+
+def test_runs_of_a_block_are_merged(monkeypatch):
+    table = block(20_000).append_column("more", pa.array(range(10)))
+    whole = [ppm._block_strings(Grouped(), 2)(table), ppm._block_words(Grouped())(table)]
+    monkeypatch.setattr(ppm, "RUN_BYTES", 1)
+    assert [ppm._block_strings(Grouped(), 2)(table), ppm._block_words(Grouped())(table)] == whole
+    counts = Counter()
+    for text, held in zip(table["text"].to_pylist(), table["held_out"].to_pylist(), strict=True):
+        counts.update({w.encode(): 0 if held else n for w, n in Counter(text.split()).items()})
+    assert dict(zip(whole[1]["word"].to_pylist(), whole[1]["n"].to_pylist(), strict=True)) == {**counts, b"": 8}
+
+
+def test_strings_by_table_are_the_sorted_ones(monkeypatch):
+    texts = [b"", b"abcabc", b"a", b"cab"]
+    want = ppm.strings(texts, 2)
+    monkeypatch.setattr(ppm, "TABLE", 1)
+    got = ppm.strings(texts, 2)
+    assert np.array_equal(want[0], got[0]) and np.array_equal(want[1], got[1])
+    assert [got[0][i].item().to_bytes(3, "big") for i in got[1][:4]] == [b"\xff\xff\xff", b"\xff\xffa", b"\xffab", b"abc"]
