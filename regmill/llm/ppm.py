@@ -44,8 +44,9 @@ ORDER = 4
 BLOCK_BYTES = 16_000_000
 END = 0xFF
 LEAST_ORDER, MOST_ORDER = 1, 6  # a string of 7 bytes fits a bigint
-RUN_BYTES = 1_000_000  # of a block's texts that are walked at once
+RUN_BYTES = 500_000  # of a block's texts that are walked at once
 TABLE = 1 << 20  # entries of an array of all strings over a run's bytes; beyond it the strings are sorted
+FILE_ROWS, LEAST_FILES = 262_144, 8  # tables of the trie: a file for so many strings, so many files at least
 SHARED_LEVELS = 2  # levels of 0 and 1 bytes are broadcast
 
 
@@ -101,12 +102,21 @@ def _learn(table: pa.Table) -> np.ndarray:
 
 
 def _merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys in rising order with their counts added up, from parts that are sorted."""
-    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    """Different keys in rising order with their counts added up. Parts wait until they are as many as the different keys."""
+    keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+    def merge() -> None:
+        different, places = np.unique(np.concatenate(keys), return_inverse=True)
+        counts[:] = [np.bincount(places, np.concatenate(counts), len(different)).astype(np.int64)]
+        keys[:] = [different]
+
     for more, n in parts:
-        keys, places = np.unique(np.concatenate([keys, more]), return_inverse=True)
-        counts = np.bincount(places, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-    return keys, counts
+        keys.append(more)
+        counts.append(n)
+        if sum(map(len, keys[1:])) > len(keys[0]):
+            merge()
+    merge()
+    return keys[0], counts[0]
 
 
 def _joined(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -192,7 +202,9 @@ def trie(counts: DataFrame, order: int) -> DataFrame:
     level (bytes), context, n and d of the bytes known in it, counts by byte, and rest_n and rest_d: what is left in the
     context one byte shorter when this one's bytes are excluded.
     """
-    here, above, levels = counts, None, []
+    # no level has more rows than there are strings
+    files = max(LEAST_FILES, math.ceil(counts.count() / FILE_ROWS))
+    here, levels = counts, []
     for level in range(order, -1, -1):
         shorter = _suffix(F.col("string"), level)
         # at most 256 strings differ in their first byte only
@@ -205,8 +217,9 @@ def trie(counts: DataFrame, order: int) -> DataFrame:
             F.sum("below").alias("below"),
             F.map_from_entries(F.collect_list(F.struct(_suffix(F.col("string"), 1).cast("int"), "n"))).alias("counts"),
         )
-        levels.append(written(contexts, f"contexts-{level}"))
-        here = written(here.groupBy(shorter.alias("string")).agg(F.count("*").alias("n")), f"strings-{level}")
+        levels.append(written(contexts, f"contexts-{level}", files))
+        if level:
+            here = written(here.groupBy(shorter.alias("string")).agg(F.count("*").alias("n")), f"strings-{level}", files)
     levels.reverse()
     out = []
     for level, contexts in enumerate(levels):
@@ -220,7 +233,7 @@ def trie(counts: DataFrame, order: int) -> DataFrame:
         joined = contexts.alias("a").join(above.alias("b"), _suffix(F.col("a.context"), level - 1) == F.col("b.context"))
         left = [(F.col("b.n") - F.col("a.below")).alias("rest_n"), (F.col("b.d") - F.col("a.d")).alias("rest_d")]
         out.append(joined.select(*columns, *left))
-    return written(reduce(DataFrame.unionByName, out), "trie")
+    return written(reduce(DataFrame.unionByName, out), "trie", files)
 
 
 def _code(path: Column) -> Column:
