@@ -106,9 +106,19 @@ def _merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
 
     def merge() -> None:
-        different, places = np.unique(np.concatenate(keys), return_inverse=True)
-        counts[:] = [np.bincount(places, np.concatenate(counts), len(different)).astype(np.int64)]
-        keys[:] = [different]
+        # arrays go as soon as they are used: in texts of many different strings these are the largest
+        every = np.concatenate(keys)
+        keys.clear()
+        order = np.argsort(every)
+        every = every[order]
+        first = np.flatnonzero(np.append(len(every) > 0, every[1:] != every[:-1]))
+        keys.append(every[first])
+        del every
+        n = np.concatenate(counts)
+        counts.clear()
+        n = n[order]
+        del order
+        counts.append(np.add.reduceat(n, first) if len(first) else n)
 
     for more, n in parts:
         keys.append(more)
